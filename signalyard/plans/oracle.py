@@ -1,0 +1,86 @@
+"""DuckDB twins of the registered queries.
+
+The base tables are DuckDB views with the supplied names; each SQL text
+re-derives the fixture feeds (``FIXTURE_CTES``) the same way
+``sources.fixtures`` does, then states the operator as plain SQL."""
+
+from __future__ import annotations
+
+_DAY = "strftime({d}, '%Y-%m-%d')"
+
+FIXTURE_CTES = {
+    "news_items": """
+news_items AS (
+  SELECT doc_id,
+         CASE doc_id % 3 WHEN 0 THEN 'newsapi' WHEN 1 THEN 'worldnewsapi' ELSE 'xtb' END AS feed,
+         strftime(DATE '2024-01-01' + CAST(doc_id % 29 AS INTEGER), '%Y-%m-%dT10:00:00Z') AS date,
+         text AS data,
+         strftime(DATE '2024-01-01' + CAST(doc_id % 29 AS INTEGER), '%Y-%m-%d') AS date_start,
+         strftime(DATE '2024-01-01' + CAST(doc_id % 29 AS INTEGER) + 1, '%Y-%m-%d') AS date_end,
+         lang
+  FROM documents)""",
+    "stock_lake": """
+stock_lake AS (
+  SELECT h AS ctm, strftime(h, '%b %-d, %Y, %-I:%M:%S %p') AS ctmString,
+         o AS open, c - o AS close, hi - o AS high, lo - o AS low, CAST(n AS DOUBLE) AS vol,
+         strftime(CAST(h AS DATE), '%Y-%m-%d') AS date_start,
+         strftime(CAST(h AS DATE) + 1, '%Y-%m-%d') AS date_end
+  FROM (SELECT date_trunc('hour', ts) AS h, arg_min(value, ts) AS o, arg_max(value, ts) AS c,
+               max(value) AS hi, min(value) AS lo, count(*) AS n
+        FROM events GROUP BY 1))""",
+    "weather_raw": """
+weather_raw AS (
+  SELECT CASE WHEN event_type IN ('view', 'click') THEN value END AS temperature,
+         CASE WHEN event_type = 'error' THEN value END AS rain,
+         CASE WHEN event_type = 'signup' THEN value * 60 END AS sun,
+         strftime(CAST(ts AS DATE), '%Y-%m-%d') AS date_start,
+         strftime(CAST(ts AS DATE) + 1, '%Y-%m-%d') AS date_end
+  FROM events)""",
+    "scraper_logs": """
+scraper_logs AS (
+  SELECT CASE event_type WHEN 'view' THEN 'newsapi' WHEN 'click' THEN 'worldnewsapi' ELSE 'xtb' END AS feed,
+         strftime(CAST(ts AS DATE), '%Y-%m-%d') AS start_date,
+         strftime(CAST(ts AS DATE) + 1, '%Y-%m-%d') AS end_date,
+         count(*) AS record_count
+  FROM events WHERE event_type IN ('view', 'click', 'error') GROUP BY 1, 2, 3)""",
+}
+
+
+def with_ctes(*names: str, extra: list[str] | None = None) -> str:
+    parts = [FIXTURE_CTES[n].strip() for n in names] + [e.strip() for e in (extra or [])]
+    return "WITH " + ",\n".join(parts) + "\n"
+
+
+def r4(x: str) -> str:
+    return f"round({x} + 1e-7, 4)"
+
+
+ORACLE: dict[str, str] = {}
+
+ORACLE["news_daily_counts"] = with_ctes("news_items") + """
+SELECT strftime(CAST(substr(date, 1, 10) AS DATE), '%Y-%m-%d') AS record_date,
+       feed AS source, count(*) AS count
+FROM news_items GROUP BY 1, 2"""
+
+ORACLE["news_new_rows"] = with_ctes("news_items", extra=["""
+counts AS (
+  SELECT strftime(CAST(substr(date, 1, 10) AS DATE), '%Y-%m-%d') AS record_date,
+         feed AS source, count(*) AS count
+  FROM news_items GROUP BY 1, 2)"""]) + """
+SELECT * FROM counts c
+WHERE NOT EXISTS (SELECT 1 FROM counts e
+                  WHERE e.record_date < '2024-01-15'
+                    AND e.record_date = c.record_date AND e.source = c.source)"""
+
+ORACLE["weather_daily"] = with_ctes("weather_raw") + f"""
+SELECT strftime(CAST(substr(date_start, 1, 10) AS DATE), '%Y-%m-%d') AS record_date,
+       {r4('avg(temperature)')} AS temperature,
+       {r4('coalesce(sum(rain), 0.0)')} AS rain,
+       {r4('coalesce(sum(sun), 0.0)')} AS sun
+FROM weather_raw GROUP BY 1"""
+
+ORACLE["stock_new_rows"] = with_ctes("stock_lake") + """
+SELECT strftime(CAST(substr(date_start, 1, 10) AS DATE), '%Y-%m-%d') AS record_date,
+       CAST(open AS DOUBLE) AS open
+FROM stock_lake
+WHERE strftime(CAST(substr(date_start, 1, 10) AS DATE), '%Y-%m-%d') >= '2024-01-15'"""
