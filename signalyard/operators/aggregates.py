@@ -38,12 +38,14 @@ def daily_weather(df: DataFrame, key: str = "record_date") -> DataFrame:
 
 def column_means(df: DataFrame, columns: list[str]) -> DataFrame:
     """AGG4: one-row frame of null-ignoring means (timestamps averaged on
-    epoch millis and turned back into a timestamp)."""
+    epoch seconds and turned back into a timestamp)."""
     aggs = []
     for c in columns:
         dt = df.schema[c].dataType.typeName()
         if dt in ("timestamp", "timestamp_ntz"):
-            m = F.timestamp_millis(F.avg(F.unix_millis(F.col(c).cast("timestamp"))).cast("long"))
+            # Mean on epoch seconds (smaller sums than millis, so the double
+            # sum stays exact for longer), floored to whole seconds.
+            m = F.timestamp_seconds(F.floor(F.avg(F.unix_seconds(F.col(c).cast("timestamp")))))
             if dt == "timestamp_ntz":
                 m = m.cast("timestamp_ntz")
             aggs.append(m.alias(c))

@@ -107,3 +107,29 @@ def with_defaults(requests: DataFrame, means: DataFrame, columns: list[str]) ->
     return j.select(*[c for c in requests.columns if c not in columns],
                     *[F.coalesce(F.col(c).cast("double"), F.col(f"_m.{c}").cast("double"),
                                  F.lit(0.0)).alias(c) for c in columns])
+
+
+def full_outer_bounded(big: DataFrame, small: DataFrame, keys: list[str],
+                       max_small_rows: int = DEFAULT_BROADCAST_ROWS,
+                       null_safe: bool = False) -> DataFrame:
+    """JN3 for a side of proven size (weather: one row per day, candles:
+    24 per day): ``big LEFT JOIN broadcast(small)`` plus the ``small`` rows
+    whose key does not occur in ``big``.  Equal to a full outer join, but
+    the big side is never shuffled, so a day holding a third of all rows
+    stays spread over the tasks that read it.  Falls back to the shuffled
+    full outer join when the bound does not hold."""
+    if not has_at_most(small, max_small_rows):
+        return full_outer_on(big, small, keys, null_safe)
+    b = F.broadcast(small)
+    if null_safe:
+        rk = {k: f"_r_{k}" for k in keys}
+        r = small.select(*[F.col(c).alias(rk.get(c, c)) for c in small.columns])
+        cond = reduce(lambda a, c: a & c, [F.col(k).eqNullSafe(F.col(rk[k])) for k in keys])
+        left = big.join(F.broadcast(r), cond, "left").drop(*rk.values())
+        bk = big.select(*[F.col(k).alias(rk[k]) for k in keys]).distinct()
+        cond2 = reduce(lambda a, c: a & c, [F.col(k).eqNullSafe(F.col(rk[k])) for k in keys])
+        only_small = small.join(bk, cond2, "left_anti")
+    else:
+        left = big.join(b, keys, "left")
+        only_small = small.join(big.select(*keys).distinct(), keys, "left_anti")
+    return left.unionByName(only_small, allowMissingColumns=True)

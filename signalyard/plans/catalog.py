@@ -59,3 +59,176 @@ def stock_new_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = daily.daily_open(fx.stock_lake(spark, sf_dir))
     existing = rows.filter(F.col("record_date") < LOADED_BEFORE)
     return daily.incremental(rows, existing, ["record_date"])
+
+
+# --- text jobs ---------------------------------------------------------------
+from ..functions import html as H  # noqa: E402
+from ..functions.text import clean_text, contains_all  # noqa: E402
+from ..operators.encode import label_encode as _label_encode  # noqa: E402
+from ..operators.text_scoring import sentiment_scores, with_language  # noqa: E402
+from . import frames  # noqa: E402
+
+# --- fixed values: keyword filter of the broker news feed ------------------
+KEYWORDS = ["The", "License"]
+
+
+@query
+def clean_text_literal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR1 (literal patterns, Q1 KEEP) over every document; digest of
+    the cleaned text."""
+    d = fx.table(spark, sf_dir, "documents")
+    c = clean_text("text", "literal")
+    return d.select("doc_id", F.md5(c).alias("clean_md5"), F.length(c).cast("long").alias("clean_len"))
+
+
+@query
+def clean_text_intended(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR1 (intended patterns) over every document."""
+    d = fx.table(spark, sf_dir, "documents")
+    c = clean_text("text", "intended")
+    return d.select("doc_id", F.md5(c).alias("clean_md5"), F.length(c).cast("long").alias("clean_len"))
+
+
+@query
+def keyword_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PRJ16/STR2 (intended: keywords lowered too): documents containing
+    every keyword."""
+    d = fx.table(spark, sf_dir, "documents")
+    return d.filter(contains_all("text", KEYWORDS, "intended")).select("doc_id")
+
+
+@query
+def keyword_all_literal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PRJ16 literal (KEEP): capitalised keywords never match a lowered
+    body, so this is empty whenever a keyword has a capital letter."""
+    d = fx.table(spark, sf_dir, "documents")
+    return d.filter(contains_all("text", KEYWORDS, "literal")).select("doc_id")
+
+
+@query
+def page_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR6: paragraph text of every page."""
+    p = fx.table(spark, sf_dir, "pages")
+    t = H.paragraph_text("html")
+    return p.select("page_id", F.size(H.paragraphs("html")).cast("long").alias("n_paragraphs"),
+                    F.md5(t).alias("text_md5"), F.length(t).cast("long").alias("text_len"))
+
+
+@query
+def sentiment_label(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """TXT1 + AGG9: token counts, lexicon hits and label per document."""
+    d = sentiment_scores(fx.table(spark, sf_dir, "documents"), "text")
+    return d.select("doc_id", F.col("n_tokens").cast("long").alias("n_tokens"),
+                    F.col("pos_hits").cast("long").alias("pos_hits"),
+                    F.col("neg_hits").cast("long").alias("neg_hits"), "sentiment")
+
+
+@query
+def language_guess(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """TXT2: language code per document (null when no profile word)."""
+    d = with_language(fx.table(spark, sf_dir, "documents"), "text", "language")
+    return d.select("doc_id", "lang", "language")
+
+
+@query
+def label_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ENC1: sorted distinct languages -> 0..n-1."""
+    d = _label_encode(fx.table(spark, sf_dir, "documents").select("doc_id", "lang"),
+                      "lang", "lang_code")
+    return d.select("doc_id", "lang", F.col("lang_code").cast("long").alias("lang_code"))
+
+
+@query
+def label_encode_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ENC2 on the TXT2 guess: a missing guess is the category 'nan'."""
+    d = with_language(fx.table(spark, sf_dir, "documents"), "text", "language")
+    d = _label_encode(d.select("doc_id", "language"), "language", "language_code", missing_as="nan")
+    return d.select("doc_id", "language", F.col("language_code").cast("long").alias("language_code"))
+
+
+# --- training frames -------------------------------------------------------
+def _feeds(spark, sf_dir):
+    news = frames.union_news([fx.news_feed(spark, sf_dir, t) for t in fx.NEWS_FEEDS.values()])
+    return news, fx.weather_lake(spark, sf_dir), fx.stock_lake(spark, sf_dir)
+
+
+def _report(df: DataFrame) -> DataFrame:
+    """Digest of the text column, 4-place doubles, BIGINT integers."""
+    cols = []
+    for f in df.schema.fields:
+        t = f.dataType.typeName()
+        if f.name == "data":
+            cols.append(F.md5("data").alias("data_md5"))
+        elif t == "double":
+            cols.append(round4(f.name).alias(f.name))
+        elif t in ("integer", "long", "short"):
+            cols.append(F.col(f.name).cast("long").alias(f.name))
+        else:
+            cols.append(F.col(f.name))
+    return df.select(*cols)
+
+
+@query
+def frame_inner(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PIP4: STR1, TXT1, TXT2, JN1, JN2, PRJ20-23, ENC1."""
+    return _report(frames.training_frame_inner(*_feeds(spark, sf_dir)))
+
+
+@query
+def frame_outer_imputed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PIP5: PRJ13, JN3 (x2), PRJ21-22, ENC2, AGG4, IMP1."""
+    return _report(frames.training_frame_outer(*_feeds(spark, sf_dir)))
+
+
+# --- fixed values: the historical scoring range (README sample request) ----
+RANGE_START, RANGE_END = "2024-01-05", "2024-01-20"
+
+
+@query
+def frame_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ML4 data steps: PIP5 frame, PRJ14 inclusive range, IMP2."""
+    f = frames.frame_in_range(frames.training_frame_outer(*_feeds(spark, sf_dir)),
+                              RANGE_START, RANGE_END)
+    return _report(f)
+
+
+@query
+def distinct_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG11 over the ranged frame."""
+    f = frames.frame_in_range(frames.training_frame_outer(*_feeds(spark, sf_dir)),
+                              RANGE_START, RANGE_END)
+    return frames.range_dates(f)
+
+
+@query
+def means_tail7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PIP6: AGG3 over the inner frame (explicit total order, Q11 FIX)."""
+    m = frames.feature_means(frames.training_frame_inner(*_feeds(spark, sf_dir)))
+    return _report(m)
+
+
+@query
+def means_unpivot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PIP11: SRC7 point lookup of the 'means' row, PRJ26 unpivot to
+    (Parameter, Value)."""
+    m = frames.feature_means(frames.training_frame_inner(*_feeds(spark, sf_dir)))
+    row = m.filter(F.col("_id") == "means").drop("_id")
+    u = row.unpivot([], row.columns, "Parameter", "Value")
+    return u.select("Parameter", round4("Value").alias("Value"))
+
+
+@query
+def predict_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JN7/IMP4/MAP1: prediction requests built from the candles (open is
+    missing on the 0h and 12h candles, weather and text inputs are
+    missing throughout) take the stored means, else 0.0."""
+    from ..operators.joins import with_defaults
+    from ..schemas import FEATURES
+    news, weather, stock = _feeds(spark, sf_dir)
+    means = frames.feature_means(frames.training_frame_inner(news, weather, stock))
+    req = stock.select(
+        "ctm", F.when(F.hour("ctm") % 12 == 0, F.lit(None).cast("double"))
+        .otherwise(F.col("open")).alias("open"), "close", "high", "low", "vol")
+    for c in FEATURES[5:]:
+        req = req.withColumn(c, F.lit(None).cast("double"))
+    return _report(with_defaults(req, means.filter(F.col("_id") == "means"), FEATURES))

@@ -15,8 +15,14 @@ news_items AS (
          CASE doc_id % 3 WHEN 0 THEN 'newsapi' WHEN 1 THEN 'worldnewsapi' ELSE 'xtb' END AS feed,
          strftime(DATE '2024-01-01' + CAST(doc_id % 29 AS INTEGER), '%Y-%m-%dT10:00:00Z') AS date,
          text AS data,
-         strftime(DATE '2024-01-01' + CAST(doc_id % 29 AS INTEGER), '%Y-%m-%d') AS date_start,
-         strftime(DATE '2024-01-01' + CAST(doc_id % 29 AS INTEGER) + 1, '%Y-%m-%d') AS date_end,
+         CASE doc_id % 3
+           WHEN 0 THEN strftime(DATE '2024-01-01' + CAST(doc_id % 29 AS INTEGER), '%Y-%m-%d') || 'T10:00:00'
+           WHEN 1 THEN strftime(DATE '2024-01-01' + CAST(doc_id % 29 AS INTEGER), '%Y-%m-%d') || ' 10:00:00'
+           ELSE strftime(DATE '2024-01-01' + CAST(doc_id % 29 AS INTEGER), '%Y-%m-%d') END AS date_start,
+         CASE doc_id % 3
+           WHEN 0 THEN strftime(DATE '2024-01-01' + CAST(doc_id % 29 AS INTEGER), '%Y-%m-%d') || 'T10:05:00'
+           WHEN 1 THEN strftime(DATE '2024-01-01' + CAST(doc_id % 29 AS INTEGER), '%Y-%m-%d') || ' 10:05:00'
+           ELSE strftime(DATE '2024-01-01' + CAST(doc_id % 29 AS INTEGER) + 1, '%Y-%m-%d') END AS date_end,
          lang
   FROM documents)""",
     "stock_lake": """
@@ -84,3 +90,265 @@ SELECT strftime(CAST(substr(date_start, 1, 10) AS DATE), '%Y-%m-%d') AS record_d
        CAST(open AS DOUBLE) AS open
 FROM stock_lake
 WHERE strftime(CAST(substr(date_start, 1, 10) AS DATE), '%Y-%m-%d') >= '2024-01-15'"""
+
+
+# --- SQL building blocks mirroring the library's column functions --------
+from ..functions.html import ENTITIES, NO_CONTENT, PARAGRAPH_RE, SCRIPT_RE, STYLE_RE, TAG_RE  # noqa: E402
+from ..functions.lexicons import (LANGUAGE_ORDER, LANGUAGE_PROFILES, NEGATIVE_WORDS,  # noqa: E402
+                                  POSITIVE_WORDS)
+from ..functions.text import CLEAN_PATTERNS_INTENDED, CLEAN_PATTERNS_LITERAL  # noqa: E402
+
+
+def q(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def sql_clean(x: str, mode: str = "literal") -> str:
+    pats = CLEAN_PATTERNS_LITERAL if mode == "literal" else CLEAN_PATTERNS_INTENDED
+    out = x
+    for i, (p, r) in enumerate(pats):
+        out = f"regexp_replace({out}, {q(p)}, {q(r)}, 'g')"
+        if i == 4:
+            out = f"trim({out})"
+    return f"coalesce(lower({out}), '')"
+
+
+def sql_tokens(x: str) -> str:
+    return f"list_filter(string_split({x}, ' '), lambda t: t <> '')"
+
+
+def sql_hits(tok: str, words: list[str]) -> str:
+    return f"len(list_filter({tok}, lambda t: t IN ({', '.join(q(w) for w in words)})))"
+
+
+def sql_sentiment(n: str, p: str, q_: str) -> str:
+    u = f"({n} - {p} - {q_})"
+    return (f"CASE WHEN {q_} >= {u} AND {q_} >= {p} THEN 'neg' "
+            f"WHEN {u} >= {p} THEN 'neu' ELSE 'pos' END")
+
+
+def sql_language(cols: dict[str, str]) -> str:
+    best = f"greatest({', '.join(cols[c] for c in LANGUAGE_ORDER)})"
+    out = f"CASE WHEN {best} <= 0 THEN NULL "
+    for c in LANGUAGE_ORDER:
+        out += f"WHEN {cols[c]} = {best} THEN {q(c)} "
+    return out + "END"
+
+
+def scored_news_ctes(src: str = "news_items", name: str = "news_scored",
+                     text_mode: str = "literal") -> list[str]:
+    """CTEs adding data (cleaned), sentiment, language to a news CTE."""
+    lang_hits = ", ".join(f"{sql_hits('tok', LANGUAGE_PROFILES[c])} AS l_{c}" for c in LANGUAGE_ORDER)
+    return [f"""
+{name}_tok AS (
+  SELECT *, {sql_tokens(sql_clean('data', 'intended'))} AS tok FROM {src})""", f"""
+{name}_hits AS (
+  SELECT *, len(tok) AS n_tok, {sql_hits('tok', POSITIVE_WORDS)} AS p_hits,
+         {sql_hits('tok', NEGATIVE_WORDS)} AS q_hits, {lang_hits}
+  FROM {name}_tok)""", f"""
+{name} AS (
+  SELECT * EXCLUDE (data, tok, n_tok, p_hits, q_hits, {', '.join('l_' + c for c in LANGUAGE_ORDER)}),
+         {sql_clean('data', text_mode)} AS data,
+         {sql_sentiment('n_tok', 'p_hits', 'q_hits')} AS sentiment,
+         {sql_language({c: 'l_' + c for c in LANGUAGE_ORDER})} AS language
+  FROM {name}_hits)"""]
+
+
+def sql_paragraph_text(html: str) -> str:
+    body = f"regexp_replace(regexp_replace({html}, {q(SCRIPT_RE)}, '', 'g'), {q(STYLE_RE)}, '', 'g')"
+    dec = f"regexp_replace(p, {q(TAG_RE)}, '', 'g')"
+    for ent, ch in ENTITIES:
+        dec = f"replace({dec}, {q(ent)}, {q(ch)})"
+    paras = (f"list_filter(list_transform(regexp_extract_all({body}, {q(PARAGRAPH_RE)}, 1), "
+             f"lambda p: {dec}), lambda t: regexp_matches(t, '\\S'))")
+    return paras
+
+
+# --- text queries ------------------------------------------------------------
+from ..schemas import FEATURES, FINAL_COLUMNS  # noqa: E402
+
+_KEYWORDS = ["The", "License"]
+
+ORACLE["clean_text_literal"] = f"""
+SELECT doc_id, md5(c) AS clean_md5, CAST(length(c) AS BIGINT) AS clean_len
+FROM (SELECT doc_id, {sql_clean('text', 'literal')} AS c FROM documents)"""
+
+ORACLE["clean_text_intended"] = f"""
+SELECT doc_id, md5(c) AS clean_md5, CAST(length(c) AS BIGINT) AS clean_len
+FROM (SELECT doc_id, {sql_clean('text', 'intended')} AS c FROM documents)"""
+
+ORACLE["keyword_all"] = "SELECT doc_id FROM documents WHERE " + " AND ".join(
+    f"contains(lower(text), {q(k.lower())})" for k in _KEYWORDS)
+
+ORACLE["keyword_all_literal"] = "SELECT doc_id FROM documents WHERE " + " AND ".join(
+    f"contains(lower(text), {q(k)})" for k in _KEYWORDS)
+
+ORACLE["page_paragraphs"] = f"""
+SELECT page_id, CAST(len(ps) AS BIGINT) AS n_paragraphs, md5(t) AS text_md5,
+       CAST(length(t) AS BIGINT) AS text_len
+FROM (SELECT page_id, ps,
+             CASE WHEN len(ps) > 0 THEN array_to_string(ps, chr(10)) ELSE {q(NO_CONTENT)} END AS t
+      FROM (SELECT page_id, {sql_paragraph_text('html')} AS ps FROM pages))"""
+
+ORACLE["sentiment_label"] = f"""
+SELECT doc_id, CAST(n AS BIGINT) AS n_tokens, CAST(p AS BIGINT) AS pos_hits,
+       CAST(g AS BIGINT) AS neg_hits, {sql_sentiment('n', 'p', 'g')} AS sentiment
+FROM (SELECT doc_id, len(tok) AS n, {sql_hits('tok', POSITIVE_WORDS)} AS p,
+             {sql_hits('tok', NEGATIVE_WORDS)} AS g
+      FROM (SELECT doc_id, {sql_tokens(sql_clean('text', 'intended'))} AS tok FROM documents))"""
+
+_LANG_FROM_DOCS = "WITH " + ",\n".join(c.strip() for c in scored_news_ctes(
+    "(SELECT doc_id, lang, text AS data FROM documents)", "lg")) + "\n"
+# the scored CTE builder expects a named source
+_LANG_FROM_DOCS = _LANG_FROM_DOCS.replace(
+    "FROM (SELECT doc_id, lang, text AS data FROM documents))",
+    "FROM (SELECT doc_id, lang, text AS data FROM documents) AS src)")
+
+ORACLE["language_guess"] = _LANG_FROM_DOCS + "SELECT doc_id, lang, language FROM lg"
+
+ORACLE["label_encode"] = """
+SELECT doc_id, lang,
+       CAST(CASE WHEN lang IS NULL THEN NULL ELSE dense_rank() OVER (ORDER BY lang) - 1 END AS BIGINT)
+         AS lang_code
+FROM documents"""
+
+ORACLE["label_encode_missing"] = _LANG_FROM_DOCS + """
+SELECT doc_id, coalesce(language, 'nan') AS language,
+       CAST(dense_rank() OVER (ORDER BY coalesce(language, 'nan')) - 1 AS BIGINT) AS language_code
+FROM lg"""
+
+
+# --- training frames ---------------------------------------------------------
+_WEATHER_LAKE = """
+weather_lake AS (
+  SELECT date_start, date_end, avg(temperature) AS temperature,
+         coalesce(sum(rain), 0.0) AS rain, coalesce(sum(sun), 0.0) AS sun
+  FROM weather_raw GROUP BY 1, 2)"""
+_DOUBLES = {"open", "close", "high", "low", "vol", "temperature", "rain", "sun"}
+_SENT_CODE = "CASE sentiment WHEN 'pos' THEN 1 WHEN 'neu' THEN 0 WHEN 'neg' THEN -1 END"
+
+
+def _report_cols(cols: list[str], doubles=_DOUBLES, ints=("sentiment", "language")) -> str:
+    out = []
+    for c in cols:
+        if c == "data":
+            out.append("md5(data) AS data_md5")
+        elif c in doubles:
+            out.append(f"{r4(c)} AS {c}")
+        elif c in ints:
+            out.append(f"CAST({c} AS BIGINT) AS {c}")
+        else:
+            out.append(f'"{c}"' if c == "date" else c)
+    return ", ".join(out)
+
+
+def _frame_base() -> list[str]:
+    return [FIXTURE_CTES["news_items"], FIXTURE_CTES["stock_lake"], FIXTURE_CTES["weather_raw"],
+            _WEATHER_LAKE, '\nnews AS (SELECT "date", data, date_start, date_end FROM news_items)',
+            *scored_news_ctes("news", "ns")]
+
+
+def _inner_frame_ctes() -> list[str]:
+    return _frame_base() + ["""
+fj AS (
+  SELECT ctm, ctmString, open, close, high, low, vol,
+         TRY_CAST(date_start AS TIMESTAMP) AS date_start, TRY_CAST(date_end AS TIMESTAMP) AS date_end,
+         temperature, rain, sun, "date", data, """ + _SENT_CODE + """ AS sentiment, language
+  FROM ns JOIN weather_lake USING (date_start, date_end) JOIN stock_lake USING (date_start, date_end))""",
+                            """
+fcodes AS (
+  SELECT language AS lk, row_number() OVER (ORDER BY language) - 1 AS code
+  FROM (SELECT DISTINCT language FROM fj WHERE language IS NOT NULL))""",
+                            """
+inner_frame AS (
+  SELECT fj.* EXCLUDE (language), fcodes.code AS language
+  FROM fj LEFT JOIN fcodes ON fj.language = fcodes.lk)"""]
+
+
+def _day_key(c: str) -> str:
+    return f"strptime(substr({c}, 1, 10), '%Y-%m-%d')"
+
+
+def _outer_frame_ctes() -> list[str]:
+    keyed = [f"""
+{a} AS (SELECT * REPLACE ({_day_key('date_start')} AS date_start, {_day_key('date_end')} AS date_end)
+        FROM {b})""" for a, b in (("nk", "ns"), ("wk", "weather_lake"), ("sk", "stock_lake"))]
+    means = ", ".join(
+        ["make_timestamp(CAST(floor(avg(epoch(ctm))) AS BIGINT) * 1000000) AS ctm"] +
+        [f"avg({c}) AS {c}" for c in ["open", "close", "high", "low", "vol", "temperature", "rain", "sun"]])
+    final = ", ".join(f"coalesce(o4.{c}, om.{c}) AS {c}"
+                      if c in _DOUBLES or c == "ctm" else (f'o4."{c}"' if c == "date" else f"o4.{c}")
+                      for c in FINAL_COLUMNS)
+    return _frame_base() + keyed + ["""
+o1 AS (
+  SELECT coalesce(nk.date_start, wk.date_start) AS date_start,
+         coalesce(nk.date_end, wk.date_end) AS date_end,
+         nk."date", nk.data, nk.sentiment, nk.language, wk.temperature, wk.rain, wk.sun
+  FROM nk FULL OUTER JOIN wk ON nk.date_start = wk.date_start AND nk.date_end = wk.date_end)""", """
+o2 AS (
+  SELECT coalesce(o1.date_start, sk.date_start) AS date_start,
+         coalesce(o1.date_end, sk.date_end) AS date_end,
+         o1."date", o1.data, o1.sentiment, o1.language, o1.temperature, o1.rain, o1.sun,
+         sk.ctm, sk.ctmString, sk.open, sk.close, sk.high, sk.low, sk.vol
+  FROM o1 FULL OUTER JOIN sk ON o1.date_start = sk.date_start AND o1.date_end = sk.date_end)""", """
+o3 AS (SELECT * REPLACE (""" + _SENT_CODE + """ AS sentiment, coalesce(language, 'nan') AS language)
+       FROM o2)""", """
+ocodes AS (
+  SELECT language AS lk, row_number() OVER (ORDER BY language) - 1 AS code
+  FROM (SELECT DISTINCT language FROM o3 WHERE language IS NOT NULL))""", """
+o4 AS (SELECT o3.* EXCLUDE (language), ocodes.code AS language
+       FROM o3 LEFT JOIN ocodes ON o3.language = ocodes.lk)""", f"""
+om AS (SELECT {means} FROM o4)""", f"""
+outer_frame AS (SELECT {final} FROM o4, om)"""]
+
+
+def _ranged_ctes() -> list[str]:
+    means = ", ".join(f"avg(CAST({c} AS DOUBLE)) AS {c}" for c in FEATURES)
+    cols = ", ".join(f"coalesce(CAST(r1.{c} AS DOUBLE), rm.{c}) AS {c}" if c in FEATURES
+                     else (f'r1."{c}"' if c == "date" else f"r1.{c}") for c in FINAL_COLUMNS)
+    return _outer_frame_ctes() + ["""
+r1 AS (SELECT * FROM outer_frame
+       WHERE date_start >= TIMESTAMP '2024-01-05' AND date_end <= TIMESTAMP '2024-01-20')""", f"""
+rm AS (SELECT {means} FROM r1)""", f"""
+ranged AS (SELECT {cols} FROM r1, rm)"""]
+
+
+def _ctes(parts: list[str]) -> str:
+    return "WITH " + ",\n".join(p.strip() for p in parts) + "\n"
+
+
+ORACLE["frame_inner"] = _ctes(_inner_frame_ctes()) + \
+    f"SELECT {_report_cols(FINAL_COLUMNS)} FROM inner_frame"
+
+ORACLE["frame_outer_imputed"] = _ctes(_outer_frame_ctes()) + \
+    f"SELECT {_report_cols(FINAL_COLUMNS)} FROM outer_frame"
+
+ORACLE["frame_range"] = _ctes(_ranged_ctes()) + \
+    f"SELECT {_report_cols(FINAL_COLUMNS, _DOUBLES | {'sentiment', 'language'}, ())} FROM ranged"
+
+ORACLE["distinct_dates"] = _ctes(_ranged_ctes()) + \
+    "SELECT DISTINCT strftime(date_start, '%Y-%m-%d') AS day FROM ranged"
+
+
+def _tail_ctes() -> list[str]:
+    order = ", ".join(f"{c} DESC NULLS LAST" for c in ['date_start', 'date_end', 'ctm', '"date"', 'data'])
+    aggs = ", ".join([f"avg(CAST({c} AS DOUBLE)) AS {c}" for c in FEATURES[:8]] +
+                     [f"median(CAST({c} AS DOUBLE)) AS {c}" for c in ("sentiment", "language")])
+    return _inner_frame_ctes() + [f"""
+tail7 AS (SELECT * FROM inner_frame ORDER BY {order} LIMIT 7)""", f"""
+means AS (SELECT 'means' AS _id, {aggs} FROM tail7)"""]
+
+
+ORACLE["means_tail7"] = _ctes(_tail_ctes()) + \
+    "SELECT _id, " + ", ".join(f"{r4(c)} AS {c}" for c in FEATURES) + " FROM means"
+
+ORACLE["means_unpivot"] = _ctes(_tail_ctes()) + "\nUNION ALL\n".join(
+    f"SELECT {q(c)} AS Parameter, {r4(c)} AS Value FROM means WHERE _id = 'means'" for c in FEATURES)
+
+ORACLE["predict_defaults"] = _ctes(_tail_ctes()) + "SELECT ctm, " + ", ".join(
+    r4(f"coalesce({src}, means.{c}, 0.0)") + f" AS {c}" for c, src in
+    [("open", "CASE WHEN hour(ctm) % 12 = 0 THEN NULL ELSE stock_lake.open END"),
+     ("close", "stock_lake.close"), ("high", "stock_lake.high"), ("low", "stock_lake.low"),
+     ("vol", "stock_lake.vol")] +
+    [(c, "CAST(NULL AS DOUBLE)") for c in FEATURES[5:]]) + \
+    " FROM stock_lake LEFT JOIN means ON TRUE"

@@ -40,18 +40,25 @@ def _day_string(c: Column) -> Column:
 
 def news_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All news items with their feed tag: (doc_id, feed, date, data,
-    date_start, date_end, lang)."""
+    date_start, date_end, lang).  The step range uses each feed's own key
+    format: the two news APIs step 5 minutes ('T10:00:00'-'T10:05:00' and
+    the 12-hour '10:00:00'-'10:05:00'), the broker steps one day - so raw
+    keys only match candles/weather for the broker feed (Q6), and after
+    day truncation the API feeds still have date_end == date_start (Q7)."""
     d = table(spark, sf_dir, "documents")
     day = F.date_add(F.lit(NEWS_ORIGIN).cast("date"), (F.col("doc_id") % NEWS_DAYS).cast("int"))
-    feed = F.when(F.col("doc_id") % 3 == 0, NEWS_FEEDS[0]) \
-        .when(F.col("doc_id") % 3 == 1, NEWS_FEEDS[1]).otherwise(NEWS_FEEDS[2])
+    k = F.col("doc_id") % 3
+    feed = F.when(k == 0, NEWS_FEEDS[0]).when(k == 1, NEWS_FEEDS[1]).otherwise(NEWS_FEEDS[2])
+    ds = _day_string(day)
+    start = F.when(k == 0, F.concat(ds, F.lit("T10:00:00"))) \
+        .when(k == 1, F.concat(ds, F.lit(" 10:00:00"))).otherwise(ds)
+    end = F.when(k == 0, F.concat(ds, F.lit("T10:05:00"))) \
+        .when(k == 1, F.concat(ds, F.lit(" 10:05:00"))).otherwise(_day_string(F.date_add(day, 1)))
     return d.select(
         "doc_id", feed.alias("feed"),
         F.date_format(day, "yyyy-MM-dd'T'10:00:00'Z'").alias("date"),
         F.col("text").alias("data"),
-        _day_string(day).alias("date_start"),
-        _day_string(F.date_add(day, 1)).alias("date_end"),
-        "lang",
+        start.alias("date_start"), end.alias("date_end"), "lang",
     )
 
 
@@ -113,3 +120,12 @@ def region_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array(F.sum("value")).alias("rain_sum"),
         F.array(F.sum("value") * 60).alias("sunshine_duration"),
     )
+
+
+def weather_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily weather lake feed: one record per day step, as the weather
+    producer sends (AGG2 of the raw rows per (date_start, date_end))."""
+    return weather_raw(spark, sf_dir).groupBy("date_start", "date_end").agg(
+        F.avg("temperature").alias("temperature"),
+        F.coalesce(F.sum("rain"), F.lit(0.0)).alias("rain"),
+        F.coalesce(F.sum("sun"), F.lit(0.0)).alias("sun"))
