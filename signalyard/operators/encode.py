@@ -2,8 +2,8 @@
 distinct values (0..n-1), as scikit-learn's ``LabelEncoder`` does.
 
 The distinct set is computed with a partial aggregate (one row per value
-per task before the shuffle).  When it is proven small (``max_labels``)
-it is numbered in one task and broadcast; otherwise it is range-sorted,
+per task before the shuffle).  When it is proven small (``max_labels``,
+probed with a limit) it is numbered and broadcast; otherwise it is range-sorted,
 checkpointed to the shared checkpoint folder (so the numbering is fixed
 even if a task is recomputed), and each value's code is its partition's
 offset plus its position within the partition - the offsets table has
@@ -13,8 +13,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .joins import has_at_most
 
 DEFAULT_MAX_LABELS = 100_000
 
@@ -24,9 +24,16 @@ def label_codes(values: DataFrame, col: str, out: str, max_labels: int = DEFAULT
     """Code table (col, out) for the distinct non-null values of ``col``,
     and whether it is proven to hold at most ``max_labels`` rows."""
     distinct = values.select(col).where(F.col(col).isNotNull()).distinct()
-    if has_at_most(distinct, max_labels):
-        w = Window.orderBy(col)
-        return distinct.select(col, (F.row_number().over(w) - 1).alias(out)), True
+    # One job: fetch at most max_labels + 1 distinct values.  Within the
+    # bound the set is numbered in sorted order (Python's str order is
+    # code-point order, the same as Spark's UTF-8 byte order) and returned
+    # as a small frame for broadcasting.
+    probe = [r[0] for r in distinct.limit(max_labels + 1).collect()]
+    if len(probe) <= max_labels:
+        field = values.schema[col]
+        schema = T.StructType([T.StructField(col, field.dataType), T.StructField(out, T.LongType())])
+        rows = list(zip(sorted(probe), range(len(probe))))
+        return values.sparkSession.createDataFrame(rows, schema), True
     n = partitions or int(values.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranked = distinct.repartitionByRange(n, col).sortWithinPartitions(col) \
         .select(col, F.spark_partition_id().alias("_pid"),

@@ -21,7 +21,7 @@ from ..functions.text import clean_text
 from ..operators.aggregates import distinct_days, tail_summary
 from ..operators.encode import label_encode
 from ..operators.impute import impute_means
-from ..operators.joins import full_outer_bounded, join_on_dates
+from ..operators.joins import bounded_broadcast, full_outer_bounded, join_on_dates
 from ..operators.text_scoring import with_text_scores
 
 KEYS = ["date_start", "date_end"]
@@ -70,6 +70,11 @@ def training_frame_inner(news: DataFrame, weather: DataFrame, stock: DataFrame,
     """PIP4: inner joins on the raw date-range strings (JN1, JN2; Q6 KEEP),
     coerced keys (PRJ20), numeric casts (PRJ21), sentiment codes (PRJ22),
     language label codes (ENC1), fixed 16-column projection (PRJ23)."""
+    # Only articles whose range has both weather and candles can reach the
+    # inner frame: semi-join them to the (bounded) key set first, so text
+    # is scored once per surviving article, before the candle fan-out.
+    day_keys = weather.select(*KEYS).distinct().join(stock.select(*KEYS).distinct(), KEYS)
+    news = news.join(bounded_broadcast(day_keys), KEYS, "left_semi")
     n = scored_news(news, text_mode)
     j = join_on_dates(n, weather, KEYS, "inner")
     j = join_on_dates(j, stock, KEYS, "inner")
