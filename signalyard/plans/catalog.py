@@ -232,3 +232,59 @@ def predict_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
     for c in FEATURES[5:]:
         req = req.withColumn(c, F.lit(None).cast("double"))
     return _report(with_defaults(req, means.filter(F.col("_id") == "means"), FEATURES))
+
+
+# --- envelopes -------------------------------------------------------------
+from ..operators import envelope as ENV  # noqa: E402
+from ..operators.batching import count_batches as _count_batches  # noqa: E402
+from ..sources.envelope import parse_envelopes, valid  # noqa: E402
+
+
+def _parsed(spark, sf_dir):
+    msgs = fx.envelopes(spark, sf_dir)
+    return valid(parse_envelopes(msgs, "value", keep=["part"]))
+
+
+def _items(spark, sf_dir, kind):
+    return ENV.explode_items(_parsed(spark, sf_dir), kind, keep=["source"])
+
+
+@query
+def envelope_news(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK8 -> PRJ1-3 -> PRJ5/PRJ9 -> ARR1 + PRJ10 -> SNK2 for the three
+    news feeds (round trip: equals the news lake rows)."""
+    it = _items(spark, sf_dir, "news").filter(ENV.is_news())
+    return it.select("source", "date", F.md5("data").alias("data_md5"), "date_start", "date_end")
+
+
+@query
+def envelope_stock(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Envelope round trip of the candle feed (ctm millis -> timestamp)."""
+    it = ENV.to_lake_rows(_items(spark, sf_dir, "candlesticks"), "scraper_stock_xtb")
+    return _report(it)
+
+
+@query
+def envelope_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Envelope round trip of the weather feed."""
+    it = ENV.to_lake_rows(_items(spark, sf_dir, "weather"), "scraper_weather_openmeteo")
+    return _report(it)
+
+
+@query
+def envelope_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PRJ9 dispatch + AGG8 record count per message."""
+    p = _parsed(spark, sf_dir)
+    return p.select("source", ENV.payload_kind().alias("kind"), "date_start", "date_end",
+                    ENV.record_count().alias("record_count"))
+
+
+@query
+def count_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """WIN1 + STR5: count-triggered batches per source (news 5, stock 10,
+    weather 1 messages), incomplete tail batches held back."""
+    p = _parsed(spark, sf_dir).withColumn("n_records", ENV.record_count())
+    b = _count_batches(p, ["date_start", "date_end", "part"])
+    return b.groupBy("source", "batch_id").agg(
+        F.count(F.lit(1)).alias("n_messages"), F.sum("n_records").alias("n_records"),
+        F.min("date_start").alias("first_start"), F.max("date_start").alias("last_start"))

@@ -352,3 +352,44 @@ ORACLE["predict_defaults"] = _ctes(_tail_ctes()) + "SELECT ctm, " + ", ".join(
      ("vol", "stock_lake.vol")] +
     [(c, "CAST(NULL AS DOUBLE)") for c in FEATURES[5:]]) + \
     " FROM stock_lake LEFT JOIN means ON TRUE"
+
+
+# --- envelopes ---------------------------------------------------------------
+_MSGS = """
+msgs AS (
+  SELECT 'scraper_news_' || feed AS source, date_start, date_end, count(*) AS n
+  FROM news_items GROUP BY 1, 2, 3
+  UNION ALL SELECT 'scraper_stock_xtb', date_start, date_end, count(*) FROM stock_lake GROUP BY 1, 2, 3
+  UNION ALL SELECT 'scraper_weather_openmeteo', date_start, date_end, count(*) FROM weather_lake GROUP BY 1, 2, 3)"""
+_ENV_BASE = [FIXTURE_CTES["news_items"], FIXTURE_CTES["stock_lake"], FIXTURE_CTES["weather_raw"],
+             _WEATHER_LAKE, _MSGS]
+
+ORACLE["envelope_news"] = _ctes([FIXTURE_CTES["news_items"]]) + """
+SELECT 'scraper_news_' || feed AS source, "date", md5(data) AS data_md5, date_start, date_end
+FROM news_items"""
+
+_STOCK_COLS = ["ctm", "ctmString", "open", "close", "high", "low", "vol", "date_start", "date_end"]
+ORACLE["envelope_stock"] = _ctes([FIXTURE_CTES["stock_lake"]]) + \
+    f"SELECT {_report_cols(_STOCK_COLS)} FROM stock_lake"
+
+ORACLE["envelope_weather"] = _ctes([FIXTURE_CTES["weather_raw"], _WEATHER_LAKE]) + \
+    f"SELECT {_report_cols(['temperature', 'rain', 'sun', 'date_start', 'date_end'])} FROM weather_lake"
+
+ORACLE["envelope_kinds"] = _ctes(_ENV_BASE) + """
+SELECT source,
+       CASE split_part(source, '_', 2) WHEN 'news' THEN 'news' WHEN 'stock' THEN 'candlesticks'
+            ELSE 'weather' END AS kind,
+       date_start, date_end, CAST(n AS BIGINT) AS record_count
+FROM msgs"""
+
+ORACLE["count_batches"] = _ctes(_ENV_BASE + ["""
+numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY date_start, date_end) AS rn,
+         count(*) OVER (PARTITION BY source) AS total,
+         CASE split_part(source, '_', 2) WHEN 'news' THEN 5 WHEN 'stock' THEN 10
+              WHEN 'weather' THEN 1 ELSE 1 END AS lim
+  FROM msgs)"""]) + """
+SELECT source, CAST(floor((rn - 1) / lim) AS BIGINT) AS batch_id, count(*) AS n_messages,
+       CAST(sum(n) AS BIGINT) AS n_records, min(date_start) AS first_start, max(date_start) AS last_start
+FROM numbered WHERE floor((rn - 1) / lim) < floor(total / lim)
+GROUP BY 1, 2"""

@@ -129,3 +129,31 @@ def weather_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.avg("temperature").alias("temperature"),
         F.coalesce(F.sum("rain"), F.lit(0.0)).alias("rain"),
         F.coalesce(F.sum("sun"), F.lit(0.0)).alias("sun"))
+
+
+def lake_feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The five lake feeds keyed by producer source name."""
+    return {
+        Z.SOURCE_NEWSAPI: news_feed(spark, sf_dir, NEWS_FEEDS[0]),
+        Z.SOURCE_WORLDNEWSAPI: news_feed(spark, sf_dir, NEWS_FEEDS[1]),
+        Z.SOURCE_NEWS_XTB: news_feed(spark, sf_dir, NEWS_FEEDS[2]),
+        Z.SOURCE_STOCK: stock_lake(spark, sf_dir),
+        Z.SOURCE_WEATHER: weather_lake(spark, sf_dir),
+    }
+
+
+FEED_KIND = {Z.SOURCE_NEWSAPI: "news", Z.SOURCE_WORLDNEWSAPI: "news", Z.SOURCE_NEWS_XTB: "news",
+             Z.SOURCE_STOCK: "candlesticks", Z.SOURCE_WEATHER: "weather"}
+
+
+def envelopes(spark: SparkSession, sf_dir: str, max_items: int | None = None) -> DataFrame:
+    """Messages as the producers publish them (SNK8 over every lake feed):
+    (source, date_start, date_end, part, value)."""
+    from functools import reduce
+    from ..sinks.envelope import DEFAULT_MAX_ITEMS, to_envelopes
+    parts = []
+    for src, rows in lake_feeds(spark, sf_dir).items():
+        e = to_envelopes(rows, src, FEED_KIND[src], Z.DATE_FORMATS[src],
+                         max_items or DEFAULT_MAX_ITEMS)
+        parts.append(e.select(F.lit(src).alias("source"), "date_start", "date_end", "part", "value"))
+    return reduce(lambda a, b: a.unionByName(b), parts)
