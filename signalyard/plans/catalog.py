@@ -288,3 +288,74 @@ def count_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return b.groupBy("source", "batch_id").agg(
         F.count(F.lit(1)).alias("n_messages"), F.sum("n_records").alias("n_records"),
         F.min("date_start").alias("first_start"), F.max("date_start").alias("last_start"))
+
+
+# --- logs, cursor, serving ------------------------------------------------------
+from ..streaming import cursor as CUR  # noqa: E402
+from . import serving  # noqa: E402
+
+# --- fixed values: the planning date for the backfill cursor ---------------
+AS_OF = "2024-02-02"
+
+
+def _logs(spark, sf_dir):
+    lg = fx.scraper_logs(spark, sf_dir)
+    return {f: lg.filter(F.col("feed") == f).drop("feed") for f in fx.LOG_FEEDS.values()}
+
+
+@query
+def logs_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PIP8: SET2 + SRT4."""
+    return serving.logs_over_time(_logs(spark, sf_dir))
+
+
+@query
+def last_cursor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRT1: last logged end_date per scraper."""
+    return CUR.last_cursor(fx.scraper_logs(spark, sf_dir))
+
+
+@query
+def load_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STM8 + DT4 + DT5: day windows from the first logged start up to the
+    planning date that the log does not hold (holes and the tail)."""
+    return CUR.load_windows(fx.scraper_logs(spark, sf_dir), AS_OF, mode="gaps")
+
+
+@query
+def load_windows_tail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STM8 cursor mode: windows after the last logged end."""
+    return CUR.load_windows(fx.scraper_logs(spark, sf_dir), AS_OF, mode="tail")
+
+
+def _real_and_predicted(spark, sf_dir):
+    real = daily.daily_open(fx.stock_lake(spark, sf_dir))
+    # The stored predictions: a persistence forecast (yesterday's mean
+    # open), so the comparison is SQL-checkable; the model's own
+    # predictions come from models.walk_forward.
+    pred = real.groupBy("record_date").agg(F.avg("open").alias("open")) \
+        .select(F.date_format(F.date_add(F.to_date("record_date"), 1), "yyyy-MM-dd").alias("record_date"),
+                "open")
+    return real, pred
+
+
+@query
+def pred_vs_real(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PIP7: PRJ27, JN5, SRT3."""
+    real, pred = _real_and_predicted(spark, sf_dir)
+    j = serving.predicted_vs_real(pred, real)
+    return j.select("record_date", round4("predicted_open").alias("predicted_open"),
+                    round4("real_open").alias("real_open"))
+
+
+@query
+def weather_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PIP9: daily weather with sunshine in minutes (PRJ25)."""
+    s = serving.weather_series(daily.daily_weather(fx.weather_raw(spark, sf_dir)))
+    return s.select("record_date", *[round4(c).alias(c) for c in ("temperature", "rain", "sun_minutes")])
+
+
+@query
+def news_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PIP10: news counts series."""
+    return serving.news_series(daily.daily_news_counts(_news_feeds(spark, sf_dir)))

@@ -393,3 +393,50 @@ SELECT source, CAST(floor((rn - 1) / lim) AS BIGINT) AS batch_id, count(*) AS n_
        CAST(sum(n) AS BIGINT) AS n_records, min(date_start) AS first_start, max(date_start) AS last_start
 FROM numbered WHERE floor((rn - 1) / lim) < floor(total / lim)
 GROUP BY 1, 2"""
+
+
+# --- logs, cursor, serving ---------------------------------------------------
+ORACLE["logs_union"] = _ctes([FIXTURE_CTES["scraper_logs"]]) + \
+    "SELECT start_date, record_count, feed AS source FROM scraper_logs"
+
+ORACLE["last_cursor"] = _ctes([FIXTURE_CTES["scraper_logs"]]) + \
+    "SELECT feed, max(end_date) AS end_date FROM scraper_logs GROUP BY feed"
+
+
+def _windows_sql(first: str) -> str:
+    return _ctes([FIXTURE_CTES["scraper_logs"], f"""
+bounds AS (SELECT feed, {first} AS s0 FROM scraper_logs GROUP BY feed)""", """
+win AS (
+  SELECT feed, s0, CAST(unnest(generate_series(CAST(s0 AS TIMESTAMP),
+                                                CAST(greatest(s0, DATE '2024-02-02' - 1) AS TIMESTAMP),
+                                                INTERVAL 1 DAY)) AS DATE) AS s
+  FROM bounds WHERE s0 <= DATE '2024-02-02')"""]) + """
+SELECT feed, strftime(s, '%Y-%m-%d') AS start_date, strftime(s + 1, '%Y-%m-%d') AS end_date
+FROM win
+WHERE (s < DATE '2024-02-02' OR (s = s0 AND s0 = DATE '2024-02-02'))
+  AND NOT EXISTS (SELECT 1 FROM scraper_logs l
+                  WHERE l.feed = win.feed AND l.start_date = strftime(win.s, '%Y-%m-%d'))"""
+
+
+ORACLE["load_windows"] = _windows_sql("min(CAST(start_date AS DATE))")
+ORACLE["load_windows_tail"] = _windows_sql("max(CAST(end_date AS DATE))")
+
+_REAL_PRED = [FIXTURE_CTES["stock_lake"], """
+real AS (SELECT strftime(CAST(substr(date_start, 1, 10) AS DATE), '%Y-%m-%d') AS record_date,
+                CAST(open AS DOUBLE) AS real_open FROM stock_lake)""", """
+pred AS (SELECT strftime(CAST(record_date AS DATE) + 1, '%Y-%m-%d') AS record_date,
+                avg(real_open) AS predicted_open FROM real GROUP BY record_date)"""]
+
+ORACLE["pred_vs_real"] = _ctes(_REAL_PRED) + f"""
+SELECT coalesce(r.record_date, p.record_date) AS record_date,
+       {r4('p.predicted_open')} AS predicted_open, {r4('r.real_open')} AS real_open
+FROM real r FULL OUTER JOIN pred p ON r.record_date = p.record_date"""
+
+ORACLE["weather_series"] = with_ctes("weather_raw") + f"""
+SELECT strftime(CAST(substr(date_start, 1, 10) AS DATE), '%Y-%m-%d') AS record_date,
+       {r4('avg(temperature)')} AS temperature,
+       {r4('coalesce(sum(rain), 0.0)')} AS rain,
+       {r4('coalesce(sum(sun), 0.0) / 60')} AS sun_minutes
+FROM weather_raw GROUP BY 1"""
+
+ORACLE["news_series"] = ORACLE["news_daily_counts"]
