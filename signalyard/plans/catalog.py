@@ -359,3 +359,77 @@ def weather_series(spark: SparkSession, sf_dir: str) -> DataFrame:
 def news_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     """PIP10: news counts series."""
     return serving.news_series(daily.daily_news_counts(_news_feeds(spark, sf_dir)))
+
+
+# --- weather by region, dates, intervals ----------------------------------------
+from ..functions import dates as DT  # noqa: E402
+from ..operators import intervals as IV  # noqa: E402
+from . import weather as WX  # noqa: E402
+
+# --- fixed values: test location dimension (region, country, rw, cw) -------
+# Two countries so the two averaging levels differ (the reference's one
+# location cannot tell them apart).
+TEST_LOCATIONS = [("A", 0.6, "0", 0.4, 0.0, 0.0), ("A", 0.6, "1", 0.6, 0.0, 0.0),
+                  ("B", 0.4, "2", 0.3, 0.0, 0.0), ("B", 0.4, "3", 0.3, 0.0, 0.0),
+                  ("B", 0.4, "4", 0.4, 0.0, 0.0)]
+
+
+@query
+def regional_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PIP15: SRC8, SRT6, MTH1, AGG5."""
+    r = WX.regional_weather(fx.region_daily(spark, sf_dir), WX.locations(spark, TEST_LOCATIONS))
+    return r.select("day", *[round4(c).alias(c) for c in ("temperature", "rain", "sun")])
+
+
+@query
+def date_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DT5 + WIN2: consecutive day pairs over the event span."""
+    e = fx.table(spark, sf_dir, "events")
+    bounds = e.agg(F.to_date(F.min("ts")).alias("start"), F.to_date(F.max("ts")).alias("end"))
+    return WX.day_pairs(None, None, frame=bounds)
+
+
+@query
+def date_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DT1, DT2, DT3, DT6, PRJ28, PRJ7 over every candle."""
+    s = fx.stock_lake(spark, sf_dir)
+    api_time = F.date_format("ctm", "yyyy-MM-dd'T'HH:mm:ss")
+    return s.select(
+        "ctm", DT.reformat_broker_time("ctmString").alias("broker_time"),
+        DT.candle_time("ctmString").cast("timestamp_ntz").alias("candle_time"),
+        DT.shift_days("date_start", 1).alias("next_day"),
+        DT.shift_days("date_start", -1).alias("prev_day"),
+        DT.shift_minutes(api_time, 5).alias("plus_5min"),
+        DT.compare_dates("date_start", "date_end", op="<").alias("starts_before_end"),
+        DT.compare_dates("date_start", "date_end", op="==").alias("same_day"),
+        DT.month_key("ctm").alias("month"))
+
+
+def _intervals(spark, sf_dir):
+    return IV.assign_intervals(fx.stock_lake(spark, sf_dir))
+
+
+@query
+def interval_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ML1: rows per 5-day interval from the first day."""
+    return _intervals(spark, sf_dir).groupBy("interval", "interval_start", "interval_end") \
+        .agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@query
+def interval_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ML7: close-on-open least squares per interval."""
+    r = IV.interval_regression(_intervals(spark, sf_dir))
+    return r.select("interval", "interval_start", "interval_end", "n_rows",
+                    round4("slope").alias("slope"), round4("intercept").alias("intercept"))
+
+
+@query
+def interval_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG10: mean squared error of each interval's ML7 line."""
+    rows = _intervals(spark, sf_dir)
+    coef = IV.interval_regression(rows).select("interval", "slope", "intercept")
+    scored = rows.join(F.broadcast(coef), "interval") \
+        .withColumn("pred", F.col("intercept") + F.col("slope") * F.col("open"))
+    r = IV.interval_loss(scored, "pred", "close")
+    return r.select("interval", "interval_start", "interval_end", "n_rows", round4("loss").alias("loss"))

@@ -440,3 +440,65 @@ SELECT strftime(CAST(substr(date_start, 1, 10) AS DATE), '%Y-%m-%d') AS record_d
 FROM weather_raw GROUP BY 1"""
 
 ORACLE["news_series"] = ORACLE["news_daily_counts"]
+
+
+# --- weather by region, dates, intervals -------------------------------------
+ORACLE["regional_weather"] = """
+WITH rd AS (
+  SELECT strftime(CAST(ts AS DATE), '%Y-%m-%d') AS day, CAST(user_id % 5 AS VARCHAR) AS region,
+         min(value) AS tmin, max(value) AS tmax, sum(value) AS rain, sum(value) * 60 AS sun
+  FROM events GROUP BY 1, 2),
+loc AS (SELECT * FROM (VALUES ('0', 'A', 0.4, 0.6), ('1', 'A', 0.6, 0.6), ('2', 'B', 0.3, 0.4),
+                              ('3', 'B', 0.3, 0.4), ('4', 'B', 0.4, 0.4)) AS t(region, country, rw, cw)),
+pc AS (
+  SELECT day, country, avg((tmin + tmax) / 2 * rw) * max(cw) AS temperature,
+         avg(rain * rw) * max(cw) AS rain, avg(sun * rw) * max(cw) AS sun
+  FROM rd JOIN loc USING (region) GROUP BY day, country)
+SELECT day, """ + ", ".join(f"{r4(f'avg({c})')} AS {c}" for c in ("temperature", "rain", "sun")) + \
+    " FROM pc GROUP BY day"
+
+ORACLE["date_pairs"] = """
+WITH b AS (SELECT CAST(min(ts) AS DATE) AS s, CAST(max(ts) AS DATE) AS e FROM events),
+d AS (SELECT CAST(unnest(generate_series(CAST(s AS TIMESTAMP), CAST(e AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS d, e
+      FROM b)
+SELECT strftime(d, '%Y-%m-%d') AS start_date, strftime(d + 1, '%Y-%m-%d') AS end_date FROM d WHERE d < e"""
+
+ORACLE["date_functions"] = _ctes([FIXTURE_CTES["stock_lake"]]) + """
+SELECT ctm,
+       strftime(strptime(ctmString, '%b %d, %Y, %I:%M:%S %p'), '%Y-%m-%dT%H:%M:%SZ') AS broker_time,
+       strptime(ctmString, '%b %d, %Y, %I:%M:%S %p') AS candle_time,
+       strftime(strptime(date_start, '%Y-%m-%d') + INTERVAL 1 DAY, '%Y-%m-%d') AS next_day,
+       strftime(strptime(date_start, '%Y-%m-%d') - INTERVAL 1 DAY, '%Y-%m-%d') AS prev_day,
+       strftime(ctm + INTERVAL 5 MINUTE, '%Y-%m-%dT%H:%M:%S') AS plus_5min,
+       strptime(date_start, '%Y-%m-%d') < strptime(date_end, '%Y-%m-%d') AS starts_before_end,
+       strptime(date_start, '%Y-%m-%d') = strptime(date_end, '%Y-%m-%d') AS same_day,
+       strftime(ctm, '%Y_%m') AS month
+FROM stock_lake"""
+
+_IV = [FIXTURE_CTES["stock_lake"], """
+b AS (SELECT min(CAST(date_start AS DATE)) AS o, max(CAST(date_end AS DATE)) AS m FROM stock_lake)""", """
+iv0 AS (
+  SELECT s.*, CAST(floor(datediff('day', b.o, CAST(s.date_start AS DATE)) / 5) AS BIGINT) AS interval,
+         b.o, b.m
+  FROM stock_lake s, b)""", """
+iv AS (
+  SELECT * EXCLUDE (o, m), o + CAST(interval * 5 AS INTEGER) AS interval_start,
+         o + CAST(interval * 5 + 5 AS INTEGER) AS interval_end
+  FROM iv0
+  WHERE interval >= 0 AND CAST(date_end AS DATE) < o + CAST(interval * 5 + 5 AS INTEGER)
+    AND o + CAST(interval * 5 AS INTEGER) < m)""", """
+coef AS (SELECT interval, interval_start, interval_end, count(*) AS n_rows,
+                regr_slope(close, open) AS slope, regr_intercept(close, open) AS intercept
+         FROM iv GROUP BY 1, 2, 3)"""]
+
+ORACLE["interval_rows"] = _ctes(_IV) + \
+    "SELECT interval, interval_start, interval_end, count(*) AS n_rows FROM iv GROUP BY 1, 2, 3"
+
+ORACLE["interval_regression"] = _ctes(_IV) + \
+    f"SELECT interval, interval_start, interval_end, n_rows, {r4('slope')} AS slope, " \
+    f"{r4('intercept')} AS intercept FROM coef"
+
+ORACLE["interval_loss"] = _ctes(_IV) + f"""
+SELECT iv.interval, iv.interval_start, iv.interval_end, count(*) AS n_rows,
+       {r4('avg(power(coef.intercept + coef.slope * iv.open - iv.close, 2))')} AS loss
+FROM iv JOIN coef USING (interval) GROUP BY 1, 2, 3"""

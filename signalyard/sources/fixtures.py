@@ -114,7 +114,7 @@ def region_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     them (one-element daily arrays)."""
     e = table(spark, sf_dir, "events")
     return e.groupBy(_day_string(F.to_date("ts")).alias("day"),
-                     (F.col("user_id") % REGIONS).cast("int").alias("region")).agg(
+                     (F.col("user_id") % REGIONS).cast("string").alias("region")).agg(
         F.array(F.min("value")).alias("temperature_2m_min"),
         F.array(F.max("value")).alias("temperature_2m_max"),
         F.array(F.sum("value")).alias("rain_sum"),
