@@ -433,3 +433,49 @@ def interval_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
         .withColumn("pred", F.col("intercept") + F.col("slope") * F.col("open"))
     r = IV.interval_loss(scored, "pred", "close")
     return r.select("interval", "interval_start", "interval_end", "n_rows", round4("loss").alias("loss"))
+
+
+# --- speed layer -----------------------------------------------------------------
+from ..session import scratch_path  # noqa: E402
+from ..streaming import speed_layer as SL  # noqa: E402
+
+# --- fixed values: stream twin settings (10 s / 3 s scaled to hours) --------
+TWIN_WINDOW, TWIN_SLIDE = "10 hours", "3 hours"
+_LIST_SCHEMA = "struct<news_list: array<struct<data: string, date: string>>, " \
+               "stock_list: array<struct<ctm: bigint, ctmString: string, open: double, close: double, " \
+               "high: double, low: double, vol: double>>>"
+
+
+def _window_summary(df: DataFrame, news: str, stock: str, start: str, end: str) -> DataFrame:
+    return df.select(
+        F.col(start).cast("timestamp_ntz").alias("window_start"),
+        F.col(end).cast("timestamp_ntz").alias("window_end"),
+        F.size(news).cast("long").alias("n_news"), F.size(stock).cast("long").alias("n_stock"),
+        round4(F.aggregate(stock, F.lit(0.0), lambda acc, x: acc + x["open"])).alias("stock_open_sum"))
+
+
+@query
+def window_join_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PIP12 batch twin: PRJ1-7, ARR1, STM2 sliding windows, AGG7,
+    JN6 on the window."""
+    parsed = valid(parse_envelopes(fx.event_messages(spark, sf_dir), "value"))
+    j = SL.window_join(parsed, TWIN_WINDOW, TWIN_SLIDE, watermark=None)
+    return _window_summary(j, "news_list", "stock_list", "window.start", "window.end")
+
+
+@query
+def window_join_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PIP12 on a stream: messages replayed in event-time order from files
+    (SRC2 text twin), STM1 watermarks, STM3 chained stateful operators in
+    append mode, STM4 unclosed windows held back, STM5 own checkpoint,
+    SNK6 JSON sink.  Returns the sink's windows."""
+    src_dir = scratch_path(spark, "stream-in")
+    fx.write_ordered_chunks(fx.event_messages(spark, sf_dir), src_dir, "ts")
+    out_dir = scratch_path(spark, "stream-out")
+    stream = SL.read_stream(spark, src_dir, fmt="text", max_files=1)
+    q = SL.start_window_join(spark, stream, out_dir, window=TWIN_WINDOW, slide=TWIN_SLIDE)
+    q.awaitTermination()
+    out = spark.read.schema("window_start timestamp, value string").json(out_dir)
+    lists = out.select("window_start", F.from_json("value", _LIST_SCHEMA).alias("v"))
+    lists = lists.withColumn("window_end", F.col("window_start") + F.expr(f"INTERVAL {TWIN_WINDOW}"))
+    return _window_summary(lists, "v.news_list", "v.stock_list", "window_start", "window_end")

@@ -502,3 +502,32 @@ ORACLE["interval_loss"] = _ctes(_IV) + f"""
 SELECT iv.interval, iv.interval_start, iv.interval_end, count(*) AS n_rows,
        {r4('avg(power(coef.intercept + coef.slope * iv.open - iv.close, 2))')} AS loss
 FROM iv JOIN coef USING (interval) GROUP BY 1, 2, 3"""
+
+
+# --- speed layer ---------------------------------------------------------------
+_SLIDE_S, _WIN_S = 3 * 3600, 10 * 3600
+_WINDOWS = f"""
+ev AS (SELECT ts, event_type, value FROM events WHERE event_type IN ('view', 'purchase')),
+w AS (
+  SELECT make_timestamp(CAST((floor(epoch(ts) / {_SLIDE_S}) - k) * {_SLIDE_S} * 1000000 AS BIGINT)) AS ws,
+         ts, event_type, value
+  FROM ev, range(0, 4) t(k)
+  WHERE epoch(ts) < (floor(epoch(ts) / {_SLIDE_S}) - k) * {_SLIDE_S} + {_WIN_S}),
+agg AS (
+  SELECT ws, count(*) FILTER (WHERE event_type = 'view') AS n_news,
+         count(*) FILTER (WHERE event_type = 'purchase') AS n_stock,
+         sum(value) FILTER (WHERE event_type = 'purchase') AS stock_open_sum
+  FROM w GROUP BY ws)"""
+_WIN_SELECT = f"""
+SELECT ws AS window_start, ws + INTERVAL 10 HOUR AS window_end, n_news, n_stock,
+       {r4('stock_open_sum')} AS stock_open_sum
+FROM agg WHERE n_news > 0 AND n_stock > 0"""
+
+ORACLE["window_join_batch"] = "WITH " + _WINDOWS.strip() + _WIN_SELECT
+
+# Stream: only windows the final watermark has closed are emitted; the
+# watermark is the smaller of the two inputs' max event time, minus 2 s.
+ORACLE["window_join_stream"] = "WITH " + _WINDOWS.strip() + """,
+wm AS (SELECT least(max(ts) FILTER (WHERE event_type = 'view'),
+                    max(ts) FILTER (WHERE event_type = 'purchase')) - INTERVAL 2 SECOND AS wm FROM ev)""" + \
+    _WIN_SELECT + " AND ws + INTERVAL 10 HOUR <= (SELECT wm FROM wm)"

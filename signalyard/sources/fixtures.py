@@ -157,3 +157,45 @@ def envelopes(spark: SparkSession, sf_dir: str, max_items: int | None = None) ->
                          max_items or DEFAULT_MAX_ITEMS)
         parts.append(e.select(F.lit(src).alias("source"), "date_start", "date_end", "part", "value"))
     return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stream twin input: one envelope per event, ``view`` events as
+    newsapi news, ``purchase`` events as candles; event time = ``ts``.
+    Columns (ts, value)."""
+    e = table(spark, sf_dir, "events").filter(F.col("event_type").isin("view", "purchase"))
+    t = F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    news = F.array(F.struct(F.col("props").alias("data"),
+                            F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("date")))
+    candle = F.array(F.struct(
+        F.unix_millis(F.col("ts").cast("timestamp")).alias("ctm"),
+        F.date_format("ts", Z.CTM_STRING_FORMAT).alias("ctmString"),
+        F.col("value").alias("open"), F.lit(0.0).alias("close"), F.lit(0.0).alias("high"),
+        F.lit(0.0).alias("low"), F.lit(1.0).alias("vol")))
+    is_view = F.col("event_type") == "view"
+    value = F.when(is_view, F.to_json(F.struct(F.lit(Z.SOURCE_NEWSAPI).alias("source"),
+                                                news.alias("news"), t.alias("time")))) \
+        .otherwise(F.to_json(F.struct(F.lit(Z.SOURCE_STOCK).alias("source"),
+                                      candle.alias("candlesticks"), t.alias("time"))))
+    return e.select("ts", value.alias("value"))
+
+
+def write_ordered_chunks(df: DataFrame, path: str, ts_col: str, chunk_days: int = 5) -> int:
+    """Write ``df`` as one text file per ``chunk_days`` slice of event time,
+    in time order (one write per slice, so file modification times follow
+    event time and a file stream source replays them in order).  Returns
+    the number of files."""
+    bounds = df.agg(F.min(ts_col).alias("lo"), F.max(ts_col).alias("hi")).first()
+    if bounds["lo"] is None:
+        return 0
+    import datetime as _dt
+    lo, hi = bounds["lo"], bounds["hi"]
+    start, n = _dt.datetime(lo.year, lo.month, lo.day), 0
+    while start <= hi:
+        end = start + _dt.timedelta(days=chunk_days)
+        lo_c = F.lit(start.isoformat()).cast("timestamp_ntz")
+        hi_c = F.lit(end.isoformat()).cast("timestamp_ntz")
+        part = df.filter((F.col(ts_col) >= lo_c) & (F.col(ts_col) < hi_c))
+        part.orderBy(ts_col).select("value").coalesce(1).write.mode("append").text(path)
+        start, n = end, n + 1
+    return n
