@@ -479,3 +479,89 @@ def window_join_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     lists = out.select("window_start", F.from_json("value", _LIST_SCHEMA).alias("v"))
     lists = lists.withColumn("window_end", F.col("window_start") + F.expr(f"INTERVAL {TWIN_WINDOW}"))
     return _window_summary(lists, "v.news_list", "v.stock_list", "window_start", "window_end")
+
+
+# --- stateful batching, lake, refresh ------------------------------------------
+from .. import schemas as Z  # noqa: E402
+from ..sinks import tables as TB  # noqa: E402
+from ..streaming import batcher as BT  # noqa: E402
+from ..streaming import refresh as RF  # noqa: E402
+
+
+@query
+def stream_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STM6 (PIP14): the producers' messages replayed as a stream in day
+    order; a stateful operator per source releases every N messages as a
+    batch.  Same result as WIN1 (count_batches)."""
+    msgs = fx.envelopes(spark, sf_dir).withColumn(
+        "ts", F.to_timestamp_ntz(F.substring("date_start", 1, 10), F.lit("yyyy-MM-dd")))
+    src = scratch_path(spark, "batcher-in")
+    fx.write_ordered_chunks(msgs, src, "ts", chunk_days=3)
+    stream = SL.read_stream(spark, src, fmt="text", max_files=2)
+    parsed = valid(parse_envelopes(stream, "value")).withColumn("n_records", ENV.record_count()) \
+        .withColumn("msg", F.md5(F.to_json(F.struct("news", "candlesticks", "weather"))))
+    out = BT.stateful_batches(parsed, ["date_start", "date_end", "msg"])
+    out_dir = scratch_path(spark, "batcher-out")
+    q = out.writeStream.outputMode("append").format("parquet").option("path", out_dir) \
+        .option("checkpointLocation", scratch_path(spark, "ckpt-batcher")) \
+        .trigger(availableNow=True).start()
+    q.awaitTermination()
+    b = spark.read.parquet(out_dir)
+    return b.groupBy("source", "batch_id").agg(
+        F.count(F.lit(1)).alias("n_messages"), F.sum("n_records").alias("n_records"),
+        F.min("date_start").alias("first_start"), F.max("date_start").alias("last_start"))
+
+
+def _write_news_lake(spark, sf_dir, base, day_filter=None):
+    for src in (Z.SOURCE_NEWSAPI, Z.SOURCE_WORLDNEWSAPI, Z.SOURCE_NEWS_XTB):
+        rows = fx.lake_feeds(spark, sf_dir)[src]
+        if day_filter is not None:
+            rows = rows.filter(day_filter)
+        TB.write_lake(rows, base, src)
+
+
+def _news_lake(spark, base):
+    return {src.split("_")[-1]: TB.scan_lake(spark, base, src)
+            for src in (Z.SOURCE_NEWSAPI, Z.SOURCE_WORLDNEWSAPI, Z.SOURCE_NEWS_XTB)}
+
+
+@query
+def lake_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK1 + SNK2 write of the news feeds (month partitions from the
+    records' dates), SRC1 scan back."""
+    base = scratch_path(spark, "lake")
+    _write_news_lake(spark, sf_dir, base)
+    u = frames.tag_news(_news_lake(spark, base))
+    return u.select("source", "date", F.md5("data").alias("data_md5"), "date_start", "date_end", "month")
+
+
+@query
+def refresh_news_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STM7 + PIP1 + JN4 + SNK3: the lake grows in two steps; a refresh
+    stream (restarted from its checkpoint in between) appends the daily
+    counts of days not yet served."""
+    base, serving = scratch_path(spark, "lake"), scratch_path(spark, "serving-news")
+    ckpt = scratch_path(spark, "ckpt-refresh")
+    first_half = F.substring("date", 1, 10) < F.lit(LOADED_BEFORE)
+
+    def run():
+        streams = []
+        for src in (Z.SOURCE_NEWSAPI, Z.SOURCE_WORLDNEWSAPI, Z.SOURCE_NEWS_XTB):
+            sch = T_schema_with_month(Z.LAKE_NEWS)
+            streams.append(spark.readStream.schema(sch).parquet(TB.lake_path(base, src)))
+        stream = streams[0].unionByName(streams[1]).unionByName(streams[2])
+        q = RF.start_refresh(spark, stream, lambda: frames.tag_news(_news_lake(spark, base)),
+                             lambda lake: daily.count_news(lake), serving,
+                             ["record_date", "source"], "date", ckpt, {"availableNow": True})
+        q.awaitTermination()
+
+    _write_news_lake(spark, sf_dir, base, first_half)
+    run()
+    _write_news_lake(spark, sf_dir, base, ~first_half)
+    run()
+    return TB.read_table(spark, serving, Z.SERVING_NEWS)
+
+
+def T_schema_with_month(schema):
+    from pyspark.sql import types as T
+    return T.StructType(schema.fields + [T.StructField("month", T.StringType())])

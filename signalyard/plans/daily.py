@@ -31,6 +31,12 @@ def daily_news_counts(feeds: dict[str, DataFrame], strict: bool = True) -> DataF
     return count_per_key(news, ["record_date", "source"], "count")
 
 
+def count_news(tagged: DataFrame, strict: bool = True) -> DataFrame:
+    """PIP1 on already tagged news rows (``source`` column)."""
+    news = tagged.select(record_date("date", strict).alias("record_date"), "source")
+    return count_per_key(news, ["record_date", "source"], "count")
+
+
 def daily_weather(weather: DataFrame, strict: bool = True) -> DataFrame:
     """PIP2: mean temperature, summed rain and sun per record_date (from
     ``date_start``)."""

@@ -531,3 +531,14 @@ ORACLE["window_join_stream"] = "WITH " + _WINDOWS.strip() + """,
 wm AS (SELECT least(max(ts) FILTER (WHERE event_type = 'view'),
                     max(ts) FILTER (WHERE event_type = 'purchase')) - INTERVAL 2 SECOND AS wm FROM ev)""" + \
     _WIN_SELECT + " AND ws + INTERVAL 10 HOUR <= (SELECT wm FROM wm)"
+
+
+# --- stateful batching, lake, refresh -----------------------------------------
+ORACLE["stream_batches"] = ORACLE["count_batches"]
+
+ORACLE["lake_roundtrip"] = _ctes([FIXTURE_CTES["news_items"]]) + """
+SELECT feed AS source, "date", md5(data) AS data_md5, date_start, date_end,
+       strftime(CAST(substr(date_start, 1, 10) AS DATE), '%Y_%m') AS month
+FROM news_items"""
+
+ORACLE["refresh_news_counts"] = ORACLE["news_daily_counts"]
