@@ -565,3 +565,34 @@ def refresh_news_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def T_schema_with_month(schema):
     from pyspark.sql import types as T
     return T.StructType(schema.fields + [T.StructField("month", T.StringType())])
+
+
+# --- walk-forward model (rows-only checks; brute-force tests in tests/) --------
+from ..models import walk_forward as WF  # noqa: E402
+
+
+@query
+def walk_forward_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ML2 + ML3 + MTH2-3: fit through each 5-day interval of the inner
+    training frame, score that interval's rows."""
+    preds, _ = WF.fit_and_score(frames.training_frame_inner(*_feeds(spark, sf_dir)))
+    return preds.select("record_date", "interval", round4("predicted_open").alias("predicted_open"))
+
+
+@query
+def walk_forward_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ML6 log + AGG10: one (the_date, loss) per interval model."""
+    _, log = WF.fit_and_score(frames.training_frame_inner(*_feeds(spark, sf_dir)))
+    return log.select("the_date", round4("loss").alias("loss"))
+
+
+@query
+def predict_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ML4: ranged, imputed outer frame scored with the latest model."""
+    news, weather, stock = _feeds(spark, sf_dir)
+    model = WF.latest_model(WF.fit_walk_forward(frames.training_frame_inner(news, weather, stock)))
+    ranged = frames.frame_in_range(frames.training_frame_outer(news, weather, stock),
+                                   RANGE_START, RANGE_END)
+    s = WF.score_with(ranged, model)
+    return s.select(F.date_format("date_start", "yyyy-MM-dd").alias("record_date"),
+                    round4("predicted_open").alias("predicted_open"))
