@@ -23,19 +23,23 @@ def label_codes(values: DataFrame, col: str, out: str, max_labels: int = DEFAULT
                 partitions: int | None = None) -> tuple[DataFrame, bool]:
     """Code table (col, out) for the distinct non-null values of ``col``,
     and whether it is proven to hold at most ``max_labels`` rows."""
-    distinct = values.select(col).where(F.col(col).isNotNull()).distinct()
-    # One job: fetch at most max_labels + 1 distinct values.  Within the
-    # bound the set is numbered in sorted order (Python's str order is
-    # code-point order, the same as Spark's UTF-8 byte order) and returned
-    # as a small frame for broadcasting.
-    probe = [r[0] for r in distinct.limit(max_labels + 1).collect()]
+    # No predicate on the value column before the distinct: Catalyst would
+    # push it below the projection that computes the value and inline the
+    # (possibly expensive) expression into the filter; nulls are dropped
+    # from the probed set instead.
+    distinct = values.select(col).distinct()
+    # One job: fetch at most max_labels + 2 distinct values (null counts
+    # as one).  Within the bound the set is numbered in sorted order
+    # (Python's str order is code-point order, the same as Spark's UTF-8
+    # byte order) and returned as a small frame for broadcasting.
+    probe = [r[0] for r in distinct.limit(max_labels + 2).collect() if r[0] is not None]
     if len(probe) <= max_labels:
         field = values.schema[col]
         schema = T.StructType([T.StructField(col, field.dataType), T.StructField(out, T.LongType())])
         rows = list(zip(sorted(probe), range(len(probe))))
         return values.sparkSession.createDataFrame(rows, schema), True
     n = partitions or int(values.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranked = distinct.repartitionByRange(n, col).sortWithinPartitions(col) \
+    ranked = distinct.where(F.col(col).isNotNull()).repartitionByRange(n, col).sortWithinPartitions(col) \
         .select(col, F.spark_partition_id().alias("_pid"),
                 F.monotonically_increasing_id().alias("_mid")).checkpoint(eager=True)
     sizes = ranked.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
