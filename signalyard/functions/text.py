@@ -95,3 +95,9 @@ def too_far_in_past(status, message, api: str = "newsapi") -> Column:
 def keep_article(url, text) -> Column:
     """PRJ17: drop removed articles and articles without text."""
     return (F.coalesce(_c(url) != F.lit(REMOVED_URL), F.lit(True))) & _c(text).isNotNull()
+
+
+def api_news_rows(df, text_col: str = "text", date_col: str = "publish_date"):
+    """PRJ18: project news-API rows to the lake item shape (``data``,
+    ``date``)."""
+    return df.select(F.col(text_col).alias("data"), F.col(date_col).alias("date"))

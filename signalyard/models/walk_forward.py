@@ -171,3 +171,17 @@ def require_model(spark: SparkSession, registry: str) -> DataFrame:
     if m.limit(1).count() == 0:
         raise ModelMissing("Model does not exist")
     return m
+
+
+def predict_one(spark: SparkSession, model: DataFrame, means: DataFrame, inputs: dict,
+                prediction_date: str | None = None) -> DataFrame:
+    """ML5: one prediction from query-style inputs; missing inputs take
+    the stored means, else 0.0 (IMP4).  Returns (record_date, open) ready
+    to append to the predictions table; the date defaults to today."""
+    from ..operators.joins import with_defaults
+    schema = T.StructType([T.StructField(c, T.DoubleType()) for c in FEATURES])
+    req = spark.createDataFrame([tuple(inputs.get(c) for c in FEATURES)], schema)
+    filled = with_defaults(req, means, FEATURES)
+    day = F.lit(prediction_date) if prediction_date else F.date_format(F.current_date(), "yyyy-MM-dd")
+    return score_with(filled, model).select(day.alias("record_date"),
+                                            F.col("predicted_open").alias("open"))

@@ -138,3 +138,9 @@ def feature_means(frame: DataFrame, n: int = 7) -> DataFrame:
     summary = tail_summary(frame, [F.col(c) for c in TAIL_ORDER], Z.FEATURES[:8],
                            ["sentiment", "language"], n)
     return summary.select(F.lit("means").alias("_id"), *Z.FEATURES)
+
+
+def store_feature_means(frame: DataFrame, path: str, n: int = 7) -> int:
+    """PIP6: AGG3 summary upserted under key 'means' (SNK4, new version)."""
+    from ..sinks.tables import upsert
+    return upsert(frame.sparkSession, feature_means(frame, n), path, ["_id"])

@@ -120,3 +120,27 @@ def stream_features(parsed: DataFrame, means: DataFrame, watermark: str | None =
     for k in Z.FEATURES[5:]:
         c = c.withColumn(k, F.lit(None).cast("double"))
     return with_defaults(c, means, Z.FEATURES)
+
+
+def dropped_by_watermark(query: StreamingQuery) -> int:
+    """STM4: rows the stateful operators dropped as late in the last
+    micro-batch (from the query's progress report)."""
+    p = query.lastProgress or {}
+    return sum(int(op.get("numRowsDroppedByWatermark", 0)) for op in p.get("stateOperators", []))
+
+
+def start_stream_predictions(spark: SparkSession, source: DataFrame, means: DataFrame,
+                             model: DataFrame, out_path: str, checkpoint: str | None = None,
+                             trigger: dict | None = None) -> StreamingQuery:
+    """PIP13: candles from the message stream scored with the latest model
+    (ML5 in a stream) and appended as (record_date, open) prediction rows
+    (SNK5) - one append per micro-batch instead of one HTTP call per row."""
+    from ..models.walk_forward import score_with
+    parsed = valid(parse_envelopes(source, "value"))
+    feats = stream_features(parsed, means, watermark=None)
+    scored = score_with(feats, model).select(
+        F.date_format(F.coalesce("parsed_date", "watermark"), "yyyy-MM-dd").alias("record_date"),
+        F.col("predicted_open").alias("open"))
+    w = scored.writeStream.outputMode("append").format("parquet").option("path", out_path) \
+        .option("checkpointLocation", checkpoint or scratch_path(spark, "ckpt-predict"))
+    return w.trigger(**(trigger or {"availableNow": True})).start()

@@ -108,3 +108,45 @@ def test_lake_write_scan_and_missing(spark):
         f.write("garbage")
     back = TB.scan_lake(spark, base, Z.SOURCE_WEATHER)
     assert back.filter(F.col("month") == "2024_02").count() == 1 and back.count() == 2
+
+
+def test_predict_one_defaults(spark):
+    coef = spark.createDataFrame([(0, "2024-01-06", 1, 0.0) + (1.0,) * 10 + (0.0,)], WF.COEF_SCHEMA)
+    means = spark.createDataFrame([("means",) + (2.0,) * 10], Z.MEANS)
+    r = WF.predict_one(spark, coef, means, {"open": 10.0}, "2024-02-01").first()
+    assert (r["record_date"], r["open"]) == ("2024-02-01", 10.0 + 9 * 2.0)
+    empty = spark.createDataFrame([], Z.MEANS)
+    assert WF.predict_one(spark, coef, empty, {"open": 10.0}, "2024-02-01").first()["open"] == 10.0
+
+
+def test_recorded_envelope_file(spark):
+    """SRC4 + PRJ12 on a retyped recorded envelope: no date range, dates with
+    blanks after the colons still give the day."""
+    import json
+    from signalyard.functions.dates import record_date
+    from signalyard.operators.envelope import explode_items
+    from signalyard.sources.envelope import read_envelope_files
+    path = local(scratch_path(spark, "recorded"))
+    os.makedirs(path)
+    doc = {"source": "scraper_news_xtb", "time": "2024-11-06",
+           "news": [{"data": "<p>Ceny kakao</p>", "date": "2024-11-06T19: 47: 29Z"},
+                    {"data": "<p>Afryka</p>", "date": "2024-11-05T08: 01: 00Z"}]}
+    with open(os.path.join(path, "xtb.json"), "w") as f:
+        json.dump(doc, f, indent=2)
+    env = read_envelope_files(spark, path)
+    items = explode_items(env, "news")
+    got = sorted(r[0] for r in items.select(record_date("date")).collect())
+    assert got == ["2024-11-05", "2024-11-06"]
+    assert items.filter(F.col("date_start").isNull()).count() == 2
+
+
+def test_store_feature_means(spark):
+    from signalyard.plans.frames import store_feature_means
+    rows = [(dt.datetime(2024, 1, 1, h), "2024-01-01", "2024-01-02", "d", "x") + (float(h),) * 10
+            for h in range(10)]
+    cols = ["ctm", "date_start", "date_end", "date", "data"] + Z.FEATURES
+    frame = spark.createDataFrame(rows, cols)
+    path = scratch_path(spark, "means-store")
+    assert store_feature_means(frame, path) == 1
+    m = TB.lookup(spark, path, Z.MEANS, "_id", "means").first()
+    assert m["open"] == pytest.approx(sum(range(3, 10)) / 7) and m["sentiment"] == 6.0

@@ -81,3 +81,18 @@ def test_stream_features_take_means(spark):
     q.awaitTermination()
     r = spark.read.parquet(out).first()
     assert r["open"] == 7.5 and r["close"] == 0.0 and r["temperature"] == 5.0 and r["language"] == 9.0
+
+
+def test_dropped_rows_counter_and_stream_predictions(spark):
+    from signalyard.models import walk_forward as WF
+    src = scratch_path(spark, "t-pred")
+    _write(src, "a.json", [_candle(5, 7.5), _candle(8, 9.0)])
+    means = spark.createDataFrame([("means",) + tuple(float(i) for i in range(10))], Z.MEANS)
+    coef = spark.createDataFrame([(0, "2024-01-06", 1, 1.0) + (2.0,) + (0.0,) * 9 + (0.0,)],
+                                 WF.COEF_SCHEMA)
+    out = scratch_path(spark, "t-pred-out")
+    q = SL.start_stream_predictions(spark, SL.read_stream(spark, src, fmt="text"), means, coef, out)
+    q.awaitTermination()
+    got = sorted(r["open"] for r in spark.read.parquet(out).collect())
+    assert got == [16.0, 19.0]  # 1 + 2 * open
+    assert SL.dropped_by_watermark(q) == 0
