@@ -32,15 +32,22 @@ def hits(toks: Column, words: list[str]) -> Column:
     return F.size(F.filter(toks, lambda t: t.isin(words)))
 
 
-def sentiment_scores(df: DataFrame, text_col: str = "data", cleaned: bool = False) -> DataFrame:
+def sentiment_scores(df: DataFrame, text_col: str = "data", cleaned: bool = False,
+                     tokens_col: str | None = None) -> DataFrame:
     """TXT1: adds ``n_tokens, pos_hits, neg_hits, neg, neu, pos`` (shares)
     and ``sentiment`` (AGG9 argmax; an empty text scores 0/0/0 and
-    resolves to 'neg' by the tie rule, like the reference library)."""
-    txt = _c(text_col) if cleaned else clean_text(text_col, "intended")
-    d = df.withColumn("_tok", tokens(txt))
-    d = d.withColumn("n_tokens", F.size("_tok")) \
-        .withColumn("pos_hits", hits(F.col("_tok"), POSITIVE_WORDS)) \
-        .withColumn("neg_hits", hits(F.col("_tok"), NEGATIVE_WORDS)).drop("_tok")
+    resolves to 'neg' by the tie rule, like the reference library).
+    ``tokens_col`` reuses tokens already computed on the row."""
+    if tokens_col:
+        d, tok = df, F.col(tokens_col)
+    else:
+        txt = _c(text_col) if cleaned else clean_text(text_col, "intended")
+        d, tok = df.withColumn("_tok", tokens(txt)), F.col("_tok")
+    d = d.withColumn("n_tokens", F.size(tok)) \
+        .withColumn("pos_hits", hits(tok, POSITIVE_WORDS)) \
+        .withColumn("neg_hits", hits(tok, NEGATIVE_WORDS))
+    if not tokens_col:
+        d = d.drop("_tok")
     n = F.col("n_tokens").cast("double")
     share = lambda x: F.when(n > 0, x / n).otherwise(F.lit(0.0))
     d = d.withColumn("neg", share(F.col("neg_hits"))) \
@@ -51,25 +58,29 @@ def sentiment_scores(df: DataFrame, text_col: str = "data", cleaned: bool = Fals
 
 
 def with_language(df: DataFrame, text_col: str = "data", out: str = "language",
-                  cleaned: bool = False) -> DataFrame:
+                  cleaned: bool = False, tokens_col: str | None = None) -> DataFrame:
     """TXT2: profile hits per language, argmax, ties to the first code;
     no hit at all (blank or junk text) -> null.  Tokens are materialised
-    once per row (``_tok``) and shared by the four profile counts."""
-    txt = _c(text_col) if cleaned else clean_text(text_col, "intended")
-    d = df.withColumn("_tok", tokens(txt))
-    d = d.withColumn("_ls", F.array(*[hits(F.col("_tok"), LANGUAGE_PROFILES[c])
-                                       for c in LANGUAGE_ORDER]))
+    once per row (``_tok``, or ``tokens_col``) and shared by the four
+    profile counts."""
+    if tokens_col:
+        d, tok = df, F.col(tokens_col)
+    else:
+        txt = _c(text_col) if cleaned else clean_text(text_col, "intended")
+        d, tok = df.withColumn("_tok", tokens(txt)), F.col("_tok")
+    d = d.withColumn("_ls", F.array(*[hits(tok, LANGUAGE_PROFILES[c]) for c in LANGUAGE_ORDER]))
     best = F.array_max("_ls")
     label = F.when(best <= 0, F.lit(None).cast("string"))
     for i, code in enumerate(LANGUAGE_ORDER):
         label = label.when(F.col("_ls")[i] == best, F.lit(code))
-    return d.withColumn(out, label).drop("_tok", "_ls")
+    d = d.withColumn(out, label).drop("_ls")
+    return d if tokens_col else d.drop("_tok")
 
 
 def with_text_scores(df: DataFrame, text_col: str = "data") -> DataFrame:
-    """STR1 (intended) once, then TXT1 and TXT2 from the same tokens; adds
+    """STR1 (intended) and one tokenisation, shared by TXT1 and TXT2; adds
     ``sentiment`` (neg/neu/pos) and ``language`` (code or null)."""
-    d = df.withColumn("_clean", clean_text(text_col, "intended"))
-    d = sentiment_scores(d, "_clean", cleaned=True)
-    d = with_language(d, "_clean", "language", cleaned=True)
-    return d.drop("_clean", "n_tokens", "pos_hits", "neg_hits", "neg", "neu", "pos")
+    d = df.withColumn("_stok", tokens(clean_text(text_col, "intended")))
+    d = sentiment_scores(d, tokens_col="_stok")
+    d = with_language(d, out="language", tokens_col="_stok")
+    return d.drop("_stok", "n_tokens", "pos_hits", "neg_hits", "neg", "neu", "pos")
