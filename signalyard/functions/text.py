@@ -46,13 +46,29 @@ def _c(c) -> Column:
 
 def clean_text(c, mode: str = "literal") -> Column:
     """STR1: strip tags, e-mails, URLs, long numbers; collapse whitespace,
-    strip, drop non-alphanumerics, lower-case.  Null -> ''."""
+    strip, drop non-alphanumerics, lower-case.  Null -> ''.
+
+    Patterns that cannot match are skipped by a substring test first (an
+    exact shortcut: ``contains`` is a byte search, the regex a scan): the
+    e-mail pattern needs '@', the URL pattern 'http' or 'www.', and every
+    literal-mode pattern 2-5 needs a backslash."""
     patterns = CLEAN_PATTERNS_LITERAL if mode == "literal" else CLEAN_PATTERNS_INTENDED
-    out = _c(c).cast("string")
-    for i, (pat, rep) in enumerate(patterns):
+    out = F.regexp_replace(_c(c).cast("string"), F.lit(patterns[0][0]), F.lit(patterns[0][1]))
+    if mode == "literal":
+        mid = out
+        for pat, rep in patterns[1:_STRIP_AFTER + 1]:
+            mid = F.regexp_replace(mid, F.lit(pat), F.lit(rep))
+        out = F.when(F.contains(out, F.lit("\\")), mid).otherwise(out)
+    else:
+        (p1, r1), (p2, r2), (p3, r3), (p4, r4) = patterns[1:_STRIP_AFTER + 1]
+        out = F.when(F.contains(out, F.lit("@")), F.regexp_replace(out, F.lit(p1), F.lit(r1))) \
+            .otherwise(out)
+        url = F.contains(out, F.lit("http")) | F.contains(out, F.lit("www."))
+        out = F.when(url, F.regexp_replace(out, F.lit(p2), F.lit(r2))).otherwise(out)
+        out = F.regexp_replace(F.regexp_replace(out, F.lit(p3), F.lit(r3)), F.lit(p4), F.lit(r4))
+    out = F.trim(out)
+    for pat, rep in patterns[_STRIP_AFTER + 1:]:
         out = F.regexp_replace(out, F.lit(pat), F.lit(rep))
-        if i == _STRIP_AFTER:
-            out = F.trim(out)
     return F.coalesce(F.lower(out), F.lit(""))
 
 

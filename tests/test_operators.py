@@ -311,3 +311,22 @@ def test_language_guess_accuracy(spark):
     d = with_language(table(spark, SF_ORACLE, "documents"), "text")
     acc = d.select(F.avg((F.col("language") == F.col("lang")).cast("double"))).first()[0]
     assert acc > 0.95
+
+
+@pytest.mark.parametrize("mode", ["literal", "intended"])
+def test_clean_text_guards_are_exact(spark, mode):
+    import re
+    pats = TX.CLEAN_PATTERNS_LITERAL if mode == "literal" else TX.CLEAN_PATTERNS_INTENDED
+    samples = ["plain words only", "mail a@b.com and a@b\\.com", "see http://x.y and http://\\Sz",
+               "www.site.org \\www\\.\\Sq", "nums 12345678901 \\b\\dddddddddddd\\b x",
+               "tab\\ss\\sss  here", "<b>tag</b> \\ back", ""]
+
+    def ref(t):
+        for i, (p, r) in enumerate(pats):
+            t = re.sub(p, r, t)
+            if i == 4:
+                t = t.strip(" ")
+        return t.lower()
+    df = spark.createDataFrame([(x,) for x in samples], "t string")
+    got = [r[0] for r in df.select(TX.clean_text("t", mode)).collect()]
+    assert got == [ref(x) for x in samples]
