@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -57,10 +58,16 @@ def to_numeric(df: DataFrame, columns=Z.NUMERIC_COLUMNS) -> DataFrame:
                        for c in df.columns])
 
 
-def scored_news(news: DataFrame, text_mode: str = "literal") -> DataFrame:
+def scored_news(news: DataFrame, text_mode: str = "literal", persist: bool = True) -> DataFrame:
     """STR1 + TXT1 + TXT2: scores from the intended cleaning of the raw
-    text (Q2 FIX), ``data`` cleaned in ``text_mode`` (Q1 KEEP by default)."""
-    return with_text_scores(news, "data").withColumn("data", clean_text("data", text_mode))
+    text (Q2 FIX), ``data`` cleaned in ``text_mode`` (Q1 KEEP by default).
+
+    The frames built on it run several jobs (the bounded label probe of
+    ENC1, the model statistics, the output), so by default the scored rows
+    are persisted (memory, spilling to disk): the regex work over whole
+    texts runs once.  Lost blocks are recomputed from lineage."""
+    out = with_text_scores(news, "data").withColumn("data", clean_text("data", text_mode))
+    return out.persist(StorageLevel.MEMORY_AND_DISK) if persist else out
 
 
 def truncate_keys(df: DataFrame) -> DataFrame:
