@@ -65,6 +65,7 @@ def stock_new_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 from ..functions import html as H  # noqa: E402
 from ..functions.text import clean_text, contains_all  # noqa: E402
 from ..operators.encode import label_encode as _label_encode  # noqa: E402
+from ..operators.partitioning import spread_small  # noqa: E402
 from ..operators.text_scoring import sentiment_scores, with_language  # noqa: E402
 from . import frames  # noqa: E402
 
@@ -76,7 +77,7 @@ KEYWORDS = ["The", "License"]
 def clean_text_literal(spark: SparkSession, sf_dir: str) -> DataFrame:
     """STR1 (literal patterns, Q1 KEEP) over every document; digest of
     the cleaned text."""
-    d = fx.table(spark, sf_dir, "documents")
+    d = spread_small(fx.table(spark, sf_dir, "documents"))
     c = clean_text("text", "literal")
     return d.select("doc_id", F.md5(c).alias("clean_md5"), F.length(c).cast("long").alias("clean_len"))
 
@@ -84,7 +85,7 @@ def clean_text_literal(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def clean_text_intended(spark: SparkSession, sf_dir: str) -> DataFrame:
     """STR1 (intended patterns) over every document."""
-    d = fx.table(spark, sf_dir, "documents")
+    d = spread_small(fx.table(spark, sf_dir, "documents"))
     c = clean_text("text", "intended")
     return d.select("doc_id", F.md5(c).alias("clean_md5"), F.length(c).cast("long").alias("clean_len"))
 
@@ -108,7 +109,7 @@ def keyword_all_literal(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def page_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """STR6: paragraph text of every page."""
-    p = fx.table(spark, sf_dir, "pages")
+    p = spread_small(fx.table(spark, sf_dir, "pages"))
     t = H.paragraph_text("html")
     return p.select("page_id", F.size(H.paragraphs("html")).cast("long").alias("n_paragraphs"),
                     F.md5(t).alias("text_md5"), F.length(t).cast("long").alias("text_len"))
