@@ -23,13 +23,14 @@ def assign_intervals(df: DataFrame, origin: Column | str | None = None,
     reference.  ``origin`` defaults to the frame's ``min(date_start)``
     (AGG6), attached as a scalar subquery."""
     s, e = F.to_date(F.col(start)), F.to_date(F.col(end))
-    if origin is None:
-        bounds = df.agg(F.min(s).alias("o"), F.max(e).alias("m")).select(F.struct("o", "m")).scalar()
-        o, last = bounds.getField("o"), bounds.getField("m")
-    else:
-        o = F.to_date(F.lit(origin)) if isinstance(origin, str) else F.to_date(origin)
-        last = df.agg(F.max(e)).scalar()
-    d = df.withColumn("_o", o).withColumn("_last", last)
+    o = None if origin is None else (F.to_date(F.lit(origin)) if isinstance(origin, str)
+                                     else F.to_date(origin))
+    # Frame bounds as one scalar subquery attached once (a struct column),
+    # so the plan evaluates the min/max aggregate a single time.
+    b = df.agg(F.min(s).alias("o"), F.max(e).alias("m"))
+    d = df.withColumn("_b", b.select(F.struct("o", "m")).scalar())
+    d = d.withColumn("_o", o if o is not None else F.col("_b.o")).withColumn("_last", F.col("_b.m")) \
+        .drop("_b")
     k = F.floor(F.datediff(s, F.col("_o")) / days)
     d = d.withColumn("interval", k.cast("long"))
     d = d.withColumn("interval_start", F.date_add(F.col("_o"), (F.col("interval") * days).cast("int"))) \
