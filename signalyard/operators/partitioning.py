@@ -19,12 +19,13 @@ from .joins import has_at_most
 SMALL_INPUT_ROWS = 2_000_000
 
 
-def spread_small(df: DataFrame, key_cols: list[str] | None = None,
+def spread_small(df: DataFrame, key_cols: list[str],
                  max_rows: int = SMALL_INPUT_ROWS) -> DataFrame:
-    """``df`` hash-partitioned over ``defaultParallelism`` when it holds at
-    most ``max_rows`` rows, else unchanged."""
+    """``df`` hash-partitioned over ``defaultParallelism`` by a hash of
+    ``key_cols`` (the text itself: uniform, deterministic, and it leaves
+    the other columns prunable) when it holds at most ``max_rows`` rows,
+    else unchanged."""
     n = df.sparkSession.sparkContext.defaultParallelism
     if n <= 1 or not has_at_most(df, max_rows):
         return df
-    keys = [F.col(c) for c in (key_cols or df.columns)]
-    return df.repartition(n, F.xxhash64(*keys))
+    return df.repartition(n, F.xxhash64(*[F.col(c) for c in key_cols]))

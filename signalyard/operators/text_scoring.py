@@ -43,7 +43,7 @@ def sentiment_scores(df: DataFrame, text_col: str = "data", cleaned: bool = Fals
         d, tok = df, F.col(tokens_col)
     else:
         txt = _c(text_col) if cleaned else clean_text(text_col, "intended")
-        d, tok = spread_small(df).withColumn("_tok", tokens(txt)), F.col("_tok")
+        d, tok = spread_small(df, [text_col]).withColumn("_tok", tokens(txt)), F.col("_tok")
     d = d.withColumn("n_tokens", F.size(tok)) \
         .withColumn("pos_hits", hits(tok, POSITIVE_WORDS)) \
         .withColumn("neg_hits", hits(tok, NEGATIVE_WORDS))
@@ -68,7 +68,7 @@ def with_language(df: DataFrame, text_col: str = "data", out: str = "language",
         d, tok = df, F.col(tokens_col)
     else:
         txt = _c(text_col) if cleaned else clean_text(text_col, "intended")
-        d, tok = spread_small(df).withColumn("_tok", tokens(txt)), F.col("_tok")
+        d, tok = spread_small(df, [text_col]).withColumn("_tok", tokens(txt)), F.col("_tok")
     d = d.withColumn("_ls", F.array(*[hits(tok, LANGUAGE_PROFILES[c]) for c in LANGUAGE_ORDER]))
     best = F.array_max("_ls")
     label = F.when(best <= 0, F.lit(None).cast("string"))
@@ -81,7 +81,7 @@ def with_language(df: DataFrame, text_col: str = "data", out: str = "language",
 def with_text_scores(df: DataFrame, text_col: str = "data") -> DataFrame:
     """STR1 (intended) and one tokenisation, shared by TXT1 and TXT2; adds
     ``sentiment`` (neg/neu/pos) and ``language`` (code or null)."""
-    d = spread_small(df).withColumn("_stok", tokens(clean_text(text_col, "intended")))
+    d = spread_small(df, [text_col]).withColumn("_stok", tokens(clean_text(text_col, "intended")))
     d = sentiment_scores(d, tokens_col="_stok")
     d = with_language(d, out="language", tokens_col="_stok")
     return d.drop("_stok", "n_tokens", "pos_hits", "neg_hits", "neg", "neu", "pos")

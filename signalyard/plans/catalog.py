@@ -77,7 +77,7 @@ KEYWORDS = ["The", "License"]
 def clean_text_literal(spark: SparkSession, sf_dir: str) -> DataFrame:
     """STR1 (literal patterns, Q1 KEEP) over every document; digest of
     the cleaned text."""
-    d = spread_small(fx.table(spark, sf_dir, "documents"))
+    d = spread_small(fx.table(spark, sf_dir, "documents").select("doc_id", "text"), ["text"])
     c = clean_text("text", "literal")
     return d.select("doc_id", F.md5(c).alias("clean_md5"), F.length(c).cast("long").alias("clean_len"))
 
@@ -85,7 +85,7 @@ def clean_text_literal(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def clean_text_intended(spark: SparkSession, sf_dir: str) -> DataFrame:
     """STR1 (intended patterns) over every document."""
-    d = spread_small(fx.table(spark, sf_dir, "documents"))
+    d = spread_small(fx.table(spark, sf_dir, "documents").select("doc_id", "text"), ["text"])
     c = clean_text("text", "intended")
     return d.select("doc_id", F.md5(c).alias("clean_md5"), F.length(c).cast("long").alias("clean_len"))
 
@@ -109,7 +109,7 @@ def keyword_all_literal(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def page_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """STR6: paragraph text of every page."""
-    p = spread_small(fx.table(spark, sf_dir, "pages"))
+    p = spread_small(fx.table(spark, sf_dir, "pages").select("page_id", "html"), ["html"])
     t = H.paragraph_text("html")
     return p.select("page_id", F.size(H.paragraphs("html")).cast("long").alias("n_paragraphs"),
                     F.md5(t).alias("text_md5"), F.length(t).cast("long").alias("text_len"))
