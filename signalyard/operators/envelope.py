@@ -46,12 +46,12 @@ def explode_items(env: DataFrame, kind: str, keep: list[str] | None = None) -> D
     return e.select(*keep, F.inline(F.col(kind)), "date_start", "date_end")
 
 
-def to_lake_rows(items: DataFrame, source: str) -> DataFrame:
+def to_lake_rows(items: DataFrame, source: str, keep: list[str] | None = None) -> DataFrame:
     """SNK2: project and cast items to the feed's lake schema (fields not
     in the schema are dropped; envelope candle ``ctm`` millis become a
-    timestamp)."""
+    timestamp); ``keep`` columns are passed through first."""
     schema = Z.LAKE_SCHEMAS[source]
-    cols = []
+    cols = [F.col(c) for c in (keep or [])]
     for f in schema.fields:
         if f.name not in items.columns:
             cols.append(F.lit(None).cast(f.dataType).alias(f.name))

@@ -597,3 +597,24 @@ def predict_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = WF.score_with(ranged, model)
     return s.select(F.date_format("date_start", "yyyy-MM-dd").alias("record_date"),
                     round4("predicted_open").alias("predicted_open"))
+
+
+@query
+def envelope_to_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PIP14 end to end: the producers' messages as a stream -> STM6
+    count-triggered batches -> PRJ9-10/ARR1 -> SNK2 -> SNK1 one (month,
+    batch) partition per completed batch; the lake read back (SRC1) holds
+    the records of every completed batch, per step."""
+    msgs = fx.envelopes(spark, sf_dir).withColumn(
+        "ts", F.to_timestamp_ntz(F.substring("date_start", 1, 10), F.lit("yyyy-MM-dd")))
+    src = scratch_path(spark, "e2l-in")
+    fx.write_ordered_chunks(msgs, src, "ts", chunk_days=3)
+    base = scratch_path(spark, "e2l-lake")
+    stream = SL.read_stream(spark, src, fmt="text", max_files=2)
+    BT.start_envelope_to_lake(spark, stream, base, scratch_path(spark, "ckpt-e2l")).awaitTermination()
+    parts = [TB.scan_lake(spark, base, s).select(F.lit(s).alias("source"), "date_start", "date_end")
+             for s in Z.ALL_SOURCES]
+    u = parts[0]
+    for p in parts[1:]:
+        u = u.unionByName(p)
+    return u.groupBy("source", "date_start", "date_end").agg(F.count(F.lit(1)).alias("n_rows"))

@@ -542,3 +542,13 @@ SELECT feed AS source, "date", md5(data) AS data_md5, date_start, date_end,
 FROM news_items"""
 
 ORACLE["refresh_news_counts"] = ORACLE["news_daily_counts"]
+
+ORACLE["envelope_to_lake"] = _ctes(_ENV_BASE + ["""
+numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY date_start, date_end) AS rn,
+         count(*) OVER (PARTITION BY source) AS total,
+         CASE split_part(source, '_', 2) WHEN 'news' THEN 5 WHEN 'stock' THEN 10
+              WHEN 'weather' THEN 1 ELSE 1 END AS lim
+  FROM msgs)"""]) + """
+SELECT source, date_start, date_end, CAST(n AS BIGINT) AS n_rows
+FROM numbered WHERE floor((rn - 1) / lim) < floor(total / lim)"""

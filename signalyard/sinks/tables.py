@@ -42,11 +42,22 @@ def lake_path(base: str, source: str) -> str:
     return os.path.join(base, f"batch_{source}")
 
 
-def write_lake(rows: DataFrame, base: str, source: str, fmt: str = "parquet") -> None:
+def write_lake(rows: DataFrame, base: str, source: str, fmt: str = "parquet",
+               extra_partitions: list[str] | None = None) -> None:
     """SNK1 + SNK2: project/cast to the feed's schema, partition by the
-    records' month, append."""
-    out = to_lake_rows(rows, source).withColumn("month", month_key(day_of("date_start", strict=False)))
-    out.write.mode("append").partitionBy("month").format(fmt).save(lake_path(base, source))
+    records' month, append.  With ``extra_partitions`` (e.g. the batch id)
+    the partitions named by the rows are overwritten instead (dynamic
+    partition overwrite), which makes a re-run of the same rows
+    idempotent."""
+    extra = extra_partitions or []
+    out = to_lake_rows(rows, source, keep=extra) \
+        .withColumn("month", month_key(day_of("date_start", strict=False)))
+    w = out.write.format(fmt)
+    if extra:
+        w = w.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("month", *extra)
+    else:
+        w = w.mode("append").partitionBy("month")
+    w.save(lake_path(base, source))
 
 
 def scan_lake(spark: SparkSession, base: str, source: str, fmt: str = "parquet",
@@ -64,7 +75,7 @@ def scan_lake(spark: SparkSession, base: str, source: str, fmt: str = "parquet",
     r = spark.read.schema(schema).format(fmt).option("ignoreCorruptFiles", "true")
     if not hive_layout:
         r = r.option("recursiveFileLookup", "true").option("pathGlobFilter", f"*.{fmt}")
-    return r.load(path)
+    return r.load(path).select(*schema.fieldNames())
 
 
 def append_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
