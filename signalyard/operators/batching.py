@@ -21,8 +21,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..schemas import BATCH_LIMITS
 from ..functions.text import feed_kind
+from ..schemas import BATCH_LIMITS
+from .joins import bounded_broadcast
 
 
 def group_row_numbers(df: DataFrame, group: str, order: list[str], out: str = "rn",
@@ -42,7 +43,8 @@ def group_row_numbers(df: DataFrame, group: str, order: list[str], out: str = "r
                                   F.lit(0)).alias("_off"),
                        F.sum("_cnt").over(w.rowsBetween(Window.unboundedPreceding,
                                                         Window.unboundedFollowing)).alias("_group_n"))
-    j = tagged.join(F.broadcast(runs), ["_pid", group])
+    # runs holds at most partitions + groups rows; broadcast once proven.
+    j = tagged.join(bounded_broadcast(runs), ["_pid", group])
     return j.withColumn(out, F.col("_off") + F.col("_mid") - F.col("_first") + 1) \
         .drop("_pid", "_mid", "_first", "_off")
 
