@@ -148,7 +148,9 @@ class ModelMissing(RuntimeError):
 def score_with(df: DataFrame, model: DataFrame, features: list[str] = FEATURES,
                out: str = "predicted_open") -> DataFrame:
     """ML4/ML5: score any frame (static or streaming) with a one-row model
-    attached as a scalar subquery (no join, evaluated once)."""
+    attached as a scalar subquery (no join, evaluated once).  The
+    prediction is a column of the scored row itself (ARR2: no zipping of
+    rows with a separate prediction list)."""
     s = model.limit(1).select(F.struct(*model.columns)).scalar()
     d = df.withColumn("_model", s)
     return d.withColumn(out, prediction("_model.", features)).drop("_model")

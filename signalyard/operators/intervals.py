@@ -20,7 +20,7 @@ def assign_intervals(df: DataFrame, origin: Column | str | None = None,
                      end: str = "date_end") -> DataFrame:
     """ML1: adds ``interval`` (k), ``interval_start`` and ``interval_end``
     (dates); rows that straddle an interval end are dropped, as in the
-    reference.  ``origin`` defaults to the frame's ``min(date_start)``
+    reference (PRJ15: ``date_start >= start AND date_end < end``, half-open).  ``origin`` defaults to the frame's ``min(date_start)``
     (AGG6), attached as a scalar subquery."""
     s, e = F.to_date(F.col(start)), F.to_date(F.col(end))
     o = None if origin is None else (F.to_date(F.lit(origin)) if isinstance(origin, str)

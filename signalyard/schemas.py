@@ -86,7 +86,7 @@ SCRAPER_LOG = T.StructType([T.StructField("start_date", S), T.StructField("end_d
                             T.StructField("record_count", L)])
 MODEL_LOG = T.StructType([T.StructField("the_date", S), T.StructField("loss", D)])
 
-# --- fixed values: model features, in order; target is `open` ----------
+# --- fixed values: model features, in order (PRJ24); target is `open` ---
 FEATURES = ["open", "close", "high", "low", "vol", "temperature", "rain", "sun",
             "sentiment", "language"]
 NUMERIC_COLUMNS = ["ctm", "open", "close", "high", "low", "vol", "temperature", "rain", "sun"]
