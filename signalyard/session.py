@@ -23,6 +23,36 @@ BASE_CONF = {
 }
 
 
+TARGET_PARTITION_BYTES = 128 * 1024 * 1024
+MAX_SHUFFLE_PARTITIONS = 100_000
+
+
+def cluster_conf(input_bytes: int, total_cores: int,
+                 target_partition_bytes: int = TARGET_PARTITION_BYTES) -> dict[str, str]:
+    """Settings for a cluster run sized from the input volume.
+
+    Shuffle partitions: about one ``target_partition_bytes`` slice of input
+    per partition, rounded up to whole waves of the cluster's cores (AQE
+    then coalesces small ones and splits skewed ones); file splits of the
+    same size; RocksDB for streaming state, which keeps large state off
+    the JVM heap.  The count is capped at MAX_SHUFFLE_PARTITIONS (map
+    output tracking grows with maps x reducers); shuffles carry far less
+    than the input after projection and partial aggregation, and AQE
+    splits the partitions that still come out large.  At 100 TB on 8,000
+    cores: 96,000 partitions (12 waves)."""
+    cores = max(1, total_cores)
+    waves = max(1, -(-input_bytes // (target_partition_bytes * cores)))
+    waves = min(waves, max(1, MAX_SHUFFLE_PARTITIONS // cores))
+    return {
+        "spark.sql.shuffle.partitions": str(waves * cores),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    }
+
+
 def build_session(master: str | None = None, shuffle_partitions: int = 8,
                   app_name: str = "signalyard", extra: dict | None = None) -> SparkSession:
     """Local/test session. On a cluster, pass ``master=None`` and let the

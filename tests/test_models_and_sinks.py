@@ -150,3 +150,9 @@ def test_store_feature_means(spark):
     assert store_feature_means(frame, path) == 1
     m = TB.lookup(spark, path, Z.MEANS, "_id", "means").first()
     assert m["open"] == pytest.approx(sum(range(3, 10)) / 7) and m["sentiment"] == 6.0
+
+
+def test_cluster_conf_sizing():
+    from signalyard.session import cluster_conf
+    assert cluster_conf(100 * 2 ** 40, 8000)["spark.sql.shuffle.partitions"] == "96000"
+    assert cluster_conf(10 ** 9, 8)["spark.sql.shuffle.partitions"] == "8"
