@@ -71,7 +71,9 @@ def news_feed(spark: SparkSession, sf_dir: str, feed: str) -> DataFrame:
 def stock_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hourly candles (LAKE_STOCK)."""
     e = table(spark, sf_dir, "events")
-    h = e.select(F.date_trunc("hour", "ts").alias("h"), "ts", "value") \
+    # date_trunc returns a zoned TIMESTAMP even for a zone-less input; the
+    # lake declares ctm zone-less, so cast back (same wall clock in UTC).
+    h = e.select(F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("h"), "ts", "value") \
         .groupBy("h").agg(
             F.min_by("value", "ts").alias("o"), F.max_by("value", "ts").alias("c"),
             F.max("value").alias("hi"), F.min("value").alias("lo"), F.count("*").alias("n"))
