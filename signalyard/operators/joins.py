@@ -23,7 +23,9 @@ DEFAULT_BROADCAST_ROWS = 1_000_000
 
 def has_at_most(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has no more than ``max_rows`` rows (early-stopping
-    probe; never counts a large side in full)."""
+    probe; never counts a large side in full).  A stream has no bound."""
+    if df.isStreaming:
+        return False
     return df.limit(max_rows + 1).count() <= max_rows
 
 

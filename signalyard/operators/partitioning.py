@@ -25,6 +25,8 @@ def spread_small(df: DataFrame, key_cols: list[str],
     ``key_cols`` (the text itself: uniform, deterministic, and it leaves
     the other columns prunable) when it holds at most ``max_rows`` rows,
     else unchanged."""
+    if df.isStreaming:
+        return df
     n = df.sparkSession.sparkContext.defaultParallelism
     if n <= 1 or not has_at_most(df, max_rows):
         return df

@@ -96,3 +96,16 @@ def test_dropped_rows_counter_and_stream_predictions(spark):
     got = sorted(r["open"] for r in spark.read.parquet(out).collect())
     assert got == [16.0, 19.0]  # 1 + 2 * open
     assert SL.dropped_by_watermark(q) == 0
+
+
+def test_text_scoring_on_a_stream(spark):
+    from signalyard.operators.text_scoring import with_text_scores
+    src = scratch_path(spark, "t-text")
+    _write(src, "a.json", ['{"data": "great strong growth and gains"}', '{"data": "der die und"}'])
+    stream = spark.readStream.schema("data string").json(src)
+    out = scratch_path(spark, "t-text-out")
+    q = with_text_scores(stream, "data").writeStream.format("parquet").option("path", out) \
+        .option("checkpointLocation", scratch_path(spark, "t-text-ckpt")).trigger(availableNow=True).start()
+    q.awaitTermination()
+    got = sorted((r["sentiment"], r["language"]) for r in spark.read.parquet(out).collect())
+    assert got == [("neu", "de"), ("pos", "en")]
