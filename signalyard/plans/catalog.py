@@ -548,7 +548,7 @@ def refresh_news_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     def run():
         streams = []
         for src in (Z.SOURCE_NEWSAPI, Z.SOURCE_WORLDNEWSAPI, Z.SOURCE_NEWS_XTB):
-            sch = T_schema_with_month(Z.LAKE_NEWS)
+            sch = _with_month(Z.LAKE_NEWS)
             streams.append(spark.readStream.schema(sch).parquet(TB.lake_path(base, src)))
         stream = streams[0].unionByName(streams[1]).unionByName(streams[2])
         q = RF.start_refresh(spark, stream, lambda: frames.tag_news(_news_lake(spark, base)),
@@ -563,7 +563,7 @@ def refresh_news_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return TB.read_table(spark, serving, Z.SERVING_NEWS)
 
 
-def T_schema_with_month(schema):
+def _with_month(schema):
     from pyspark.sql import types as T
     return T.StructType(schema.fields + [T.StructField("month", T.StringType())])
 

@@ -24,6 +24,7 @@ from ..operators.encode import label_encode
 from ..operators.impute import impute_means
 from ..operators.joins import bounded_broadcast, full_outer_bounded, join_on_dates
 from ..operators.text_scoring import with_text_scores
+from .daily import tag_and_union as tag_news  # noqa: F401  (PRJ11 + SET1)
 
 KEYS = ["date_start", "date_end"]
 SENTIMENT_CODES = {"pos": 1, "neu": 0, "neg": -1}
@@ -34,12 +35,6 @@ def union_news(feeds: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), feeds)
 
 
-def tag_news(feeds: dict[str, DataFrame]) -> DataFrame:
-    """PRJ11 + SET1: feeds tagged with their name, unioned by name."""
-    parts = [df.withColumn("source", F.lit(tag)) for tag, df in feeds.items()]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-
-
 def sentiment_code(c="sentiment"):
     """PRJ22: pos 1 / neu 0 / neg -1, anything else null."""
     col = F.col(c) if isinstance(c, str) else c

@@ -19,7 +19,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
-from ..functions.text import feed_kind
 from ..schemas import BATCH_LIMITS
 
 STATE_SCHEMA = "buffer string, next_batch long"
@@ -68,11 +67,6 @@ def stateful_batches(messages: DataFrame, order_cols: list[str], key_cols: list[
         GroupStateTimeout.NoTimeout)
 
 
-def batch_kind(source: str = "source"):
-    """STR5 shortcut used for routing batches to lake folders."""
-    return feed_kind(F.col(source))
-
-
 def start_envelope_to_lake(spark, stream: DataFrame, lake_base: str, checkpoint: str,
                            trigger: dict | None = None, fmt: str = "parquet"):
     """PIP14: message stream (SRC3) -> JSON decode (JSN1) -> count-triggered

@@ -3,8 +3,6 @@
 import json
 import os
 
-from pyspark.sql import functions as F
-
 from signalyard import schemas as Z
 from signalyard.session import scratch_path
 from signalyard.streaming import speed_layer as SL
