@@ -53,15 +53,20 @@ def label_codes(values: DataFrame, col: str, out: str, max_labels: int = DEFAULT
 
 
 def label_encode(df: DataFrame, col: str, out: str | None = None, missing_as: str | None = None,
-                 max_labels: int = DEFAULT_MAX_LABELS) -> DataFrame:
+                 max_labels: int = DEFAULT_MAX_LABELS, codes_from: DataFrame | None = None) -> DataFrame:
     """ENC1 (``missing_as=None``: nulls stay null) and ENC2
     (``missing_as="nan"``: nulls become that category first, as
-    ``astype(str)`` does)."""
+    ``astype(str)`` does).  ``codes_from`` fits the codes on another frame
+    (e.g. the unfiltered one) and applies them to ``df``."""
     out = out or col
-    src = df
-    if missing_as is not None:
-        src = df.withColumn(col, F.coalesce(F.col(col).cast("string"), F.lit(missing_as)))
-    codes, small = label_codes(src, col, "_code", max_labels)
+
+    def prep(d: DataFrame) -> DataFrame:
+        if missing_as is None:
+            return d
+        return d.withColumn(col, F.coalesce(F.col(col).cast("string"), F.lit(missing_as)))
+    src = prep(df)
+    fit = prep(codes_from.select(col)) if codes_from is not None else src
+    codes, small = label_codes(fit, col, "_code", max_labels)
     codes = codes.withColumnRenamed(col, "_key")
     if small:
         codes = F.broadcast(codes)

@@ -94,32 +94,53 @@ def training_frame_inner(news: DataFrame, weather: DataFrame, stock: DataFrame,
     return j.select(*Z.FINAL_COLUMNS)
 
 
+def _outer_join(n: DataFrame, w: DataFrame, s: DataFrame) -> DataFrame:
+    j = full_outer_bounded(n, w, KEYS)
+    j = full_outer_bounded(j, s, KEYS)
+    return to_numeric(j.withColumn("sentiment", sentiment_code()))
+
+
+def in_key_range(df: DataFrame, start: str, end: str) -> DataFrame:
+    """PRJ14: ``date_start >= start AND date_end <= end`` (inclusive)."""
+    return df.filter((F.col("date_start") >= F.lit(start).cast("timestamp_ntz")) &
+                     (F.col("date_end") <= F.lit(end).cast("timestamp_ntz")))
+
+
 def training_frame_outer(news: DataFrame, weather: DataFrame, stock: DataFrame,
                          text_mode: str = "literal", day_keys: bool = True,
-                         impute: bool = True) -> DataFrame:
+                         impute: bool = True, key_range: tuple[str, str] | None = None) -> DataFrame:
     """PIP5: full outer joins (JN3) on day-truncated keys (PRJ13; Q7 KEEP),
     numeric casts, sentiment codes, language codes with missing as the
     category 'nan' (ENC2), then mean imputation of the nine numeric
-    columns over the whole joined frame (IMP1)."""
+    columns over the whole joined frame (IMP1).
+
+    ``key_range`` returns only the rows inside an inclusive day range
+    (ML4).  Catalyst cannot push a filter on the coalesced keys of a full
+    outer join, so the range is applied by hand to all three inputs (a
+    matched row has the same key on both sides, so this equals filtering
+    the joined frame); the language codes and the IMP1 means are still
+    fitted on the unfiltered frame, as the reference does."""
     n = scored_news(news, text_mode)
     w, s = weather, stock
     if day_keys:
         n, w, s = truncate_keys(n), truncate_keys(w), truncate_keys(s)
-    j = full_outer_bounded(n, w, KEYS)
-    j = full_outer_bounded(j, s, KEYS)
-    j = j.withColumn("sentiment", sentiment_code())
-    j = to_numeric(j)
-    j = label_encode(j, "language", missing_as="nan")
+    full = _outer_join(n, w, s)
+    if key_range is None:
+        j = full
+    else:
+        a, b = key_range
+        j = _outer_join(in_key_range(n, a, b), in_key_range(w, a, b), in_key_range(s, a, b))
+    j = label_encode(j, "language", missing_as="nan", codes_from=full if key_range else None)
     j = j.select(*Z.FINAL_COLUMNS)
-    return impute_means(j, Z.NUMERIC_COLUMNS) if impute else j
+    return impute_means(j, Z.NUMERIC_COLUMNS, means_from=full if key_range else None) if impute else j
 
 
 def frame_in_range(frame: DataFrame, start: str, end: str) -> DataFrame:
     """ML4 steps PRJ14 + IMP2: ``date_start >= start AND date_end <= end``
     (both inclusive), then mean-impute the ten features with the means of
-    the filtered rows."""
-    f = frame.filter((F.col("date_start") >= F.lit(start).cast("timestamp_ntz")) &
-                     (F.col("date_end") <= F.lit(end).cast("timestamp_ntz")))
+    the filtered rows.  (Build ``frame`` with ``key_range`` to have the
+    range applied before the joins.)"""
+    f = in_key_range(frame, start, end)
     f = f.withColumn("sentiment", F.col("sentiment").cast("double")) \
         .withColumn("language", F.col("language").cast("double"))
     return impute_means(f, Z.FEATURES)
