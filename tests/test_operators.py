@@ -330,3 +330,28 @@ def test_clean_text_guards_are_exact(spark, mode):
     df = spark.createDataFrame([(x,) for x in samples], "t string")
     got = [r[0] for r in df.select(TX.clean_text("t", mode)).collect()]
     assert got == [ref(x) for x in samples]
+
+
+def test_hot_day_join_paths_agree(spark):
+    """One day holds a third of all articles: the broadcast path (bound
+    proven) and the salted fallback (bound not proven) give the same rows,
+    and the default path does not shuffle the article side."""
+    n = 3000
+    news = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit("2024-01-07"))
+        .otherwise(F.date_format(F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 20).cast("int")),
+                                 "yyyy-MM-dd")).alias("date_start"),
+        F.col("id").alias("doc"))
+    news = news.withColumn("date_end", F.date_format(F.date_add(F.to_date("date_start"), 1), "yyyy-MM-dd"))
+    stock = spark.range(20 * 24).select(
+        F.date_format(F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") / 24).cast("int")),
+                      "yyyy-MM-dd").alias("date_start"), (F.col("id") % 24).alias("hour"))
+    stock = stock.withColumn("date_end", F.date_format(F.date_add(F.to_date("date_start"), 1), "yyyy-MM-dd"))
+    keys = ["date_start", "date_end"]
+    fast = J.join_on_dates(news, stock, keys)
+    salted = J.join_on_dates(news, stock, keys, max_broadcast_rows=10, salt=8)
+    rows = lambda df: sorted(map(tuple, df.select("doc", "hour").collect()))
+    assert rows(fast) == rows(salted)
+    assert fast.count() == n * 24
+    plan = fast._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
