@@ -355,3 +355,12 @@ def test_hot_day_join_paths_agree(spark):
     assert fast.count() == n * 24
     plan = fast._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_spread_small_keeps_rows(spark):
+    from signalyard.operators.partitioning import spread_small
+    df = spark.range(1000).select(F.col("id").cast("string").alias("t")).coalesce(1)
+    out = spread_small(df, ["t"])
+    assert out.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert sorted(r[0] for r in out.collect()) == sorted(r[0] for r in df.collect())
+    assert spread_small(df, ["t"], max_rows=10).rdd.getNumPartitions() == 1

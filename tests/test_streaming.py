@@ -107,3 +107,21 @@ def test_text_scoring_on_a_stream(spark):
     q.awaitTermination()
     got = sorted((r["sentiment"], r["language"]) for r in spark.read.parquet(out).collect())
     assert got == [("neu", "de"), ("pos", "en")]
+
+
+def test_stateful_batches_per_source_and_partition(spark):
+    from signalyard.streaming.batcher import stateful_batches
+    src = scratch_path(spark, "t-batch")
+    rows = [json.dumps({"source": "scraper_news_x", "part": p, "off": i, "n_records": 1})
+            for p in (0, 1) for i in range(12)]
+    _write(src, "a.json", rows)
+    stream = spark.readStream.schema("source string, part long, off long, n_records long").json(src)
+    out = scratch_path(spark, "t-batch-out")
+    q = stateful_batches(stream, ["off"], key_cols=["source", "part"]).writeStream.format("parquet") \
+        .option("path", out).option("checkpointLocation", scratch_path(spark, "t-batch-ckpt")) \
+        .trigger(availableNow=True).start()
+    q.awaitTermination()
+    got = sorted((r["part"], r["batch_id"], r["off"]) for r in spark.read.parquet(out).collect())
+    # news batches of 5 per (source, partition); 2 of 12 messages stay buffered in each
+    assert len(got) == 20
+    assert [g for g in got if g[0] == 1][:6] == [(1, 0, 0), (1, 0, 1), (1, 0, 2), (1, 0, 3), (1, 0, 4), (1, 1, 5)]
