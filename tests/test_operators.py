@@ -364,3 +364,18 @@ def test_spread_small_keeps_rows(spark):
     assert out.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     assert sorted(r[0] for r in out.collect()) == sorted(r[0] for r in df.collect())
     assert spread_small(df, ["t"], max_rows=10).rdd.getNumPartitions() == 1
+
+
+def test_load_windows_defaults_and_edge(spark):
+    from signalyard.streaming.cursor import last_cursor, load_windows
+    log = spark.createDataFrame([("a", "2024-01-01", "2024-01-02", 3), ("a", "2024-01-03", "2024-01-04", 1),
+                                 ("b", "2024-02-01", "2024-02-02", 2)],
+                                "feed string, start_date string, end_date string, record_count long")
+    gaps = sorted(map(tuple, load_windows(log, "2024-01-05", feeds=["a", "c"]).select("feed", "start_date")
+                      .collect()))
+    # a: hole on the 2nd and the tail on the 4th; c: no log -> 30 days back
+    assert gaps[:2] == [("a", "2024-01-02"), ("a", "2024-01-04")]
+    assert [g for g in gaps if g[0] == "c"][0] == ("c", "2023-12-06") and len(gaps) == 2 + 30
+    tail = load_windows(log.filter("feed = 'b'"), "2024-02-02", mode="tail").collect()
+    assert [(r["start_date"], r["end_date"]) for r in tail] == [("2024-02-02", "2024-02-03")]
+    assert {r["feed"]: r["end_date"] for r in last_cursor(log).collect()} == {"a": "2024-01-04", "b": "2024-02-02"}
