@@ -130,7 +130,7 @@ def local_search(bins: list[list[int]], lengths: list[int], capacity: int) -> li
         changed = True
         while changed and bins[d]:
             changed = False
-            for k in range(len(takers) - 1, -1, -1):
+            for k in range(len(takers)):
                 free, t = takers[k]
                 found = _exchange(bins[d], bins[t], lengths, free, fill[t] - fill[d])
                 if not found:
@@ -148,8 +148,7 @@ def local_search(bins: list[list[int]], lengths: list[int], capacity: int) -> li
                 else:
                     insort(takers, (free - gain, t))
                     heapq.heappush(donors, (fill[t], t))
-                if not bins[d]:
-                    break
+                break
         if bins[d]:
             done.append(bins[d])
         else:
