@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from signalyard.llm import common, packing
+from signalyard.llm import common, exact_dedup, packing, secret_scan
 
 WORD_BPE = "word_bpe_49k.json"
 
@@ -16,8 +16,23 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(common.documents(spark, sf_dir), public_tokenizers.path(WORD_BPE), end_id=0)
 
 
+def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every text, by way of a fresh blob ledger."""
+    return secret_scan.report(common.documents(spark, sf_dir), common.shared_path(spark, "secret-ledger"))
+
+
+def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of identical texts."""
+    return exact_dedup.exact_groups(common.documents(spark, sf_dir))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_best_fit_packing,
+    op1_best_fit_packing, op3_secret_scans, op7_exact_dedup,
 )}
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op7_exact_dedup": """
+        SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
+               doc_id = max(doc_id) OVER g AS kept, sha256(coalesce(text, '')) AS text_sha256
+        FROM documents WINDOW g AS (PARTITION BY coalesce(text, ''))""",
+}
