@@ -8,6 +8,7 @@ once with the tokenizers library and remembers the ids (bounded memory)."""
 from __future__ import annotations
 
 import re
+import string
 
 import numpy as np
 from tokenizers import Tokenizer
@@ -26,7 +27,7 @@ class WordEncoder:
     ``max_chars`` bounds what is remembered: once the remembered words hold
     that many characters, new words are forgotten after the call that met them."""
 
-    def __init__(self, path: str, max_chars: int = 8_000_000):
+    def __init__(self, path: str, max_chars: int = 12_000_000):
         self._tok = Tokenizer.from_file(path)
         self._tok.encode_special_tokens = True  # their strings in a text are ordinary text
         self._max_chars = max_chars
@@ -38,7 +39,27 @@ class WordEncoder:
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, dtype="<u4") for e in self._tok.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, words: list[str]) -> None:
+    def _learn(self, words: set[str]) -> set[str]:
+        """Remembers the ids of ``words``; returns all that it remembered.
+
+        In ASCII, a run of punctuation after a letter or digit is a piece of its
+        own and case is dropped, so "Word," has the ids of "word" and of ","."""
+        parts, need = [], set()
+        for w in words:
+            core = w.rstrip(string.punctuation)
+            if len(core) < len(w) and core and w.isascii() and core[-1].isalnum():
+                parts.append((w, core.lower(), w[len(core):]))
+            else:
+                need.add(w)
+        need.update(p[1] for p in parts)
+        need.update(p[2] for p in parts)
+        need.difference_update(self._known)
+        self._encode_words(list(need))
+        for w, core, tail in parts:
+            self._known[w] = self._known[core] + self._known[tail]
+        return need.union(words)
+
+    def _encode_words(self, words: list[str]) -> None:
         plain = [w for w in words if _MARK not in w] if self._mark is not None else []
         for i in range(0, len(plain), 4096):
             some = plain[i:i + 4096]
@@ -54,16 +75,16 @@ class WordEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [None if _NOT_SPACE.search(t) else t.split() for t in texts]
-        new: set[str] = set()
-        for words in split:
-            if words:
-                new.update(words)
-        new.difference_update(self._known)
+        get = self._known.get
+        ids = [None if words is None else list(map(get, words)) for words in split]
+        gaps = [[] if x is None or None not in x else [i for i, y in enumerate(x) if y is None] for x in ids]
+        new = {words[i] for words, at in zip(split, gaps, strict=True) for i in at}
         if new:
-            self._learn(list(new))
-        get = self._known.__getitem__
-        out = [self._ids([t])[0].tobytes() if words is None else b"".join(map(get, words))
-               for t, words in zip(texts, split, strict=True)]
+            new = self._learn(new)
+        for words, at, x in zip(split, gaps, ids, strict=True):
+            for i in at:
+                x[i] = self._known[words[i]]
+        out = [self._ids([t])[0].tobytes() if x is None else b"".join(x) for t, x in zip(texts, ids, strict=True)]
         if self._chars > self._max_chars:
             for w in new:
                 del self._known[w]
