@@ -6,9 +6,10 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from signalyard.llm import common, exact_dedup, packing, secret_scan
+from signalyard.llm import common, exact_dedup, packing, secret_scan, token_index, wordpiece
 
 WORD_BPE = "word_bpe_49k.json"
+BYTE_BPE = "byte_bpe_50k.json"
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,6 +17,12 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(common.documents(spark, sf_dir), public_tokenizers.path(WORD_BPE), end_id=0)
 
 
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token-id shards with a perfect-hash index, written and read back."""
+    return token_index.round_trip(spark, common.documents(spark, sf_dir), common.shared_path(spark, "token-store"),
+                                  public_tokenizers.path(WORD_BPE), end_id=1)
+
+
 def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every text, by way of a fresh blob ledger."""
     return secret_scan.report(common.documents(spark, sf_dir), common.shared_path(spark, "secret-ledger"))
@@ -26,8 +33,13 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(common.documents(spark, sf_dir))
 
 
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Greedy longest-match word-piece counts of every text."""
+    return wordpiece.count_pieces(common.documents(spark, sf_dir), public_tokenizers.path(BYTE_BPE))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_best_fit_packing, op3_secret_scans, op7_exact_dedup,
+    op1_best_fit_packing, op2_token_files, op3_secret_scans, op7_exact_dedup, op8_token_counts,
 )}
 
 ORACLE: dict[str, str] = {

@@ -30,6 +30,7 @@ class WordEncoder:
     def __init__(self, path: str, max_chars: int = 12_000_000):
         self._tok = Tokenizer.from_file(path)
         self._tok.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.vocabulary_size = max(self._tok.get_vocab(with_added_tokens=True).values()) + 1
         self._max_chars = max_chars
         self._known: dict[str, bytes] = {}
         self._chars = 0
