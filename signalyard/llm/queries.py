@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from signalyard.llm import common, exact_dedup, packing, secret_scan, token_index, wordpiece
+from signalyard.llm import common, exact_dedup, fingerprint, mixing, packing, secret_scan, token_index, wordpiece
 
 WORD_BPE = "word_bpe_49k.json"
 BYTE_BPE = "byte_bpe_50k.json"
@@ -28,6 +28,11 @@ def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.report(common.documents(spark, sf_dir), common.shared_path(spark, "secret-ledger"))
 
 
+def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents mixed to source weights 1, 2, 3."""
+    return mixing.mix(common.documents(spark, sf_dir))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of identical texts."""
     return exact_dedup.exact_groups(common.documents(spark, sf_dir))
@@ -38,8 +43,14 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wordpiece.count_pieces(common.documents(spark, sf_dir), public_tokenizers.path(BYTE_BPE))
 
 
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sketches of every text and its edited text, compared."""
+    return fingerprint.edited_neighbours(common.documents(spark, sf_dir))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_best_fit_packing, op2_token_files, op3_secret_scans, op7_exact_dedup, op8_token_counts,
+    op1_best_fit_packing, op2_token_files, op3_secret_scans, op6_source_mix, op7_exact_dedup,
+    op8_token_counts, op10_fingerprints,
 )}
 
 ORACLE: dict[str, str] = {
