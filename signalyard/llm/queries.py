@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from signalyard.llm import common, exact_dedup, fingerprint, mixing, packing, secret_scan, token_index, wordpiece
+from signalyard.llm import common, exact_dedup, fingerprint, mixing, packing, secret_scan, token_index, toxicity, wordpiece
 
 WORD_BPE = "word_bpe_49k.json"
 BYTE_BPE = "byte_bpe_50k.json"
@@ -28,6 +28,11 @@ def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.report(common.documents(spark, sf_dir), common.shared_path(spark, "secret-ledger"))
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every text by a grammar learned outside the held-out fold."""
+    return toxicity.report(common.documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed to source weights 1, 2, 3."""
     return mixing.mix(common.documents(spark, sf_dir))
@@ -49,8 +54,8 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_best_fit_packing, op2_token_files, op3_secret_scans, op6_source_mix, op7_exact_dedup,
-    op8_token_counts, op10_fingerprints,
+    op1_best_fit_packing, op2_token_files, op3_secret_scans, op5_toxicity, op6_source_mix,
+    op7_exact_dedup, op8_token_counts, op10_fingerprints,
 )}
 
 ORACLE: dict[str, str] = {

@@ -25,6 +25,8 @@ from signalyard.llm.common import cut, text_or_empty
 #: this many lexicon entries kept (the most telling first).
 TRAIN_ROWS = 20_000
 LEXICON_ENTRIES = 5_000
+#: What a lexicon entry needs: evidence (likelihood ratio statistic) and log odds.
+EVIDENCE, ODDS = 24.0, 3.0
 #: A document with this score or more is toxic.
 THRESHOLD = 0.3
 
@@ -40,10 +42,11 @@ THREATS = frozenset("kill hurt destroy burn beat stab shoot murder crush töten
 
 #: How many words a negation or a target reaches.
 _NEGATION_REACH, _TARGET_REACH = 3, 4
-_STEMS = range(3, 8)
+_STEMS = range(3, 9)
 _CONTEXTS = ("plain", "aimed", "negated", "reported")
-#: A match's columns: insults by context, threats by context, largest clause.
-N_FEATURES = 2 * len(_CONTEXTS) + 2
+#: A text's numbers: insults by context, threats by context, the largest clause,
+#: matches per hundred words, different matched words.
+N_FEATURES = 2 * len(_CONTEXTS) + 3
 _END = tuple(".!?;:,")
 
 
@@ -110,8 +113,9 @@ class Grammar:
                 self._clause(clause, out)
                 clause = []
         self._clause(clause, out)
-        out[:-1] = np.log1p(out[:-1])
-        return out
+        out[-2] = 100 * out[:-3].sum() / len(words)
+        out[-1] = len({word_of(words[i]) for i, s in marked if s[0] or s[1]})
+        return np.log1p(out)
 
     def _clause(self, clause: list[tuple[int, tuple]], out: np.ndarray) -> None:
         """Runs the composed transducers over one clause and adds its matches."""
@@ -135,7 +139,7 @@ class Grammar:
             out[context] += weight
             out[len(_CONTEXTS) + context] += threat
             total += weight + threat
-        out[-1] = max(out[-1], total)
+        out[-3] = max(out[-3], total)
 
     def score(self, text: str) -> float:
         x = self.features(text)
@@ -164,35 +168,49 @@ def training_rows(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) ->
         F.broadcast(chosen), "doc_id")
 
 
-def learn_lexicon(rows: DataFrame, entries: int = LEXICON_ENTRIES) -> dict[str, float]:
-    """Words and stems that more toxic documents hold than chance allows, with
-    their log odds as weights."""
+def _telling(rows: DataFrame, words: dict[str, float] | None, entries: int) -> dict[str, float]:
+    """Log odds of the features that more toxic documents hold than chance
+    allows: words if ``words`` is None; else stems, counted where ``words`` do
+    not explain the document already."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in batches:
-            toxic, clean = Counter(), Counter()
+            tallies, n = (Counter(), Counter()), [0, 0]
             for text, label in zip(frame["text"], frame["toxic"]):
-                words = {word_of(t) for t in set(text.split())}
-                (toxic if label else clean).update({f for w in words if w for f in lexical_features(w)})
-            keys = list(toxic.keys() | clean.keys())
-            yield pd.DataFrame({"feature": keys, "toxic": [toxic[k] for k in keys], "clean": [clean[k] for k in keys]})
-
-    sizes = {int(r[0]): r[1] for r in rows.groupBy((F.col("toxic") > 0).cast("int")).count().collect()}
-    n_toxic, n_clean = sizes.get(1, 0), sizes.get(0, 0)
-    if not n_toxic or not n_clean:
+                own = {w + "$" for w in map(word_of, set(text.split())) if w}
+                if words is not None:
+                    if label and not own.isdisjoint(words):
+                        continue
+                    own = {f for w in own.difference(words) for f in lexical_features(w[:-1])[1:]}
+                tallies[label].update(own)
+                n[label] += 1
+            keys = [k for t in tallies for k in t]
+            # one row without a feature counts the documents
+            yield pd.DataFrame({"feature": [None, *keys], "t": [n[1], *([0] * len(tallies[0])), *tallies[1].values()],
+                                "c": [n[0], *tallies[0].values(), *([0] * len(tallies[1]))]})
+
+    counted = cut(rows.mapInPandas(count, "feature string, t long, c long")
+                  .groupBy("feature").agg(F.sum("t").alias("t"), F.sum("c").alias("c")))
+    total = counted.filter("feature is null").first()
+    if not total or not total.t or not total.c:
         return {}
-    counted = (rows.select("text", (F.col("toxic") > 0).cast("int").alias("toxic"))
-               .mapInPandas(count, "feature string, toxic long, clean long")
-               .groupBy("feature").agg(F.sum("toxic").alias("t"), F.sum("clean").alias("c")))
-    expected = (F.col("t") + F.col("c")) * n_toxic / (n_toxic + n_clean)
-    evidence = 2 * F.col("t") * F.log(F.col("t") / expected)
-    odds = (F.log((F.col("t") + 0.5) / (n_toxic - F.col("t") + 0.5))
-            - F.log((F.col("c") + 0.5) / (n_clean - F.col("c") + 0.5)))
-    best = (counted.filter("t > 0").withColumn("evidence", evidence).withColumn("odds", odds)
-            .filter("evidence >= 24 and odds >= 1.5").orderBy(F.desc("evidence"), "feature").limit(entries))
+    t, c, n_t, n_c = F.col("t"), F.col("c"), float(total.t), float(total.c)
+    evidence = 2 * t * F.log(t * (n_t + n_c) / ((t + c) * n_t))
+    odds = F.log((t + 0.5) / (n_t - t + 0.5)) - F.log((c + 0.5) / (n_c - c + 0.5))
+    best = (counted.filter("feature is not null and t > 0").withColumn("evidence", evidence).withColumn("odds", odds)
+            .filter((F.col("evidence") >= EVIDENCE) & (F.col("odds") >= ODDS))
+            .orderBy(F.desc("evidence"), "feature").limit(entries))
     return {r.feature: min(6.0, r.odds) for r in best.select("feature", "odds").collect()}
 
 
+def learn_lexicon(rows: DataFrame, entries: int = LEXICON_ENTRIES) -> dict[str, float]:
+    """Weights of the words, and of stems that explain what the words do not,
+    from rows (text, toxic)."""
+    rows = rows.select("text", (F.col("toxic") > 0).cast("int").alias("toxic"))
+    words = _telling(rows, None, entries)
+    return words | _telling(rows, words, entries)
+
+
 def fit(x: np.ndarray, y: np.ndarray, ridge: float = 0.05, steps: int = 50) -> tuple[list[float], float]:
     """Logistic regression by Newton steps; the bias is not shrunk."""
     a = np.hstack([x, np.ones((len(x), 1))])
