@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from signalyard.llm import common, exact_dedup, fingerprint, mixing, packing, secret_scan, token_index, toxicity, wordpiece
+from signalyard.llm import bagminhash, common, exact_dedup, fingerprint, mixing, packing, secret_scan, token_index, toxicity, wordpiece
 
 WORD_BPE = "word_bpe_49k.json"
 BYTE_BPE = "byte_bpe_50k.json"
@@ -48,6 +48,11 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wordpiece.count_pieces(common.documents(spark, sf_dir), public_tokenizers.path(BYTE_BPE))
 
 
+def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes of near-duplicates by BagMinHash over five-word shingles."""
+    return bagminhash.near_classes(common.documents(spark, sf_dir)).drop("row")
+
+
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sketches of every text and its edited text, compared."""
     return fingerprint.edited_neighbours(common.documents(spark, sf_dir))
@@ -55,7 +60,7 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_best_fit_packing, op2_token_files, op3_secret_scans, op5_toxicity, op6_source_mix,
-    op7_exact_dedup, op8_token_counts, op10_fingerprints,
+    op7_exact_dedup, op8_token_counts, op9_near_dedup, op10_fingerprints,
 )}
 
 ORACLE: dict[str, str] = {
