@@ -8,16 +8,28 @@ once with the tokenizers library and remembers the ids (bounded memory)."""
 from __future__ import annotations
 
 import re
-import string
+from array import array
 
 import numpy as np
 from tokenizers import Tokenizer
 
 #: str.split() also splits at these; the tokenizer's \s does not.
 _NOT_SPACE = re.compile("[\x1c-\x1f]")
+#: Latin letters that are letters in any form, and ASCII punctuation after them.
+_SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]*)")
 #: Stands between words encoded in one call; words that hold it go alone.
 _MARK = "\x00"
 
+def byte_symbols() -> dict[int, str]:
+    """The letters that byte-level vocabularies write bytes as: printable
+    Latin-1 characters stand for themselves, the other bytes, in order, for
+    the characters from U+0100 on."""
+    own = [*range(ord("!"), ord("~") + 1), *range(ord("¡"), ord("¬") + 1), *range(ord("®"), ord("ÿ") + 1)]
+    rest = [b for b in range(256) if b not in own]
+    return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
+_SYMBOLS = byte_symbols()
 _ENCODERS: dict[str, "WordEncoder"] = {}
 
 
@@ -34,6 +46,13 @@ class WordEncoder:
         self._max_chars = max_chars
         self._known: dict[str, bytes] = {}
         self._chars = 0
+        # The short way must agree with the tokenizer, or it is not taken.
+        self._simple = _SIMPLE.fullmatch
+        probes = ["Word", "ÜBER,", "étéß!?", "it's", "don't", "El-Niño", "a...", "x'"]
+        agree = all(self._piece(m[1].lower()) + (self._piece(m[2]) if m[2] else b"") == self._ids([w])[0].tobytes()
+                    for w in probes if (m := self._simple(w)))
+        if not agree:
+            self._simple = lambda w: None
         mark = self._ids([_MARK])[0]
         self._mark = mark[0] if len(mark) == 1 else None
 
@@ -43,22 +62,29 @@ class WordEncoder:
     def _learn(self, words: set[str]) -> set[str]:
         """Remembers the ids of ``words``; returns all that it remembered.
 
-        In ASCII, a run of punctuation after a letter or digit is a piece of its
-        own and case is dropped, so "Word," has the ids of "word" and of ","."""
-        parts, need = [], set()
+        Letters with punctuation after them are two pieces, and their case is
+        dropped: such words go straight to the vocabulary's model, one piece at
+        a time.  All others take the tokenizer's whole way."""
+        known, rest, extra = self._known, [], set()
         for w in words:
-            core = w.rstrip(string.punctuation)
-            if len(core) < len(w) and core and w.isascii() and core[-1].isalnum():
-                parts.append((w, core.lower(), w[len(core):]))
-            else:
-                need.add(w)
-        need.update(p[1] for p in parts)
-        need.update(p[2] for p in parts)
-        need.difference_update(self._known)
-        self._encode_words(list(need))
-        for w, core, tail in parts:
-            self._known[w] = self._known[core] + self._known[tail]
-        return need.union(words)
+            m = self._simple(w)
+            if m is None:
+                rest.append(w)
+                continue
+            ids = []
+            for piece in (m[1].lower(), m[2]):
+                raw = known.get(piece) if piece else b""
+                if raw is None:
+                    raw = known[piece] = self._piece(piece)
+                    extra.add(piece)
+                ids.append(raw)
+            known[w] = ids[0] + ids[1]
+        self._encode_words(rest)
+        return extra.union(words)
+
+    def _piece(self, piece: str) -> bytes:
+        symbols = piece if piece.isascii() else "".join(map(_SYMBOLS.__getitem__, piece.encode()))
+        return array("I", [t.id for t in self._tok.model.tokenize(symbols)]).tobytes()
 
     def _encode_words(self, words: list[str]) -> None:
         plain = [w for w in words if _MARK not in w] if self._mark is not None else []

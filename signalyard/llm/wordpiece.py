@@ -16,21 +16,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from signalyard.llm.common import text_or_empty
-from signalyard.llm.tokens import slices
+from signalyard.llm.tokens import byte_symbols, slices
 
 _SCHEMA = T.StructType([T.StructField(n, T.LongType()) for n in ("doc_id", "n_words", "n_pieces")])
 _AUTOMATA: dict[str, "Automaton"] = {}
 
 
-def byte_symbols() -> dict[int, str]:
-    """The letters that byte-level vocabularies write bytes as: printable
-    Latin-1 characters stand for themselves, the other bytes, in order, for
-    the characters from U+0100 on."""
-    own = [*range(ord("!"), ord("~") + 1), *range(ord("¡"), ord("¬") + 1), *range(ord("®"), ord("ÿ") + 1)]
-    rest = [b for b in range(256) if b not in own]
-    return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(rest)}
-
-
 class Automaton:
     """``pieces``: the vocabulary, as byte strings; a piece that begins a word
     begins with a space.  Every single byte must be a piece, so that each word
