@@ -253,7 +253,8 @@ def _settle(docs: DataFrame, members: DataFrame, threshold: float) -> DataFrame:
 
 
 def near_classes(docs: DataFrame, threshold: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """doc_id, class_id, class_size of every row of ``docs`` (and row, its number).
+    """doc_id, class_id, class_size, kept of every row of ``docs`` (and row, its
+    number in the order of ``docs``); the first row of a class is kept.
 
     Rows whose bags are alike, directly or over others, have one class; its id is
     the smallest doc_id of it.  Texts of the same words are one class without a
@@ -273,4 +274,5 @@ def near_classes(docs: DataFrame, threshold: float = SIMILARITY, bands: int = BA
         "words_sha", F.coalesce("label", "first").alias("label"))
     told = cut(table.select("row", "doc_id", "words_sha").join(cut(named), "words_sha").drop("words_sha"))
     classes = cut(told.groupBy("label").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size")))
-    return told.join(classes, "label").select("doc_id", "class_id", "class_size", "row")
+    return told.join(classes, "label").select(
+        "doc_id", "class_id", "class_size", (F.col("row") == F.col("label")).alias("kept"), "row")

@@ -33,3 +33,12 @@ def text_or_empty(name: str = "text") -> Column:
 def parts_for(n: int, per_part: int) -> int:
     """How many parts of about ``per_part`` items hold ``n`` items."""
     return max(1, -(-int(n) // int(per_part)))
+
+
+#: The columns of ``documents``.
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def numbered(docs: DataFrame) -> DataFrame:
+    """The columns of ``documents`` and row, each row's number in ``docs``."""
+    return docs.select(*COLUMNS, F.monotonically_increasing_id().alias("row"))

@@ -89,18 +89,20 @@ def identities(docs: DataFrame, block_chars: int = BLOCK_CHARS,
 
 def exact_groups(docs: DataFrame, block_chars: int = BLOCK_CHARS,
                  alias: Callable[[Column], Column] = F.xxhash64) -> DataFrame:
-    """One row per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256.
+    """One row per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256
+    (and row, its number in the order of ``docs``).
 
     Texts are equal if identical; a null text counts as empty.  Of equal texts
     the row with the largest doc_id stays (null is the smallest; of repeated
     rows of one doc_id, exactly one).  An empty table gives no rows; other
     columns of ``docs`` are not read.  The join of the rows to their groups is
     a plain join of two written tables, which Spark splits where a group of
-    copies is large."""
+    copies is large.  ``docs`` is read twice and must give its rows in the same
+    order, as a table does."""
     rows, names = identities(docs, block_chars, alias)
     named = cut(rows.join(names, "row"))
     groups = cut(named.groupBy("n_blocks", "name").agg(
         F.max(F.struct("doc_id", "row")).alias("keep"), F.count(F.lit(1)).alias("group_size")))
     return named.join(groups, ["n_blocks", "name"]).select(
         "doc_id", F.col("keep.doc_id").alias("keep_id"), "group_size",
-        (F.col("row") == F.col("keep.row")).alias("kept"), "text_sha256")
+        (F.col("row") == F.col("keep.row")).alias("kept"), "text_sha256", "row")

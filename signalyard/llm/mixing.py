@@ -96,7 +96,8 @@ def schedule(sources: DataFrame, block_words: int) -> DataFrame:
 
 
 def mix(docs: DataFrame, block_words: int = BLOCK_WORDS, seed: int = 6) -> DataFrame:
-    """doc_id, size, source_size, target and taken of every row of ``docs``.
+    """doc_id, size, source_size, target and taken of every row of ``docs`` (and
+    row, its number in the order of ``docs``).
 
     size: words of the text (a null text has none).  taken: words of the
     document in the mix, repeats counted; a source's add up to its target,
@@ -132,4 +133,4 @@ def mix(docs: DataFrame, block_words: int = BLOCK_WORDS, seed: int = 6) -> DataF
                          + F.greatest(F.lit(0), F.least(end, first + F.col("part")) - begin))
              .groupBy("row").agg(F.sum("words").cast("long").alias("taken")))
     return placed.join(taken, "row", "left").select(
-        "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0).cast("long")).alias("taken"))
+        "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0).cast("long")).alias("taken"), "row")

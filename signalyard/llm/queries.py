@@ -6,7 +6,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from signalyard.llm import bagminhash, common, exact_dedup, fingerprint, mixing, packing, secret_scan, token_index, toxicity, wordpiece
+from signalyard.llm import bagminhash, common, exact_dedup, fingerprint, mixing, packing, secret_scan, token_index, toxicity, warc, wordpiece
 
 WORD_BPE = "word_bpe_49k.json"
 BYTE_BPE = "byte_bpe_50k.json"
@@ -28,6 +28,11 @@ def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.report(common.documents(spark, sf_dir), common.shared_path(spark, "secret-ledger"))
 
 
+def op4_warc_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as two WARC replicas, one of them damaged, and audited."""
+    return warc.audited_copy(spark.read.parquet(f"{sf_dir}/pages.parquet"), common.shared_path(spark, "warc"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every text by a grammar learned outside the held-out fold."""
     return toxicity.report(common.documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
@@ -35,12 +40,12 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed to source weights 1, 2, 3."""
-    return mixing.mix(common.documents(spark, sf_dir))
+    return mixing.mix(common.documents(spark, sf_dir)).drop("row")
 
 
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of identical texts."""
-    return exact_dedup.exact_groups(common.documents(spark, sf_dir))
+    return exact_dedup.exact_groups(common.documents(spark, sf_dir)).drop("row")
 
 
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,8 +64,8 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_best_fit_packing, op2_token_files, op3_secret_scans, op5_toxicity, op6_source_mix,
-    op7_exact_dedup, op8_token_counts, op9_near_dedup, op10_fingerprints,
+    op1_best_fit_packing, op2_token_files, op3_secret_scans, op4_warc_audit, op5_toxicity,
+    op6_source_mix, op7_exact_dedup, op8_token_counts, op9_near_dedup, op10_fingerprints,
 )}
 
 ORACLE: dict[str, str] = {

@@ -14,18 +14,17 @@ compares the fingerprint, and then reads the document's ids alone."""
 
 from __future__ import annotations
 
-import posixpath
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from signalyard.llm.common import cut, parts_for, text_or_empty
+from signalyard.llm.files import WholeFile, open_store, uri
 from signalyard.llm.tokens import encoder, slices
 
 #: Text bytes a shard is made from, and keys in an index part.
@@ -41,36 +40,6 @@ _PLACE = T.StructType([T.StructField(n, T.LongType()) for n in ("doc_id", "nth",
 _READ = T.StructType([T.StructField(n, T.LongType()) for n in ("doc_id", "start", "n_tokens", "ids_crc32")])
 
 
-# -- files in any store that Arrow reads -------------------------------------
-
-def _open(path: str) -> tuple[pafs.FileSystem, str]:
-    return pafs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else f"file://{path}")
-
-
-def _uri(path: str) -> str:
-    """file:/a (as Hadoop writes it) as file:///a."""
-    return "file://" + path[len("file:"):] if path.startswith("file:/") and not path.startswith("file://") else path
-
-
-class _Whole:
-    """A file that appears under its name only once it is complete; a task that
-    is run again replaces it with the same bytes."""
-
-    def __init__(self, path: str):
-        self._fs, self._path = _open(path)
-        context = TaskContext.get()
-        self._part = f"{self._path}.{context.taskAttemptId() if context else 0}.part"
-        self._fs.create_dir(posixpath.dirname(self._path), recursive=True)
-        self._out = self._fs.open_output_stream(self._part)
-
-    def write(self, data: bytes) -> None:
-        self._out.write(data)
-
-    def close(self) -> None:
-        self._out.close()
-        self._fs.move(self._part, self._path)
-
-
 # -- minimal perfect hash ----------------------------------------------------
 
 def _mix(x: np.ndarray, seed: int) -> np.ndarray:
@@ -114,7 +83,7 @@ def write_index(path: str, hashes: np.ndarray, records: np.ndarray) -> None:
     """Header, level sizes, then per level its bit words and their ranks, then
     the records by value."""
     levels, values = build(hashes)
-    out = _Whole(path)
+    out = WholeFile(path)
     out.write(np.array([_MAGIC, len(hashes), len(levels), *map(len, levels)], "<u8").tobytes())
     base = 0
     for bits in levels:
@@ -132,7 +101,7 @@ class Index:
     """One index file.  find() reads a few words of it per key."""
 
     def __init__(self, path: str):
-        fs, path = _open(path)
+        fs, path = open_store(path)
         self._file = fs.open_input_file(path)
         magic, self._n, n_levels = np.frombuffer(self._file.read_at(24, 0), "<u8").tolist()
         if magic != _MAGIC:
@@ -200,7 +169,7 @@ class Store:
     shards and index parts."""
 
     def __init__(self, path: str, width: int, shards: int, parts: int):
-        self.path, self.width, self.shards, self.parts = _uri(path), width, shards, parts
+        self.path, self.width, self.shards, self.parts = uri(path), width, shards, parts
 
     def shard(self, k: int) -> str:
         return f"{self.path}/shard-{k:05d}.ids"
@@ -227,7 +196,7 @@ def write_store(docs: DataFrame, path: str, vocabulary: str, end_id: int, shard_
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = TaskContext.get().partitionId()
-        out, enc = _Whole(store.shard(shard)), encoder(vocabulary)
+        out, enc = WholeFile(store.shard(shard)), encoder(vocabulary)
         end = np.array([end_id], "<u4").tobytes()
         at, last, nth = 0, (), 0
         for batch in batches:
@@ -314,7 +283,7 @@ def read_documents(places: DataFrame, store: Store) -> DataFrame:
             crcs = []
             for k, offset, length in frame[["shard", "offset", "length"]].itertuples(index=False):
                 if k != shard:
-                    fs, path = _open(store.shard(int(k)))
+                    fs, path = open_store(store.shard(int(k)))
                     shard, file = k, fs.open_input_file(path)
                 raw = file.read_at(int(length) * store.width, int(offset) * store.width)
                 crcs.append(zlib.crc32(np.frombuffer(raw, f"<u{store.width}").astype("<u4").tobytes()))
@@ -330,7 +299,7 @@ def lookup(store: Store, doc_id: int | None, nth: int = 0) -> np.ndarray | None:
     record = Index(store.index(int(_part_of(one, store.parts)[0]))).find(int(one[0]))
     if record is None:
         return None
-    fs, path = _open(store.shard(int(record["shard"])))
+    fs, path = open_store(store.shard(int(record["shard"])))
     raw = fs.open_input_file(path).read_at(int(record["length"]) * store.width, int(record["offset"]) * store.width)
     return np.frombuffer(raw, f"<u{store.width}").astype("<u4")
 

@@ -47,4 +47,4 @@ def test_blocks_that_share_an_alias_stay_apart(spark):
 def test_empty_table(spark):
     df = exact_groups(docs(spark, []))
     assert df.count() == 0
-    assert df.columns == ["doc_id", "keep_id", "group_size", "kept", "text_sha256"]
+    assert df.columns == ["doc_id", "keep_id", "group_size", "kept", "text_sha256", "row"]

@@ -47,7 +47,7 @@ def check(spark, rows, block):
     for r in got:
         if r.size:
             assert r.taken >= r.size * int((goal[source[r.doc_id]] + 0.5) // sizes[source[r.doc_id]])
-    assert sorted(map(tuple, mix(df, block).collect()), key=str) == sorted(map(tuple, got), key=str)
+    assert sorted((tuple(r)[:5] for r in mix(df, block).collect()), key=str) == sorted((tuple(r)[:5] for r in got), key=str)
 
 
 @pytest.mark.parametrize("block", [1, 50, 1024])
