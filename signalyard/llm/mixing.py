@@ -23,7 +23,7 @@ _ONE = 1 << 31
 _STEP = 1327217885
 #: Slots ranked together, documents placed together.
 _CHUNK_SLOTS = 8192
-_BUCKET_DOCS = 4096
+_BUCKET_DOCS = 1024
 
 
 def n_words(text: Column) -> Column:
