@@ -113,7 +113,7 @@ def keep_article(url, text) -> Column:
     return (F.coalesce(_c(url) != F.lit(REMOVED_URL), F.lit(True))) & _c(text).isNotNull()
 
 
-def api_news_rows(df, text_col: str = "text", date_col: str = "publish_date"):
-    """PRJ18: project news-API rows to the lake item shape (``data``,
+def api_news_rows(df, url_col: str = "url", text_col: str = "text", date_col: str = "publish_date"):
+    """PRJ17 + PRJ18: the articles to keep, in the lake item shape (``data``,
     ``date``)."""
-    return df.select(F.col(text_col).alias("data"), F.col(date_col).alias("date"))
+    return df.filter(keep_article(url_col, text_col)).select(F.col(text_col).alias("data"), F.col(date_col).alias("date"))

@@ -28,8 +28,11 @@ from pyspark.sql import types as T
 
 from ..operators.intervals import assign_intervals
 from ..schemas import FEATURES
+from ..session import materialise
 
 RIDGE = 1e-6
+#: Intervals whose statistics the driver takes: 1,300 years of 5-day intervals.
+MAX_INTERVALS = 100_000
 
 COEF_SCHEMA = T.StructType(
     [T.StructField("interval", T.LongType()), T.StructField("the_date", T.StringType()),
@@ -45,9 +48,21 @@ def _design(df: DataFrame, features: list[str], target: str) -> DataFrame:
                      z(target).alias("_y"))
 
 
-def interval_stats(df: DataFrame, features: list[str], target: str) -> DataFrame:
-    """Per-interval sufficient statistics of the augmented design [1, x]."""
+def overall_means(df: DataFrame, features: list[str], target: str) -> dict[str, float]:
+    """One constant per design column (its mean), to subtract before squares are
+    summed: prices near 10,000 would otherwise cancel most digits."""
+    names = [f"_x{i}" for i in range(len(features))] + ["_y"]
+    row = _design(df, features, target).agg(*[F.avg(c).alias(c) for c in names]).first()
+    return {c: float(row[c] or 0.0) for c in names}
+
+
+def interval_stats(df: DataFrame, features: list[str], target: str,
+                   shifts: dict[str, float] | None = None) -> DataFrame:
+    """Per-interval sufficient statistics of the augmented design [1, x], each
+    column less its shift."""
     d = _design(df, features, target)
+    for c, shift in (shifts or {}).items():
+        d = d.withColumn(c, F.col(c) - F.lit(shift))
     xs = [F.lit(1.0)] + [F.col(f"_x{i}") for i in range(len(features))]
     aggs = [F.count(F.lit(1)).alias("n")]
     p = len(xs)
@@ -82,7 +97,12 @@ def fit_walk_forward(frame: DataFrame, origin: str | None = None, target: str =
     table (COEF_SCHEMA)."""
     spark = frame.sparkSession
     rows = assign_intervals(frame, origin)
-    stats = interval_stats(rows, features, target).orderBy("interval").collect()
+    shifts = overall_means(rows, features, target)
+    shift_x, shift_y = np.array([shifts[f"_x{i}"] for i in range(len(features))]), shifts["_y"]
+    # one row per interval that has rows
+    stats = interval_stats(rows, features, target, shifts).orderBy("interval").limit(MAX_INTERVALS + 1).collect()
+    if len(stats) > MAX_INTERVALS:
+        raise ValueError(f"more than {MAX_INTERVALS} intervals; is there a wrong date?")
     p = len(features) + 1
     G_run, b_run = np.zeros((p, p)), np.zeros(p)
     out = []
@@ -100,8 +120,9 @@ def fit_walk_forward(frame: DataFrame, origin: str | None = None, target: str =
         w = _solve(Gf, bf, ridge)
         sse = r["yy"] - 2 * w @ b + w @ G @ w
         loss = max(float(sse), 0.0) / r["n"]
+        weights = dict(zip(features, w[1:]))
         out.append((int(r["interval"]), r["interval_end"].isoformat(), int(r["n"]),
-                    float(w[0]), *[float(x) for x in w[1:]], loss))
+                    float(w[0] + shift_y - w[1:] @ shift_x), *[float(weights.get(c, 0.0)) for c in FEATURES], loss))
     return spark.createDataFrame(out, COEF_SCHEMA)
 
 
@@ -122,9 +143,13 @@ def fit_and_score(frame: DataFrame, origin: str | None = None, target: str = "op
     model.  Returns (predictions, model log): predictions carry
     ``record_date`` (date_start as 'yyyy-MM-dd'), ``interval`` and
     ``predicted_open``; the log has (the_date, loss) with the loss the
-    MSE of those predictions (AGG10)."""
+    MSE of those predictions (AGG10).  The frame's columns that are needed are
+    written once for the statistics and the scores."""
+    needed = dict.fromkeys(["date_start", "date_end", *features, target])
+    frame = materialise(frame.select(*needed), "model-frame")
     coef = fit_walk_forward(frame, origin, target, features, ridge)
     rows = assign_intervals(frame, origin)
+    # one row per interval, at most MAX_INTERVALS
     scored = rows.join(F.broadcast(coef.drop("n_rows", "train_loss")), "interval") \
         .withColumn("predicted_open", prediction("", features))
     preds = scored.select(F.date_format(F.col("date_start"), "yyyy-MM-dd").alias("record_date"),
@@ -136,6 +161,15 @@ def fit_and_score(frame: DataFrame, origin: str | None = None, target: str = "op
     return preds.drop("actual"), log
 
 
+def lead_target(frame: DataFrame, stock: DataFrame, steps: int = 1, step: str = "1 hour",
+                name: str = "target") -> DataFrame:
+    """ML2 option ``target_lead``: the frame's rows with the opening price of
+    the candle ``steps`` later as ``name``, so that a model predicts it rather
+    than copies its own input; rows without such a candle are left out."""
+    ahead = stock.select((F.col("ctm") - steps * F.expr(f"INTERVAL {step}")).alias("ctm"), F.col("open").alias(name))
+    return frame.join(ahead, "ctm")
+
+
 def latest_model(coef: DataFrame) -> DataFrame:
     """SRT2/ML6: the model with the largest ``the_date`` (one row)."""
     return coef.orderBy(F.col("the_date").desc()).limit(1)
@@ -157,14 +191,16 @@ def score_with(df: DataFrame, model: DataFrame, features: list[str] = FEATURES,
 
 
 def save_model(coef: DataFrame, registry: str) -> None:
-    """ML6: append models to the registry table (one row per interval end)
-    - the log (the_date, loss) is a projection of the same table."""
-    coef.write.mode("append").parquet(registry)
+    """ML6: upsert models by ``the_date`` (SNK4): one row per interval end, the
+    newest save in place of an older one - the log (the_date, loss) is a
+    projection of the same table."""
+    from ..sinks.tables import upsert
+    upsert(coef.sparkSession, coef, registry, ["the_date"])
 
 
 def load_registry(spark: SparkSession, registry: str) -> DataFrame:
-    from ..sinks.tables import read_table
-    return read_table(spark, registry, COEF_SCHEMA)
+    from ..sinks.tables import read_versioned
+    return read_versioned(spark, registry, COEF_SCHEMA)
 
 
 def require_model(spark: SparkSession, registry: str) -> DataFrame:

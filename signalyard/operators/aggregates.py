@@ -67,27 +67,6 @@ def tail_summary(df: DataFrame, order: list[Column], mean_cols: list[str],
                     *[F.median(F.col(c).cast("double")).alias(c) for c in median_cols])
 
 
-def extremes(df: DataFrame, start: str = "date_start", end: str = "date_end") -> DataFrame:
-    """AGG6: ``min(date_start)``, ``max(date_end)``."""
-    return df.agg(F.min(start).alias("min_start"), F.max(end).alias("max_end"))
-
-
-def windowed_lists(df: DataFrame, time_col: str, item: Column | str, name: str,
-                   duration: str, slide: str) -> DataFrame:
-    """AGG7/STM2: ``collect_list`` per sliding window.  The list per
-    window is the operator's output (a window's rows, as the reference
-    publishes them); it is sorted so the result is deterministic."""
-    it = F.col(item) if isinstance(item, str) else item
-    return df.groupBy(F.window(time_col, duration, slide).alias("window")) \
-        .agg(F.sort_array(F.collect_list(it)).alias(name))
-
-
-def payload_size(arr) -> Column:
-    """AGG8: record count of an envelope payload (null array -> 0)."""
-    a = F.col(arr) if isinstance(arr, str) else arr
-    return F.when(a.isNull(), F.lit(0)).otherwise(F.size(a)).cast("long")
-
-
 def argmax_label(neg, neu, pos) -> Column:
     """AGG9: label of the largest of the three scores; ties resolve to the
     first in the order neg, neu, pos (Python ``max`` over a dict)."""
@@ -98,16 +77,3 @@ def argmax_label(neg, neu, pos) -> Column:
 def distinct_days(df: DataFrame, col: str = "date_start") -> DataFrame:
     """AGG11: distinct 'yyyy-MM-dd' values, sorted."""
     return df.select(F.date_format(F.col(col), "yyyy-MM-dd").alias("day")).distinct().orderBy("day")
-
-
-def latest_value(df: DataFrame, key: str, by: list[str] | None = None, name: str | None = None) -> DataFrame:
-    """SRT1: latest cursor = max of ``key`` (string order, as the
-    reference's sort) per group; an empty input gives null (no group) or
-    no rows (grouped)."""
-    out = F.max(key).alias(name or key)
-    return df.groupBy(*by).agg(out) if by else df.agg(out)
-
-
-def latest_row(df: DataFrame, key: str, cols: list[str]) -> DataFrame:
-    """SRT2: the row with the largest ``key`` (``max_by``), one row."""
-    return df.agg(*[F.max_by(c, key).alias(c) for c in cols], F.max(key).alias(key))

@@ -23,7 +23,6 @@ from pyspark.sql import functions as F
 
 from ..functions.text import feed_kind
 from ..schemas import BATCH_LIMITS
-from .joins import bounded_broadcast
 
 
 def group_row_numbers(df: DataFrame, group: str, order: list[str], out: str = "rn",
@@ -43,8 +42,8 @@ def group_row_numbers(df: DataFrame, group: str, order: list[str], out: str = "r
                                   F.lit(0)).alias("_off"),
                        F.sum("_cnt").over(w.rowsBetween(Window.unboundedPreceding,
                                                         Window.unboundedFollowing)).alias("_group_n"))
-    # runs holds at most partitions + groups rows; broadcast once proven.
-    j = tagged.join(bounded_broadcast(runs), ["_pid", group])
+    # runs holds at most partitions + groups rows
+    j = tagged.join(runs, ["_pid", group])
     return j.withColumn(out, F.col("_off") + F.col("_mid") - F.col("_first") + 1) \
         .drop("_pid", "_mid", "_first", "_off")
 
@@ -54,10 +53,12 @@ def count_batches(messages: DataFrame, order: list[str], source: str = "source",
     """WIN1 + STR5 (Q14 KEEP: the threshold counts messages): every N-th
     message of a source closes a batch, N by the feed kind; messages of
     the last, incomplete batch stay buffered and are not returned.  Adds
-    ``batch_id`` (0-based) and ``batch_limit``."""
+    ``batch_id`` (0-based) and ``batch_limit``.  Pass narrow rows (keys,
+    counts): they are sorted and checkpointed whole.  A feed kind without a
+    batch size is an error."""
     lim = F.create_map(*[x for kv in limits.items() for x in (F.lit(kv[0]), F.lit(kv[1]))])
-    m = messages.withColumn("batch_limit", F.coalesce(F.try_element_at(lim, feed_kind(source)),
-                                                      F.lit(1)))
+    unknown = F.raise_error(F.concat(F.lit("no batch size for feed "), F.coalesce(F.col(source), F.lit("null"))))
+    m = messages.withColumn("batch_limit", F.coalesce(F.try_element_at(lim, feed_kind(source)), unknown.cast("int")))
     r = group_row_numbers(m, source, order)
     bid = F.floor((F.col("rn") - 1) / F.col("batch_limit"))
     full = F.floor(F.col("_group_n") / F.col("batch_limit"))

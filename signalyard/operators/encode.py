@@ -1,59 +1,45 @@
 """ENC1/ENC2: label encoding = position of the value among the sorted
 distinct values (0..n-1), as scikit-learn's ``LabelEncoder`` does.
 
-The distinct set is computed with a partial aggregate (one row per value
-per task before the shuffle).  When it is proven small (``max_labels``,
-probed with a limit) it is numbered and broadcast; otherwise it is range-sorted,
-checkpointed to the shared checkpoint folder (so the numbering is fixed
-even if a task is recomputed), and each value's code is its partition's
-offset plus its position within the partition - the offsets table has
-one row per partition, so that broadcast is bounded too."""
+The distinct set (a partial aggregate: one row per value per task before
+the shuffle) is range-sorted and checkpointed to the shared checkpoint
+folder, so the numbering is fixed even if a task is recomputed; a value's
+code is its partition's offset plus its position within the partition.  The
+code table is written, so Spark knows its size when it plans the join."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from ..session import ensure_checkpoint_dir, materialise
 
-DEFAULT_MAX_LABELS = 100_000
 
-
-def label_codes(values: DataFrame, col: str, out: str, max_labels: int = DEFAULT_MAX_LABELS,
-                partitions: int | None = None) -> tuple[DataFrame, bool]:
-    """Code table (col, out) for the distinct non-null values of ``col``,
-    and whether it is proven to hold at most ``max_labels`` rows."""
+def label_codes(values: DataFrame, col: str, out: str, partitions: int | None = None) -> DataFrame:
+    """Code table (col, out) for the distinct non-null values of ``col``."""
     # No predicate on the value column before the distinct: Catalyst would
     # push it below the projection that computes the value and inline the
-    # (possibly expensive) expression into the filter; nulls are dropped
-    # from the probed set instead.
+    # (possibly expensive) expression into the filter.
+    spark = values.sparkSession
+    ensure_checkpoint_dir(spark)
     distinct = values.select(col).distinct()
-    # One job: fetch at most max_labels + 2 distinct values (null counts
-    # as one).  Within the bound the set is numbered in sorted order
-    # (Python's str order is code-point order, the same as Spark's UTF-8
-    # byte order) and returned as a small frame for broadcasting.
-    probe = [r[0] for r in distinct.limit(max_labels + 2).collect() if r[0] is not None]
-    if len(probe) <= max_labels:
-        field = values.schema[col]
-        schema = T.StructType([T.StructField(col, field.dataType), T.StructField(out, T.LongType())])
-        rows = list(zip(sorted(probe), range(len(probe))))
-        return values.sparkSession.createDataFrame(rows, schema), True
-    n = partitions or int(values.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranked = distinct.where(F.col(col).isNotNull()).repartitionByRange(n, col).sortWithinPartitions(col) \
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranked = distinct.repartitionByRange(n, F.col(col).asc_nulls_last()) \
+        .sortWithinPartitions(F.col(col).asc_nulls_last()) \
         .select(col, F.spark_partition_id().alias("_pid"),
                 F.monotonically_increasing_id().alias("_mid")).checkpoint(eager=True)
-    sizes = ranked.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = sizes.select("_pid", (F.sum("_n").over(Window.orderBy("_pid")
-                                                     .rowsBetween(Window.unboundedPreceding, -1)))
-                           .alias("_off"))
-    offsets = offsets.fillna(0, ["_off"])
-    j = ranked.join(F.broadcast(offsets), "_pid")
-    pos = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)
-    return j.select(col, (F.col("_off") + pos).alias(out)), False
+    # one row per partition
+    sizes = ranked.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
+    offsets = sizes.select("_pid", "_first", F.coalesce(
+        F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+    j = ranked.join(offsets, "_pid")
+    codes = j.where(F.col(col).isNotNull()).select(
+        col, (F.col("_off") + F.col("_mid") - F.col("_first")).cast("long").alias(out))
+    return materialise(codes, "label-codes")
 
 
 def label_encode(df: DataFrame, col: str, out: str | None = None, missing_as: str | None = None,
-                 max_labels: int = DEFAULT_MAX_LABELS, codes_from: DataFrame | None = None) -> DataFrame:
+                 codes_from: DataFrame | None = None) -> DataFrame:
     """ENC1 (``missing_as=None``: nulls stay null) and ENC2
     (``missing_as="nan"``: nulls become that category first, as
     ``astype(str)`` does).  ``codes_from`` fits the codes on another frame
@@ -66,11 +52,8 @@ def label_encode(df: DataFrame, col: str, out: str | None = None, missing_as: st
         return d.withColumn(col, F.coalesce(F.col(col).cast("string"), F.lit(missing_as)))
     src = prep(df)
     fit = prep(codes_from.select(col)) if codes_from is not None else src
-    codes, small = label_codes(fit, col, "_code", max_labels)
-    codes = codes.withColumnRenamed(col, "_key")
-    if small:
-        codes = F.broadcast(codes)
-    res = src.join(codes, F.col(col).eqNullSafe(F.col("_key")), "left").drop("_key")
+    codes = label_codes(fit, col, "_code").withColumnRenamed(col, "_key")
+    res = src.join(codes, F.col(col) == F.col("_key"), "left").drop("_key")
     if out == col:
         return res.drop(col).withColumnRenamed("_code", col)
     return res.withColumnRenamed("_code", out)

@@ -1,15 +1,11 @@
-"""Joins: JN1-JN7 plus the two strategies they share.
-
-* ``bounded_broadcast`` - broadcast a side only after proving it holds at
-  most ``max_rows`` rows (a ``limit(max_rows+1).count()`` probe, which
-  stops reading early); otherwise leave it to the shuffle join.
-* ``salted_join`` - spread a hot join key over ``salt`` tasks by
-  replicating the (smaller) right side ``salt`` times.  Used when one day
-  may hold a third of all rows and the other side is too big to
-  broadcast.  AQE's skew split is on as well, but it only splits
-  sort-merge joins on the streamed side, so an explicit salt keeps the
-  plan safe when AQE is off or the skew is below its threshold.
-"""
+"""Joins: JN1-JN7.
+
+Nothing here looks at sizes: a plain equi-join lets Spark broadcast a side
+that is small (by the size of its files, or by what its stage wrote) and
+split a day that holds a third of all rows (AQE skew join).  Sides that are
+one or a few rows per day are written once by their callers
+(``session.materialise``), so their size is known when the plan is made.
+``salted_join`` spreads a hot key where AQE is off."""
 
 from __future__ import annotations
 
@@ -18,48 +14,27 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_BROADCAST_ROWS = 1_000_000
-
-
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has no more than ``max_rows`` rows (early-stopping
-    probe; never counts a large side in full).  A stream has no bound."""
-    if df.isStreaming:
-        return False
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint when the size bound is proven, else ``df`` as is."""
-    return F.broadcast(df) if has_at_most(df, max_rows) else df
-
 
 def salted_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner",
                 salt: int = 16) -> DataFrame:
     """Equi-join on ``keys`` with the left side salted: each left row gets a
-    random salt in [0, salt), each right row is copied once per salt
-    value.  Only valid for ``inner`` and ``left`` joins (right rows are
+    salt in [0, salt) from a hash of its other columns (so that a task that is
+    run again deals its rows the same way), each right row is copied once per
+    salt value.  Only valid for ``inner`` and ``left`` joins (right rows are
     replicated, so a right/full join would duplicate unmatched rights)."""
     if how not in ("inner", "left", "left_outer"):
         raise ValueError("salted_join supports inner and left joins only")
     if salt <= 1:
         return left.join(right, keys, how)
-    l2 = left.withColumn("_salt", (F.rand(seed=17) * salt).cast("int"))
+    l2 = left.withColumn("_salt", F.pmod(F.xxhash64(*left.columns), F.lit(salt)).cast("int"))
     r2 = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
     return l2.join(r2, keys + ["_salt"], how).drop("_salt")
 
 
 def join_on_dates(left: DataFrame, right: DataFrame, keys=("date_start", "date_end"),
-                  how: str = "inner", max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-                  salt: int = 16) -> DataFrame:
-    """JN1/JN2: equi-join two feeds on their date range.  The right side
-    (weather: one row per day; candles: 24 per day) is broadcast when its
-    size is proven small; otherwise the join is salted so a hot day is
-    split over ``salt`` tasks."""
-    keys = list(keys)
-    if has_at_most(right, max_broadcast_rows):
-        return left.join(F.broadcast(right), keys, how)
-    return salted_join(left, right, keys, how, salt)
+                  how: str = "inner") -> DataFrame:
+    """JN1/JN2: equi-join two feeds on their date range."""
+    return left.join(right, list(keys), how)
 
 
 def full_outer_on(left: DataFrame, right: DataFrame, keys: list[str],
@@ -111,27 +86,23 @@ def with_defaults(requests: DataFrame, means: DataFrame, columns: list[str]) ->
                                  F.lit(0.0)).alias(c) for c in columns])
 
 
-def full_outer_bounded(big: DataFrame, small: DataFrame, keys: list[str],
-                       max_small_rows: int = DEFAULT_BROADCAST_ROWS,
-                       null_safe: bool = False) -> DataFrame:
-    """JN3 for a side of proven size (weather: one row per day, candles:
-    24 per day): ``big LEFT JOIN broadcast(small)`` plus the ``small`` rows
-    whose key does not occur in ``big``.  Equal to a full outer join, but
-    the big side is never shuffled, so a day holding a third of all rows
-    stays spread over the tasks that read it.  Falls back to the shuffled
-    full outer join when the bound does not hold."""
-    if not has_at_most(small, max_small_rows):
-        return full_outer_on(big, small, keys, null_safe)
-    b = F.broadcast(small)
-    if null_safe:
-        rk = {k: f"_r_{k}" for k in keys}
-        r = small.select(*[F.col(c).alias(rk.get(c, c)) for c in small.columns])
-        cond = reduce(lambda a, c: a & c, [F.col(k).eqNullSafe(F.col(rk[k])) for k in keys])
-        left = big.join(F.broadcast(r), cond, "left").drop(*rk.values())
-        bk = big.select(*[F.col(k).alias(rk[k]) for k in keys]).distinct()
-        cond2 = reduce(lambda a, c: a & c, [F.col(k).eqNullSafe(F.col(rk[k])) for k in keys])
-        only_small = small.join(bk, cond2, "left_anti")
-    else:
-        left = big.join(b, keys, "left")
-        only_small = small.join(big.select(*keys).distinct(), keys, "left_anti")
-    return left.unionByName(only_small, allowMissingColumns=True)
+def full_outer_split(big: DataFrame, small: DataFrame, keys: list[str],
+                     null_safe: bool = False, big_keys: DataFrame | None = None) -> DataFrame:
+    """JN3 for keys that repeat much on one side (many articles a day): ``big
+    LEFT JOIN small`` plus the ``small`` rows whose key does not occur in
+    ``big``.  Equal to a full outer join, which Spark cannot split on a hot
+    key; the left join it can split, or broadcast, and the keys of ``big`` are
+    de-duplicated before they are shuffled (``big_keys`` hands them in where
+    the caller has them already)."""
+    if big_keys is None:
+        big_keys = big.select(*keys).distinct()
+    if not null_safe:
+        left = big.join(small, keys, "left")
+        only_small = small.join(big_keys, keys, "left_anti")
+        return left.unionByName(only_small, allowMissingColumns=True)
+    rk = {k: f"_r_{k}" for k in keys}
+    same = reduce(lambda a, c: a & c, [F.col(k).eqNullSafe(F.col(rk[k])) for k in keys])
+    right = small.select(*[F.col(c).alias(rk.get(c, c)) for c in small.columns])
+    left = big.join(right, same, "left").drop(*rk.values())
+    other = big_keys.select(*[F.col(k).alias(rk[k]) for k in keys])
+    return left.unionByName(small.join(other, same, "left_anti"), allowMissingColumns=True)

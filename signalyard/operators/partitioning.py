@@ -1,33 +1,24 @@
 """Spreading CPU-heavy row work over the available cores.
 
-Text scoring costs a regex scan of every whole text per row.  A large
-lake is read by thousands of scan tasks anyway; a small input can arrive
-as a single Parquet row group, i.e. one task for the whole job.  When the
-input is proven small (an early-stopping row-count probe), it is
-hash-partitioned over the default parallelism by a content hash before
-the expensive projection - a cheap shuffle at that size, and
-deterministic on retry.  Large inputs are left as they are: shuffling
-them would cost far more than it saves."""
+Text scoring costs a regex scan of every whole text per row.  A large lake is
+read by thousands of scan tasks; a table can also arrive in fewer partitions
+than there are cores (Parquet files of one row group each).  ``spread_scan``
+deals such a scan over the cores by a content hash, which is deterministic on
+retry; a scan of enough partitions is left as it is."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .joins import has_at_most
 
-SMALL_INPUT_ROWS = 2_000_000
-
-
-def spread_small(df: DataFrame, key_cols: list[str],
-                 max_rows: int = SMALL_INPUT_ROWS) -> DataFrame:
-    """``df`` hash-partitioned over ``defaultParallelism`` by a hash of
-    ``key_cols`` (the text itself: uniform, deterministic, and it leaves
-    the other columns prunable) when it holds at most ``max_rows`` rows,
-    else unchanged."""
-    if df.isStreaming:
-        return df
-    n = df.sparkSession.sparkContext.defaultParallelism
-    if n <= 1 or not has_at_most(df, max_rows):
-        return df
-    return df.repartition(n, F.xxhash64(*[F.col(c) for c in key_cols]))
+def spread_scan(scan: DataFrame, key_cols: list[str]) -> DataFrame:
+    """``scan`` - a table scan with projections, so that its partitions are
+    known from the files, without a job - in at least as many partitions as
+    there are cores."""
+    if scan.isStreaming:
+        return scan
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    if scan.rdd.getNumPartitions() >= cores:
+        return scan
+    return scan.repartition(cores, F.xxhash64(*[F.col(c) for c in key_cols]))

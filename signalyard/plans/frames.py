@@ -3,8 +3,10 @@ frame, and the feature summaries built on them (PIP6, AGG11).
 
 Shape of the work: the news side is large (one row per article, whole
 text), the weather side holds one row per day and the candle side 24
-rows per day.  Both small sides are broadcast after a size check, so the
-article rows are never shuffled for the joins; the fan-out is
+rows per day.  The small sides and the scored articles are written once to
+the shared folder: each base table is read once, the regex work over whole
+texts runs once, and Spark sees the small sides' sizes and broadcasts them,
+so that the article rows are not shuffled for the joins; the fan-out is
 articles x candles of the same day (linear in articles, the candle count
 per day being bounded by the candle frequency)."""
 
@@ -12,7 +14,6 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,8 +23,9 @@ from ..functions.text import clean_text
 from ..operators.aggregates import distinct_days, tail_summary
 from ..operators.encode import label_encode
 from ..operators.impute import impute_means
-from ..operators.joins import bounded_broadcast, full_outer_bounded, join_on_dates
+from ..operators.joins import full_outer_split, join_on_dates
 from ..operators.text_scoring import with_text_scores
+from ..session import materialise
 from .daily import tag_and_union as tag_news  # noqa: F401  (PRJ11 + SET1)
 
 KEYS = ["date_start", "date_end"]
@@ -53,16 +55,24 @@ def to_numeric(df: DataFrame, columns=Z.NUMERIC_COLUMNS) -> DataFrame:
                        for c in df.columns])
 
 
-def scored_news(news: DataFrame, text_mode: str = "literal", persist: bool = True) -> DataFrame:
+def scored_news(news: DataFrame, text_mode: str = "literal") -> DataFrame:
     """STR1 + TXT1 + TXT2: scores from the intended cleaning of the raw
     text (Q2 FIX), ``data`` cleaned in ``text_mode`` (Q1 KEEP by default).
 
-    The frames built on it run several jobs (the bounded label probe of
-    ENC1, the model statistics, the output), so by default the scored rows
-    are persisted (memory, spilling to disk): the regex work over whole
-    texts runs once.  Lost blocks are recomputed from lineage."""
+    The frames built on it run several jobs (the label codes, the model
+    statistics, the output), so the scored rows are written once."""
     out = with_text_scores(news, "data").withColumn("data", clean_text("data", text_mode))
-    return out.persist(StorageLevel.MEMORY_AND_DISK) if persist else out
+    return materialise(out, "scored-news")
+
+
+def lake_keys(news: DataFrame, normalise: bool) -> DataFrame:
+    """Q6 option: the feed's own 5-minute or day range as the day range that
+    candles and weather have, so that every feed's articles can match."""
+    if not normalise:
+        return news
+    day = F.to_date(F.substring("date_start", 1, 10))
+    return news.withColumn("date_end", F.date_format(F.date_add(day, 1), "yyyy-MM-dd")) \
+        .withColumn("date_start", F.date_format(day, "yyyy-MM-dd"))
 
 
 def truncate_keys(df: DataFrame) -> DataFrame:
@@ -74,15 +84,17 @@ def truncate_keys(df: DataFrame) -> DataFrame:
 
 
 def training_frame_inner(news: DataFrame, weather: DataFrame, stock: DataFrame,
-                         text_mode: str = "literal") -> DataFrame:
-    """PIP4: inner joins on the raw date-range strings (JN1, JN2; Q6 KEEP),
+                         text_mode: str = "literal", normalise_keys: bool = False) -> DataFrame:
+    """PIP4: inner joins on the raw date-range strings (JN1, JN2; Q6 KEEP, or
+    on days with ``normalise_keys``),
     coerced keys (PRJ20), numeric casts (PRJ21), sentiment codes (PRJ22),
     language label codes (ENC1), fixed 16-column projection (PRJ23)."""
+    weather, stock = materialise(weather, "weather"), materialise(stock, "candles")
     # Only articles whose range has both weather and candles can reach the
-    # inner frame: semi-join them to the (bounded) key set first, so text
-    # is scored once per surviving article, before the candle fan-out.
-    day_keys = weather.select(*KEYS).distinct().join(stock.select(*KEYS).distinct(), KEYS)
-    news = news.join(bounded_broadcast(day_keys), KEYS, "left_semi")
+    # inner frame: semi-join them to both first, so text is scored once per
+    # surviving article, before the candle fan-out.
+    news = lake_keys(news, normalise_keys)
+    news = news.join(weather.select(*KEYS), KEYS, "left_semi").join(stock.select(*KEYS), KEYS, "left_semi")
     n = scored_news(news, text_mode)
     j = join_on_dates(n, weather, KEYS, "inner")
     j = join_on_dates(j, stock, KEYS, "inner")
@@ -95,8 +107,9 @@ def training_frame_inner(news: DataFrame, weather: DataFrame, stock: DataFrame,
 
 
 def _outer_join(n: DataFrame, w: DataFrame, s: DataFrame) -> DataFrame:
-    j = full_outer_bounded(n, w, KEYS)
-    j = full_outer_bounded(j, s, KEYS)
+    news_keys = materialise(n.select(*KEYS).distinct(), "news-keys")
+    j = full_outer_split(n, w, KEYS, big_keys=news_keys)
+    j = full_outer_split(j, s, KEYS, big_keys=news_keys.unionByName(w.select(*KEYS)))
     return to_numeric(j.withColumn("sentiment", sentiment_code()))
 
 
@@ -107,7 +120,7 @@ def in_key_range(df: DataFrame, start: str, end: str) -> DataFrame:
 
 
 def training_frame_outer(news: DataFrame, weather: DataFrame, stock: DataFrame,
-                         text_mode: str = "literal", day_keys: bool = True,
+                         text_mode: str = "literal", day_keys: bool = True, key: str = "range",
                          impute: bool = True, key_range: tuple[str, str] | None = None) -> DataFrame:
     """PIP5: full outer joins (JN3) on day-truncated keys (PRJ13; Q7 KEEP),
     numeric casts, sentiment codes, language codes with missing as the
@@ -119,11 +132,19 @@ def training_frame_outer(news: DataFrame, weather: DataFrame, stock: DataFrame,
     outer join, so the range is applied by hand to all three inputs (a
     matched row has the same key on both sides, so this equals filtering
     the joined frame); the language codes and the IMP1 means are still
-    fitted on the unfiltered frame, as the reference does."""
+    fitted on the unfiltered frame, as the reference does.
+
+    ``key="date_start"`` (Q7 option) joins on the start day alone; all rows
+    then end a day after they start, so that the API feeds' 5-minute ranges
+    meet the day ranges of candles and weather."""
     n = scored_news(news, text_mode)
-    w, s = weather, stock
+    w, s = materialise(weather, "weather"), materialise(stock, "candles")
     if day_keys:
         n, w, s = truncate_keys(n), truncate_keys(w), truncate_keys(s)
+    if key == "date_start":
+        n, w, s = (d.withColumn("date_end", F.col("date_start") + F.expr("INTERVAL 1 DAY")) for d in (n, w, s))
+    elif key != "range":
+        raise ValueError("key is 'range' or 'date_start'")
     full = _outer_join(n, w, s)
     if key_range is None:
         j = full

@@ -9,17 +9,24 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.joins import full_outer_bounded
+from ..operators.joins import full_outer_split
 
 
-def predicted_vs_real(predicted: DataFrame, real: DataFrame) -> DataFrame:
-    """PIP7: PRJ27 renames, JN5 full outer on record_date, SRT3 order.  The
-    predictions side (about one row per day) is the bounded one, so the
-    per-candle real rows are not shuffled; an empty side needs no branch
-    because both have declared schemas."""
+def predicted_vs_real(predicted: DataFrame, real: DataFrame, per_day: str = "all") -> DataFrame:
+    """PIP7: PRJ27 renames, JN5 full outer on record_date, SRT3 order.
+
+    Stored predictions are one row per scored row.  ``per_day="all"`` pairs
+    each of a day's predictions with each of its candles, as the reference's
+    merge does (rows: predictions x candles of the day); ``per_day="mean"``
+    first reduces the predictions to their mean per day, one row per candle.
+    An empty side needs no branch because both have declared schemas."""
     p = predicted.select("record_date", F.col("open").alias("predicted_open"))
+    if per_day == "mean":
+        p = p.groupBy("record_date").agg(F.avg("predicted_open").alias("predicted_open"))
+    elif per_day != "all":
+        raise ValueError("per_day is 'all' or 'mean'")
     r = real.select("record_date", F.col("open").alias("real_open"))
-    j = full_outer_bounded(r, p, ["record_date"])
+    j = full_outer_split(r, p, ["record_date"])
     return j.select("record_date", "predicted_open", "real_open").orderBy("record_date")
 
 

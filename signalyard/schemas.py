@@ -27,12 +27,16 @@ DATE_FORMATS = {
     SOURCE_STOCK: "yyyy-MM-dd",
     SOURCE_WEATHER: "yyyy-MM-dd",
 }
+# Payload kind of each feed.
+FEED_KIND = {SOURCE_NEWSAPI: "news", SOURCE_WORLDNEWSAPI: "news", SOURCE_NEWS_XTB: "news",
+             SOURCE_STOCK: "candlesticks", SOURCE_WEATHER: "weather"}
 # Candle label string, e.g. "Nov 22, 2024, 1:00:00 PM".
 CTM_STRING_FORMAT = "MMM d, yyyy, h:mm:ss a"
 
 # --- fixed values: count-based batch sizes per feed kind ----------------
 BATCH_LIMITS = {"news": 5, "stock": 10, "weather": 1}
 
+# --- fixed values: field names and types of messages, lake and serving tables
 NEWS_ITEM = T.StructType([T.StructField("data", S), T.StructField("date", S)])
 CANDLE = T.StructType([
     T.StructField("ctm", L), T.StructField("ctmString", S),

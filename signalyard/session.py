@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on: UTC session time (date truncation and
 # window alignment must not depend on the host), AQE for runtime
@@ -24,8 +25,6 @@ BASE_CONF = {
 
 
 TARGET_PARTITION_BYTES = 128 * 1024 * 1024
-MAX_SHUFFLE_PARTITIONS = 100_000
-
 
 def cluster_conf(input_bytes: int, total_cores: int,
                  target_partition_bytes: int = TARGET_PARTITION_BYTES) -> dict[str, str]:
@@ -35,14 +34,11 @@ def cluster_conf(input_bytes: int, total_cores: int,
     per partition, rounded up to whole waves of the cluster's cores (AQE
     then coalesces small ones and splits skewed ones); file splits of the
     same size; RocksDB for streaming state, which keeps large state off
-    the JVM heap.  The count is capped at MAX_SHUFFLE_PARTITIONS (map
-    output tracking grows with maps x reducers); shuffles carry far less
-    than the input after projection and partial aggregation, and AQE
-    splits the partitions that still come out large.  At 100 TB on 8,000
-    cores: 96,000 partitions (12 waves)."""
+    the JVM heap.  Pass the bytes that the job shuffles, where they are
+    known to be fewer than its input (map output tracking grows with maps x
+    reducers).  ``build_session(input_bytes=...)`` applies it."""
     cores = max(1, total_cores)
     waves = max(1, -(-input_bytes // (target_partition_bytes * cores)))
-    waves = min(waves, max(1, MAX_SHUFFLE_PARTITIONS // cores))
     return {
         "spark.sql.shuffle.partitions": str(waves * cores),
         "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
@@ -54,14 +50,18 @@ def cluster_conf(input_bytes: int, total_cores: int,
 
 
 def build_session(master: str | None = None, shuffle_partitions: int = 8,
-                  app_name: str = "signalyard", extra: dict | None = None) -> SparkSession:
+                  app_name: str = "signalyard", extra: dict | None = None,
+                  input_bytes: int | None = None, total_cores: int = 8) -> SparkSession:
     """Local/test session. On a cluster, pass ``master=None`` and let the
-    launcher supply master, memory and ``spark.checkpoint.dir``."""
+    launcher supply master, memory and ``spark.checkpoint.dir``, and give
+    ``input_bytes`` and ``total_cores`` to size the shuffles (cluster_conf)."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     conf = dict(BASE_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if input_bytes is not None:
+        conf.update(cluster_conf(input_bytes, total_cores))
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
@@ -71,17 +71,24 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
     return spark
 
 
+class NoSharedFolder(RuntimeError):
+    """A cluster session without ``spark.checkpoint.dir``."""
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster the launcher sets it to shared storage; we only fill it in
-    when it is unset (local tests), with a fresh scratch folder."""
+    On a cluster the launcher sets it to shared storage, and it is an error
+    if it did not: a folder on one machine would lose what other machines
+    write.  In local mode (tests) an unset folder is a fresh scratch one."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise NoSharedFolder(f"set spark.checkpoint.dir to a folder that all machines of {sc.master} share")
         d = tempfile.mkdtemp(prefix="signalyard-ckpt-")
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
@@ -92,3 +99,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     intermediate tables and stream checkpoints."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet to the shared folder and read back: computed
+    once for all its readers, safe against lost executors, and with a size
+    that Spark knows, so that it broadcasts the table if (and only if) the
+    files are below ``spark.sql.autoBroadcastJoinThreshold``."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

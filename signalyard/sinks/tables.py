@@ -60,11 +60,33 @@ def write_lake(rows: DataFrame, base: str, source: str, fmt: str = "parquet",
     w.save(lake_path(base, source))
 
 
+def unreadable_files(spark: SparkSession, base: str, source: str, fmt: str = "parquet") -> list[str]:
+    """SRC1: the feed's files that cannot be read (each file's footer is
+    opened in a job of one small task per file)."""
+    path = lake_path(base, source)
+    if not _exists(spark, path):
+        return []
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    files, bad = p.getFileSystem(conf).listFiles(p, True), []
+    while files.hasNext():
+        f = files.next().getPath().toString()
+        if not f.endswith(f".{fmt}"):
+            continue
+        try:
+            spark.read.format(fmt).load(f).schema
+        except Exception:  # noqa: BLE001 - any reader's own error
+            bad.append(f)
+    return bad
+
+
 def scan_lake(spark: SparkSession, base: str, source: str, fmt: str = "parquet",
-              hive_layout: bool = True) -> DataFrame:
-    """SRC1: every readable file of the feed's folder with the declared
-    schema; corrupt files are skipped; a missing folder is an empty frame
-    with the same schema.  ``hive_layout=False`` reads the reference's
+              hive_layout: bool = True, skip_corrupt: bool = False) -> DataFrame:
+    """SRC1: every file of the feed's folder with the declared schema; a
+    missing folder is an empty frame with the same schema.  A file that cannot
+    be read is an error; ``skip_corrupt`` leaves it out, as the reference does
+    - ``unreadable_files`` names what that skips.  ``hive_layout=False`` reads the reference's
     plain ``<YYYY_MM>/<file>`` layout recursively (no partition column)."""
     schema = Z.LAKE_SCHEMAS[source]
     path = lake_path(base, source)
@@ -72,7 +94,7 @@ def scan_lake(spark: SparkSession, base: str, source: str, fmt: str = "parquet",
         schema = T.StructType(schema.fields + [T.StructField("month", T.StringType())])
     if not _exists(spark, path):
         return spark.createDataFrame([], schema)
-    r = spark.read.schema(schema).format(fmt).option("ignoreCorruptFiles", "true")
+    r = spark.read.schema(schema).format(fmt).option("ignoreCorruptFiles", str(skip_corrupt).lower())
     if not hive_layout:
         r = r.option("recursiveFileLookup", "true").option("pathGlobFilter", f"*.{fmt}")
     return r.load(path).select(*schema.fieldNames())

@@ -4,7 +4,7 @@ The reference reads five lake feeds (three news feeds, candles, weather)
 and two log tables.  We do not invent input: every feed below is a Spark
 projection or aggregation of ``documents`` or ``events``, so its size
 grows with the supplied data.  Each has a DuckDB twin in
-``signalyard.plans.oracle`` (``FIXTURE_CTES``).
+``tools.oracle_sql`` (``FIXTURE_CTES``).
 
 * news   - one item per document; feed chosen by ``doc_id % 3``, day by
            ``doc_id % 29`` from 2024-01-01 (a mapping, not a filter: every
@@ -26,7 +26,8 @@ from .. import schemas as Z
 NEWS_ORIGIN = "2024-01-01"
 NEWS_DAYS = 29
 NEWS_FEEDS = {0: "newsapi", 1: "worldnewsapi", 2: "xtb"}
-LOG_FEEDS = {"view": "newsapi", "click": "worldnewsapi", "error": "xtb"}
+LOG_FEEDS = {"view": "newsapi", "click": "worldnewsapi", "error": "xtb",
+             "signup": "openmeteo", "purchase": "stock"}
 REGIONS = 5
 
 
@@ -103,7 +104,7 @@ def weather_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def scraper_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scraper log rows (feed, start_date, end_date, record_count)."""
-    e = table(spark, sf_dir, "events").filter(F.col("event_type").isin(*LOG_FEEDS))
+    e = table(spark, sf_dir, "events")
     feed = F.create_map(*[x for kv in LOG_FEEDS.items() for x in map(F.lit, kv)])[F.col("event_type")]
     day = F.to_date("ts")
     return e.groupBy(feed.alias("feed"), day.alias("d")).agg(F.count("*").alias("record_count")) \
@@ -144,28 +145,28 @@ def lake_feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     }
 
 
-FEED_KIND = {Z.SOURCE_NEWSAPI: "news", Z.SOURCE_WORLDNEWSAPI: "news", Z.SOURCE_NEWS_XTB: "news",
-             Z.SOURCE_STOCK: "candlesticks", Z.SOURCE_WEATHER: "weather"}
-
-
-def envelopes(spark: SparkSession, sf_dir: str, max_items: int | None = None) -> DataFrame:
-    """Messages as the producers publish them (SNK8 over every lake feed):
-    (source, date_start, date_end, part, value)."""
+def envelopes(spark: SparkSession, sf_dir: str, max_bytes: int | None = None,
+              kinds: list[str] | None = None) -> DataFrame:
+    """Messages as the producers publish them (SNK8 over every lake feed, or
+    those of the given payload kinds): (source, date_start, date_end, part,
+    value)."""
     from functools import reduce
-    from ..sinks.envelope import DEFAULT_MAX_ITEMS, to_envelopes
+    from ..sinks.envelope import DEFAULT_MAX_BYTES, to_envelopes
     parts = []
     for src, rows in lake_feeds(spark, sf_dir).items():
-        e = to_envelopes(rows, src, FEED_KIND[src], Z.DATE_FORMATS[src],
-                         max_items or DEFAULT_MAX_ITEMS)
+        if kinds and Z.FEED_KIND[src] not in kinds:
+            continue
+        e = to_envelopes(rows, src, Z.FEED_KIND[src], Z.DATE_FORMATS[src],
+                         max_bytes or DEFAULT_MAX_BYTES)
         parts.append(e.select(F.lit(src).alias("source"), "date_start", "date_end", "part", "value"))
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
 def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stream twin input: one envelope per event, ``view`` events as
-    newsapi news, ``purchase`` events as candles; event time = ``ts``.
+    """Stream twin input: one envelope per event, ``purchase`` events as
+    candles, all others as news of the three news feeds; event time = ``ts``.
     Columns (ts, value)."""
-    e = table(spark, sf_dir, "events").filter(F.col("event_type").isin("view", "purchase"))
+    e = table(spark, sf_dir, "events")
     t = F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS")
     news = F.array(F.struct(F.col("props").alias("data"),
                             F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("date")))
@@ -174,30 +175,16 @@ def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.date_format("ts", Z.CTM_STRING_FORMAT).alias("ctmString"),
         F.col("value").alias("open"), F.lit(0.0).alias("close"), F.lit(0.0).alias("high"),
         F.lit(0.0).alias("low"), F.lit(1.0).alias("vol")))
-    is_view = F.col("event_type") == "view"
-    value = F.when(is_view, F.to_json(F.struct(F.lit(Z.SOURCE_NEWSAPI).alias("source"),
-                                                news.alias("news"), t.alias("time")))) \
-        .otherwise(F.to_json(F.struct(F.lit(Z.SOURCE_STOCK).alias("source"),
-                                      candle.alias("candlesticks"), t.alias("time"))))
+    kind = F.col("event_type")
+    feed = F.when(kind == "view", Z.SOURCE_NEWSAPI).when(kind == "click", Z.SOURCE_WORLDNEWSAPI) \
+        .otherwise(Z.SOURCE_NEWS_XTB)
+    value = F.when(kind == "purchase", F.to_json(F.struct(F.lit(Z.SOURCE_STOCK).alias("source"),
+                                                          candle.alias("candlesticks"), t.alias("time")))) \
+        .otherwise(F.to_json(F.struct(feed.alias("source"), news.alias("news"), t.alias("time"))))
     return e.select("ts", value.alias("value"))
 
 
-def write_ordered_chunks(df: DataFrame, path: str, ts_col: str, chunk_days: int = 5) -> int:
-    """Write ``df`` as one text file per ``chunk_days`` slice of event time,
-    in time order (one write per slice, so file modification times follow
-    event time and a file stream source replays them in order).  Returns
-    the number of files."""
-    bounds = df.agg(F.min(ts_col).alias("lo"), F.max(ts_col).alias("hi")).first()
-    if bounds["lo"] is None:
-        return 0
-    import datetime as _dt
-    lo, hi = bounds["lo"], bounds["hi"]
-    start, n = _dt.datetime(lo.year, lo.month, lo.day), 0
-    while start <= hi:
-        end = start + _dt.timedelta(days=chunk_days)
-        lo_c = F.lit(start.isoformat()).cast("timestamp_ntz")
-        hi_c = F.lit(end.isoformat()).cast("timestamp_ntz")
-        part = df.filter((F.col(ts_col) >= lo_c) & (F.col(ts_col) < hi_c))
-        part.orderBy(ts_col).select("value").coalesce(1).write.mode("append").text(path)
-        start, n = end, n + 1
-    return n
+def write_stream_input(df: DataFrame, path: str) -> None:
+    """``df``'s messages as text files, for a file stream to read: one write, by
+    all tasks at once."""
+    df.select("value").write.text(path)

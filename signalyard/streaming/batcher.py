@@ -6,93 +6,146 @@ arrived (news 5, stock 10, weather 1).  State per key is the buffer, so
 it never exceeds ``N - 1`` messages, plus the next batch id.  Within a
 micro-batch the new messages are sorted by their order key (offset)
 before they join the buffer, so the result equals the batch operator
-WIN1 on the same order.  At scale, key by (source, partition): one
-source's messages are then spread over its topic partitions instead of
-one task (the reference used one partition)."""
+WIN1 on the same order.  A key's new messages of one micro-batch are one
+Python group: bound them by the trigger (``maxOffsetsPerTrigger``) and key
+by (source, partition), which spreads a source over its topic partitions
+(the reference used one partition).
+
+Messages that cannot be batched - malformed, of an unknown feed, or with
+another feed's payload - are never dropped: ``rejected`` names the reason
+and ``start_envelope_to_lake`` writes them to a quarantine table."""
 
 from __future__ import annotations
 
 import json
+import os
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
-from ..schemas import BATCH_LIMITS
+from ..operators.envelope import explode_items, payload_kind, record_count
+from ..schemas import BATCH_LIMITS, FEED_KIND
 
 STATE_SCHEMA = "buffer string, next_batch long"
 
 
-def _emitter(key_cols: list[str], order_cols: list[str], limits: dict[str, int],
-             carry_cols: list[str]):
+def _emitter(key_cols: list[str], order_cols: list[str], limits: dict[str, int], carry_cols: list[str],
+             step_cols: list[str] | None):
+    kept = order_cols + ["n_records"] + carry_cols
+
     def emit(key, frames, state):
-        if state.exists:
-            buf_json, next_batch = state.get
-            buf = json.loads(buf_json)
+        buffered, next_batch = state.get if state.exists else ("[]", 0)
+        new = pd.concat(list(frames), ignore_index=True).sort_values(order_cols, kind="mergesort")[kept]
+        held = pd.DataFrame(json.loads(buffered), columns=kept)
+        rows = pd.concat([held.astype(new.dtypes.to_dict()), new], ignore_index=True) if len(held) else new.reset_index(drop=True)
+        # an unknown feed is the caller's to reject; it has no batch size
+        n = limits[str(key[0]).split("_")[1]]
+        if step_cols:  # neighbouring parts of one step are one message
+            steps = rows[step_cols].astype(str)
+            message = (steps != steps.shift()).any(axis=1).cumsum() - 1
         else:
-            buf, next_batch = [], 0
-        new = pd.concat(list(frames), ignore_index=True)
-        new = new.sort_values(order_cols, kind="mergesort")
-        keep = order_cols + ["n_records"] + carry_cols
-        buf.extend(new[keep].astype(object).to_dict("records"))
-        kind = str(key[0]).split("_")[1] if "_" in str(key[0]) else ""
-        n = int(limits.get(kind, 1))
-        out = []
-        while len(buf) >= n:
-            for m in buf[:n]:
-                out.append({**dict(zip(key_cols, key)), **m, "batch_id": next_batch})
-            buf, next_batch = buf[n:], next_batch + 1
-        state.update((json.dumps(buf, default=str), next_batch))
-        cols = key_cols + order_cols + ["n_records"] + carry_cols + ["batch_id"]
-        yield pd.DataFrame(out, columns=cols)
+            message = pd.Series(range(len(rows)))
+        batches = int(message.max() + 1) // n
+        whole = message < batches * n
+        out, rest = rows[whole].copy(), rows[~whole]
+        for c, v in zip(key_cols, key):
+            out[c] = v
+        out["batch_id"] = next_batch + message[whole] // n
+        state.update((json.dumps(rest.astype(object).to_dict("records"), default=str), int(next_batch + batches)))
+        yield out[key_cols + kept + ["batch_id"]]
     return emit
 
 
 def stateful_batches(messages: DataFrame, order_cols: list[str], key_cols: list[str] | None = None,
                      limits: dict[str, int] = BATCH_LIMITS,
-                     carry_cols: list[str] | None = None) -> DataFrame:
+                     carry_cols: list[str] | None = None, step_cols: list[str] | None = None) -> DataFrame:
     """Messages (``source``, ``order_cols``, ``n_records``, ``carry_cols``)
     -> the messages of every completed batch with their ``batch_id``;
-    ``carry_cols`` (e.g. the raw message) travel through the buffer.  On a
-    stream: output mode append."""
+    ``carry_cols`` (e.g. the raw message) travel through the buffer.
+    ``step_cols``, the first of ``order_cols``, say which rows are parts of
+    one message (SNK8); a part that arrives after its step was released counts
+    as a message of its own.  On a stream: output mode append."""
     key_cols = key_cols or ["source"]
     carry_cols = carry_cols or []
     cols = key_cols + order_cols + ["n_records"] + carry_cols
     m = messages.select(*cols)
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in m.schema.fields)
-    out_schema = f"{fields}, batch_id long"
     return m.groupBy(*key_cols).applyInPandasWithState(
-        _emitter(key_cols, order_cols, limits, carry_cols), out_schema, STATE_SCHEMA, "append",
+        _emitter(key_cols, order_cols, limits, carry_cols, step_cols), f"{fields}, batch_id long", STATE_SCHEMA, "append",
         GroupStateTimeout.NoTimeout)
 
 
+def rejected() -> Column:
+    """Why a parsed message cannot be batched (PRJ2, PRJ9), null if it can."""
+    feeds = F.create_map(*[x for kv in FEED_KIND.items() for x in map(F.lit, kv)])
+    kind = F.try_element_at(feeds, F.coalesce("source", F.lit("")))
+    return F.when(F.col("source").isNull(), F.lit("malformed")) \
+        .when(kind.isNull(), F.lit("unknown source")) \
+        .when(payload_kind().isNull() | (payload_kind() != kind), F.lit("payload of another kind"))
+
+
+def _run_id(batch: DataFrame) -> str:
+    """The running query's id, which its checkpoint keeps over restarts."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+
+
+class EnvelopeToLake:
+    """The two queries of PIP14: batches to the lake, rejects to quarantine."""
+
+    def __init__(self, *queries):
+        self.queries = queries
+
+    def awaitTermination(self) -> None:
+        for q in self.queries:
+            q.awaitTermination()
+
+    def stop(self) -> None:
+        for q in self.queries:
+            q.stop()
+
+
 def start_envelope_to_lake(spark, stream: DataFrame, lake_base: str, checkpoint: str,
-                           trigger: dict | None = None, fmt: str = "parquet"):
+                           trigger: dict | None = None, fmt: str = "parquet",
+                           key_cols: list[str] | None = None) -> EnvelopeToLake:
     """PIP14: message stream (SRC3) -> JSON decode (JSN1) -> count-triggered
-    batches per source (STM6) -> payload dispatch and explode with the
-    step stamped on each record (PRJ9-10, ARR1) -> the source's lake
-    schema (SNK2) -> one ``(month, batch)`` partition per completed batch
-    (SNK1), written with dynamic partition overwrite: a retried micro-batch
-    rewrites the same partitions, so the lake never holds a batch twice."""
-    from ..operators.envelope import explode_items, record_count
-    from ..schemas import ALL_SOURCES
+    batches per key (STM6; ``key_cols`` beside ``source``, e.g. the Kafka
+    ``partition``, are columns of ``stream``) -> payload dispatch and explode
+    with the step stamped on each record (PRJ9-10, ARR1) -> the source's lake
+    schema (SNK2) -> one ``(month, run, epoch)`` partition per micro-batch
+    (SNK1), written with dynamic partition overwrite.
+
+    ``run`` is the query's id, which belongs to the checkpoint: a retried
+    micro-batch rewrites its own partitions, and a stream with a fresh
+    checkpoint over an existing lake only adds.  Messages that cannot be
+    batched go, with their reason, to ``<lake_base>/quarantine`` through a query
+    of their own."""
     from ..sinks.tables import write_lake
     from ..sources.envelope import parse_envelopes, valid
-    from ..sources.fixtures import FEED_KIND
 
-    parsed = valid(parse_envelopes(stream, "value", keep=["value"])) \
-        .withColumn("n_records", record_count()).withColumn("msg", F.md5("value"))
-    batches = stateful_batches(parsed, ["date_start", "date_end", "msg"], carry_cols=["value"])
+    keys = ["source", *(key_cols or [])]
+    parsed = parse_envelopes(stream, "value", keep=["value", *(key_cols or [])]).withColumn("reason", rejected())
+    good = parsed.filter("reason is null").withColumn("n_records", record_count()).withColumn("msg", F.md5("value"))
+    batches = stateful_batches(good, ["date_start", "date_end", "msg"], keys, carry_cols=["value"],
+                               step_cols=["date_start", "date_end"])
 
     def write(batch: DataFrame, epoch_id: int) -> None:
-        batch = batch.persist()
-        for src in ALL_SOURCES:
-            b = batch.filter(F.col("source") == src)
-            env = valid(parse_envelopes(b, "value", keep=["batch_id"]))
-            items = explode_items(env, FEED_KIND[src], keep=["batch_id"])
-            write_lake(items, lake_base, src, fmt, extra_partitions=["batch_id"])
+        run, batch = _run_id(batch), batch.persist()
+        sources = [r[0] for r in batch.select("source").distinct().collect()]  # at most one per feed
+        for src in sources:
+            env = valid(parse_envelopes(batch.filter(F.col("source") == src), "value"))
+            items = explode_items(env, FEED_KIND[src]).withColumn("run", F.lit(run)).withColumn("epoch", F.lit(epoch_id))
+            write_lake(items, lake_base, src, fmt, extra_partitions=["run", "epoch"])
         batch.unpersist()
 
-    w = batches.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-    return w.trigger(**(trigger or {"availableNow": True})).start()
+    w = batches.writeStream.foreachBatch(write).option("checkpointLocation", os.path.join(checkpoint, "batches"))
+    bad = parsed.filter("reason is not null").select("reason", F.col("value").cast("string").alias("value"))
+    q = bad.writeStream.format("parquet").option("path", quarantine_path(lake_base)) \
+        .option("checkpointLocation", os.path.join(checkpoint, "quarantine"))
+    t = trigger or {"availableNow": True}
+    return EnvelopeToLake(w.trigger(**t).start(), q.trigger(**t).start())
+
+
+def quarantine_path(lake_base: str) -> str:
+    return os.path.join(lake_base, "quarantine")

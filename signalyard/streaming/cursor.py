@@ -16,32 +16,46 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import days_ago
+from ..functions.text import too_far_in_past
 
 
-def last_cursor(log: DataFrame, by: str = "feed") -> DataFrame:
-    """SRT1: latest ``end_date`` per feed (string order, as the reference's
-    sort - fine for ISO formats)."""
-    return log.groupBy(by).agg(F.max("end_date").alias("end_date"))
+def last_cursor(log: DataFrame, by: str = "feed", fmt: str | None = None) -> DataFrame:
+    """SRT1: latest ``end_date`` per feed: in string order, as the reference
+    sorts (fine for ISO formats), or, with ``fmt``, by the parsed date (the
+    12-hour feed's strings sort wrongly)."""
+    if fmt is None:
+        return log.groupBy(by).agg(F.max("end_date").alias("end_date"))
+    return log.groupBy(by).agg(F.max_by("end_date", F.to_timestamp_ntz(F.col("end_date"), F.lit(fmt))).alias("end_date"))
 
 
 def load_windows(log: DataFrame, as_of: str, by: str = "feed", mode: str = "gaps",
                  feeds: list[str] | None = None, default_days: int = 30,
-                 fmt: str = "yyyy-MM-dd") -> DataFrame:
-    """Windows (feed, start_date, end_date) of one day still to load."""
-    asof = F.to_date(F.lit(as_of))
-    b = log.groupBy(by).agg(F.min(F.to_date("start_date", fmt)).alias("_lo"),
-                            F.max(F.to_date("end_date", fmt)).alias("_cursor"))
+                 fmt: str = "yyyy-MM-dd", step_minutes: int | None = None) -> DataFrame:
+    """Windows (feed, start_date, end_date) still to load: of one day, or of
+    ``step_minutes``.  ``feeds`` adds feeds that have no log yet; they begin
+    ``default_days`` before ``as_of`` (DT4)."""
+    unit = "DAY" if step_minutes is None else "MINUTE"
+    step = F.expr(f"INTERVAL {1 if step_minutes is None else int(step_minutes)} {unit}")
+    stamp = lambda c: F.to_timestamp_ntz(F.col(c), F.lit(fmt))
+    asof = F.lit(as_of).cast("timestamp_ntz")
+    b = log.groupBy(by).agg(F.min(stamp("start_date")).alias("_lo"), F.max(stamp("end_date")).alias("_cursor"))
     if feeds:
         all_feeds = log.sparkSession.createDataFrame([(f,) for f in feeds], [by])
         b = all_feeds.join(b, by, "left")
     first = F.col("_lo") if mode == "gaps" else F.col("_cursor")
-    start = F.coalesce(first, days_ago(default_days, asof))
+    start = F.coalesce(first, days_ago(default_days, F.to_date(asof)).cast("timestamp_ntz"))
     # Steps start at `start`; keep those before as_of, plus the single
     # step at as_of when the cursor is exactly as_of (the loop runs once).
-    last = F.greatest(start, F.date_sub(asof, 1))
-    seq = F.when(start <= asof, F.sequence(start, last, F.expr("INTERVAL 1 DAY")))
+    seq = F.when(start <= asof, F.sequence(start, asof, step))
     w = b.select(by, start.alias("_start"), F.explode(seq).alias("_s"))
-    w = w.filter((F.col("_s") < asof) | ((F.col("_s") == F.col("_start")) & (F.col("_start") == asof)))
-    w = w.select(by, F.date_format("_s", fmt).alias("start_date"),
-                 F.date_format(F.date_add("_s", 1), fmt).alias("end_date"))
+    w = w.filter((F.col("_s") < asof) | (F.col("_start") == asof))
+    w = w.select(by, F.date_format("_s", fmt).alias("start_date"), F.date_format(F.col("_s") + step, fmt).alias("end_date"))
     return w.join(log.select(by, "start_date").distinct(), [by, "start_date"], "left_anti")
+
+
+def skip_refused(windows: DataFrame, answers: DataFrame, api: str, by: str = "feed") -> DataFrame:
+    """STM8 + PRJ19: the windows left once those that the API refused as too
+    far in the past are skipped.  ``answers``: feed, start_date, status,
+    message."""
+    refused = answers.filter(too_far_in_past("status", "message", api)).select(by, "start_date").distinct()
+    return windows.join(refused, [by, "start_date"], "left_anti")

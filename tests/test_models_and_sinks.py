@@ -82,6 +82,12 @@ def test_registry_latest_and_missing(spark):
     df, _ = _frame(spark)
     WF.save_model(WF.fit_walk_forward(df, target="target"), reg)
     assert WF.require_model(spark, reg).first()["the_date"] == "2024-01-26"
+    # the same date saved again: one row, the newest save
+    again = WF.latest_model(WF.load_registry(spark, reg)).withColumn("intercept", F.lit(2.0))
+    WF.save_model(again, reg)
+    saved = WF.load_registry(spark, reg)
+    assert saved.count() == saved.select("the_date").distinct().count()
+    assert WF.require_model(spark, reg).first()["intercept"] == 2.0
 
 
 def test_upsert_versions(spark):
@@ -98,16 +104,20 @@ def test_upsert_versions(spark):
 def test_lake_write_scan_and_missing(spark):
     base = scratch_path(spark, "lake")
     assert TB.scan_lake(spark, base, Z.SOURCE_WEATHER).count() == 0
+    assert TB.unreadable_files(spark, base, Z.SOURCE_WEATHER) == []
     rows = spark.createDataFrame([(1.0, 0.0, 60.0, "2024-01-31", "2024-02-01"),
                                   (2.0, 1.0, 0.0, "2024-02-01", "2024-02-02")], Z.LAKE_WEATHER)
     TB.write_lake(rows, base, Z.SOURCE_WEATHER)
     months = sorted(d for d in os.listdir(local(TB.lake_path(base, Z.SOURCE_WEATHER))) if d.startswith("month="))
     assert months == ["month=2024_01", "month=2024_02"]
-    # a corrupt file is skipped, not fatal
+    # a corrupt file is an error unless it is to be skipped, and can be named
     with open(os.path.join(local(TB.lake_path(base, Z.SOURCE_WEATHER)), "month=2024_01", "bad.parquet"), "w") as f:
         f.write("garbage")
-    back = TB.scan_lake(spark, base, Z.SOURCE_WEATHER)
+    with pytest.raises(Exception):
+        TB.scan_lake(spark, base, Z.SOURCE_WEATHER).collect()
+    back = TB.scan_lake(spark, base, Z.SOURCE_WEATHER, skip_corrupt=True)
     assert back.filter(F.col("month") == "2024_02").count() == 1 and back.count() == 2
+    assert [f.rsplit("/", 1)[1] for f in TB.unreadable_files(spark, base, Z.SOURCE_WEATHER)] == ["bad.parquet"]
 
 
 def test_predict_one_defaults(spark):
@@ -171,3 +181,36 @@ def test_outer_frame_key_range_equals_filter(spark):
     r = lambda df: sorted(tuple(round(v, 6) if isinstance(v, float) else v for v in row)
                           for row in df.select(*cols).collect())
     assert r(pushed) == r(plain)
+
+
+def test_lead_target_takes_the_next_candle(spark):
+    h = [dt.datetime(2024, 1, 1, i) for i in range(4)]
+    stock = spark.createDataFrame([(h[i], float(i)) for i in (0, 1, 3)], "ctm timestamp_ntz, open double")
+    got = {r["ctm"].hour: r["target"] for r in WF.lead_target(stock.select("ctm"), stock).collect()}
+    assert got == {0: 1.0}
+    assert {r["ctm"].hour: r["target"] for r in WF.lead_target(stock.select("ctm"), stock, steps=2).collect()} == {1: 3.0}
+
+
+def test_statistics_hold_at_large_offsets(spark):
+    rng = np.random.default_rng(5)
+    x = 1e8 + rng.normal(size=300)
+    rows = [("2024-01-01", "2024-01-02", float(v), float(3 * v + 1)) for v in x]
+    df = spark.createDataFrame(rows, "date_start string, date_end string, close double, target double")
+    c = WF.fit_walk_forward(df, target="target", features=["close"], ridge=0.0).first()
+    assert c["w_close"] == pytest.approx(3.0, abs=1e-6) and c["w_open"] == 0.0
+
+
+def test_key_options_reach_every_feed(spark):
+    from signalyard.plans import catalog as C
+    from signalyard.plans import frames
+    from .conftest import SF_SMALL
+    news, weather, stock = C._feeds(spark, SF_SMALL)
+    plain = frames.training_frame_inner(news, weather, stock)
+    wide = frames.training_frame_inner(news, weather, stock, normalise_keys=True)
+    n = news.count()
+    assert plain.select("data", "date").distinct().count() < wide.select("data", "date").distinct().count() <= n
+    outer = frames.training_frame_outer(news, weather, stock, key="date_start", impute=False)
+    matched = outer.filter("data is not null and ctm is not null")
+    assert matched.select("date").distinct().count() == news.select("date").distinct().count()
+    with pytest.raises(ValueError):
+        frames.training_frame_outer(news, weather, stock, key="other")

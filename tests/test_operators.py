@@ -180,17 +180,15 @@ def test_salted_join_equals_plain_join(spark):
         J.salted_join(big, small, ["k"], "full_outer")
 
 
-def test_full_outer_bounded_equals_full_outer(spark):
+def test_full_outer_split_equals_full_outer(spark):
     big = spark.createDataFrame([(1, "a"), (2, "b"), (2, "c"), (None, "n")], "k long, x string")
     small = spark.createDataFrame([(2, 20.0), (3, 30.0), (None, 0.0)], "k long, y double")
-    ref = sorted(map(tuple, J.full_outer_on(big, small, ["k"]).select("k", "x", "y").collect()), key=str)
-    got = sorted(map(tuple, J.full_outer_bounded(big, small, ["k"]).select("k", "x", "y").collect()), key=str)
-    fallback = sorted(map(tuple, J.full_outer_bounded(big, small, ["k"], max_small_rows=1)
-                          .select("k", "x", "y").collect()), key=str)
-    assert got == ref == fallback
-    ns = sorted(map(tuple, J.full_outer_bounded(big, small, ["k"], null_safe=True)
-                    .select("k", "x", "y").collect()), key=str)
-    assert (None, "n", 0.0) in ns
+    rows = lambda df: sorted(map(tuple, df.select("k", "x", "y").collect()), key=str)
+    for null_safe in (False, True):
+        ref = rows(J.full_outer_on(big, small, ["k"], null_safe))
+        assert rows(J.full_outer_split(big, small, ["k"], null_safe)) == ref
+        keys = big.select("k").distinct()
+        assert rows(J.full_outer_split(big, small, ["k"], null_safe, keys)) == ref
 
 
 def test_with_defaults_means_then_zero(spark):
@@ -203,10 +201,6 @@ def test_with_defaults_means_then_zero(spark):
     assert (r["open"], r["close"]) == (0.0, 2.0)
 
 
-def test_bounded_broadcast_probe(spark):
-    assert J.has_at_most(spark.range(5), 5) and not J.has_at_most(spark.range(6), 5)
-
-
 # --- imputation -------------------------------------------------------------------------
 def test_impute_means_and_all_null_column(spark):
     df = spark.createDataFrame([(1.0, None), (None, None), (3.0, None)], "a double, b double")
@@ -348,22 +342,21 @@ def test_hot_day_join_paths_agree(spark):
                       "yyyy-MM-dd").alias("date_start"), (F.col("id") % 24).alias("hour"))
     stock = stock.withColumn("date_end", F.date_format(F.date_add(F.to_date("date_start"), 1), "yyyy-MM-dd"))
     keys = ["date_start", "date_end"]
-    fast = J.join_on_dates(news, stock, keys)
-    salted = J.join_on_dates(news, stock, keys, max_broadcast_rows=10, salt=8)
+    joined = J.join_on_dates(news, stock, keys)
+    salted = J.salted_join(news, stock, keys, salt=8)
     rows = lambda df: sorted(map(tuple, df.select("doc", "hour").collect()))
-    assert rows(fast) == rows(salted)
-    assert fast.count() == n * 24
-    plan = fast._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert rows(joined) == rows(salted)
+    assert joined.count() == n * 24
 
 
-def test_spread_small_keeps_rows(spark):
-    from signalyard.operators.partitioning import spread_small
-    df = spark.range(1000).select(F.col("id").cast("string").alias("t")).coalesce(1)
-    out = spread_small(df, ["t"])
+def test_spread_scan_keeps_rows(spark):
+    from signalyard.operators.partitioning import spread_scan
+    df = spark.range(1000).select(F.col("id").cast("string").alias("t"))
+    one = df.coalesce(1)
+    out = spread_scan(one, ["t"])
     assert out.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    assert sorted(r[0] for r in out.collect()) == sorted(r[0] for r in df.collect())
-    assert spread_small(df, ["t"], max_rows=10).rdd.getNumPartitions() == 1
+    assert sorted(r[0] for r in out.collect()) == sorted(r[0] for r in one.collect())
+    assert spread_scan(df, ["t"]) is df  # enough partitions already
 
 
 def test_load_windows_defaults_and_edge(spark):

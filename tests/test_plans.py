@@ -4,18 +4,18 @@ Cartesian or nested-loop joins, pruned text scans."""
 
 import pytest
 
-import __spark_entry__ as E
+from signalyard.plans.catalog import QUERIES
 from tools.plan_report import summarise
 
 from .conftest import SF_SMALL
 
-BATCH_QUERIES = [n for n in E.queries() if n not in
-                 {"window_join_stream", "stream_batches", "refresh_news_counts", "lake_roundtrip",
-                  "envelope_to_lake"}]
+BATCH_QUERIES = [n for n in QUERIES if n not in
+                 {"window_join_stream", "stream_batches", "refresh_news_counts", "refresh_weather", "refresh_open",
+                  "lake_roundtrip", "envelope_to_lake", "stream_predictions", "envelope_quarantine", "lake_restart"}]
 
 
 def _plan(spark, name):
-    df = E.queries()[name](spark, SF_SMALL)
+    df = QUERIES[name](spark, SF_SMALL)
     df.collect()
     p = df._jdf.queryExecution().executedPlan()
     if p.getClass().getSimpleName() == "AdaptiveSparkPlanExec":

@@ -3,6 +3,8 @@
 import json
 import os
 
+from pyspark.sql import types as T
+
 from signalyard import schemas as Z
 from signalyard.session import scratch_path
 from signalyard.streaming import speed_layer as SL
@@ -73,7 +75,7 @@ def test_stream_features_take_means(spark):
     from signalyard.sources.envelope import parse_envelopes, valid
     feats = SL.stream_features(valid(parse_envelopes(stream)), means, watermark=None)
     out = scratch_path(spark, "t-feat-out")
-    q = feats.drop("watermark", "parsed_date").writeStream.format("parquet").option("path", out) \
+    q = feats.drop("at", "item_date").writeStream.format("parquet").option("path", out) \
         .option("checkpointLocation", scratch_path(spark, "t-feat-ckpt")) \
         .trigger(availableNow=True).start()
     q.awaitTermination()
@@ -125,3 +127,104 @@ def test_stateful_batches_per_source_and_partition(spark):
     # news batches of 5 per (source, partition); 2 of 12 messages stay buffered in each
     assert len(got) == 20
     assert [g for g in got if g[0] == 1][:6] == [(1, 0, 0), (1, 0, 1), (1, 0, 2), (1, 0, 3), (1, 0, 4), (1, 1, 5)]
+
+
+def test_batches_are_emitted_in_linear_time():
+    import time
+    import pandas as pd
+    from signalyard.streaming.batcher import _emitter
+
+    class State:
+        exists = False
+
+        def update(self, value):
+            self.value = value
+
+    new = pd.DataFrame({"off": range(100_000), "n_records": 1})
+    began, state = time.time(), State()
+    out = list(_emitter(["source"], ["off"], {"weather": 1}, [], None)(("scraper_weather_x",), iter([new]), state))[0]
+    assert len(out) == 100_000 and out["batch_id"].tolist() == list(range(100_000))
+    assert time.time() - began < 1 and state.value == ("[]", 100_000)
+
+
+def test_parts_of_a_step_count_once():
+    import pandas as pd
+    from signalyard.streaming.batcher import _emitter
+
+    class State:
+        exists = True
+        get = ('[{"date_start": "a", "msg": "1", "n_records": 1}]', 4)
+
+        def update(self, value):
+            self.value = value
+
+    new = pd.DataFrame({"date_start": ["a", "b", "b", "c"], "msg": list("2345"), "n_records": 1})
+    state = State()
+    emit = _emitter(["source"], ["date_start", "msg"], {"news": 2}, [], ["date_start"])
+    out = list(emit(("scraper_news_x",), iter([new]), state))[0]
+    assert out["msg"].tolist() == list("1234") and set(out["batch_id"]) == {4}
+    assert json.loads(state.value[0])[0]["date_start"] == "c" and state.value[1] == 5
+
+
+def test_equal_items_keep_the_message_bound(spark):
+    from pyspark.sql import functions as F
+    from signalyard.sinks.envelope import to_envelopes
+    rows = spark.range(5000).select(F.lit("same text of an item").alias("data"), F.lit("d").alias("date"),
+                                    F.lit("2024-01-01").alias("date_start"), F.lit("2024-01-02").alias("date_end"))
+    rows = rows.unionByName(rows.limit(2).withColumn("data", F.lit("x" * 30_000)))
+    m = to_envelopes(rows, Z.SOURCE_NEWSAPI, "news", "yyyy-MM-dd", max_bytes=20_000).collect()
+    assert sum(len(json.loads(r["value"])["news"]) for r in m) == 5002
+    assert len(m) >= 20 and len({r["part"] for r in m}) == len(m)
+    big = [r for r in m if len(r["value"]) > 21_000]
+    assert len(big) == 2 and all(len(json.loads(r["value"])["news"]) == 1 for r in big)
+
+
+def test_refresh_reads_only_touched_months(spark):
+    from signalyard.sinks import tables as TB
+    from signalyard.streaming.refresh import touched_lake
+    base = scratch_path(spark, "lake")
+    rows = spark.createDataFrame([(1.0, 0.0, 1.0, "2024-01-31", "2024-02-01"), (2.0, 1.0, 0.0, "2024-02-01", "2024-02-02")],
+                                 Z.LAKE_WEATHER)
+    TB.write_lake(rows, base, Z.SOURCE_WEATHER)
+    df = touched_lake(TB.scan_lake(spark, base, Z.SOURCE_WEATHER), ["2024_02"])
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "PartitionFilters: []" not in plan
+    assert df.count() == 1
+
+
+def test_refresh_replaces_days_when_asked(spark):
+    from signalyard.plans import daily
+    from signalyard.sinks import tables as TB
+    from signalyard.streaming import refresh as RF
+    base, serving, ckpt = (scratch_path(spark, n) for n in ("lake", "serving", "ckpt"))
+    for temperature in (1.0, 3.0):
+        TB.write_lake(spark.createDataFrame([(temperature, 0.0, 1.0, "2024-01-31", "2024-02-01")], Z.LAKE_WEATHER),
+                      base, Z.SOURCE_WEATHER)
+        stream = spark.readStream.schema(T.StructType([*Z.LAKE_WEATHER.fields, T.StructField("month", T.StringType())])).parquet(
+            TB.lake_path(base, Z.SOURCE_WEATHER))
+        RF.start_refresh(spark, stream, lambda: TB.scan_lake(spark, base, Z.SOURCE_WEATHER), daily.daily_weather, serving,
+                         ["record_date"], "date_start", ckpt, {"availableNow": True}, on_conflict="replace").awaitTermination()
+    got = TB.read_versioned(spark, serving, Z.SERVING_WEATHER).collect()
+    assert [(r["record_date"], r["temperature"]) for r in got] == [("2024-01-31", 2.0)]
+
+
+def test_cluster_session_needs_a_shared_folder():
+    import pytest
+    from signalyard.session import NoSharedFolder, ensure_checkpoint_dir
+
+    class Context:
+        master = "yarn"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            @staticmethod
+            def get(key, default):
+                return default
+
+    with pytest.raises(NoSharedFolder):
+        ensure_checkpoint_dir(Session())

@@ -44,11 +44,12 @@ weather_raw AS (
   FROM events)""",
     "scraper_logs": """
 scraper_logs AS (
-  SELECT CASE event_type WHEN 'view' THEN 'newsapi' WHEN 'click' THEN 'worldnewsapi' ELSE 'xtb' END AS feed,
+  SELECT CASE event_type WHEN 'view' THEN 'newsapi' WHEN 'click' THEN 'worldnewsapi' WHEN 'error' THEN 'xtb'
+              WHEN 'signup' THEN 'openmeteo' ELSE 'stock' END AS feed,
          strftime(CAST(ts AS DATE), '%Y-%m-%d') AS start_date,
          strftime(CAST(ts AS DATE) + 1, '%Y-%m-%d') AS end_date,
          count(*) AS record_count
-  FROM events WHERE event_type IN ('view', 'click', 'error') GROUP BY 1, 2, 3)""",
+  FROM events GROUP BY 1, 2, 3)""",
 }
 
 
@@ -93,10 +94,38 @@ WHERE strftime(CAST(substr(date_start, 1, 10) AS DATE), '%Y-%m-%d') >= '2024-01-
 
 
 # --- SQL building blocks mirroring the library's column functions --------
-from ..functions.html import ENTITIES, NO_CONTENT, PARAGRAPH_RE, SCRIPT_RE, STYLE_RE, TAG_RE  # noqa: E402
-from ..functions.lexicons import (LANGUAGE_ORDER, LANGUAGE_PROFILES, NEGATIVE_WORDS,  # noqa: E402
-                                  POSITIVE_WORDS)
-from ..functions.text import CLEAN_PATTERNS_INTENDED, CLEAN_PATTERNS_LITERAL  # noqa: E402
+# --- fixed values: what the library must use, stated here on its own ----------
+SCRIPT_RE = '(?is)<script(?:\\s[^>]*)?>.*?</script\\s*>'
+STYLE_RE = '(?is)<style(?:\\s[^>]*)?>.*?</style\\s*>'
+PARAGRAPH_RE = '(?is)<p(?:\\s[^>]*)?>(.*?)</p>'
+TAG_RE = '<[^>]+>'
+NO_CONTENT = 'No content found'
+ENTITIES = [('&lt;', '<'), ('&gt;', '>'), ('&quot;', '"'), ('&#39;', "'"), ('&nbsp;', '\xa0'), ('&amp;', '&')]
+POSITIVE_WORDS = ['good', 'great', 'excellent', 'positive', 'gain', 'gains', 'growth', 'strong', 'rise', 'rising', 'rally',
+ 'profit', 'profits', 'success', 'successful', 'improve', 'improved', 'improvement', 'benefit', 'win',
+ 'best', 'better', 'happy', 'optimistic', 'boost', 'recovery', 'record', 'surge', 'favourable', 'favorable',
+ 'stable', 'safe', 'love', 'nice', 'wonderful', 'up', 'bullish', 'support', 'agree', 'thanks']
+NEGATIVE_WORDS = ['bad', 'poor', 'negative', 'loss', 'losses', 'fall', 'falling', 'drop', 'decline', 'weak', 'crisis',
+ 'risk', 'risks', 'fear', 'fears', 'worse', 'worst', 'fail', 'failed', 'failure', 'shortage', 'drought',
+ 'disease', 'threat', 'war', 'conflict', 'down', 'bearish', 'crash', 'collapse', 'problem', 'problems',
+ 'hate', 'sad', 'angry', 'error', 'wrong', 'damage', 'concern', 'pessimistic']
+LANGUAGE_PROFILES = {'de': ['der', 'die', 'und', 'den', 'von', 'zu', 'das', 'mit', 'sich', 'des', 'auf', 'ist', 'nicht', 'ein',
+        'eine', 'dem', 'im', 'als', 'auch', 'werden'],
+ 'en': ['the', 'of', 'and', 'to', 'in', 'is', 'that', 'it', 'for', 'was', 'on', 'with', 'by', 'as', 'this',
+        'are', 'at', 'from', 'be', 'have', 'not', 'but', 'which'],
+ 'es': ['el', 'los', 'las', 'del', 'que', 'y', 'por', 'con', 'para', 'una', 'se', 'al', 'lo', 'como', 'su',
+        'pero', 'mas', 'esta', 'es'],
+ 'fr': ['le', 'les', 'des', 'du', 'et', 'qui', 'pour', 'par', 'au', 'aux', 'une', 'est', 'dans', 'sur',
+        'pas', 'elle', 'avec', 'ce', 'il', 'plus']}
+LANGUAGE_ORDER = ['de', 'en', 'es', 'fr']
+CLEAN_PATTERNS_LITERAL = [('<[^>]+>', ''), ('\\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\\\\.[A-Za-z]{2,}\\b', ''),
+ ('http[s]?://\\\\S+|www\\\\.\\\\S+', ''), ('\\\\b\\\\d{10,}\\\\b', ''), ('\\\\s+', ' '),
+ ('[^a-zA-Z0-9\\\\s]', '')]
+CLEAN_PATTERNS_INTENDED = [('<[^>]+>', ''), ('\\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\\.[A-Za-z]{2,}\\b', ''),
+ ('http[s]?://\\S+|www\\.\\S+', ''), ('\\b\\d{10,}\\b', ''), ('\\s+', ' '), ('[^a-zA-Z0-9\\s]', '')]
+FEATURES = ['open', 'close', 'high', 'low', 'vol', 'temperature', 'rain', 'sun', 'sentiment', 'language']
+FINAL_COLUMNS = ['ctm', 'ctmString', 'open', 'close', 'high', 'low', 'vol', 'date_start', 'date_end', 'temperature', 'rain',
+ 'sun', 'date', 'data', 'sentiment', 'language']
 
 
 def q(s: str) -> str:
@@ -165,8 +194,6 @@ def sql_paragraph_text(html: str) -> str:
 
 
 # --- text queries ------------------------------------------------------------
-from ..schemas import FEATURES, FINAL_COLUMNS  # noqa: E402
-
 _KEYWORDS = ["The", "License"]
 
 ORACLE["clean_text_literal"] = f"""
@@ -180,8 +207,9 @@ FROM (SELECT doc_id, {sql_clean('text', 'intended')} AS c FROM documents)"""
 ORACLE["keyword_all"] = "SELECT doc_id FROM documents WHERE " + " AND ".join(
     f"contains(lower(text), {q(k.lower())})" for k in _KEYWORDS)
 
-ORACLE["keyword_all_literal"] = "SELECT doc_id FROM documents WHERE " + " AND ".join(
-    f"contains(lower(text), {q(k)})" for k in _KEYWORDS)
+ORACLE["keyword_all_literal"] = "\nUNION ALL\n".join(
+    f"SELECT doc_id, {q(' '.join(ks))} AS keywords FROM documents WHERE " + " AND ".join(
+        f"contains(lower(text), {q(k)})" for k in ks) for ks in (_KEYWORDS, [k.lower() for k in _KEYWORDS]))
 
 ORACLE["page_paragraphs"] = f"""
 SELECT page_id, CAST(len(ps) AS BIGINT) AS n_paragraphs, md5(t) AS text_md5,
@@ -507,14 +535,14 @@ FROM iv JOIN coef USING (interval) GROUP BY 1, 2, 3"""
 # --- speed layer ---------------------------------------------------------------
 _SLIDE_S, _WIN_S = 3 * 3600, 10 * 3600
 _WINDOWS = f"""
-ev AS (SELECT ts, event_type, value FROM events WHERE event_type IN ('view', 'purchase')),
+ev AS (SELECT ts, event_type, value FROM events),
 w AS (
   SELECT make_timestamp(CAST((floor(epoch(ts) / {_SLIDE_S}) - k) * {_SLIDE_S} * 1000000 AS BIGINT)) AS ws,
          ts, event_type, value
   FROM ev, range(0, 4) t(k)
   WHERE epoch(ts) < (floor(epoch(ts) / {_SLIDE_S}) - k) * {_SLIDE_S} + {_WIN_S}),
 agg AS (
-  SELECT ws, count(*) FILTER (WHERE event_type = 'view') AS n_news,
+  SELECT ws, count(*) FILTER (WHERE event_type <> 'purchase') AS n_news,
          count(*) FILTER (WHERE event_type = 'purchase') AS n_stock,
          sum(value) FILTER (WHERE event_type = 'purchase') AS stock_open_sum
   FROM w GROUP BY ws)"""
@@ -528,7 +556,7 @@ ORACLE["window_join_batch"] = "WITH " + _WINDOWS.strip() + _WIN_SELECT
 # Stream: only windows the final watermark has closed are emitted; the
 # watermark is the smaller of the two inputs' max event time, minus 2 s.
 ORACLE["window_join_stream"] = "WITH " + _WINDOWS.strip() + """,
-wm AS (SELECT least(max(ts) FILTER (WHERE event_type = 'view'),
+wm AS (SELECT least(max(ts) FILTER (WHERE event_type <> 'purchase'),
                     max(ts) FILTER (WHERE event_type = 'purchase')) - INTERVAL 2 SECOND AS wm FROM ev)""" + \
     _WIN_SELECT + " AND ws + INTERVAL 10 HOUR <= (SELECT wm FROM wm)"
 
@@ -552,3 +580,108 @@ numbered AS (
   FROM msgs)"""]) + """
 SELECT source, date_start, date_end, CAST(n AS BIGINT) AS n_rows
 FROM numbered WHERE floor((rn - 1) / lim) < floor(total / lim)"""
+
+
+# --- walk-forward model with one predictor ----------------------------------------
+_MODEL = ["""
+lead AS (SELECT ctm - INTERVAL 1 HOUR AS ctm, open AS target FROM stock_lake)""", """
+mf AS (SELECT CAST(date_start AS DATE) AS ds, CAST(date_end AS DATE) AS de,
+              coalesce(close, 0.0) AS x, coalesce(target, 0.0) AS y
+       FROM inner_frame JOIN lead USING (ctm))""", """
+mb AS (SELECT min(ds) AS o, max(de) AS m FROM mf)""", """
+mi AS (SELECT mf.*, o, m, CAST(floor(datediff('day', o, ds) / 5) AS BIGINT) AS interval FROM mf, mb)""", """
+mr AS (SELECT ds, x, y, interval, o + CAST(interval * 5 + 5 AS INTEGER) AS interval_end FROM mi
+       WHERE interval >= 0 AND de < o + CAST(interval * 5 + 5 AS INTEGER)
+         AND o + CAST(interval * 5 AS INTEGER) < m)""", """
+mean AS (SELECT avg(x) AS mx, avg(y) AS my FROM mr)""", """
+st AS (SELECT interval, interval_end, count(*) AS n, sum(x - mx) AS sx, sum(y - my) AS sy,
+              sum((x - mx) * (x - mx)) AS sxx, sum((x - mx) * (y - my)) AS sxy
+       FROM mr, mean GROUP BY 1, 2)""", """
+run AS (SELECT interval, interval_end, sum(n) OVER w AS n, sum(sx) OVER w AS sx, sum(sy) OVER w AS sy,
+               sum(sxx) OVER w AS sxx, sum(sxy) OVER w AS sxy FROM st WINDOW w AS (ORDER BY interval))""", """
+line AS (SELECT interval, interval_end, n, sx, sy, (sxy / n - sx / n * sy / n) / (sxx / n - sx / n * sx / n) AS slope
+         FROM run)""", """
+model AS (SELECT interval, strftime(interval_end, '%Y-%m-%d') AS the_date, slope,
+                 my + sy / n - slope * (mx + sx / n) AS intercept FROM line, mean)""", """
+newest AS (SELECT * FROM model ORDER BY the_date DESC LIMIT 1)""", """
+scored AS (SELECT strftime(ds, '%Y-%m-%d') AS record_date, interval, the_date, y,
+                  greatest(intercept + slope * x, 0.0) AS p FROM mr JOIN model USING (interval))"""]
+
+
+def _model_ctes() -> list[str]:
+    return _inner_frame_ctes() + _MODEL
+
+
+ORACLE["walk_forward_scores"] = _ctes(_model_ctes()) + \
+    f"SELECT record_date, interval, {r4('p')} AS predicted_open FROM scored"
+
+ORACLE["walk_forward_log"] = _ctes(_model_ctes()) + \
+    f"SELECT the_date, {r4('avg((p - y) * (p - y))')} AS loss FROM scored GROUP BY 1"
+
+ORACLE["predict_history"] = _ctes(_model_ctes() + _ranged_ctes()[len(_frame_base()):]) + f"""
+SELECT strftime(date_start, '%Y-%m-%d') AS record_date,
+       {r4('greatest(intercept + slope * coalesce(close, 0.0), 0.0)')} AS predicted_open
+FROM ranged, newest"""
+
+ORACLE["registry_resave"] = _ctes(_model_ctes()) + f"""
+SELECT the_date, {r4('intercept + 1000')} AS intercept, {r4('slope')} AS w_close FROM newest"""
+
+ORACLE["stream_predictions"] = _ctes([FIXTURE_CTES["stock_lake"]]) + f"""
+SELECT strftime(ctm, '%Y-%m-%d') AS record_date, ctm AS candle_time,
+       {r4('greatest(1.0 + 0.5 * open - 0.25 * close + 2.0 * 5.0, 0.0)')} AS open
+FROM stock_lake"""
+
+# --- refresh, quarantine, restart ---------------------------------------------------
+ORACLE["refresh_weather"] = ORACLE["weather_daily"]
+ORACLE["refresh_open"] = _ctes([FIXTURE_CTES["stock_lake"]]) + """
+SELECT strftime(CAST(substr(date_start, 1, 10) AS DATE), '%Y-%m-%d') AS record_date, open FROM stock_lake"""
+
+ORACLE["envelope_quarantine"] = """
+SELECT CASE event_type WHEN 'error' THEN 'malformed' WHEN 'signup' THEN 'unknown source'
+                       ELSE 'payload of another kind' END AS reason, count(*) AS n
+FROM events WHERE event_type IN ('error', 'signup', 'click') GROUP BY 1"""
+
+ORACLE["lake_restart"] = _ctes([FIXTURE_CTES["weather_raw"], _WEATHER_LAKE]) + """
+SELECT 'scraper_weather_openmeteo' AS source, date_start, date_end, CAST(1 AS BIGINT) AS n_rows FROM weather_lake"""
+
+# --- single operators ---------------------------------------------------------------
+ORACLE["recorded_envelopes"] = _ctes([FIXTURE_CTES["weather_raw"], _WEATHER_LAKE]) + \
+    f"SELECT {_report_cols(['temperature', 'rain', 'sun', 'date_start', 'date_end'])} FROM weather_lake"
+
+ORACLE["envelope_repair"] = _ctes([FIXTURE_CTES["news_items"]]) + """
+SELECT 'scraper_news_' || feed AS source, "date", md5(data) AS data, date_start, date_end FROM news_items"""
+
+ORACLE["weather_upsert"] = ORACLE["weather_daily"]
+
+ORACLE["log_append"] = _ctes([FIXTURE_CTES["scraper_logs"]]) + \
+    "SELECT start_date, end_date, record_count FROM scraper_logs"
+
+ORACLE["api_articles"] = _ctes([FIXTURE_CTES["news_items"]]) + """
+SELECT md5(data) AS data, "date" FROM news_items
+WHERE doc_id % 7 <> 0 AND doc_id % 11 <> 0 AND data IS NOT NULL"""
+
+ORACLE["load_windows_5min"] = """
+WITH log AS (
+  SELECT DISTINCT 'newsapi' AS feed, time_bucket(INTERVAL 5 MINUTE, ts) AS s FROM events WHERE event_type <> 'error'),
+w AS (
+  SELECT 'newsapi' AS feed, unnest(generate_series((SELECT min(s) FROM log), TIMESTAMP '2024-02-02', INTERVAL 5 MINUTE)) AS s
+  UNION ALL
+  SELECT 'backup', unnest(generate_series(TIMESTAMP '2024-02-02' - INTERVAL 30 DAY, TIMESTAMP '2024-02-02', INTERVAL 5 MINUTE))),
+refused AS (SELECT DISTINCT 'newsapi' AS feed, time_bucket(INTERVAL 5 MINUTE, ts) AS s FROM events
+            WHERE event_type = 'error' AND event_id % 2 = 0)
+SELECT feed, strftime(s, '%Y-%m-%dT%H:%M:%S') AS start_date,
+       strftime(s + INTERVAL 5 MINUTE, '%Y-%m-%dT%H:%M:%S') AS end_date
+FROM w WHERE s < TIMESTAMP '2024-02-02' AND NOT EXISTS (SELECT 1 FROM log l WHERE l.feed = w.feed AND l.s = w.s)
+  AND NOT EXISTS (SELECT 1 FROM refused r WHERE r.feed = w.feed AND r.s = w.s)"""
+
+ORACLE["last_cursor_12h"] = """
+SELECT feed, strftime(t, '%Y-%m-%d %I:%M:%S') AS end_date
+FROM (SELECT event_type AS feed, max(date_trunc('hour', ts)) AS t FROM events WHERE hour(ts) < 12 GROUP BY 1)"""
+
+ORACLE["sentiment_mixed"] = f"""
+SELECT day, user_id, CAST(n AS BIGINT) AS n_tokens, CAST(p AS BIGINT) AS pos_hits, CAST(g AS BIGINT) AS neg_hits,
+       {sql_sentiment('n', 'p', 'g')} AS sentiment
+FROM (SELECT strftime(ts, '%Y-%m-%d') AS day, user_id, count(*) AS n,
+             count(*) FILTER (WHERE event_type IN ('view', 'purchase')) AS p,
+             count(*) FILTER (WHERE event_type IN ('error', 'signup')) AS g
+      FROM events GROUP BY 1, 2)"""
