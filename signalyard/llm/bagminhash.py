@@ -25,7 +25,8 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from signalyard.llm.common import cut, text_or_empty
+from signalyard.llm.common import text_or_empty
+from signalyard.session import materialise
 
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
@@ -155,26 +156,33 @@ def signed(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
 
 
 def _bags(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """row, hashes, counts (as bytes) of the rows ``wanted``."""
+    """row, hashes, counts (as bytes; no counts if all are 1) of the rows ``wanted``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             bags = [bag(t.split()) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("row"), pa.array([h.tobytes() for h, _ in bags], pa.binary()),
-                 pa.array([c.astype("<u4").tobytes() for _, c in bags], pa.binary())], names=["row", "hashes", "counts"])
+                 pa.array([c.astype("<u4").tobytes() if len(c) and c.max() > 1 else b"" for _, c in bags], pa.binary())],
+                names=["row", "hashes", "counts"])
 
     return (_with_rows(docs).select("row", "text").join(wanted, "row", "left_semi")
             .mapInArrow(run, "row long, hashes binary, counts binary"))
 
 
-def _linked(pairs: DataFrame, bags: DataFrame, threshold: float) -> DataFrame:
-    """The pairs (pivot, member) whose bags are alike.
+def _read_bag(hashes: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray]:
+    h = np.frombuffer(hashes, "<u8")
+    return h, np.frombuffer(counts, "<u4").astype(np.int64) if counts else np.ones(len(h), np.int64)
+
+
+def _compared(pairs: DataFrame, bags: DataFrame) -> DataFrame:
+    """The pairs (pivot, member) with the similarity of their bags.
 
     Pairs are dealt by pivot in groups of a bounded size; a group has the pivot's
     bag first and then its members' bags, which are read one after the other."""
     per_pivot = pairs.groupBy("pivot").agg(F.ceil(F.count(F.lit(1)) / _GROUP_PAIRS).cast("long").alias("groups"))
-    dealt = cut(pairs.join(per_pivot, "pivot").withColumn("deal", F.pmod(F.xxhash64("member"), F.col("groups"))).drop("groups"))
+    dealt = pairs.join(per_pivot, "pivot").withColumn("deal", F.pmod(F.xxhash64("member"), F.col("groups"))).drop("groups")
+    dealt = materialise(dealt, "near-pairs")
     members = dealt.join(bags, F.col("member") == F.col("row")).select("pivot", "deal", F.col("member"), "hashes", "counts")
     pivots = (dealt.select("pivot", "deal").distinct().join(bags, F.col("pivot") == F.col("row"))
               .select("pivot", "deal", F.lit(None).cast("long").alias("member"), "hashes", "counts"))
@@ -182,34 +190,36 @@ def _linked(pairs: DataFrame, bags: DataFrame, threshold: float) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, own = None, None
         for batch in batches:
-            out: list[tuple[int, int]] = []
+            out: list[tuple[int, int, float]] = []
             for pivot, deal, member, hashes, counts in zip(*(c.to_pylist() for c in batch.columns)):
-                this = (np.frombuffer(hashes, "<u8"), np.frombuffer(counts, "<u4").astype(np.int64))
+                this = _read_bag(hashes, counts)
                 if member is None:
                     group, own = (pivot, deal), this
                 elif (pivot, deal) != group:
                     raise ValueError("a group without its pivot")
-                elif similarity(own, this) >= threshold:
-                    out.append((pivot, member))
-            yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in out], pa.int64()), pa.array([m for _, m in out], pa.int64())],
-                                             names=["pivot", "member"])
+                else:
+                    out.append((pivot, member, similarity(own, this)))
+            columns = list(zip(*out)) or [(), (), ()]
+            yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()),
+                                              pa.array(columns[2], pa.float64())], names=["pivot", "member", "similarity"])
 
     return (members.unionByName(pivots).repartition("pivot", "deal").sortWithinPartitions("pivot", "deal", F.col("member").asc_nulls_first())
-            .mapInArrow(run, "pivot long, member long"))
+            .mapInArrow(run, "pivot long, member long, similarity double"))
 
 
 def components(links: DataFrame) -> DataFrame:
     """row, label of every row in ``links`` (pivot, member): the smallest row
     that it is connected to.  Labels spread to neighbours and then jump to their
     label's label, until none changes."""
-    both = cut(links.select(F.col("pivot").alias("row"), F.col("member").alias("to"))
-               .unionByName(links.select(F.col("member").alias("row"), F.col("pivot").alias("to"))).distinct())
-    labels = cut(both.groupBy("row").agg(F.least(F.col("row"), F.min("to")).alias("label")))
+    both = materialise(links.select(F.col("pivot").alias("row"), F.col("member").alias("to"))
+                       .unionByName(links.select(F.col("member").alias("row"), F.col("pivot").alias("to"))).distinct(), "near-edges")
+    labels = materialise(both.groupBy("row").agg(F.least(F.col("row"), F.min("to")).alias("label")), "near-labels")
     while True:
         around = both.join(labels.withColumnsRenamed({"row": "to", "label": "near"}), "to").groupBy("row").agg(F.min("near").alias("near"))
-        spread = cut(labels.join(around, "row").select("row", F.least("label", "near").alias("label"), F.col("label").alias("old")))
+        spread = materialise(labels.join(around, "row").select(
+            "row", F.least("label", "near").alias("label"), F.col("label").alias("old")), "near-spread")
         roots = spread.select(F.col("row").alias("label"), F.col("label").alias("root"))
-        jumped = cut(spread.join(roots, "label").select("row", F.least("label", "root").alias("label"), "old"))
+        jumped = materialise(spread.join(roots, "label").select("row", F.least("label", "root").alias("label"), "old"), "near-labels")
         labels = jumped.select("row", "label")
         if jumped.filter("label <> old").isEmpty():
             return labels
@@ -217,38 +227,50 @@ def components(links: DataFrame) -> DataFrame:
 
 def _settle(docs: DataFrame, members: DataFrame, threshold: float) -> DataFrame:
     """row, label of the rows that are linked to another within a bucket of
-    ``members`` (key, row, pivot: the bucket's smallest row), as if all pairs
-    of each bucket had been compared."""
+    ``members`` (key, row, pivot: the bucket's smallest row), as if all pairs of
+    each bucket had been compared.
+
+    First each row is compared with one pivot, the smallest of its buckets'.  The
+    distance (1 - similarity) is a metric, so two rows whose distances from one
+    pivot differ by more than 1 - threshold cannot be linked and are not compared.
+    Then, while a bucket holds several classes, either its few members outside
+    its largest class are compared with all members of other classes, after which
+    all their links are known and they leave the bucket, or, if they are many,
+    they are compared with some members of the largest class, which then leave."""
     spark = docs.sparkSession
-    bags = cut(_bags(docs, members.select("row").distinct()))
-    links = cut(_linked(members.filter("row <> pivot").select("pivot", F.col("row").alias("member")).distinct(), bags, threshold))
-    # The pivot's links are all known, so it leaves the bucket.
-    open_ = cut(members.filter("row <> pivot").select("key", "row"))
+    bags = materialise(_bags(docs, members.select("row").distinct()), "near-bags")
+    star = members.groupBy("row").agg(F.min("pivot").alias("pivot")).filter("row <> pivot")
+    first = materialise(_compared(star.select("pivot", F.col("row").alias("member")), bags), "near-star")
+    links = first.filter(F.col("similarity") >= threshold).select("pivot", "member")
+    # a row that is its own smallest pivot lies at distance 0 from it
+    far = first.select(F.col("member").alias("row"), F.col("pivot").alias("from"), (1 - F.col("similarity")).alias("far"))
+    open_ = materialise(members.select("key", "row").join(far, "row", "left").select(
+        "key", "row", F.coalesce("from", "row").alias("from"), F.coalesce("far", F.lit(0.0)).alias("far")), "near-open")
+    reach = 1 - threshold + 1e-9
     few = _FEW
     while True:
         labels = components(links) if not links.isEmpty() else spark.createDataFrame([], "row long, label long")
         labelled = open_.join(labels, "row", "left").withColumn("label", F.coalesce("label", "row"))
-        split = labelled.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("key")
-        labelled = cut(labelled.join(split, "key"))
-        if labelled.isEmpty():
+        # Of each bucket with several classes: its largest class, and how many are outside it.
+        main = materialise(
+            labelled.groupBy("key", "label").count().groupBy("key")
+            .agg(F.max(F.struct("count", "label")).alias("top"), F.sum("count").alias("all"), F.min("label").alias("lo"), F.max("label").alias("hi"))
+            .filter("lo <> hi").select("key", F.col("top.label").alias("main"), (F.col("all") - F.col("top.count") <= few).alias("few")), "near-main")
+        if main.isEmpty():
             return labels
-        # Each bucket's largest class stays; the members outside it are to be compared.
-        per_label = labelled.groupBy("key", "label").count()
-        main = cut(per_label.groupBy("key").agg(F.max(F.struct("count", "label")).alias("top"), F.sum("count").alias("all"))
-                   .select("key", F.col("top.label").alias("main"), (F.col("all") - F.col("top.count")).alias("outside")))
-        told = cut(labelled.join(main, "key").withColumn("out", F.col("label") != F.col("main")))
-        # Few outside: they are compared with everything of another class.  Many: they
-        # are compared with some of the main class, chosen by hash, which links most.
-        few_out = F.col("outside") <= few
+        told = materialise(labelled.join(main, "key").withColumn("out", F.col("label") != F.col("main")).drop("main"), "near-told")
         score = F.xxhash64("row", F.lit(few))
-        chosen = cut(told.filter(few_out & F.col("out")).select("key", "row", "label").unionByName(
-            told.filter(~few_out & ~F.col("out")).groupBy("key", F.pmod(F.hash("row"), F.lit(few // 4)).alias("slot"))
-            .agg(F.min(F.struct(score.alias("score"), "row", "label")).alias("best")).select("key", "best.row", "best.label")))
-        pairs = (told.select("key", F.col("row").alias("member"), F.col("label").alias("of"))
-                 .join(chosen.withColumnsRenamed({"row": "pivot"}), "key").filter("of <> label")
-                 .select(F.least("pivot", "member").alias("pivot"), F.greatest("pivot", "member").alias("member")).distinct())
-        links = cut(links.unionByName(_linked(cut(pairs), bags, threshold)))
-        open_ = cut(told.select("key", "row").join(chosen.select("key", "row"), ["key", "row"], "left_anti"))
+        some = F.struct(score.alias("score"), "row", "label", "from", "far")
+        chosen = materialise(told.filter("few and out").select("key", "row", "label", "from", "far").unionByName(
+            told.filter("not few and not out").groupBy("key", F.pmod(F.hash("row"), F.lit(few // 4)).alias("slot"))
+            .agg(F.min(some).alias("best")).select("key", "best.row", "best.label", "best.from", "best.far")), "near-chosen")
+        pivots = chosen.withColumnsRenamed({"row": "pivot", "label": "pivot_label", "from": "pivot_from", "far": "pivot_far"})
+        apart = (F.col("from") == F.col("pivot_from")) & (F.abs(F.col("far") - F.col("pivot_far")) > reach)
+        pairs = (told.join(pivots, (told["key"] == pivots["key"]) & (F.col("label") != F.col("pivot_label")) & ~apart)
+                 .select(F.least("pivot", "row").alias("pivot"), F.greatest("pivot", "row").alias("member")).distinct())
+        found = _compared(pairs, bags).filter(F.col("similarity") >= threshold).select("pivot", "member")
+        links = materialise(links.unionByName(found), "near-links")
+        open_ = materialise(told.select(*open_.columns).join(chosen.select("key", "row"), ["key", "row"], "left_anti"), "near-open")
         few *= 4
 
 
@@ -263,16 +285,18 @@ def near_classes(docs: DataFrame, threshold: float = SIMILARITY, bands: int = BA
     are copies; an empty table gives no rows; other columns are not read.
     ``docs`` is read twice and must give its rows in the same order, as a table
     does."""
-    table = cut(signed(docs, bands, rows))
-    copies = cut(table.groupBy("words_sha").agg(F.min("row").alias("first")))
-    firsts = table.join(copies.select(F.col("first").alias("row")), "row", "left_semi").filter("bands is not null")
-    keyed = cut(firsts.select("row", F.explode("bands").alias("key")))
-    buckets = cut(keyed.groupBy("key").agg(F.min("row").alias("pivot"), F.max("row").alias("last"))
-                  .filter("pivot < last").select("key", "pivot"))
-    labels = _settle(docs, cut(keyed.join(buckets, "key")), threshold)
+    table = materialise(signed(docs, bands, rows), "near-signed")
+    copies = materialise(table.groupBy("words_sha").agg(F.min("row").alias("first")), "near-copies")
+    firsts = materialise(table.join(copies.select(F.col("first").alias("row")), "row", "left_semi")
+                         .filter("bands is not null").select("row", "bands"), "near-firsts")
+    keyed = firsts.select("row", F.explode("bands").alias("key"))
+    buckets = materialise(keyed.groupBy("key").agg(F.min("row").alias("pivot"), F.max("row").alias("last"))
+                          .filter("pivot < last").select("key", "pivot"), "near-buckets")
+    labels = _settle(docs, materialise(keyed.join(buckets, "key"), "near-members"), threshold)
     named = copies.join(labels.withColumnRenamed("row", "first"), "first", "left").select(
         "words_sha", F.coalesce("label", "first").alias("label"))
-    told = cut(table.select("row", "doc_id", "words_sha").join(cut(named), "words_sha").drop("words_sha"))
-    classes = cut(told.groupBy("label").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size")))
+    told = materialise(table.select("row", "doc_id", "words_sha").join(materialise(named, "near-named"), "words_sha")
+                       .drop("words_sha"), "near-told")
+    classes = materialise(told.groupBy("label").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size")), "near-classes")
     return told.join(classes, "label").select(
         "doc_id", "class_id", "class_size", (F.col("row") == F.col("label")).alias("kept"), "row")
