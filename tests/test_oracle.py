@@ -31,6 +31,17 @@ def test_query_matches_oracle(spark, con, name):
     assert sorted(s_cols) == sorted(d_cols)
     assert len(s_rows) == len(d_rows)
     assert digest(s_cols, s_rows) == digest(d_cols, d_rows)
+    kinds = lambda cols, rows: {c: {type(r[i]).__name__ for r in rows if r[i] is not None}
+                                for i, c in enumerate(cols)}
+    assert kinds(s_cols, s_rows) == kinds(d_cols, d_rows)
+
+
+@pytest.mark.parametrize("name,by", [("logs_union", ["source", "start_date"]), ("pred_vs_real", ["record_date"]),
+                                     ("weather_series", ["record_date"]), ("news_series", ["record_date", "source"]),
+                                     ("distinct_dates", ["day"])])
+def test_ordered_results_are_in_order(spark, name, by):
+    keys = [tuple(r[c] for c in by) for r in QUERIES[name](spark, SF).collect()]
+    assert keys == sorted(keys)
 
 
 def test_every_query_has_an_oracle_and_is_registered():

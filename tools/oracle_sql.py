@@ -122,7 +122,7 @@ CLEAN_PATTERNS_LITERAL = [('<[^>]+>', ''), ('\\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+
  ('http[s]?://\\\\S+|www\\\\.\\\\S+', ''), ('\\\\b\\\\d{10,}\\\\b', ''), ('\\\\s+', ' '),
  ('[^a-zA-Z0-9\\\\s]', '')]
 CLEAN_PATTERNS_INTENDED = [('<[^>]+>', ''), ('\\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\\.[A-Za-z]{2,}\\b', ''),
- ('http[s]?://\\S+|www\\.\\S+', ''), ('\\b\\d{10,}\\b', ''), ('\\s+', ' '), ('[^a-zA-Z0-9\\s]', '')]
+ ('http[s]?://\\S+|www\\.\\S+', ''), ('\\b\\d{10,}\\b', ''), (r'[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+', ' '), ('[^a-zA-Z0-9\\s]', '')]
 FEATURES = ['open', 'close', 'high', 'low', 'vol', 'temperature', 'rain', 'sun', 'sentiment', 'language']
 FINAL_COLUMNS = ['ctm', 'ctmString', 'open', 'close', 'high', 'low', 'vol', 'date_start', 'date_end', 'temperature', 'rain',
  'sun', 'date', 'data', 'sentiment', 'language']
