@@ -156,18 +156,36 @@ def signed(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
 
 
 def _bags(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """row, hashes, counts (as bytes; no counts if all are 1) of the rows ``wanted``."""
+    """row, size (shingles, repeats counted), hashes, counts (as bytes; no counts
+    if all are 1) of the rows ``wanted``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             bags = [bag(t.split()) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), pa.array([h.tobytes() for h, _ in bags], pa.binary()),
+                [batch.column("row"), pa.array([int(c.sum()) for _, c in bags], pa.int64()),
+                 pa.array([h.tobytes() for h, _ in bags], pa.binary()),
                  pa.array([c.astype("<u4").tobytes() if len(c) and c.max() > 1 else b"" for _, c in bags], pa.binary())],
-                names=["row", "hashes", "counts"])
+                names=["row", "size", "hashes", "counts"])
 
     return (_with_rows(docs).select("row", "text").join(wanted, "row", "left_semi")
-            .mapInArrow(run, "row long, hashes binary, counts binary"))
+            .mapInArrow(run, "row long, size long, hashes binary, counts binary"))
+
+
+def _own_shingles(bags: DataFrame) -> DataFrame:
+    """row, own: how many of its shingles (repeats counted) no other row of
+    ``bags`` has, for rows that have such."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, hashes, counts in zip(*(batch.column(c).to_pylist() for c in ("row", "hashes", "counts"))):
+                h, c = _read_bag(hashes, counts)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(h), row), pa.int64()), pa.array(h.view(np.int64)), pa.array(c)],
+                                                 names=["row", "shingle", "weight"])
+
+    held = bags.mapInArrow(run, "row long, shingle long, weight long")
+    return (held.groupBy("shingle").agg(F.count(F.lit(1)).alias("rows"), F.min("row").alias("row"), F.sum("weight").alias("weight"))
+            .filter("rows = 1").groupBy("row").agg(F.sum("weight").alias("own")))
 
 
 def _read_bag(hashes: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -230,10 +248,12 @@ def _settle(docs: DataFrame, members: DataFrame, threshold: float) -> DataFrame:
     ``members`` (key, row, pivot: the bucket's smallest row), as if all pairs of
     each bucket had been compared.
 
-    First each row is compared with one pivot, the smallest of its buckets'.  The
-    distance (1 - similarity) is a metric, so two rows whose distances from one
-    pivot differ by more than 1 - threshold cannot be linked and are not compared.
-    Then, while a bucket holds several classes, either its few members outside
+    First each row is compared with one pivot, the smallest of its buckets'.
+    Buckets that then hold several classes remain, and two exact bounds tell
+    which of their rows cannot be linked and need no comparison.  The distance
+    (1 - similarity) is a metric, so the distances of linked rows from one pivot
+    differ by at most 1 - threshold.  And shingles that a row shares with no
+    other remaining row count in every union and in no intersection.  Then, while a bucket holds several classes, either its few members outside
     its largest class are compared with all members of other classes, after which
     all their links are known and they leave the bucket, or, if they are many,
     they are compared with some members of the largest class, which then leave."""
@@ -247,9 +267,18 @@ def _settle(docs: DataFrame, members: DataFrame, threshold: float) -> DataFrame:
     open_ = materialise(members.select("key", "row").join(far, "row", "left").select(
         "key", "row", F.coalesce("from", "row").alias("from"), F.coalesce("far", F.lit(0.0)).alias("far")), "near-open")
     reach = 1 - threshold + 1e-9
+    label = lambda: components(links) if not links.isEmpty() else spark.createDataFrame([], "row long, label long")
+    labels = label()
+    split = (open_.select("key", "row").join(labels, "row", "left").groupBy("key")
+             .agg(F.min(F.coalesce("label", "row")).alias("lo"), F.max(F.coalesce("label", "row")).alias("hi"))
+             .filter("lo <> hi").select("key"))
+    left = materialise(open_.join(split, "key"), "near-left")
+    left_bags = materialise(bags.join(left.select("row").distinct(), "row", "left_semi"), "near-left-bags")
+    sizes = left_bags.select("row", "size").join(_own_shingles(left_bags), "row", "left").select(
+        "row", "size", (F.col("size") - F.coalesce("own", F.lit(0))).alias("shared"))
+    open_ = materialise(left.join(sizes, "row").filter(F.col("shared") >= (threshold - 1e-9) * F.col("size")), "near-open")
     few = _FEW
     while True:
-        labels = components(links) if not links.isEmpty() else spark.createDataFrame([], "row long, label long")
         labelled = open_.join(labels, "row", "left").withColumn("label", F.coalesce("label", "row"))
         # Of each bucket with several classes: its largest class, and how many are outside it.
         main = materialise(
@@ -259,18 +288,21 @@ def _settle(docs: DataFrame, members: DataFrame, threshold: float) -> DataFrame:
         if main.isEmpty():
             return labels
         told = materialise(labelled.join(main, "key").withColumn("out", F.col("label") != F.col("main")).drop("main"), "near-told")
+        about = ["row", "label", "from", "far", "size", "shared"]
         score = F.xxhash64("row", F.lit(few))
-        some = F.struct(score.alias("score"), "row", "label", "from", "far")
-        chosen = materialise(told.filter("few and out").select("key", "row", "label", "from", "far").unionByName(
+        chosen = materialise(told.filter("few and out").select("key", *about).unionByName(
             told.filter("not few and not out").groupBy("key", F.pmod(F.hash("row"), F.lit(few // 4)).alias("slot"))
-            .agg(F.min(some).alias("best")).select("key", "best.row", "best.label", "best.from", "best.far")), "near-chosen")
-        pivots = chosen.withColumnsRenamed({"row": "pivot", "label": "pivot_label", "from": "pivot_from", "far": "pivot_far"})
-        apart = (F.col("from") == F.col("pivot_from")) & (F.abs(F.col("far") - F.col("pivot_far")) > reach)
+            .agg(F.min(F.struct(score.alias("score"), *about)).alias("best")).select("key", *[f"best.{c}" for c in about])), "near-chosen")
+        pivots = chosen.withColumnsRenamed({c: f"pivot_{c}" for c in about} | {"row": "pivot"})
+        both = F.least("shared", "pivot_shared")
+        apart = ((F.col("from") == F.col("pivot_from")) & (F.abs(F.col("far") - F.col("pivot_far")) > reach)
+                 | (both < (threshold - 1e-9) * (F.col("size") + F.col("pivot_size") - both)))
         pairs = (told.join(pivots, (told["key"] == pivots["key"]) & (F.col("label") != F.col("pivot_label")) & ~apart)
                  .select(F.least("pivot", "row").alias("pivot"), F.greatest("pivot", "row").alias("member")).distinct())
-        found = _compared(pairs, bags).filter(F.col("similarity") >= threshold).select("pivot", "member")
+        found = _compared(pairs, left_bags).filter(F.col("similarity") >= threshold).select("pivot", "member")
         links = materialise(links.unionByName(found), "near-links")
         open_ = materialise(told.select(*open_.columns).join(chosen.select("key", "row"), ["key", "row"], "left_anti"), "near-open")
+        labels = label()
         few *= 4
 
 

@@ -1,6 +1,7 @@
 """WARC replicas and their fixity audit by Merkle trees.
 
-Pages are written as WARC files; a manifest lists every record's place.  To
+Pages are written as compressed WARC files (a gzip member per record); a
+manifest lists every record's place.  To
 audit two replicas, each is hashed where it lies: records are the leaves, and
 each node hashes the ordered offset range of up to 16 nodes below it, first
 within a file, then over files, up to one root.  Equal roots mean equal
@@ -9,6 +10,7 @@ level, down to the records that differ."""
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 import uuid
 import zlib
@@ -31,28 +33,26 @@ _MANIFEST = T.StructType([T.StructField("page_id", T.LongType()), T.StructField(
 
 
 def file_path(replica: str, file: int) -> str:
-    return f"{uri(replica)}/part-{file:05d}.warc"
+    return f"{uri(replica)}/part-{file:05d}.warc.gz"
 
 
 def record(url: str, html: str, date: str = "1970-01-01T00:00:00Z") -> bytes:
-    """One resource record; the same page always gives the same bytes."""
+    """One resource record, as a gzip member; the same page always gives the same bytes."""
     body = html.encode("utf-8", "surrogatepass")
     address = url.replace("\r", "%0D").replace("\n", "%0A")
     name = uuid.UUID(bytes=hashlib.sha256(address.encode("utf-8", "surrogatepass") + b"\0" + body).digest()[:16])
     head = (f"WARC/1.0\r\nWARC-Type: resource\r\nWARC-Record-ID: <urn:uuid:{name}>\r\nWARC-Date: {date}\r\n"
             f"WARC-Target-URI: {address}\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(body)}\r\n\r\n")
-    return head.encode("utf-8", "surrogatepass") + body + b"\r\n\r\n"
+    return gzip.compress(head.encode("utf-8", "surrogatepass") + body + b"\r\n\r\n", compresslevel=6, mtime=0)
 
 
-def write_replica(pages: DataFrame, replica: str, file_bytes: int = FILE_BYTES, damage: int = 0) -> DataFrame:
+def write_replica(pages: DataFrame, replica: str, file_bytes: int = FILE_BYTES) -> DataFrame:
     """Write ``pages`` (page_id, url, html) as WARC files under ``replica``, a
     folder that the executors share; returns the manifest: page_id, file, nth
     (in the file), offset, length.
 
     Files hold ranges of page_id in order.  A null html or url is empty, a null
-    page_id comes first, repeated rows are records of their own.  ``damage`` n > 0
-    changes one byte of the records whose crc32(page_id as text) is divisible by
-    n: a replica to test an audit with."""
+    page_id comes first, repeated rows are records of their own."""
     pages = pages.select(F.col("page_id").cast("long").alias("page_id"), *[
         F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("url", "html")])
     n_bytes = pages.agg(F.coalesce(F.sum(F.octet_length("html") + 300), F.lit(0))).first()[0]
@@ -64,8 +64,6 @@ def write_replica(pages: DataFrame, replica: str, file_bytes: int = FILE_BYTES,
             rows = []
             for page_id, url, html in zip(*(c.to_pylist() for c in batch.columns)):
                 raw = record(url, html)
-                if damage and zlib.crc32(str(page_id).encode()) % damage == 0:
-                    raw = raw[:-5] + bytes([raw[-5] ^ 1]) + raw[-4:]
                 out.write(raw)
                 rows.append((page_id, file, nth, at, len(raw)))
                 at, nth = at + len(raw), nth + 1
@@ -78,11 +76,42 @@ def write_replica(pages: DataFrame, replica: str, file_bytes: int = FILE_BYTES,
     return cut(dealt.mapInArrow(write, _MANIFEST))
 
 
+def copy_replica(manifest: DataFrame, replica: str, copy: str, damage: int = 0) -> None:
+    """Copy the manifest's records, file by file.  ``damage`` n > 0 changes the
+    last byte of those whose crc32(page_id as text) is divisible by n: a copy to
+    test an audit with."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        name, source, out, n = None, None, None, 0
+        for batch in batches:
+            for page_id, file, offset, length in zip(*(batch.column(c).to_pylist() for c in ("page_id", "file", "offset", "length"))):
+                if file != name:
+                    if out:
+                        out.close()
+                    fs, path = open_store(file_path(replica, file))
+                    name, source, out = file, fs.open_input_file(path), WholeFile(file_path(copy, file))
+                raw = source.read_at(length, offset)
+                if damage and zlib.crc32(str(page_id).encode()) % damage == 0:
+                    raw = raw[:-1] + bytes([raw[-1] ^ 1])
+                out.write(raw)
+                n += 1
+        if out:
+            out.close()
+        yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], names=["records"])
+
+    _by_file(manifest).mapInArrow(run, "records long").agg(F.sum("records")).collect()
+
+
+def _by_file(manifest: DataFrame) -> DataFrame:
+    """The manifest with a file's records in one partition, in their order."""
+    files = manifest.agg(F.coalesce(F.max("file"), F.lit(0)) + 1).first()[0]
+    return manifest.repartitionById(files, F.col("file").cast("int")).sortWithinPartitions("file", "offset")
+
+
 def record_hashes(manifest: DataFrame, replica: str) -> DataFrame:
     """file, nth, offset, end, hash of each record's bytes as they lie in
     ``replica``; a range that a file does not have, or a file that is not there,
     is hashed as what is left of it."""
-    files = manifest.agg(F.coalesce(F.max("file"), F.lit(0)) + 1).first()[0]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         name, source = None, None
@@ -100,9 +129,8 @@ def record_hashes(manifest: DataFrame, replica: str) -> DataFrame:
                                               pa.array(end, pa.int64()), pa.array(hashes)],
                                              names=["file", "nth", "offset", "end", "hash"])
 
-    return (manifest.select("file", "nth", "offset", "length").repartitionById(files, F.col("file").cast("int"))
-            .sortWithinPartitions("file", "offset")
-            .mapInArrow(run, "file long, nth long, offset long, end long, hash string"))
+    return _by_file(manifest.select("file", "nth", "offset", "length")).mapInArrow(
+        run, "file long, nth long, offset long, end long, hash string")
 
 
 def _parent(level: int, file_levels: int) -> tuple:
@@ -175,9 +203,9 @@ def audit(manifest: DataFrame, first: str, second: str) -> DataFrame:
 
 
 def audited_copy(pages: DataFrame, folder: str, damage: int = 97, file_bytes: int = FILE_BYTES) -> DataFrame:
-    """page_id, length, sha256, other_sha256, same of every page's record: two
-    replicas are written, the second with damaged records, and compared.  An
-    empty table gives no rows; other columns are not read."""
+    """page_id, length, sha256, other_sha256, same of every page's record: a
+    replica is written and copied, with damaged records, and the two are
+    compared.  An empty table gives no rows; other columns are not read."""
     manifest = write_replica(pages, f"{folder}/a", file_bytes)
-    write_replica(pages, f"{folder}/b", file_bytes, damage)
+    copy_replica(manifest, f"{folder}/a", f"{folder}/b", damage)
     return audit(manifest, f"{folder}/a", f"{folder}/b").select("page_id", "length", "sha256", "other_sha256", "same")
