@@ -6,6 +6,7 @@ import os
 import re
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -94,6 +95,27 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or d
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application, so that their
+    Python workers can import it wherever they run."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="signalyard-code-"), "signalyard_code.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for folder, _, names in os.walk(here):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.join("signalyard", os.path.relpath(path, here)))
+    sc.addPyFile(archive)
+    _SHIPPED.add(sc.applicationId)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint dir, for written
     intermediate tables and stream checkpoints."""
