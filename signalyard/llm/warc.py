@@ -20,11 +20,10 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from signalyard.llm.common import cut, parts_for
+from signalyard.llm.common import cut
 from signalyard.llm.files import WholeFile, open_store, uri
 
-#: Bytes of pages a file is made from, and children of a node.
-FILE_BYTES = 64 << 20
+#: Children of a node.
 FANOUT = 16
 
 _MANIFEST = T.StructType([T.StructField("page_id", T.LongType()), T.StructField("file", T.LongType()),
@@ -46,16 +45,17 @@ def record(url: str, html: str, date: str = "1970-01-01T00:00:00Z") -> bytes:
     return gzip.compress(head.encode("utf-8", "surrogatepass") + body + b"\r\n\r\n", compresslevel=6, mtime=0)
 
 
-def write_replica(pages: DataFrame, replica: str, file_bytes: int = FILE_BYTES) -> DataFrame:
+def write_replica(pages: DataFrame, replica: str) -> DataFrame:
     """Write ``pages`` (page_id, url, html) as WARC files under ``replica``, a
     folder that the executors share; returns the manifest: page_id, file, nth
     (in the file), offset, length.
 
-    Files hold ranges of page_id in order.  A null html or url is empty, a null
-    page_id comes first, repeated rows are records of their own."""
+    Each task writes what it reads, in the order of the table, as one file (its
+    size is that of a partition: ``spark.sql.files.maxPartitionBytes`` bounds it
+    for tables), so pages are not shuffled.  A null html or url is empty, a null
+    page_id stays null, repeated rows are records of their own."""
     pages = pages.select(F.col("page_id").cast("long").alias("page_id"), *[
         F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("url", "html")])
-    n_bytes = pages.agg(F.coalesce(F.sum(F.octet_length("html") + 300), F.lit(0))).first()[0]
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         file = TaskContext.get().partitionId()
@@ -71,9 +71,7 @@ def write_replica(pages: DataFrame, replica: str, file_bytes: int = FILE_BYTES)
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], names=_MANIFEST.names)
         out.close()
 
-    order = F.col("page_id").asc_nulls_first()
-    dealt = pages.repartitionByRange(parts_for(n_bytes, file_bytes), order).sortWithinPartitions(order, "url", "html")
-    return cut(dealt.mapInArrow(write, _MANIFEST))
+    return cut(pages.mapInArrow(write, _MANIFEST))
 
 
 def copy_replica(manifest: DataFrame, replica: str, copy: str, damage: int = 0) -> None:
@@ -202,10 +200,10 @@ def audit(manifest: DataFrame, first: str, second: str) -> DataFrame:
             .withColumn("same", F.col("other_sha256").isNull()))
 
 
-def audited_copy(pages: DataFrame, folder: str, damage: int = 97, file_bytes: int = FILE_BYTES) -> DataFrame:
+def audited_copy(pages: DataFrame, folder: str, damage: int = 97) -> DataFrame:
     """page_id, length, sha256, other_sha256, same of every page's record: a
     replica is written and copied, with damaged records, and the two are
     compared.  An empty table gives no rows; other columns are not read."""
-    manifest = write_replica(pages, f"{folder}/a", file_bytes)
+    manifest = write_replica(pages, f"{folder}/a")
     copy_replica(manifest, f"{folder}/a", f"{folder}/b", damage)
     return audit(manifest, f"{folder}/a", f"{folder}/b").select("page_id", "length", "sha256", "other_sha256", "same")
