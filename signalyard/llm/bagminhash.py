@@ -34,9 +34,11 @@ SIMILARITY = 0.8
 BANDS, ROWS = 26, 5
 
 #: Pairs compared in one group, and the members outside the main class of a
-#: bucket that are compared with all of it (doubled each round).
+#: bucket that are compared with all of it (four times as many each round).
 _GROUP_PAIRS = 256
 _FEW = 32
+#: Cells that a bag's shingles are counted in, to bound how many two bags share.
+_CELLS = 128
 #: Words whose signatures are made at a time.
 _BATCH_WORDS = 1_000_000
 
@@ -156,20 +158,21 @@ def signed(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
 
 
 def _bags(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """row, size (shingles, repeats counted), hashes, counts (as bytes; no counts
-    if all are 1) of the rows ``wanted``."""
+    """row, size (shingles, repeats counted), cells (shingles by hash cell), hashes,
+    counts (as bytes; no counts if all are 1) of the rows ``wanted``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             bags = [bag(t.split()) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("row"), pa.array([int(c.sum()) for _, c in bags], pa.int64()),
+                 pa.array([np.bincount((h % np.uint64(_CELLS)).astype(np.int64), c, _CELLS).astype("<u4").tobytes() for h, c in bags], pa.binary()),
                  pa.array([h.tobytes() for h, _ in bags], pa.binary()),
                  pa.array([c.astype("<u4").tobytes() if len(c) and c.max() > 1 else b"" for _, c in bags], pa.binary())],
-                names=["row", "size", "hashes", "counts"])
+                names=["row", "size", "cells", "hashes", "counts"])
 
     return (_with_rows(docs).select("row", "text").join(wanted, "row", "left_semi")
-            .mapInArrow(run, "row long, size long, hashes binary, counts binary"))
+            .mapInArrow(run, "row long, size long, cells binary, hashes binary, counts binary"))
 
 
 def _own_shingles(bags: DataFrame) -> DataFrame:
@@ -225,6 +228,53 @@ def _compared(pairs: DataFrame, bags: DataFrame) -> DataFrame:
             .mapInArrow(run, "pivot long, member long, similarity double"))
 
 
+_ABOUT = ["row", "label", "from", "far", "size", "shared", "cells"]
+
+
+def _possible_pairs(told: DataFrame, chosen: DataFrame, threshold: float) -> DataFrame:
+    """(pivot, member), each pair once: of each bucket the ``chosen`` rows with the
+    rows of other classes that they can be linked to.
+
+    A bucket's rows are dealt in groups of a bounded size, and each group gets the
+    bucket's chosen rows, which are few, first.  A pair is left out if an exact
+    bound says that its similarity is below the threshold: by the distances from a
+    common pivot, by the shingles that other rows have too, or by the shingles per
+    cell, of which two bags share at most the smaller number."""
+    groups = told.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / _GROUP_PAIRS).cast("long").alias("groups"))
+    members = (told.select("key", *_ABOUT).join(groups, "key")
+               .withColumn("deal", F.pmod(F.xxhash64("row"), F.col("groups"))).withColumn("member", F.lit(True)))
+    pivots = (chosen.select("key", *_ABOUT).join(groups, "key")
+              .withColumn("deal", F.explode(F.expr("sequence(0, groups - 1)"))).withColumn("member", F.lit(False)))
+    least, reach = threshold - 1e-9, 1 - threshold + 1e-9
+    columns = ["key", "deal", "member", *_ABOUT]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, held, arrays = None, [], None
+        for batch in batches:
+            out: list[tuple[int, int]] = []
+            for key, deal, member, *about in zip(*(batch.column(c).to_pylist() for c in columns)):
+                if (key, deal) != group:
+                    group, held, arrays = (key, deal), [], None
+                if not member:
+                    held.append(about)
+                    continue
+                if arrays is None:
+                    rows, labels, origins, fars, sizes, shared, cells = zip(*held)
+                    arrays = (np.array(rows), np.array(labels), np.array(origins), np.array(fars), np.array(sizes), np.array(shared),
+                              np.frombuffer(b"".join(cells), "<u4").reshape(len(rows), _CELLS))
+                rows, labels, origins, fars, sizes, shared, cells = arrays
+                row, label, origin, far, size, common, own = about
+                both = np.minimum(np.minimum(shared, common), np.minimum(cells, np.frombuffer(own, "<u4")).sum(axis=1))
+                can = ((labels != label) & ((origins != origin) | (np.abs(fars - far) <= reach))
+                       & (both >= least * (sizes + size - both)))
+                out += [(min(row, p), max(row, p)) for p in rows[can].tolist()]
+            lists = list(zip(*out)) or [(), ()]
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in lists], names=["pivot", "member"])
+
+    dealt = members.unionByName(pivots).select(*columns).repartition("key", "deal").sortWithinPartitions("key", "deal", "member")
+    return dealt.mapInArrow(run, "pivot long, member long").distinct()
+
+
 def components(links: DataFrame) -> DataFrame:
     """row, label of every row in ``links`` (pivot, member): the smallest row
     that it is connected to.  Labels spread to neighbours and then jump to their
@@ -253,7 +303,8 @@ def _settle(docs: DataFrame, members: DataFrame, threshold: float) -> DataFrame:
     which of their rows cannot be linked and need no comparison.  The distance
     (1 - similarity) is a metric, so the distances of linked rows from one pivot
     differ by at most 1 - threshold.  And shingles that a row shares with no
-    other remaining row count in every union and in no intersection.  Then, while a bucket holds several classes, either its few members outside
+    other remaining row count in every union and in no intersection (see
+    _possible_pairs for one more).  Then, while a bucket holds several classes, either its few members outside
     its largest class are compared with all members of other classes, after which
     all their links are known and they leave the bucket, or, if they are many,
     they are compared with some members of the largest class, which then leave."""
@@ -266,7 +317,6 @@ def _settle(docs: DataFrame, members: DataFrame, threshold: float) -> DataFrame:
     far = first.select(F.col("member").alias("row"), F.col("pivot").alias("from"), (1 - F.col("similarity")).alias("far"))
     open_ = materialise(members.select("key", "row").join(far, "row", "left").select(
         "key", "row", F.coalesce("from", "row").alias("from"), F.coalesce("far", F.lit(0.0)).alias("far")), "near-open")
-    reach = 1 - threshold + 1e-9
     label = lambda: components(links) if not links.isEmpty() else spark.createDataFrame([], "row long, label long")
     labels = label()
     split = (open_.select("key", "row").join(labels, "row", "left").groupBy("key")
@@ -274,8 +324,8 @@ def _settle(docs: DataFrame, members: DataFrame, threshold: float) -> DataFrame:
              .filter("lo <> hi").select("key"))
     left = materialise(open_.join(split, "key"), "near-left")
     left_bags = materialise(bags.join(left.select("row").distinct(), "row", "left_semi"), "near-left-bags")
-    sizes = left_bags.select("row", "size").join(_own_shingles(left_bags), "row", "left").select(
-        "row", "size", (F.col("size") - F.coalesce("own", F.lit(0))).alias("shared"))
+    sizes = left_bags.select("row", "size", "cells").join(_own_shingles(left_bags), "row", "left").select(
+        "row", "size", "cells", (F.col("size") - F.coalesce("own", F.lit(0))).alias("shared"))
     open_ = materialise(left.join(sizes, "row").filter(F.col("shared") >= (threshold - 1e-9) * F.col("size")), "near-open")
     few = _FEW
     while True:
@@ -288,18 +338,11 @@ def _settle(docs: DataFrame, members: DataFrame, threshold: float) -> DataFrame:
         if main.isEmpty():
             return labels
         told = materialise(labelled.join(main, "key").withColumn("out", F.col("label") != F.col("main")).drop("main"), "near-told")
-        about = ["row", "label", "from", "far", "size", "shared"]
         score = F.xxhash64("row", F.lit(few))
-        chosen = materialise(told.filter("few and out").select("key", *about).unionByName(
+        chosen = materialise(told.filter("few and out").select("key", *_ABOUT).unionByName(
             told.filter("not few and not out").groupBy("key", F.pmod(F.hash("row"), F.lit(few // 4)).alias("slot"))
-            .agg(F.min(F.struct(score.alias("score"), *about)).alias("best")).select("key", *[f"best.{c}" for c in about])), "near-chosen")
-        pivots = chosen.withColumnsRenamed({c: f"pivot_{c}" for c in about} | {"row": "pivot"})
-        both = F.least("shared", "pivot_shared")
-        apart = ((F.col("from") == F.col("pivot_from")) & (F.abs(F.col("far") - F.col("pivot_far")) > reach)
-                 | (both < (threshold - 1e-9) * (F.col("size") + F.col("pivot_size") - both)))
-        pairs = (told.join(pivots, (told["key"] == pivots["key"]) & (F.col("label") != F.col("pivot_label")) & ~apart)
-                 .select(F.least("pivot", "row").alias("pivot"), F.greatest("pivot", "row").alias("member")).distinct())
-        found = _compared(pairs, left_bags).filter(F.col("similarity") >= threshold).select("pivot", "member")
+            .agg(F.min(F.struct(score.alias("score"), *_ABOUT)).alias("best")).select("key", *[f"best.{c}" for c in _ABOUT])), "near-chosen")
+        found = _compared(materialise(_possible_pairs(told, chosen, threshold), "near-possible"), left_bags).filter(F.col("similarity") >= threshold).select("pivot", "member")
         links = materialise(links.unionByName(found), "near-links")
         open_ = materialise(told.select(*open_.columns).join(chosen.select("key", "row"), ["key", "row"], "left_anti"), "near-open")
         labels = label()
