@@ -293,6 +293,24 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
+def _relabelled(labels: DataFrame, found: DataFrame) -> DataFrame:
+    """``labels`` (row, label) with the links ``found`` (pivot, member) taken in:
+    only links between different labels are followed."""
+    ends = found
+    for end in ("pivot", "member"):
+        ends = ends.join(labels.select(F.col("row").alias(end), F.col("label").alias(f"{end}_label")), end, "left").withColumn(
+            f"{end}_label", F.coalesce(f"{end}_label", end))
+    ends = materialise(ends, "near-ends")
+    between = materialise(ends.filter("pivot_label <> member_label").select(
+        F.least("pivot_label", "member_label").alias("pivot"), F.greatest("pivot_label", "member_label").alias("member")).distinct(), "near-between")
+    if between.isEmpty():
+        return labels
+    joined = components(between).select(F.col("row").alias("label"), F.col("label").alias("new"))
+    linked = ends.select(F.col("pivot").alias("row")).unionByName(ends.select(F.col("member").alias("row"))).distinct()
+    rows = labels.unionByName(linked.join(labels, "row", "left_anti").select("row", F.col("row").alias("label")))
+    return materialise(rows.join(joined, "label", "left").select("row", F.coalesce("new", "label").alias("label")), "near-labels")
+
+
 def _settle(docs: DataFrame, members: DataFrame, threshold: float) -> DataFrame:
     """row, label of the rows that are linked to another within a bucket of
     ``members`` (key, row, pivot: the bucket's smallest row), as if all pairs of
@@ -317,8 +335,7 @@ def _settle(docs: DataFrame, members: DataFrame, threshold: float) -> DataFrame:
     far = first.select(F.col("member").alias("row"), F.col("pivot").alias("from"), (1 - F.col("similarity")).alias("far"))
     open_ = materialise(members.select("key", "row").join(far, "row", "left").select(
         "key", "row", F.coalesce("from", "row").alias("from"), F.coalesce("far", F.lit(0.0)).alias("far")), "near-open")
-    label = lambda: components(links) if not links.isEmpty() else spark.createDataFrame([], "row long, label long")
-    labels = label()
+    labels = components(links) if not links.isEmpty() else spark.createDataFrame([], "row long, label long")
     split = (open_.select("key", "row").join(labels, "row", "left").groupBy("key")
              .agg(F.min(F.coalesce("label", "row")).alias("lo"), F.max(F.coalesce("label", "row")).alias("hi"))
              .filter("lo <> hi").select("key"))
@@ -343,9 +360,8 @@ def _settle(docs: DataFrame, members: DataFrame, threshold: float) -> DataFrame:
             told.filter("not few and not out").groupBy("key", F.pmod(F.hash("row"), F.lit(few // 4)).alias("slot"))
             .agg(F.min(F.struct(score.alias("score"), *_ABOUT)).alias("best")).select("key", *[f"best.{c}" for c in _ABOUT])), "near-chosen")
         found = _compared(materialise(_possible_pairs(told, chosen, threshold), "near-possible"), left_bags).filter(F.col("similarity") >= threshold).select("pivot", "member")
-        links = materialise(links.unionByName(found), "near-links")
+        labels = _relabelled(labels, found)
         open_ = materialise(told.select(*open_.columns).join(chosen.select("key", "row"), ["key", "row"], "left_anti"), "near-open")
-        labels = label()
         few *= 4
 
 
