@@ -38,10 +38,11 @@ def load_windows(log: DataFrame, as_of: str, by: str = "feed", mode: str = "gaps
     step = F.expr(f"INTERVAL {1 if step_minutes is None else int(step_minutes)} {unit}")
     stamp = lambda c: F.to_timestamp_ntz(F.col(c), F.lit(fmt))
     asof = F.lit(as_of).cast("timestamp_ntz")
-    b = log.groupBy(by).agg(F.min(stamp("start_date")).alias("_lo"), F.max(stamp("end_date")).alias("_cursor"))
+    spans = log.select(by, stamp("start_date").alias("_from"), stamp("end_date").alias("_to"))
     if feeds:
-        all_feeds = log.sparkSession.createDataFrame([(f,) for f in feeds], [by])
-        b = all_feeds.join(b, by, "left")
+        blank = log.sparkSession.createDataFrame([(f,) for f in feeds], f"{by} string")
+        spans = spans.filter(F.col(by).isin(feeds)).unionByName(blank, allowMissingColumns=True)
+    b = spans.groupBy(by).agg(F.min("_from").alias("_lo"), F.max("_to").alias("_cursor"))
     first = F.col("_lo") if mode == "gaps" else F.col("_cursor")
     start = F.coalesce(first, days_ago(default_days, F.to_date(asof)).cast("timestamp_ntz"))
     # Steps start at `start`; keep those before as_of, plus the single
