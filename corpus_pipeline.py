@@ -25,23 +25,26 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of identical texts (null is empty) the row with the largest doc_id."""
-    kept = exact_dedup.exact_groups(docs).filter("kept").select("row")
-    return common.numbered(docs).join(kept, "row").select(*common.COLUMNS)
+    table = common.numbered(docs)
+    kept = exact_dedup.numbered_groups(table).filter("kept").select("row")
+    return table.join(kept, "row").select(*common.COLUMNS)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The first row of each class of near-duplicates; texts without words are
     one class."""
-    kept = bagminhash.near_classes(docs).filter("kept").select("row")
-    return common.numbered(docs).join(kept, "row").select(*common.COLUMNS)
+    table = common.numbered(docs)
+    kept = bagminhash.numbered_classes(table).filter("kept").select("row")
+    return table.join(kept, "row").select(*common.COLUMNS)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes its words, to the nearest whole
     document: 0 to 3 times.  Documents without words are not in a mix."""
-    taken = mixing.mix(docs).filter("taken > 0").select(
+    table = common.numbered(docs)
+    taken = mixing.mix(table, row=F.col("row")).filter("taken > 0").select(
         "row", F.floor(F.col("taken") / F.col("size") + 0.5).cast("int").alias("copies")).filter("copies > 0")
-    return (common.numbered(docs).join(taken, "row")
+    return (table.join(taken, "row")
             .select(*common.COLUMNS, F.explode(F.sequence(F.lit(1), "copies"))).select(*common.COLUMNS))
 
 

@@ -25,7 +25,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from signalyard.llm.common import text_or_empty
+from signalyard.llm.common import numbered, text_or_empty
 from signalyard.session import materialise
 
 SHINGLE_WORDS = 5
@@ -126,13 +126,13 @@ def band_keys(times: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 
 def _with_rows(docs: DataFrame) -> DataFrame:
-    return docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
+    return docs.select("row", F.col("doc_id").cast("long").alias("doc_id"),
                        text_or_empty().alias("text"))
 
 
 def signed(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """row, doc_id, words_sha (of the words, so of texts with equal bags) and
-    bands (null for a text without words)."""
+    bands (null for a text without words) of a table from common.numbered."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -367,15 +367,19 @@ def _settle(docs: DataFrame, members: DataFrame, threshold: float) -> DataFrame:
 
 def near_classes(docs: DataFrame, threshold: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """doc_id, class_id, class_size, kept of every row of ``docs`` (and row, its
-    number in the order of ``docs``); the first row of a class is kept.
+    number in the written copy that is read); the first row of a class is kept.
 
     Rows whose bags are alike, directly or over others, have one class; its id is
     the smallest doc_id of it.  Texts of the same words are one class without a
     comparison, all texts without words among them; a null text is empty; a null
     doc_id takes part (a class of such rows alone has a null id); repeated rows
     are copies; an empty table gives no rows; other columns are not read.
-    ``docs`` is read twice and must give its rows in the same order, as a table
-    does."""
+    ``docs`` is read once."""
+    return numbered_classes(numbered(docs, ("doc_id", "text")), threshold, bands, rows)
+
+
+def numbered_classes(docs: DataFrame, threshold: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """near_classes of a table that common.numbered wrote, with its rows."""
     table = materialise(signed(docs, bands, rows), "near-signed")
     copies = materialise(table.groupBy("words_sha").agg(F.min("row").alias("first")), "near-copies")
     firsts = materialise(table.join(copies.select(F.col("first").alias("row")), "row", "left_semi")

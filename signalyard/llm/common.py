@@ -7,7 +7,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from signalyard.session import ensure_checkpoint_dir
+from signalyard.session import ensure_checkpoint_dir, materialise
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
@@ -39,6 +39,9 @@ def parts_for(n: int, per_part: int) -> int:
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
-def numbered(docs: DataFrame) -> DataFrame:
-    """The columns of ``documents`` and row, each row's number in ``docs``."""
-    return docs.select(*COLUMNS, F.monotonically_increasing_id().alias("row"))
+def numbered(docs: DataFrame, columns: tuple[str, ...] = COLUMNS) -> DataFrame:
+    """The ``columns`` of ``docs`` and row, a number of each row, written to the
+    shared folder: two scans of ``docs`` may be split differently (the splits
+    follow the cores registered at that time), but every reader of the written
+    table finds the same numbers."""
+    return materialise(docs.select(*columns, F.monotonically_increasing_id().alias("row")), "numbered")

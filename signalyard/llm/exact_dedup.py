@@ -18,7 +18,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from signalyard.llm.common import cut, text_or_empty
+from signalyard.llm.common import cut, numbered, text_or_empty
 
 #: Code points in a block.
 BLOCK_CHARS = 4096
@@ -48,7 +48,7 @@ def _first_names(docs: DataFrame, rows: DataFrame, block_chars: int, alias: Call
     # Their names count down from -2, apart from those above.
     by_text = cut(names.join(per_alias.filter("shared").select("alias"), "alias", "left_semi")
                   .withColumn("name", -2 - F.col("name")))
-    texts = (docs.select(F.monotonically_increasing_id().alias("row"), _blocks(F.col("text"), block_chars).alias("blocks"))
+    texts = (docs.select("row", _blocks(F.col("text"), block_chars).alias("blocks"))
              .select("row", F.size("blocks").alias("n_blocks"), F.posexplode("blocks").alias("pos", "block"))
              .withColumn("alias", alias(F.col("block"))))
     return found.filter("not shared").select("row", "n_blocks", "pos", "name").unionByName(
@@ -58,11 +58,12 @@ def _first_names(docs: DataFrame, rows: DataFrame, block_chars: int, alias: Call
 def identities(docs: DataFrame, block_chars: int = BLOCK_CHARS,
                alias: Callable[[Column], Column] = F.xxhash64) -> tuple[DataFrame, DataFrame]:
     """(rows, names): rows has row, doc_id, text_sha256 and n_blocks of every
-    input row, names has row and its identity under that number of blocks.
+    row of ``docs`` (common.numbered), names has row and its identity under that
+    number of blocks.
 
     ``alias`` maps a block to a number; any function gives right results."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    rows = cut(docs.select(F.monotonically_increasing_id().alias("row"), "doc_id",
+    docs = docs.select("row", F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
+    rows = cut(docs.select("row", "doc_id",
                            F.sha2(F.col("text"), 256).alias("text_sha256"),
                            F.transform(_blocks(F.col("text"), block_chars), lambda b: alias(b)).alias("aliases"))
                .withColumn("n_blocks", F.size("aliases")))
@@ -90,15 +91,20 @@ def identities(docs: DataFrame, block_chars: int = BLOCK_CHARS,
 def exact_groups(docs: DataFrame, block_chars: int = BLOCK_CHARS,
                  alias: Callable[[Column], Column] = F.xxhash64) -> DataFrame:
     """One row per row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256
-    (and row, its number in the order of ``docs``).
+    (and row, its number in the written copy that is read).
 
     Texts are equal if identical; a null text counts as empty.  Of equal texts
     the row with the largest doc_id stays (null is the smallest; of repeated
     rows of one doc_id, exactly one).  An empty table gives no rows; other
     columns of ``docs`` are not read.  The join of the rows to their groups is
     a plain join of two written tables, which Spark splits where a group of
-    copies is large.  ``docs`` is read twice and must give its rows in the same
-    order, as a table does."""
+    copies is large.  ``docs`` is read once."""
+    return numbered_groups(numbered(docs, ("doc_id", "text")), block_chars, alias)
+
+
+def numbered_groups(docs: DataFrame, block_chars: int = BLOCK_CHARS,
+                    alias: Callable[[Column], Column] = F.xxhash64) -> DataFrame:
+    """exact_groups of a table that common.numbered wrote, with its rows."""
     rows, names = identities(docs, block_chars, alias)
     named = cut(rows.join(names, "row"))
     groups = cut(named.groupBy("n_blocks", "name").agg(

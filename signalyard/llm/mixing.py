@@ -95,9 +95,10 @@ def schedule(sources: DataFrame, block_words: int) -> DataFrame:
                                         F.coalesce(F.max(F.when(short, F.col("short"))), F.lit(0)).alias("part")))
 
 
-def mix(docs: DataFrame, block_words: int = BLOCK_WORDS, seed: int = 6) -> DataFrame:
+def mix(docs: DataFrame, block_words: int = BLOCK_WORDS, seed: int = 6, row: Column | None = None) -> DataFrame:
     """doc_id, size, source_size, target and taken of every row of ``docs`` (and
-    row, its number in the order of ``docs``).
+    row, a number of each row: ``row`` if given, as of a table that
+    common.numbered wrote).
 
     size: words of the text (a null text has none).  taken: words of the
     document in the mix, repeats counted; a source's add up to its target,
@@ -109,7 +110,8 @@ def mix(docs: DataFrame, block_words: int = BLOCK_WORDS, seed: int = 6) -> DataF
 
     A source's documents are placed by hash bucket and then within the bucket,
     so no window holds a whole source, and blocks hold equally many words."""
-    sized = cut(docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
+    row = F.monotonically_increasing_id() if row is None else row
+    sized = cut(docs.select(row.alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
                             "source", n_words(text_or_empty()).alias("size")))
     sources = cut(source_targets(sized).withColumn("take", F.floor(F.col("target") + 0.5).cast("long")))
     bits = max(1, (parts_for(sized.count(), _BUCKET_DOCS) - 1).bit_length())

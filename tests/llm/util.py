@@ -32,3 +32,24 @@ def awkward(seed: int = 7):
             (9, "日本語 テキスト 🎉 é"), (None, "no id"), (10, "x" * 5000)]
     rows += [(100 + i, words(rng, rng.randrange(1, 60)), f"s{i % 3}") for i in range(60)]
     return rows
+
+
+def cores_come_and_go(monkeypatch, spark, module, name):
+    """Each call of ``module.name`` changes the parallelism by which Spark packs
+    files into partitions, as executors that are lost and return do."""
+    real, calls = getattr(module, name), [0]
+
+    def call(*args, **kwargs):
+        out = real(*args, **kwargs)
+        calls[0] += 1
+        spark.conf.set("spark.sql.leafNodeDefaultParallelism", (1, 64, 3)[calls[0] % 3])
+        return out
+    monkeypatch.setattr(module, name, call)
+
+
+def files(spark, rows):
+    """``rows`` as a Parquet table of many files."""
+    from signalyard.llm.common import shared_path
+    path = shared_path(spark, "files")
+    docs(spark, rows).repartition(24, "doc_id").write.parquet(path)
+    return spark.read.parquet(path)
