@@ -506,22 +506,24 @@ def stream_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """STM6 (PIP14): the producers' messages as a stream; a stateful
     operator per source releases every N messages as a batch.  Same result as WIN1 (count_batches)."""
     src = scratch_path(spark, "batcher-in")
-    fx.write_stream_input(fx.envelopes(spark, sf_dir), src)
-    stream = SL.read_stream(spark, src, fmt="text")
-    parsed = valid(parse_envelopes(stream, "value")).withColumn("n_records", ENV.record_count()) \
-        .withColumn("msg", F.md5(F.to_json(F.struct("news", "candlesticks", "weather"))))
-    out = BT.stateful_batches(parsed, ["date_start", "date_end", "msg"], step_cols=["date_start", "date_end"])
-    out_dir = scratch_path(spark, "batcher-out")
-    q = out.writeStream.outputMode("append").format("parquet").option("path", out_dir) \
-        .option("checkpointLocation", scratch_path(spark, "ckpt-batcher")) \
-        .trigger(availableNow=True).start()
-    q.awaitTermination()
+    ckpt, out_dir = scratch_path(spark, "ckpt-batcher"), scratch_path(spark, "batcher-out")
+    for run in fx.arrivals(fx.envelopes(spark, sf_dir)):
+        fx.write_stream_input(run, src)
+        _batched(SL.read_stream(spark, src, fmt="text")).writeStream.outputMode("append").format("parquet") \
+            .option("path", out_dir).option("checkpointLocation", ckpt) \
+            .trigger(availableNow=True).start().awaitTermination()
     b = spark.read.parquet(out_dir)
     return b.groupBy("source", "batch_id").agg(
         F.count_distinct("date_start", "date_end").alias("n_messages"), F.sum("n_records").alias("n_records"),
         F.min("date_start").alias("first_start"), F.max("date_start").alias("last_start"))
 
 
+def _batched(stream):
+    parsed = valid(parse_envelopes(stream, "value")).withColumn("n_records", ENV.record_count()) \
+        .withColumn("msg", F.md5(F.to_json(F.struct("news", "candlesticks", "weather"))))
+    return BT.stateful_batches(parsed, ["date_start", "date_end", "msg"], step_cols=["date_start", "date_end"])
+
+
 def _write_news_lake(spark, sf_dir, base, day_filter=None):
     for src in (Z.SOURCE_NEWSAPI, Z.SOURCE_WORLDNEWSAPI, Z.SOURCE_NEWS_XTB):
         rows = fx.lake_feeds(spark, sf_dir)[src]
@@ -641,14 +643,19 @@ def envelope_to_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
     count-triggered batches -> PRJ9-10/ARR1 -> SNK2 -> SNK1 one (month,
     batch) partition per completed batch; the lake read back (SRC1) holds
     the records of every completed batch, per step."""
-    src = scratch_path(spark, "e2l-in")
-    fx.write_stream_input(fx.envelopes(spark, sf_dir), src)
     base = scratch_path(spark, "e2l-lake")
-    stream = SL.read_stream(spark, src, fmt="text")
-    BT.start_envelope_to_lake(spark, stream, base, scratch_path(spark, "ckpt-e2l")).awaitTermination()
+    _arrive_in_lake(spark, fx.envelopes(spark, sf_dir), base)
     return _lake_steps(spark, base)
 
 
+def _arrive_in_lake(spark, messages, base):
+    """PIP14 with a checkpoint of its own, triggered after each run of arrivals."""
+    src, ckpt = scratch_path(spark, "e2l-in"), scratch_path(spark, "ckpt-e2l")
+    for run in fx.arrivals(messages):
+        fx.write_stream_input(run, src)
+        BT.start_envelope_to_lake(spark, SL.read_stream(spark, src, fmt="text"), base, ckpt).awaitTermination()
+
+
 def _lake_steps(spark, base):
     parts = [TB.scan_lake(spark, base, s).select(F.lit(s).alias("source"), "date_start", "date_end")
              for s in Z.ALL_SOURCES]
@@ -695,7 +702,7 @@ def envelope_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """PRJ2 + PRJ9 in PIP14: messages that are malformed, of an unknown feed
     or with another feed's payload, by reason; the good ones among them (one
     per other event) go to the lake."""
-    src, base = scratch_path(spark, "bad-in"), scratch_path(spark, "bad-lake")
+    base = scratch_path(spark, "bad-lake")
     e = fx.table(spark, sf_dir, "events")
     item = F.array(F.struct(F.col("props").alias("data"), F.lit("2024-01-01").alias("date")))
     day = F.date_format("ts", "yyyy-MM-dd")
@@ -704,9 +711,8 @@ def envelope_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     good = F.to_json(F.struct(name.alias("source"), item.alias("news"), day.alias("date_start"), day.alias("date_end"),
                               F.col("event_id").cast("string").alias("time")))
     broken = F.concat(F.lit("no message "), F.col("event_id"))
-    fx.write_stream_input(e.select(F.when(F.col("event_type") == "error", broken).otherwise(good).alias("value")), src)
-    BT.start_envelope_to_lake(spark, SL.read_stream(spark, src, fmt="text"), base,
-                              scratch_path(spark, "ckpt-bad")).awaitTermination()
+    value = F.when(F.col("event_type") == "error", broken).otherwise(good)
+    _arrive_in_lake(spark, e.select(day.alias("date_start"), day.alias("date_end"), value.alias("value")), base)
     return spark.read.parquet(BT.quarantine_path(base)).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -718,10 +724,7 @@ def lake_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     msgs = fx.envelopes(spark, sf_dir, kinds=["weather"])
     early = F.col("date_start") < LOADED_BEFORE
     for half in (early, ~early):
-        src = scratch_path(spark, "restart-in")
-        fx.write_stream_input(msgs.filter(half), src)
-        BT.start_envelope_to_lake(spark, SL.read_stream(spark, src, fmt="text"), base,
-                                  scratch_path(spark, "ckpt-restart")).awaitTermination()
+        _arrive_in_lake(spark, msgs.filter(half), base)
     return _lake_steps(spark, base)
 
 

@@ -17,6 +17,8 @@ grows with the supplied data.  Each has a DuckDB twin in
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -186,5 +188,30 @@ def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def write_stream_input(df: DataFrame, path: str) -> None:
     """``df``'s messages as text files, for a file stream to read: one write, by
-    all tasks at once."""
-    df.select("value").write.text(path)
+    all tasks at once, beside what ``path`` holds."""
+    df.select("value").write.mode("append").text(path)
+
+
+#: Bytes of messages that arrive before a stream is triggered.
+ARRIVAL_BYTES = 256 * 1024 * 1024
+
+
+def arrivals(messages: DataFrame, most_bytes: int | None = None) -> Iterator[DataFrame]:
+    """``messages`` (date_start, date_end, value) in the order of their steps, in
+    runs of at most ``most_bytes`` of values (or one date_start, which is never
+    divided).  The driver holds one size per date_start.  An empty table is one
+    empty run."""
+    from ..session import materialise
+    most_bytes = most_bytes or ARRIVAL_BYTES
+    m = messages.select(F.coalesce("date_start", F.lit("")).alias("at"), F.octet_length("value").alias("bytes"), "value")
+    m = materialise(m.repartitionByRange("at", F.xxhash64("value")).sortWithinPartitions("at"), "arrivals")
+    begins, held = [], 0
+    for at, size in m.groupBy("at").agg(F.sum("bytes")).orderBy("at").collect():
+        if not begins or held + (size or 0) > most_bytes:
+            begins, held = begins + [at], 0
+        held += size or 0
+    if len(begins) < 2:
+        yield m
+        return
+    for at, end in zip(begins, begins[1:] + [None]):
+        yield m.filter((F.col("at") >= at) & (F.lit(True) if end is None else F.col("at") < end))

@@ -228,3 +228,27 @@ def test_cluster_session_needs_a_shared_folder():
 
     with pytest.raises(NoSharedFolder):
         ensure_checkpoint_dir(Session())
+
+
+def test_batcher_group_holds_no_payload_over_bounded_triggers(spark, monkeypatch):
+    """envelope_to_lake and stream_batches in several triggers give what one
+    gives, and no message text enters the Python group."""
+    from signalyard.plans import catalog
+    from signalyard.sources import fixtures as fx
+    from signalyard.streaming import batcher
+    from .conftest import SF_SMALL
+    real, seen = batcher.stateful_batches, []
+
+    def watched(messages, *args, **kwargs):
+        seen.append(set(kwargs.get("carry_cols") or []))
+        return real(messages, *args, **kwargs)
+    monkeypatch.setattr(batcher, "stateful_batches", watched)
+
+    def results():
+        return [sorted(map(tuple, catalog.QUERIES[name](spark, SF_SMALL).collect()), key=str)
+                for name in ("stream_batches", "envelope_to_lake")]
+    one = results()
+    assert len(seen) == 2 and not any("value" in c for c in seen)
+    monkeypatch.setattr(fx, "ARRIVAL_BYTES", sum(
+        len(r.value) for r in fx.envelopes(spark, SF_SMALL).select("value").collect()) // 3)
+    assert results() == one and len(seen) >= 6
