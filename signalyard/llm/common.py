@@ -43,5 +43,5 @@ def numbered(docs: DataFrame, columns: tuple[str, ...] = COLUMNS) -> DataFrame:
     """The ``columns`` of ``docs`` and row, a number of each row, written to the
     shared folder: two scans of ``docs`` may be split differently (the splits
     follow the cores registered at that time), but every reader of the written
-    table finds the same numbers."""
-    return materialise(docs.select(*columns, F.monotonically_increasing_id().alias("row")), "numbered")
+    table finds the same numbers.  It holds whole texts, hence the codec."""
+    return materialise(docs.select(*columns, F.monotonically_increasing_id().alias("row")), "numbered", compression="zstd")

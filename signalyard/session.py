@@ -123,12 +123,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
+def materialise(df: DataFrame, name: str, **options: str) -> DataFrame:
     """``df`` written as Parquet to the shared folder and read back: computed
     once for all its readers, safe against lost executors, and with a size
     that Spark knows, so that it broadcasts the table if (and only if) the
-    files are below ``spark.sql.autoBroadcastJoinThreshold``."""
+    files are below ``spark.sql.autoBroadcastJoinThreshold``.  ``options`` are
+    the writer's."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
