@@ -109,6 +109,22 @@ def integer_vectors(embeddings: DataFrame, dimensions: int = DIMENSIONS, scale:
             .select("vec_id", F.transform(wide, lambda v: F.floor(scale * v)).alias("components")))
 
 
+def _smallest_hashes(vectors: DataFrame, most: int, least: int) -> np.ndarray:
+    """Components of the vectors whose ids have the smallest hashes: ``most`` of
+    them, or somewhat fewer but at least ``least``.  Hashes are uniform, so only
+    about twice as many rows as are wanted pass the first filter, however many
+    tasks there are."""
+    by_hash = F.sha2(F.concat(F.lit("3:"), F.coalesce(F.col("vec_id").cast("string"), F.lit(""))), 256)
+    hashed = vectors.select(by_hash.alias("hash"), "components")
+    n, digits = vectors.count(), 12
+    if n > 2 * most:
+        some = hashed.filter(F.substring("hash", 1, digits) < F.lit(f"{2 * most * 16 ** digits // n:0{digits}x}"))
+        rows = some.orderBy("hash", "components").limit(most).collect()
+        if len(rows) >= least:
+            return np.array([r["components"] for r in rows], dtype=np.int64)
+    return np.array([r["components"] for r in hashed.orderBy("hash", "components").limit(most).collect()], dtype=np.int64)
+
+
 def _matrix(column: pa.ListArray, kind) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(kind, copy=False).reshape(len(column), -1)
 
@@ -204,11 +220,9 @@ def clusters(embeddings: DataFrame, k: int = CENTROIDS, rounds: int = ROUNDS, di
     MAX_COMPONENT is an error, as squared distances would not fit a long."""
     spark = embeddings.sparkSession
     vectors = integer_vectors(embeddings, dimensions, scale)
-    by_hash = F.sha2(F.concat(F.lit("3:"), F.coalesce(F.col("vec_id").cast("string"), F.lit(""))), 256)
-    first = vectors.select(by_hash.alias("hash"), "components").orderBy("hash", "components").limit(max(k, sample)).collect()
-    if not first:
+    drawn = _smallest_hashes(vectors, max(k, sample), k)
+    if not len(drawn):
         return spark.createDataFrame([], SCHEMA)
-    drawn = np.array([r["components"] for r in first], dtype=np.int64)
     centroids = drawn[:k]
     simplex = Simplex(np.concatenate([_sample_path(drawn, centroids, rounds), drawn[:4 * pivots]]), pivots)
     table = _with_apexes(vectors, simplex)
