@@ -6,16 +6,16 @@ many rows is written in several parts, each of at most ``max_bytes`` of
 items (or one item), and all parts carry the step and their number, so that
 counting messages (WIN1) counts steps whatever the part size is.
 
-Rows are dealt into tasks by ranges of (step, content hash), so a step that
-holds a third of all rows spans many tasks, and are cut into parts where the
-running size passes the bound.  Equal rows count one by one."""
+A step that holds a third of all rows spans many tasks, and so do the copies of
+an item that holds a third of them; equal rows count one by one."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas as Z
+from ..operators.parts import bounded_parts
 
 KIND_FIELDS = {
     "news": Z.NEWS_ITEM.fieldNames(),
@@ -42,26 +42,10 @@ def to_envelopes(rows: DataFrame, source: str, kind: str, date_format: str,
     """Lake rows of one feed -> one JSON ``value`` per part, with the step and
     part number (``date_start, date_end, part``; numbers ascend, with gaps).
 
-    An item of more than half of ``max_bytes`` is a part of its own; the others
-    of a step are cut every ``max_bytes / 2`` of their running size, so that the
-    item on the border still fits.  A step that spans tasks begins a new part in
-    each."""
+    Items are cut as ``operators.parts.bounded_parts`` does."""
     keys = ["date_start", "date_end"]
-    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    half = max(1, max_bytes // 2)
-    r = rows.select(*keys, F.col(time_col).alias("_time"), _item_struct(kind).alias("_item"))
-    r = r.withColumn("_bytes", F.octet_length(F.to_json("_item")) + 1) \
-        .withColumn("_at", F.xxhash64("_item")) \
-        .repartitionByRange(n, *keys, "_at").withColumn("_task", F.spark_partition_id())
-    w = Window.partitionBy("_task", *keys).orderBy("_at", "_bytes")
-    large = F.col("_bytes") > half
-    seen = F.sum(F.when(large, 0).otherwise(F.col("_bytes"))).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    alone = F.sum(F.when(large, 1).otherwise(0)).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    # even numbers for slices of small items, odd ones for items of their own
-    cut = F.when(large, 2 * alone - 1).otherwise(2 * F.floor((seen - F.col("_bytes")) / F.lit(half)))
-    r = r.withColumn("part", (F.shiftleft(F.col("_task").cast("long"), 32) + cut).cast("long"))
-    env = r.groupBy("_task", *keys, "part").agg(
-        F.sort_array(F.collect_list("_item")).alias(kind), F.min("_time").alias("_time"))
+    r = rows.select(*keys, F.col(time_col).alias("_time"), _item_struct(kind).alias("item"))
+    env = bounded_parts(r, keys, max_bytes, carry=["_time"]).withColumnRenamed("items", kind)
     value = F.to_json(F.struct(
         F.lit(source).alias("source"), F.col(kind), F.col("_time").alias("time"),
         F.col("date_start"), F.col("date_end"), F.lit(date_format).alias("date_format")))

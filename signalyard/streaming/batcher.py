@@ -9,13 +9,13 @@ before they join the buffer, so the result equals the batch operator
 WIN1 on the same order.  A key's new messages of one micro-batch are one
 Python group, of order keys and counts alone: payloads stay in files and are
 joined back on Spark.  Bound the group by the trigger
-(``maxOffsetsPerTrigger``; the registered queries trigger once per
-``fixtures.ARRIVAL_BYTES``) and, if need be, key by (source, partition), which
-spreads a source over its topic partitions (the reference used one partition).
+(``maxOffsetsPerTrigger``) and key by (source, partition), which spreads a source
+over its topic partitions; ``streaming.ordered`` batches a source of any size
+without a group.
 
 Messages that cannot be batched - malformed, of an unknown feed, or with
 another feed's payload - are never dropped: ``rejected`` names the reason
-and ``start_envelope_to_lake`` writes them to a quarantine table."""
+and ``ordered.start_envelope_batches`` writes them to a quarantine table."""
 
 from __future__ import annotations
 
@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
-from ..operators.envelope import explode_items, payload_kind, record_count
+from ..operators.envelope import payload_kind
 from ..schemas import BATCH_LIMITS, FEED_KIND
 
 STATE_SCHEMA = "buffer string, next_batch long"
@@ -89,84 +89,5 @@ def rejected() -> Column:
         .when(payload_kind().isNull() | (payload_kind() != kind), F.lit("payload of another kind"))
 
 
-def _run_id(batch: DataFrame) -> str:
-    """The running query's id, which its checkpoint keeps over restarts."""
-    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-
-
-class EnvelopeToLake:
-    """The queries of PIP14: messages to their store, batches of them to the
-    lake, rejects to quarantine."""
-
-    def __init__(self, *queries):
-        self.queries = queries
-
-    def awaitTermination(self) -> None:
-        for q in self.queries:
-            q.awaitTermination()
-
-    def stop(self) -> None:
-        for q in self.queries:
-            q.stop()
-
-
-def start_envelope_to_lake(spark, stream: DataFrame, lake_base: str, checkpoint: str,
-                           trigger: dict | None = None, fmt: str = "parquet",
-                           key_cols: list[str] | None = None) -> EnvelopeToLake:
-    """PIP14: message stream (SRC3) -> JSON decode (JSN1) -> the messages stored
-    in ``<checkpoint>/messages`` -> count-triggered batches per key of the
-    messages' places in that store (STM6; ``key_cols`` beside ``source``, e.g. the Kafka
-    ``partition``, are columns of ``stream``) -> payload dispatch and explode
-    with the step stamped on each record (PRJ9-10, ARR1) -> the source's lake
-    schema (SNK2) -> one ``(month, run, epoch)`` partition per micro-batch
-    (SNK1), written with dynamic partition overwrite.
-
-    ``run`` is the query's id, which belongs to the checkpoint: a retried
-    micro-batch rewrites its own partitions, and a stream with a fresh
-    checkpoint over an existing lake only adds.  A batch reads only the stored
-    files that hold its messages.  Messages that cannot be batched go, with their
-    reason, to ``<lake_base>/quarantine`` through a query of their own.
-
-    With an ``availableNow`` trigger the call returns when the messages are
-    stored; call it again with the same checkpoint for what has arrived since."""
-    from ..sinks.tables import write_lake
-    from ..sources.envelope import parse_envelopes, valid
-
-    keys = ["source", *(key_cols or [])]
-    parsed = parse_envelopes(stream, "value", keep=["value", *(key_cols or [])]).withColumn("reason", rejected())
-    good = parsed.filter("reason is null").select(
-        *keys, "date_start", "date_end", F.md5("value").alias("msg"), record_count().alias("n_records"), "value")
-    t = trigger or {"availableNow": True}
-    store = os.path.join(checkpoint, "messages")
-    place = [F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("at")]
-    stored = good.writeStream.format("parquet").option("path", store) \
-        .option("checkpointLocation", os.path.join(checkpoint, "store")).trigger(**t).start()
-    if t.get("availableNow") or t.get("once"):  # what is stored is what is available
-        stored.awaitTermination()
-    places = spark.readStream.schema(good.schema).parquet(store).select(
-        *keys, "date_start", "date_end", "msg", "n_records", *place)
-    batches = stateful_batches(places, ["date_start", "date_end", "msg"], keys, carry_cols=["file", "at"],
-                               step_cols=["date_start", "date_end"])
-
-    def write(batch: DataFrame, epoch_id: int) -> None:
-        run, batch = _run_id(batch), batch.persist()
-        sources = [r[0] for r in batch.select("source").distinct().collect()]  # at most one per feed
-        # files of this micro-batch, and of the fewer than N steps per key held before it
-        files = [os.path.join(store, r[0]) for r in batch.select("file").distinct().collect()]
-        for src in sources:
-            messages = batch.sparkSession.read.schema(good.schema).parquet(*files).filter(F.col("source") == src)
-            whole = messages.select("value", *place).join(batch.select("file", "at"), ["file", "at"], "left_semi")
-            env = valid(parse_envelopes(whole, "value"))
-            items = explode_items(env, FEED_KIND[src]).withColumn("run", F.lit(run)).withColumn("epoch", F.lit(epoch_id))
-            write_lake(items, lake_base, src, fmt, extra_partitions=["run", "epoch"])
-        batch.unpersist()
-
-    w = batches.writeStream.foreachBatch(write).option("checkpointLocation", os.path.join(checkpoint, "batches"))
-    bad = parsed.filter("reason is not null").select("reason", F.col("value").cast("string").alias("value"))
-    q = bad.writeStream.format("parquet").option("path", quarantine_path(lake_base)) \
-        .option("checkpointLocation", os.path.join(checkpoint, "quarantine"))
-    return EnvelopeToLake(stored, w.trigger(**t).start(), q.trigger(**t).start())
-
-
 def quarantine_path(lake_base: str) -> str:
     return os.path.join(lake_base, "quarantine")
