@@ -34,3 +34,16 @@ LANGUAGE_PROFILES = {
 }
 # Tie order: the first language in code order wins.
 LANGUAGE_ORDER = sorted(LANGUAGE_PROFILES)
+
+# --- fixed values: words under which valences change (lower-case, ASCII) ---
+STRONG_WORDS = ["great", "excellent", "best", "wonderful", "love", "surge", "rally", "boost", "crisis", "worst", "war", "crash", "collapse",
+                "hate", "disease", "threat"]
+MILD_WORDS = ["up", "record", "stable", "safe", "support", "agree", "thanks", "nice", "down", "drop", "error", "concern", "risk", "risks"]
+#: Weights: 3 and -3 for strong words, 1 and -1 for mild ones, 2 and -2 for the others.
+VALENCES = {w: sign * (3 if w in STRONG_WORDS else 1 if w in MILD_WORDS else 2)
+            for sign, words in ((1, POSITIVE_WORDS), (-1, NEGATIVE_WORDS)) for w in words}
+NEGATIONS = ["not", "no", "never", "none", "nobody", "nothing", "neither", "nor", "nowhere", "without", "cannot", "hardly", "barely", "scarcely"]
+INTENSIFIERS = ["very", "extremely", "highly", "really", "so", "most", "absolutely", "completely", "deeply", "greatly", "incredibly",
+                "particularly", "remarkably", "strongly", "totally", "truly"]
+DAMPENERS = ["slightly", "somewhat", "fairly", "partly", "little", "marginally", "mildly", "almost", "kind", "sort", "less"]
+CONTRASTS = ["but", "however", "yet"]
