@@ -498,30 +498,39 @@ def window_join_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 from .. import schemas as Z  # noqa: E402
 from ..sinks import tables as TB  # noqa: E402
 from ..streaming import batcher as BT  # noqa: E402
+from ..streaming import ordered as OB  # noqa: E402
 from ..streaming import refresh as RF  # noqa: E402
 
 
 @query
 def stream_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """STM6 (PIP14): the producers' messages as a stream; a stateful
-    operator per source releases every N messages as a batch.  Same result as WIN1 (count_batches)."""
+    """STM6 (PIP14): the producers' messages as a stream of bounded
+    micro-batches, restarted half way; every N messages of a source are released
+    as a batch.  Same result as WIN1 (count_batches)."""
     src = scratch_path(spark, "batcher-in")
     ckpt, out_dir = scratch_path(spark, "ckpt-batcher"), scratch_path(spark, "batcher-out")
-    for run in fx.arrivals(fx.envelopes(spark, sf_dir)):
-        fx.write_stream_input(run, src)
-        _batched(SL.read_stream(spark, src, fmt="text")).writeStream.outputMode("append").format("parquet") \
-            .option("path", out_dir).option("checkpointLocation", ckpt) \
-            .trigger(availableNow=True).start().awaitTermination()
+    for _ in _halves_arrive(fx.envelopes(spark, sf_dir), src):
+        parsed = valid(parse_envelopes(SL.read_stream(spark, src, fmt="text", max_files=FILES_A_TRIGGER), "value"))
+        messages = parsed.select("source", "date_start", "date_end", ENV.record_count().alias("n_records"))
+        OB.start_batches(spark, messages, out_dir, ckpt, ["date_start", "date_end"], steps=["date_start", "date_end"]).awaitTermination()
     b = spark.read.parquet(out_dir)
     return b.groupBy("source", "batch_id").agg(
         F.count_distinct("date_start", "date_end").alias("n_messages"), F.sum("n_records").alias("n_records"),
         F.min("date_start").alias("first_start"), F.max("date_start").alias("last_start"))
 
 
-def _batched(stream):
-    parsed = valid(parse_envelopes(stream, "value")).withColumn("n_records", ENV.record_count()) \
-        .withColumn("msg", F.md5(F.to_json(F.struct("news", "candlesticks", "weather"))))
-    return BT.stateful_batches(parsed, ["date_start", "date_end", "msg"], step_cols=["date_start", "date_end"])
+#: Files of a micro-batch.
+FILES_A_TRIGGER = 2
+
+
+def _halves_arrive(messages, path):
+    """Writes the messages before the cut-off day, then the others, as files in
+    the order of their steps, and yields after each."""
+    messages = materialise(messages.select("date_start", "date_end", "value"), "arriving")
+    early, at = F.coalesce(F.col("date_start") < LOADED_BEFORE, F.lit(True)), 0
+    for half in (early, ~early):
+        at = fx.write_in_order(messages.filter(half), path, at)
+        yield
 
 
 def _write_news_lake(spark, sf_dir, base, day_filter=None):
@@ -649,11 +658,11 @@ def envelope_to_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _arrive_in_lake(spark, messages, base):
-    """PIP14 with a checkpoint of its own, triggered after each run of arrivals."""
+    """PIP14 with a checkpoint of its own, restarted when half has arrived."""
     src, ckpt = scratch_path(spark, "e2l-in"), scratch_path(spark, "ckpt-e2l")
-    for run in fx.arrivals(messages):
-        fx.write_stream_input(run, src)
-        BT.start_envelope_to_lake(spark, SL.read_stream(spark, src, fmt="text"), base, ckpt).awaitTermination()
+    for _ in _halves_arrive(messages, src):
+        stream = SL.read_stream(spark, src, fmt="text", max_files=FILES_A_TRIGGER)
+        OB.start_envelope_batches(spark, stream, base, ckpt).awaitTermination()
 
 
 def _lake_steps(spark, base):

@@ -17,8 +17,6 @@ grows with the supplied data.  Each has a DuckDB twin in
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -91,13 +89,14 @@ def stock_lake(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def weather_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw weather lake rows (LAKE_WEATHER), many per day, nulls on purpose."""
+def weather_raw(spark: SparkSession, sf_dir: str, keep: list[Column] | None = None) -> DataFrame:
+    """Raw weather lake rows (LAKE_WEATHER), many per day, nulls on purpose;
+    ``keep`` adds columns of the events."""
     e = table(spark, sf_dir, "events")
     day = F.to_date("ts")
     t = F.col("event_type")
     return e.select(
-        F.when(t.isin("view", "click"), F.col("value")).alias("temperature"),
+        *(keep or []), F.when(t.isin("view", "click"), F.col("value")).alias("temperature"),
         F.when(t == "error", F.col("value")).alias("rain"),
         F.when(t == "signup", F.col("value") * 60).alias("sun"),
         _day_string(day).alias("date_start"), _day_string(F.date_add(day, 1)).alias("date_end"),
@@ -114,6 +113,27 @@ def scraper_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
                 _day_string(F.date_add("d", 1)).alias("end_date"), "record_count")
 
 
+#: Feeds of the mixed log, and one range in so many is a whole day or hour.
+MIXED_FEEDS, DAY_RANGES, HOUR_RANGES = 200, 1009, 13
+
+
+def mixed_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log rows of mixed steps, overlapping, nested and touching: (feed,
+    start_date, end_date).  Every event is a range of its user's feed: the five
+    minutes or the hour it lies in, or its day and the next two (as dates)."""
+    e = table(spark, sf_dir, "events")
+    k, fmt = F.col("event_id"), "yyyy-MM-dd'T'HH:mm:ss"
+    at = F.window(F.col("ts").cast("timestamp"), "5 minutes").start.cast("timestamp_ntz")
+    hour, day = F.date_trunc("hour", "at").cast("timestamp_ntz"), F.to_date("at")
+    e = e.withColumn("at", at)
+
+    def pick(of_day, of_hour, of_minutes):
+        return F.when(k % DAY_RANGES == 0, of_day).when(k % HOUR_RANGES == 0, of_hour).otherwise(of_minutes)
+    start = pick(_day_string(day), F.date_format(hour, fmt), F.date_format("at", fmt))
+    end = pick(_day_string(F.date_add(day, 3)), F.date_format(hour + F.expr("INTERVAL 1 HOUR"), fmt), F.date_format(F.col("at") + F.expr("INTERVAL 5 MINUTE"), fmt))
+    return e.select(F.concat(F.lit("feed-"), F.col("user_id") % MIXED_FEEDS).alias("feed"), start.alias("start_date"), end.alias("end_date"))
+
+
 def region_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per (day, region) daily weather arrays as the weather API returns
     them (one-element daily arrays)."""
@@ -147,6 +167,26 @@ def lake_feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     }
 
 
+#: Lots in which the late feeds arrive.
+LOTS = 3
+
+
+def late_news(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All news items as they reach the lake late: (source, lot, LAKE_NEWS).  The
+    step under which an item is stored is up to four days after its own date, so
+    a day's items lie under two months, and they come in all lots."""
+    n = news_items(spark, sf_dir)
+    step = F.date_add(F.to_date(F.substring("date", 1, 10)), ((F.col("doc_id") / NEWS_DAYS).cast("long") % 5).cast("int"))
+    return n.select(F.concat(F.lit("scraper_news_"), "feed").alias("source"), ((F.col("doc_id") / 7).cast("long") % LOTS).alias("lot"),
+                    "date", "data", _day_string(step).alias("date_start"), _day_string(F.date_add(step, 1)).alias("date_end"))
+
+
+def late_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All raw weather rows with the lot they arrive in: (lot, LAKE_WEATHER)."""
+    lot = ((F.col("event_id") / 5).cast("long") % LOTS).alias("lot")
+    return weather_raw(spark, sf_dir, keep=[lot])
+
+
 def envelopes(spark: SparkSession, sf_dir: str, max_bytes: int | None = None,
               kinds: list[str] | None = None) -> DataFrame:
     """Messages as the producers publish them (SNK8 over every lake feed, or
@@ -164,11 +204,38 @@ def envelopes(spark: SparkSession, sf_dir: str, max_bytes: int | None = None,
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
-def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+#: The hour that a third of the events are moved to.
+HOT_HOUR = "2024-01-10 05:00:00"
+#: Lots in which late messages arrive, and days of event time that make a lot.
+LATE_LOTS, LOT_DAYS = 4, 8
+
+
+def hot_hour_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``event_messages`` with a third of the events at their minute and second
+    of one hour, in the order of their times: (date_start, date_end, value)."""
+    into = F.make_dt_interval(mins=F.minute("ts"), secs=F.second("ts"))
+    at = F.when(F.col("event_id") % 3 == 0, F.lit(HOT_HOUR).cast("timestamp_ntz") + into).otherwise(F.col("ts").cast("timestamp_ntz"))
+    m = event_messages(spark, sf_dir, at)
+    stamp = F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    return m.select(stamp.alias("date_start"), stamp.alias("date_end"), "value")
+
+
+def late_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``event_messages`` with the lot that each arrives in (lot, value): lots
+    follow the event time, but a tenth comes one lot late and a tenth two."""
+    delay = F.when(F.col("event_id") % 10 == 0, 1).when(F.col("event_id") % 10 == 1, 2).otherwise(0)
+    day = F.datediff(F.to_date("ts"), F.lit(NEWS_ORIGIN).cast("date"))
+    lot = F.least(F.floor(F.greatest(day, F.lit(0)) / LOT_DAYS) + delay, F.lit(LATE_LOTS - 1)).cast("int")
+    return event_messages(spark, sf_dir, keep=[lot.alias("lot")]).drop("ts")
+
+
+def event_messages(spark: SparkSession, sf_dir: str, at: Column | None = None, keep: list[Column] | None = None) -> DataFrame:
     """Stream twin input: one envelope per event, ``purchase`` events as
-    candles, all others as news of the three news feeds; event time = ``ts``.
-    Columns (ts, value)."""
+    candles, all others as news of the three news feeds; event time = ``ts``
+    (or ``at``).  Columns (ts, value), after those in ``keep``."""
     e = table(spark, sf_dir, "events")
+    if at is not None:
+        e = e.withColumn("ts", at)
     t = F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS")
     news = F.array(F.struct(F.col("props").alias("data"),
                             F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("date")))
@@ -183,7 +250,7 @@ def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     value = F.when(kind == "purchase", F.to_json(F.struct(F.lit(Z.SOURCE_STOCK).alias("source"),
                                                           candle.alias("candlesticks"), t.alias("time")))) \
         .otherwise(F.to_json(F.struct(feed.alias("source"), news.alias("news"), t.alias("time"))))
-    return e.select("ts", value.alias("value"))
+    return e.select(*(keep or []), "ts", value.alias("value"))
 
 
 def write_stream_input(df: DataFrame, path: str) -> None:
@@ -192,26 +259,29 @@ def write_stream_input(df: DataFrame, path: str) -> None:
     df.select("value").write.mode("append").text(path)
 
 
-#: Bytes of messages that arrive before a stream is triggered.
+#: Bytes of messages of a file of ``write_in_order``, on average.
 ARRIVAL_BYTES = 256 * 1024 * 1024
+MIN_FILES = 4
 
 
-def arrivals(messages: DataFrame, most_bytes: int | None = None) -> Iterator[DataFrame]:
-    """``messages`` (date_start, date_end, value) in the order of their steps, in
-    runs of at most ``most_bytes`` of values (or one date_start, which is never
-    divided).  The driver holds one size per date_start.  An empty table is one
-    empty run."""
+def write_in_order(messages: DataFrame, path: str, at: int = 0) -> int:
+    """``messages`` (date_start, date_end, value) as text files beside what
+    ``path`` holds, so that a file stream takes them in the order of their steps:
+    ranges of steps, none divided, in files whose times ascend from ``at`` on.
+    Returns the time after the last."""
     from ..session import materialise
-    most_bytes = most_bytes or ARRIVAL_BYTES
-    m = messages.select(F.coalesce("date_start", F.lit("")).alias("at"), F.octet_length("value").alias("bytes"), "value")
-    m = materialise(m.repartitionByRange("at", F.xxhash64("value")).sortWithinPartitions("at"), "arrivals")
-    begins, held = [], 0
-    for at, size in m.groupBy("at").agg(F.sum("bytes")).orderBy("at").collect():
-        if not begins or held + (size or 0) > most_bytes:
-            begins, held = begins + [at], 0
-        held += size or 0
-    if len(begins) < 2:
-        yield m
-        return
-    for at, end in zip(begins, begins[1:] + [None]):
-        yield m.filter((F.col("at") >= at) & (F.lit(True) if end is None else F.col("at") < end))
+    spark = messages.sparkSession
+    m = materialise(messages.select("date_start", "date_end", "value"), "messages")
+    size = m.agg(F.sum(F.octet_length("value"))).first()[0] or 0
+    m = m.repartitionByRange(max(MIN_FILES, -(-size // ARRIVAL_BYTES)), "date_start", "date_end")
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = lambda: {f.getPath().toString() for f in fs.listStatus(folder) if f.getPath().getName().startswith("part-")} if fs.exists(folder) else set()
+    before = names()
+    write_stream_input(m, path)
+    # a call a file, of the file's date alone
+    for name in sorted(names() - before):
+        fs.setTimes(jvm.org.apache.hadoop.fs.Path(name), 1_700_000_000_000 + 1000 * at, -1)
+        at += 1
+    return at

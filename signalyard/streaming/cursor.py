@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import days_ago
 from ..functions.text import too_far_in_past
+from ..operators.ranges import in_steps, uncovered
 
 
 def last_cursor(log: DataFrame, by: str = "feed", fmt: str | None = None) -> DataFrame:
@@ -54,6 +55,33 @@ def load_windows(log: DataFrame, as_of: str, by: str = "feed", mode: str = "gaps
     return w.join(log.select(by, "start_date").distinct(), [by, "start_date"], "left_anti")
 
 
+def load_gaps(log: DataFrame, as_of: str, by: str = "feed", feeds: list[str] | None = None, default_days: int = 30,
+              formats: tuple[str, ...] = ("yyyy-MM-dd", "yyyy-MM-dd'T'HH:mm:ss"), out_format: str = "yyyy-MM-dd'T'HH:mm:ss",
+              step_minutes: int = 24 * 60) -> DataFrame:
+    """Windows (feed, start_date, end_date) of at most ``step_minutes`` that the
+    log does not cover, from each feed's first logged start to ``as_of``.
+
+    Unlike ``load_windows``, which asks for a log row of a step's very start, the
+    log's ranges are taken as ranges: of any length, overlapping, nested or
+    touching, and written in any of ``formats`` (others, and ranges without
+    length, cover nothing).  Only what is uncovered is cut into steps.  ``feeds``
+    adds feeds without a log, from ``default_days`` before ``as_of`` (DT4)."""
+    def stamp(c: str):
+        text = F.col(c)
+        return F.coalesce(*[F.try_to_timestamp(text, F.lit(f)).cast("timestamp_ntz") for f in formats])
+    until = F.lit(as_of).cast("timestamp_ntz")
+    ranges = log.select(by, stamp("start_date").alias("start"), stamp("end_date").alias("end"))
+    known = ranges.filter(F.col("start") < F.col("end"))
+    spans = known.groupBy(by).agg(F.min("start").alias("from"))
+    if feeds is not None:
+        wanted = log.sparkSession.createDataFrame([(f,) for f in feeds], f"{by} string")
+        spans = wanted.join(spans, by, "left")
+    spans = spans.select(by, F.coalesce("from", days_ago(default_days, F.to_date(until)).cast("timestamp_ntz")).alias("from"), until.alias("to"))
+    step = F.make_dt_interval(mins=F.lit(int(step_minutes)))
+    cut = in_steps(uncovered(known, spans, by), step)
+    return cut.select(by, F.date_format("start", out_format).alias("start_date"), F.date_format("end", out_format).alias("end_date"))
+
+
 def skip_refused(windows: DataFrame, answers: DataFrame, api: str, by: str = "feed") -> DataFrame:
     """STM8 + PRJ19: the windows left once those that the API refused as too
     far in the past are skipped.  ``answers``: feed, start_date, status,

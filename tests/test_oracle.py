@@ -6,9 +6,9 @@ import os
 import pytest
 
 import __spark_entry__ as E
-from signalyard.plans.catalog import QUERIES
+from signalyard.plans.jobs import QUERIES
 from tools.oracle_check import digest, duck
-from tools.oracle_sql import ORACLE
+from tools.oracle_jobs import ORACLE
 
 from .conftest import SF_SMALL
 

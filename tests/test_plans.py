@@ -4,14 +4,15 @@ Cartesian or nested-loop joins, pruned text scans."""
 
 import pytest
 
-from signalyard.plans.catalog import QUERIES
+from signalyard.plans.jobs import QUERIES
 from tools.plan_report import summarise
 
 from .conftest import SF_SMALL
 
 BATCH_QUERIES = [n for n in QUERIES if n not in
                  {"window_join_stream", "stream_batches", "refresh_news_counts", "refresh_weather", "refresh_open",
-                  "lake_roundtrip", "envelope_to_lake", "stream_predictions", "envelope_quarantine", "lake_restart"}]
+                  "lake_roundtrip", "envelope_to_lake", "stream_predictions", "envelope_quarantine", "lake_restart",
+                  "refresh_replace", "refresh_replace_weather", "window_join_parts", "late_rows"}]
 
 
 def _plan(spark, name):

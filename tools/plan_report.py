@@ -38,7 +38,7 @@ def summarise(plan: str) -> dict:
 
 def main() -> None:
     from signalyard.session import build_session
-    from signalyard.plans.catalog import QUERIES
+    from signalyard.plans.jobs import QUERIES
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = build_session("local[8]")
     print("# PLANS\n")
