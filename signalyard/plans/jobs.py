@@ -18,13 +18,17 @@ from ..operators.aggregates import round4
 from ..operators.intervals import assign_intervals
 from ..operators.partitioning import spread_scan
 from ..session import materialise, scratch_path
+from ..sinks import buckets as BK
 from ..sinks import tables as TB
+from ..sinks import triage as TR
+from ..sinks.envelope import to_envelopes
 from ..sources import fixtures as fx
+from ..sources.envelope import parse_envelopes, valid
 from ..streaming import cursor as CUR
 from ..streaming import deltas as DL
 from ..streaming import speed_layer as SL
 from ..streaming import windows as WN
-from . import frames
+from . import daily, frames
 from .catalog import AS_OF, FILES_A_TRIGGER, LOADED_BEFORE, QUERIES, TWIN_SLIDE, TWIN_WINDOW, _feeds, _with_month, query
 
 __all__ = ["QUERIES"]
@@ -199,3 +203,58 @@ def sentiment_scope(spark: SparkSession, sf_dir: str) -> DataFrame:
     intensity and contrast."""
     d = VL.with_valence(spread_scan(fx.table(spark, sf_dir, "documents").select("doc_id", "text"), ["text", "doc_id"]), "text")
     return d.select("doc_id", "n_words", "n_valued", *[round4(c).alias(c) for c in ("neg", "neu", "pos")], "sentiment")
+
+
+# --- tables ------------------------------------------------------------------------------
+# --- fixed values: the item that a third of all rows are, and a bound of a message
+HOT_ITEM, HOT_DAY, MESSAGE_BYTES = "All rights reserved.", "2024-01-09", 20_000
+
+
+@query
+def envelope_hot_item(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK8: messages of a feed in which a third of all rows are one item of one
+    step, read back."""
+    n = fx.news_items(spark, sf_dir)
+    day, hot = F.substring("date", 1, 10), (F.col("doc_id") / 3).cast("long") % 3 == 0
+    step = F.when(hot, HOT_DAY).otherwise(day)
+    rows = n.select(F.when(hot, HOT_DAY).otherwise(F.col("date")).alias("date"), F.when(hot, HOT_ITEM).otherwise(F.col("data")).alias("data"),
+                    step.alias("date_start"), F.date_format(F.date_add(F.to_date(step), 1), "yyyy-MM-dd").alias("date_end"))
+    m = to_envelopes(rows, Z.SOURCE_NEWS_XTB, "news", "yyyy-MM-dd", MESSAGE_BYTES)
+    e = valid(parse_envelopes(m, "value", keep=["value"])).select("date_start", "date_end", "news", F.octet_length("value").alias("bytes"))
+    frame = 500  # of a message, around its items
+    items = e.select("date_start", "date_end", F.explode("news").alias("item"),
+                     ((F.size("news") == 1) | (F.col("bytes") <= MESSAGE_BYTES + frame)).alias("within"))
+    return items.groupBy("date_start", "date_end").agg(
+        F.count(F.lit(1)).alias("n_items"), F.count_if(F.col("item.data") == HOT_ITEM).alias("n_hot"),
+        F.sum(F.length("item.data").cast("long")).alias("chars"), F.bool_and("within").alias("within_bound"))
+
+
+@query
+def bucket_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK4 in buckets: the days are stored with wrong rain, then upserted by day
+    in three runs, each of which writes the buckets of its days alone."""
+    path = scratch_path(spark, "buckets")
+    w = materialise(daily.daily_weather(fx.weather_raw(spark, sf_dir)), "daily")
+    BK.upsert(spark, w.withColumn("rain", F.lit(-1.0)), path, ["record_date"], buckets=16)
+    for third in range(3):
+        BK.upsert(spark, w.filter(F.dayofmonth(F.to_date("record_date")) % 3 == third), path, ["record_date"])
+    out = BK.read(spark, path, Z.SERVING_WEATHER)
+    return out.select("record_date", *[round4(c).alias(c) for c in ("temperature", "rain", "sun")])
+
+
+@query
+def lake_triage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC1: the news feeds' lakes, to which a truncated copy of one of its files,
+    an empty file and files of other kinds are added; the rows of the good files,
+    and the number of files by what is wrong with them."""
+    base = scratch_path(spark, "triage-lake")
+    rows = fx.lake_feeds(spark, sf_dir)
+    found = None
+    for src in (s for s in Z.ALL_SOURCES if Z.FEED_KIND[s] == "news"):
+        TB.write_lake(rows[src], base, src)
+        fx.damage_lake(spark, TB.lake_path(base, src))
+        report = TR.triage(spark, base, src)
+        good = TR.scan_good(spark, base, src, report).groupBy(F.lit(src).alias("source"), F.lit("rows").alias("what")).agg(F.count(F.lit(1)).alias("n"))
+        bad = report.filter("reason is not null").groupBy(F.lit(src).alias("source"), F.col("reason").alias("what")).agg(F.count(F.lit(1)).alias("n"))
+        found = good.unionByName(bad) if found is None else found.unionByName(good).unionByName(bad)
+    return found

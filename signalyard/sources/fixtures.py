@@ -259,6 +259,34 @@ def write_stream_input(df: DataFrame, path: str) -> None:
     df.select("value").write.mode("append").text(path)
 
 
+def damage_lake(spark: SparkSession, folder: str) -> None:
+    """Adds to a feed's lake folder what a lake collects over time: the first half
+    of one of its files, an empty file, a text under a Parquet name, a text file,
+    and a Parquet file of another schema."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    path = lambda *names: jvm.org.apache.hadoop.fs.Path("/".join([folder, *names]))
+    fs = path().getFileSystem(conf)
+
+    def write(name: str, content: bytes) -> None:
+        out = fs.create(path("month=2024_01", name), True)
+        out.write(bytearray(content))
+        out.close()
+
+    files = fs.listFiles(path(), True)
+    good = None
+    while good is None and files.hasNext():
+        f = files.next()
+        good = f if f.getPath().getName().endswith(".parquet") else None
+    if good is not None:
+        whole = spark.read.format("binaryFile").load(good.getPath().toString()).select(
+            F.substring("content", 1, max(16, good.getLen() // 2)).alias("half")).first()["half"]
+        write("part-truncated.parquet", bytes(whole))
+    write("part-empty.parquet", b"")
+    write("part-foreign.parquet", b"source,date,data and so on\n" * 5)
+    write("notes.txt", b"not a record\n")
+    spark.range(3).select("id").coalesce(1).write.mode("append").parquet(f"{folder}/month=2024_01")
+
+
 #: Bytes of messages of a file of ``write_in_order``, on average.
 ARRIVAL_BYTES = 256 * 1024 * 1024
 MIN_FILES = 4

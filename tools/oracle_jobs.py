@@ -238,3 +238,20 @@ shares AS (SELECT doc_id, words, hits, CASE WHEN pos + neg + neu > 0 THEN neg /
                   CASE WHEN pos + neg + neu > 0 THEN pos / (pos + neg + neu) ELSE 0.0 END AS pos FROM last_)
 SELECT doc_id, words AS n_words, hits AS n_valued, {r4('neg')} AS neg, {r4('neu')} AS neu, {r4('pos')} AS pos,
        CASE WHEN neg >= neu AND neg >= pos THEN 'neg' WHEN neu >= pos THEN 'neu' ELSE 'pos' END AS sentiment FROM shares"""
+
+
+# --- tables ------------------------------------------------------------------------------------
+ORACLE["envelope_hot_item"] = _ctes([FIXTURE_CTES["news_items"], """
+rows_ AS (SELECT CASE WHEN (doc_id // 3) % 3 = 0 THEN 'All rights reserved.' ELSE data END AS data,
+                 CASE WHEN (doc_id // 3) % 3 = 0 THEN '2024-01-09' ELSE substr(date, 1, 10) END AS date_start FROM news_items)"""]) + """
+SELECT date_start, strftime(CAST(date_start AS DATE) + 1, '%Y-%m-%d') AS date_end, count(*) AS n_items,
+       count(*) FILTER (WHERE data = 'All rights reserved.') AS n_hot, CAST(sum(length(data)) AS BIGINT) AS chars, true AS within_bound
+FROM rows_ GROUP BY 1, 2"""
+
+ORACLE["bucket_upsert"] = ORACLE["weather_daily"]
+
+ORACLE["lake_triage"] = _ctes([FIXTURE_CTES["news_items"]]) + """
+SELECT 'scraper_news_' || feed AS source, 'rows' AS what, count(*) AS n FROM news_items GROUP BY 1
+UNION ALL
+SELECT 'scraper_news_' || feed, what, CAST(1 AS BIGINT)
+FROM (SELECT DISTINCT feed FROM news_items), (VALUES ('truncated'), ('empty'), ('not parquet'), ('another format'), ('other columns')) t(what)"""
