@@ -233,7 +233,9 @@ _ABOUT = ["row", "label", "from", "far", "size", "shared", "cells"]
 
 def _possible_pairs(told: DataFrame, chosen: DataFrame, threshold: float) -> DataFrame:
     """(pivot, member), each pair once: of each bucket the ``chosen`` rows with the
-    rows of other classes that they can be linked to.
+    rows of other classes that they can be linked to.  A pair that meets in several
+    buckets is told in the smallest of them alone: a chosen row carries the buckets
+    that it is chosen in, any other the buckets that it is in.
 
     A bucket's rows are dealt in groups of a bounded size, and each group gets the
     bucket's chosen rows, which are few, first.  A pair is left out if an exact
@@ -241,12 +243,13 @@ def _possible_pairs(told: DataFrame, chosen: DataFrame, threshold: float) -> Dat
     common pivot, by the shingles that other rows have too, or by the shingles per
     cell, of which two bags share at most the smaller number."""
     groups = told.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / _GROUP_PAIRS).cast("long").alias("groups"))
-    members = (told.select("key", *_ABOUT).join(groups, "key")
+    keys = lambda of: of.groupBy("row").agg(F.sort_array(F.collect_set("key")).alias("keys"))  # noqa: E731  at most a key a band
+    members = (told.select("key", *_ABOUT).join(groups, "key").join(keys(told), "row")
                .withColumn("deal", F.pmod(F.xxhash64("row"), F.col("groups"))).withColumn("member", F.lit(True)))
-    pivots = (chosen.select("key", *_ABOUT).join(groups, "key")
+    pivots = (chosen.select("key", *_ABOUT).join(groups, "key").join(keys(chosen), "row")
               .withColumn("deal", F.explode(F.expr("sequence(0, groups - 1)"))).withColumn("member", F.lit(False)))
     least, reach = threshold - 1e-9, 1 - threshold + 1e-9
-    columns = ["key", "deal", "member", *_ABOUT]
+    columns = ["key", "deal", "member", *_ABOUT, "keys"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, held, arrays = None, [], None
@@ -259,14 +262,21 @@ def _possible_pairs(told: DataFrame, chosen: DataFrame, threshold: float) -> Dat
                     held.append(about)
                     continue
                 if arrays is None:
-                    rows, labels, origins, fars, sizes, shared, cells = zip(*held)
+                    rows, labels, origins, fars, sizes, shared, cells, chosen_in = zip(*held)
+                    buckets = np.full((len(rows), max(map(len, chosen_in))), np.iinfo(np.int64).max)
+                    for i, some in enumerate(chosen_in):
+                        buckets[i, :len(some)] = some
                     arrays = (np.array(rows), np.array(labels), np.array(origins), np.array(fars), np.array(sizes), np.array(shared),
-                              np.frombuffer(b"".join(cells), "<u4").reshape(len(rows), _CELLS))
-                rows, labels, origins, fars, sizes, shared, cells = arrays
-                row, label, origin, far, size, common, own = about
+                              np.frombuffer(b"".join(cells), "<u4").reshape(len(rows), _CELLS), buckets)
+                rows, labels, origins, fars, sizes, shared, cells, buckets = arrays
+                row, label, origin, far, size, common, own, lies_in = about
                 both = np.minimum(np.minimum(shared, common), np.minimum(cells, np.frombuffer(own, "<u4")).sum(axis=1))
                 can = ((labels != label) & ((origins != origin) | (np.abs(fars - far) <= reach))
                        & (both >= least * (sizes + size - both)))
+                can = np.flatnonzero(can)
+                if len(can):  # where the smallest common bucket is this one
+                    common_ones = np.isin(buckets[can], lies_in)
+                    can = can[buckets[can, common_ones.argmax(axis=1)] == key]
                 out += [(min(row, p), max(row, p)) for p in rows[can].tolist()]
             lists = list(zip(*out)) or [(), ()]
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in lists], names=["pivot", "member"])
