@@ -4,9 +4,11 @@ Pages are written as compressed WARC files (a gzip member per record); a
 manifest lists every record's place.  To
 audit two replicas, each is hashed where it lies: records are the leaves, and
 each node hashes the ordered offset range of up to 16 nodes below it, first
-within a file, then over files, up to one root.  Equal roots mean equal
-replicas; otherwise only children of differing nodes are looked at, level by
-level, down to the records that differ."""
+within a file, then over files, up to one root.  The bytes of a file after its
+last record are a leaf too, with the file's true length, and files that the
+manifest does not know, in either replica, are files of the tree.  So equal roots
+mean equal replicas, byte for byte and file for file; otherwise only children of
+differing nodes are looked at, level by level, down to what differs."""
 
 from __future__ import annotations
 
@@ -17,8 +19,9 @@ import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from signalyard.llm.common import cut
 from signalyard.llm.files import WholeFile, open_store, uri
@@ -31,8 +34,13 @@ _MANIFEST = T.StructType([T.StructField("page_id", T.LongType()), T.StructField(
                           T.StructField("length", T.LongType())])
 
 
+_NAME = "part-%05d.warc.gz"
+#: Bytes read at a time of what is no record.
+_READ = 8 * 1024 * 1024
+
+
 def file_path(replica: str, file: int) -> str:
-    return f"{uri(replica)}/part-{file:05d}.warc.gz"
+    return f"{uri(replica)}/{_NAME % file}"
 
 
 def record(url: str, html: str, date: str = "1970-01-01T00:00:00Z") -> bytes:
@@ -106,29 +114,77 @@ def _by_file(manifest: DataFrame) -> DataFrame:
     return manifest.repartitionById(files, F.col("file").cast("int")).sortWithinPartitions("file", "offset")
 
 
-def record_hashes(manifest: DataFrame, replica: str) -> DataFrame:
-    """file, nth, offset, end, hash of each record's bytes as they lie in
-    ``replica``; a range that a file does not have, or a file that is not there,
-    is hashed as what is left of it."""
+def listing(spark: SparkSession, replica: str) -> DataFrame:
+    """(name) of the files under ``replica``, by one task: a row a file."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for folder in batch.column(0).to_pylist():
+                fs, path = open_store(uri(folder))
+                found = fs.get_file_info(pafs.FileSelector(path, allow_not_found=True, recursive=True))
+                names = [f.path[len(path):].strip("/") for f in found if f.type == pafs.FileType.File]
+                yield pa.RecordBatch.from_arrays([pa.array(names, pa.string())], names=["name"])
+
+    return spark.createDataFrame([(replica,)], "folder string").repartition(1).mapInArrow(run, "name string")
+
+
+def ranges(manifest: DataFrame, *replicas: str) -> DataFrame:
+    """All that the replicas are made of: file, nth, offset, length, name (below
+    the replica's folder).  First the manifest's records; then for each of its
+    files what follows the last record; and each file that only a replica has, as
+    a whole, under a number of its own.  A null length is up to the file's end."""
+    spark = manifest.sparkSession
+    name = F.format_string(_NAME, "file")
+    own = manifest.select("file", "nth", "offset", "length", name.alias("name"))
+    files = own.groupBy("file", "name").agg((F.max("nth") + 1).alias("nth"), F.max(F.col("offset") + F.col("length")).alias("offset"))
+    rest = files.select("file", "nth", "offset", F.lit(None).cast("long").alias("length"), "name")
+    there = listing(spark, replicas[0])
+    for r in replicas[1:]:
+        there = there.unionByName(listing(spark, r))
+    # files that the manifest does not know are few, or the manifest is the wrong one; a row each
+    more = there.distinct().join(files, "name", "left_anti")
+    after = files.agg(F.coalesce(F.max("file"), F.lit(-1))).first()[0]
+    number = F.lit(after) + F.row_number().over(Window.orderBy("name"))
+    extra = more.select(number.cast("long").alias("file"), F.lit(0).cast("long").alias("nth"), F.lit(0).cast("long").alias("offset"),
+                        F.lit(None).cast("long").alias("length"), "name")
+    return cut(own.unionByName(rest).unionByName(extra))
+
+
+def _hash_rest(source, offset: int, size: int) -> str:
+    """Of a file's true length and its bytes from ``offset`` on."""
+    digest = hashlib.sha256(f"{size}:".encode())
+    while offset < size:
+        raw = source.read_at(min(_READ, size - offset), offset)
+        digest.update(raw)
+        offset += len(raw)
+    return digest.hexdigest()
+
+
+def range_hashes(places: DataFrame, replica: str) -> DataFrame:
+    """file, nth, offset, end, hash of each range of ``places`` (of ``ranges``) as
+    its bytes lie in ``replica``; a record that a file does not have in full is
+    hashed as what is left of it, and the rest of a file that is not there as
+    that.  ``end`` is that of the manifest, and 0 for a rest."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        name, source = None, None
+        name, source, size = None, None, 0
         for batch in batches:
-            hashes = []
-            for file, offset, length in zip(*(batch.column(c).to_pylist() for c in ("file", "offset", "length"))):
-                if file != name:
-                    fs, path = open_store(file_path(replica, file))
-                    there = fs.get_file_info(path)
-                    name, source, size = file, fs.open_input_file(path) if there.is_file else None, there.size or 0
+            hashes, ends = [], []
+            for path, offset, length in zip(*(batch.column(c).to_pylist() for c in ("name", "offset", "length"))):
+                if path != name:
+                    fs, at = open_store(f"{uri(replica)}/{path}")
+                    there = fs.get_file_info(at)
+                    name, source, size = path, fs.open_input_file(at) if there.is_file else None, there.size or 0
+                if length is None:
+                    hashes.append(_hash_rest(source, min(offset, size), size) if source else "no file")
+                    ends.append(0)
+                    continue
                 raw = source.read_at(max(0, min(length, size - offset)), min(offset, size)) if source else b""
                 hashes.append(hashlib.sha256(raw).hexdigest())
-            end = [o + n for o, n in zip(batch.column("offset").to_pylist(), batch.column("length").to_pylist())]
-            yield pa.RecordBatch.from_arrays([batch.column("file"), batch.column("nth"), batch.column("offset"),
-                                              pa.array(end, pa.int64()), pa.array(hashes)],
-                                             names=["file", "nth", "offset", "end", "hash"])
+                ends.append(offset + length)
+            yield pa.RecordBatch.from_arrays([batch.column("file"), batch.column("nth"), batch.column("offset"), pa.array(ends, pa.int64()),
+                                              pa.array(hashes, pa.string())], names=["file", "nth", "offset", "end", "hash"])
 
-    return _by_file(manifest.select("file", "nth", "offset", "length")).mapInArrow(
-        run, "file long, nth long, offset long, end long, hash string")
+    return _by_file(places).mapInArrow(run, "file long, nth long, offset long, end long, hash string")
 
 
 def _parent(level: int, file_levels: int) -> tuple:
@@ -172,8 +228,8 @@ def root(levels: list[DataFrame]) -> str | None:
 
 
 def differing(a: tuple[list[DataFrame], int], b: tuple[list[DataFrame], int]) -> DataFrame:
-    """file, nth, hash_a, hash_b of the records that differ between two trees of
-    one manifest, by descending from the roots into differing nodes alone."""
+    """file, nth, hash_a, hash_b of the ranges that differ between two trees of
+    the same ranges, by descending from the roots into differing nodes alone."""
     (ours, file_levels), (theirs, _) = a, b
     suspects = None
     for k in range(len(ours) - 1, -1, -1):
@@ -190,20 +246,31 @@ def differing(a: tuple[list[DataFrame], int], b: tuple[list[DataFrame], int]) ->
     return suspects.withColumnRenamed("node", "nth")
 
 
-def audit(manifest: DataFrame, first: str, second: str) -> DataFrame:
-    """``manifest`` with sha256 (of the record in the first replica), other_sha256
-    (in the second, where it differs) and same."""
-    ours, theirs = tree(record_hashes(manifest, first)), tree(record_hashes(manifest, second))
+def audit(manifest: DataFrame, first: str, second: str) -> tuple[DataFrame, DataFrame]:
+    """Records and other findings.
+
+    ``manifest`` with sha256 (of the record in the first replica), other_sha256
+    (in the second, where it differs), same, and rest_same: nothing else in its
+    file differs.  And name, offset, sha256, other_sha256 of the differing ranges
+    that are no record: what follows a file's last record, and files that the
+    manifest does not know ("no file" where a replica has none)."""
+    places = ranges(manifest, first, second)
+    ours, theirs = tree(range_hashes(places, first)), tree(range_hashes(places, second))
+    found = cut(differing(ours, theirs))
     leaves = ours[0][0].select("file", F.col("node").alias("nth"), F.col("hash").alias("sha256"))
-    found = differing(ours, theirs).select("file", "nth", F.col("hash_b").alias("other_sha256"))
-    return (manifest.join(leaves, ["file", "nth"]).join(found, ["file", "nth"], "left")
-            .withColumn("same", F.col("other_sha256").isNull()))
+    rest = places.filter("length is null").select("file", "nth", "name", "offset").join(found, ["file", "nth"])
+    others = rest.select("name", "offset", F.col("hash_a").alias("sha256"), F.col("hash_b").alias("other_sha256"))
+    records = (manifest.join(leaves, ["file", "nth"]).join(found.select("file", "nth", F.col("hash_b").alias("other_sha256")), ["file", "nth"], "left")
+               .withColumn("same", F.col("other_sha256").isNull())
+               .join(rest.select("file", F.lit(False).alias("rest_same")), "file", "left").withColumn("rest_same", F.coalesce("rest_same", F.lit(True))))
+    return records, others
 
 
 def audited_copy(pages: DataFrame, folder: str, damage: int = 97) -> DataFrame:
-    """page_id, length, sha256, other_sha256, same of every page's record: a
-    replica is written and copied, with damaged records, and the two are
+    """page_id, length, sha256, other_sha256, same, rest_same of every page's
+    record: a replica is written and copied, with damaged records, and the two are
     compared.  An empty table gives no rows; other columns are not read."""
     manifest = write_replica(pages, f"{folder}/a")
     copy_replica(manifest, f"{folder}/a", f"{folder}/b", damage)
-    return audit(manifest, f"{folder}/a", f"{folder}/b").select("page_id", "length", "sha256", "other_sha256", "same")
+    records, _ = audit(manifest, f"{folder}/a", f"{folder}/b")
+    return records.select("page_id", "length", "sha256", "other_sha256", "same", "rest_same")

@@ -60,7 +60,8 @@ def test_equal_replicas_have_equal_roots_and_lost_bytes_are_found(spark):
     a, b = shared_path(spark, "warc"), shared_path(spark, "warc")
     manifest = warc.write_replica(df, a)
     warc.copy_replica(manifest, a, b)
-    trees = [warc.tree(warc.record_hashes(manifest, p)) for p in (a, b)]
+    places = warc.ranges(manifest, a, b)
+    trees = [warc.tree(warc.range_hashes(places, p)) for p in (a, b)]
     assert warc.root(trees[0][0]) == warc.root(trees[1][0]) and len(trees[0][0]) >= 3
     assert warc.differing(*trees).count() == 0
     # cut the end of one file off, and lose another
@@ -69,8 +70,41 @@ def test_equal_replicas_have_equal_roots_and_lost_bytes_are_found(spark):
     os.remove(local(warc.file_path(b, 1)))
     places = {(m.file, m.nth) for m in manifest.collect()}
     last = max(n for f, n in places if f == 0)
-    bad = {(r.file, r.nth) for r in warc.audit(manifest, a, b).filter("not same").collect()}
-    assert bad == {(0, last)} | {p for p in places if p[0] == 1}
+    records, others = warc.audit(manifest, a, b)
+    assert {(r.file, r.nth) for r in records.filter("not same").collect()} == {(0, last)} | {p for p in places if p[0] == 1}
+    assert {r.file for r in records.filter("not rest_same").collect()} == {0, 1}
+    assert {r.name: r.other_sha256 == "no file" for r in others.collect()} == {"part-00000.warc.gz": False, "part-00001.warc.gz": True}
+
+
+def test_what_no_record_holds_is_found_on_either_side(spark):
+    """Appended bytes, files that one replica has, and records in another order."""
+    _, df = pages(spark, 60)
+    a, b = shared_path(spark, "warc"), shared_path(spark, "warc")
+    manifest = warc.write_replica(df, a)
+    warc.copy_replica(manifest, a, b)
+    records, others = warc.audit(manifest, a, b)
+    assert others.count() == 0 and records.filter("not same or not rest_same").count() == 0
+    with open(local(warc.file_path(b, 0)), "ab") as f:
+        f.write(b"more")
+    with open(local(warc.file_path(a, 2)), "ab") as f:
+        f.write(b"x" * 20_000_000)
+    for folder, name in ((a, "only-in-a.warc.gz"), (b, "under/only-in-b"), (a, "both"), (b, "both"), (a, "unlike"), (b, "unlike")):
+        path = os.path.join(local(folder), name)
+        os.makedirs(os.path.dirname(path), exist_ok=True)
+        with open(path, "wb") as f:
+            f.write(b"same" if name == "both" else folder.encode())
+    places = [m for m in manifest.collect() if m.file == 3]
+    first, second = sorted(places, key=lambda m: m.nth)[:2]
+    with open(local(warc.file_path(b, 3)), "r+b") as f:
+        raw = f.read()
+        f.seek(0)
+        f.write(raw[first.length:first.length + second.length] + raw[:first.length] + raw[first.length + second.length:])
+    records, others = warc.audit(manifest, a, b)
+    got = {r.name: (r.sha256 == "no file", r.other_sha256 == "no file") for r in others.collect()}
+    assert got == {"part-00000.warc.gz": (False, False), "part-00002.warc.gz": (False, False), "only-in-a.warc.gz": (False, True),
+                   "under/only-in-b": (True, False), "unlike": (False, False)}
+    assert {(r.file, r.nth) for r in records.filter("not same").collect()} >= {(3, 0), (3, 1)}
+    assert {r.file for r in records.filter("not same").collect()} == {3}
 
 
 def test_empty_table(spark):
