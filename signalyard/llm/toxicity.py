@@ -1,11 +1,13 @@
 """Toxicity scores from a weighted finite-state pattern grammar.
 
-Five transducers read a text's words side by side and together rewrite each
-clause into weighted matches: insults (a lexicon of words and stems, weighted
-from labelled rows), threats, targets, negation and reported speech.  An insult
-or threat counts by its context - plain, aimed at a target, negated, reported -
-and a text's score is a logistic function of its clauses' matches by context,
-so a lone word and the same word aimed at somebody weigh differently."""
+Transducers for reported speech, negation, insults, threats and targets, composed
+into one table (``transducers``), read each clause of a text as a sequence of word
+classes and label its insults and threats by context: plain, aimed at a target,
+negated, reported.  Insults are the words and stems of a lexicon that is learned
+from labelled rows; a label's weight in the score is learned too, from the matches
+of other rows, and stays near its prior where no row has one.  So a lone word and
+the same word aimed at somebody, denied or quoted weigh differently, and a text's
+score is a logistic function of what its clauses match."""
 
 from __future__ import annotations
 
@@ -20,6 +22,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from signalyard.llm.common import cut, text_or_empty
+from signalyard.llm.transducers import CLASSES, INSULT, LABELS, LONGEST_GAP, NEGATION, OTHER, REPORT, TARGET, THREAT, Table, grammar
 
 #: At most about this many labelled rows are learned from (by doc_id hash), and
 #: this many lexicon entries kept (the most telling first).
@@ -40,13 +43,16 @@ REPORTS = frozenset("said says say wrote writes called calls quoted reported cla
 THREATS = frozenset("kill hurt destroy burn beat stab shoot murder crush töten schlagen umbringen verletzen tuer "
                     "frapper détruire brûler matar golpear destruir quemar".split())
 
-#: How many words a negation or a target reaches.
-_NEGATION_REACH, _TARGET_REACH = 3, 4
 _STEMS = range(3, 9)
-_CONTEXTS = ("plain", "aimed", "negated", "reported")
-#: A text's numbers: insults by context, threats by context, the largest clause,
-#: matches per hundred words, different matched words.
-N_FEATURES = 2 * len(_CONTEXTS) + 3
+#: A text's numbers: the mass of its matches by label (a lexicon word's weight, 1
+#: for a threat), the largest clause, matches per hundred words, different matched
+#: words.
+N_FEATURES = len(LABELS) + 3
+#: What the labels weigh before rows are seen, by kind and context, and the others.
+PRIOR = [1.0, 1.5, 0.3, 0.2, 0.4, 1.5, 0.1, 0.2, 0.0, 0.0, 0.0]
+#: The composed grammar; the same in every process.
+TABLE = Table(grammar())
+_CLASS = {c: i for i, c in enumerate(CLASSES)}
 _END = tuple(".!?;:,")
 
 
@@ -84,13 +90,14 @@ class Grammar:
         self._known = {}
 
     def symbol(self, token: str) -> tuple:
-        """What the transducers read: (insult weight, threat, target, negation,
-        report, clause end), or () for a word that none of them reacts to."""
+        """(class number, weight, whether a clause ends) of a word, or () for a
+        word of no class within a clause."""
         word = word_of(token)
         weight = max((self.lexicon.get(f, 0.0) for f in lexical_features(word)), default=0.0) if word else 0.0
+        kind = (INSULT if weight else THREAT if word in THREATS else TARGET if word in TARGETS
+                else NEGATION if word in NEGATIONS else REPORT if word in REPORTS else OTHER)
         end = token.endswith(_END)
-        read = (weight, word in THREATS, word in TARGETS, word in NEGATIONS, word in REPORTS)
-        return (*read, end) if any(read) else ((0.0, False, False, False, False, True) if end else ())
+        return (_CLASS[kind], weight or float(kind == THREAT), end) if end or kind != OTHER else ()
 
     def features(self, text: str) -> np.ndarray | None:
         """The text's match features, or None if no clause matches."""
@@ -103,43 +110,35 @@ class Grammar:
                     if len(known) < self.max_known:
                         known[words[i]] = s
         marked = [(i, s) for i, s in enumerate(symbols) if s]
-        if not any(s[0] or s[1] for _, s in marked):
+        if not any(s[1] for _, s in marked):
             return None
         out = np.zeros(N_FEATURES)
         clause: list[tuple[int, tuple]] = []
         for i, s in marked:
             clause.append((i, s))
-            if s[5]:
+            if s[2]:
                 self._clause(clause, out)
                 clause = []
         self._clause(clause, out)
         out[-2] = 100 * out[:-3].sum() / len(words)
-        out[-1] = len({word_of(words[i]) for i, s in marked if s[0] or s[1]})
+        out[-1] = len({word_of(words[i]) for i, s in marked if s[1]})
         return np.log1p(out)
 
-    def _clause(self, clause: list[tuple[int, tuple]], out: np.ndarray) -> None:
-        """Runs the composed transducers over one clause and adds its matches."""
-        targets = [i for i, s in clause if s[2]]
-        negated_to, reported, total = -1, False, 0.0
-        for i, (weight, threat, _, negation, report, _) in clause:
-            if report:
-                reported = True
-            if negation:
-                negated_to = i + _NEGATION_REACH
-            if not (weight or threat):
-                continue
-            if reported:
-                context = 3
-            elif i <= negated_to:
-                context = 2
-            elif any(abs(t - i) <= _TARGET_REACH for t in targets):
-                context = 1
-            else:
-                context = 0
-            out[context] += weight
-            out[len(_CONTEXTS) + context] += threat
-            total += weight + threat
-        out[-3] = max(out[-3], total)
+    @staticmethod
+    def _clause(clause: list[tuple[int, tuple]], out: np.ndarray) -> None:
+        """Reads one clause - its words that have a class, with their places - and
+        adds the mass of its matches by label."""
+        masses = [s[1] for _, s in clause if s[1]]
+        if not masses:
+            return
+        read, before = [], clause[0][0] - 1
+        for i, s in clause:
+            read += [_CLASS[OTHER]] * min(i - before - 1, LONGEST_GAP)
+            read.append(s[0])
+            before = i
+        for label, mass in zip(TABLE.labels(read), masses, strict=True):
+            out[label] += mass
+        out[-3] = max(out[-3], sum(masses))
 
     def score(self, text: str) -> float:
         x = self.features(text)
@@ -211,15 +210,17 @@ def learn_lexicon(rows: DataFrame, entries: int = LEXICON_ENTRIES) -> dict[str,
     return words | _telling(rows, words, entries)
 
 
-def fit(x: np.ndarray, y: np.ndarray, ridge: float = 0.05, steps: int = 50) -> tuple[list[float], float]:
-    """Logistic regression by Newton steps; the bias is not shrunk."""
+def fit(x: np.ndarray, y: np.ndarray, ridge: float = 0.05, steps: int = 50, prior: list[float] | None = None) -> tuple[list[float], float]:
+    """Logistic regression by Newton steps; weights are shrunk to ``prior`` (0
+    without one), so one that no row speaks for has that value; the bias is not."""
     a = np.hstack([x, np.ones((len(x), 1))])
+    middle = np.append(prior or np.zeros(x.shape[1]), 0.0)
     w = np.zeros(a.shape[1])
     penalty = np.full(len(w), ridge)
     penalty[-1] = 1e-6
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
-        step = np.linalg.solve((a * (p * (1 - p))[:, None]).T @ a + np.diag(penalty), a.T @ (p - y) + penalty * w)
+        step = np.linalg.solve((a * (p * (1 - p))[:, None]).T @ a + np.diag(penalty), a.T @ (p - y) + penalty * (w - middle))
         w -= step
         if np.abs(step).max() < 1e-6:
             break
@@ -244,7 +245,7 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> Grammar
     sample = chosen.filter("half = 2").select("text", (F.col("toxic") > 0).cast("double").alias("toxic")).mapInPandas(
         matches, "x array<double>, y double").toPandas()
     if sample["y"].nunique() == 2:
-        grammar.coef, grammar.bias = fit(np.array(sample["x"].tolist()), sample["y"].to_numpy())
+        grammar.coef, grammar.bias = fit(np.array(sample["x"].tolist()), sample["y"].to_numpy(), prior=PRIOR)
     return grammar
 
 

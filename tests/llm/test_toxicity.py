@@ -24,6 +24,25 @@ def test_contexts_of_matches():
     assert features("") is None and features("you said not") is None
 
 
+def test_weights_by_context_are_learned_where_rows_speak_and_else_the_prior():
+    import numpy as np
+    rng = np.random.default_rng(0)
+    x = np.zeros((400, tx.N_FEATURES))
+    y = rng.random(400) < 0.5
+    x[:, 0] = np.where(y, 1.0, 0.0) * (rng.random(400) < 0.9)  # plain insults tell
+    x[:, 2] = np.where(y, 0.0, 1.0) * (rng.random(400) < 0.9)  # negated ones tell the opposite
+    coef, _ = tx.fit(x, y.astype(float), prior=tx.PRIOR)
+    assert coef[0] > 2 and coef[2] < -2
+    assert coef[1] == tx.PRIOR[1] and coef[3] == tx.PRIOR[3] and coef[4:8] == tx.PRIOR[4:8] and all(c > 0 for c in coef[4:8])
+
+
+def test_a_text_scores_by_context():
+    g = tx.Grammar(LEX, coef=tx.PRIOR, bias=-3.0)
+    s = {k: g.score(t) for k, t in {"aimed": "you idiot", "plain": "idiot here", "negated": "not idiot", "reported": "said idiot", "threat": "I kill you",
+                                    "bare": "kill time", "none": "a b c"}.items()}
+    assert s["aimed"] > s["plain"] > s["negated"] > s["reported"] > s["none"] and s["threat"] > s["bare"] > s["none"]
+
+
 def test_tokens_beyond_the_memory_bound_are_read_anew():
     g = tx.Grammar(LEX, max_known=1)
     assert g.features("a b idiot c idiot").tolist() == features("a b idiot c idiot").tolist()
