@@ -3,12 +3,14 @@
 ``word_bpe`` vocabularies drop white space and never join characters across
 it, so a text's ids are the ids of its white-space separated words, one after
 the other.  Natural text repeats its words, so each worker encodes a word
-once with the tokenizers library and remembers the ids (bounded memory)."""
+once with the tokenizers library and remembers the ids (bounded memory).  A text
+that may hold the string of an added token goes the tokenizer's whole way."""
 
 from __future__ import annotations
 
 import re
 from array import array
+from operator import attrgetter
 
 import numpy as np
 from tokenizers import Tokenizer
@@ -17,8 +19,6 @@ from tokenizers import Tokenizer
 _NOT_SPACE = re.compile("[\x1c-\x1f]")
 #: Latin letters that are letters in any form, and ASCII punctuation after them.
 _SIMPLE = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]*)")
-#: Stands between words encoded in one call; words that hold it go alone.
-_MARK = "\x00"
 
 def byte_symbols() -> dict[int, str]:
     """The letters that byte-level vocabularies write bytes as: printable
@@ -30,94 +30,77 @@ def byte_symbols() -> dict[int, str]:
 
 
 _SYMBOLS = byte_symbols()
+_ID = attrgetter("id")
 _ENCODERS: dict[str, "WordEncoder"] = {}
 
 
+class _Remembered(dict):
+    """What ``make`` gives for each key, of the keys asked for lately: once those
+    hold ``max_chars`` characters they become the old ones, and what is asked for
+    again of these is taken over."""
+
+    def __init__(self, make, max_chars: int):
+        super().__init__()
+        self._make, self._max_chars = make, max_chars
+        self._old: dict[str, bytes] = {}
+        self._chars = 0
+
+    def __missing__(self, key: str) -> bytes:
+        value = self._old.get(key)
+        if value is None:
+            value = self._make(key)
+        if self._chars > self._max_chars:
+            self._old, self._chars = dict(self), 0
+            self.clear()
+        self._chars += len(key)
+        self[key] = value
+        return value
+
+
 class WordEncoder:
-    """Encodes texts to little-endian uint32 id bytes.
+    """Encodes texts to little-endian uint32 id bytes, as the tokenizer does
+    without special tokens added.
 
-    ``max_chars`` bounds what is remembered: once the remembered words hold
-    that many characters, new words are forgotten after the call that met them."""
+    ``max_chars`` bounds what is remembered: at most twice as many characters of
+    words, and of their pieces."""
 
-    def __init__(self, path: str, max_chars: int = 12_000_000):
+    def __init__(self, path: str, max_chars: int = 3_500_000):
         self._tok = Tokenizer.from_file(path)
-        self._tok.encode_special_tokens = True  # their strings in a text are ordinary text
         self.vocabulary_size = max(self._tok.get_vocab(with_added_tokens=True).values()) + 1
-        self._max_chars = max_chars
-        self._known: dict[str, bytes] = {}
-        self._chars = 0
+        added = [t.content for t in self._tok.get_added_tokens_decoder().values()]
+        # case and the rest of an added token's string are the tokenizer's to judge
+        self._special = re.compile("|".join(re.escape(c[:2]) for c in added), re.IGNORECASE).search if added else lambda t: None
+        self._tokenize = self._tok.model.tokenize
+        self._pieces = _Remembered(self._piece, max_chars)
+        self._known = _Remembered(self._word, max_chars)
         # The short way must agree with the tokenizer, or it is not taken.
         self._simple = _SIMPLE.fullmatch
         probes = ["Word", "ÜBER,", "étéß!?", "it's", "don't", "El-Niño", "a...", "x'"]
-        agree = all(self._piece(m[1].lower()) + (self._piece(m[2]) if m[2] else b"") == self._ids([w])[0].tobytes()
+        agree = all(self._piece(m[1].lower()) + (self._piece(m[2]) if m[2] else b"") == self._ids(w)
                     for w in probes if (m := self._simple(w)))
         if not agree:
             self._simple = lambda w: None
-        mark = self._ids([_MARK])[0]
-        self._mark = mark[0] if len(mark) == 1 else None
-
-    def _ids(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, dtype="<u4") for e in self._tok.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _learn(self, words: set[str]) -> set[str]:
-        """Remembers the ids of ``words``; returns all that it remembered.
-
-        Letters with punctuation after them are two pieces, and their case is
-        dropped: such words go straight to the vocabulary's model, one piece at
-        a time.  All others take the tokenizer's whole way."""
-        known, rest, extra = self._known, [], set()
-        for w in words:
-            m = self._simple(w)
-            if m is None:
-                rest.append(w)
-                continue
-            ids = []
-            for piece in (m[1].lower(), m[2]):
-                raw = known.get(piece) if piece else b""
-                if raw is None:
-                    raw = known[piece] = self._piece(piece)
-                    extra.add(piece)
-                ids.append(raw)
-            known[w] = ids[0] + ids[1]
-        self._encode_words(rest)
-        return extra.union(words)
+
+    def _ids(self, text: str) -> bytes:
+        return np.array(self._tok.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4").tobytes()
 
     def _piece(self, piece: str) -> bytes:
         symbols = piece if piece.isascii() else "".join(map(_SYMBOLS.__getitem__, piece.encode()))
-        return array("I", [t.id for t in self._tok.model.tokenize(symbols)]).tobytes()
-
-    def _encode_words(self, words: list[str]) -> None:
-        plain = [w for w in words if _MARK not in w] if self._mark is not None else []
-        for i in range(0, len(plain), 4096):
-            some = plain[i:i + 4096]
-            ids = self._ids([f" {_MARK} ".join(some)])[0]
-            ends = np.append(np.flatnonzero(ids == self._mark), len(ids)) * 4
-            raw, start = ids.tobytes(), 0
-            for w, end in zip(some, ends.tolist(), strict=True):
-                self._known[w] = raw[start:end]
-                start = end + 4
-        rest = [w for w in words if w not in self._known]
-        for w, ids in zip(rest, self._ids(rest), strict=True):
-            self._known[w] = ids.tobytes()
+        return array("I", map(_ID, self._tokenize(symbols))).tobytes()
+
+    def _word(self, word: str) -> bytes:
+        """Letters with punctuation after them are two pieces, and their case is
+        dropped: such words go straight to the vocabulary's model, one piece at a
+        time.  All others take the tokenizer's whole way."""
+        m = self._simple(word)
+        if m is None:
+            return self._ids(word)
+        letters, marks = m.groups()
+        return self._pieces[letters.lower()] + self._pieces[marks] if marks else self._pieces[letters.lower()]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [None if _NOT_SPACE.search(t) else t.split() for t in texts]
-        get = self._known.get
-        ids = [None if words is None else list(map(get, words)) for words in split]
-        gaps = [[] if x is None or None not in x else [i for i, y in enumerate(x) if y is None] for x in ids]
-        new = {words[i] for words, at in zip(split, gaps, strict=True) for i in at}
-        if new:
-            new = self._learn(new)
-        for words, at, x in zip(split, gaps, ids, strict=True):
-            for i in at:
-                x[i] = self._known[words[i]]
-        out = [self._ids([t])[0].tobytes() if x is None else b"".join(x) for t, x in zip(texts, ids, strict=True)]
-        if self._chars > self._max_chars:
-            for w in new:
-                del self._known[w]
-        else:
-            self._chars += sum(map(len, new))
-        return out
+        of = self._known.__getitem__
+        return [self._ids(t) if _NOT_SPACE.search(t) or self._special(t) else b"".join(map(of, t.split())) for t in texts]
 
 
 def encoder(path: str) -> WordEncoder:

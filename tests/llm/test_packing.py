@@ -13,8 +13,7 @@ from tests.llm.util import awkward, docs
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
 
-TOK = Tokenizer.from_file(PATH)
-TOK.encode_special_tokens = True
+TOK = Tokenizer.from_file(PATH)  # as it comes
 
 
 def plain_ids(text, end):
@@ -30,7 +29,25 @@ def test_word_encoder_equals_whole_text_encoding():
     for i in range(0, len(texts), 100):
         for t, got in zip(texts[i:i + 100], enc.encode(texts[i:i + 100])):
             assert got == plain_ids(t, 0)[:-1].tobytes(), repr(t)
-    assert enc._chars < 40_000
+    for held in (enc._known, enc._pieces):
+        assert sum(map(len, held)) < 600 + 40 and sum(map(len, held._old)) < 600 + 40
+
+
+def test_the_strings_of_added_tokens_are_those_tokens():
+    enc = WordEncoder(PATH)
+    for text in ("a <|endoftext|> b", "x<|startoftext|>y <|endoftext|>", "<|ENDOFTEXT|>", "<| endoftext|>", "<|endoftext", "end<|"):
+        assert enc.encode([text])[0] == plain_ids(text, 0)[:-1].tobytes()
+    assert np.frombuffer(enc.encode(["a <|endoftext|> b"])[0], "<u4").tolist() == [320, 49407, 321]
+
+
+def test_words_asked_for_again_outlast_the_bound():
+    enc = WordEncoder(PATH, max_chars=60)
+    made = []
+    real = enc._known._make
+    enc._known._make = lambda w: made.append(w) or real(w)
+    for i in range(200):
+        enc.encode([f"often word{i}"])
+    assert made.count("often") == 1 and len(enc._known) + len(enc._known._old) < 40
 
 
 def test_pieces_cover_documents_and_bins_are_gapless(spark):
