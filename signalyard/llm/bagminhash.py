@@ -39,6 +39,9 @@ _GROUP_PAIRS = 256
 _FEW = 32
 #: Cells that a bag's shingles are counted in, to bound how many two bags share.
 _CELLS = 128
+#: Bytes of a shingle's hash: two unlike shingles of two bags of a thousand words
+#: share one with probability 4e-9.
+_HASH_BYTES = 6
 #: Words whose signatures are made at a time.
 _BATCH_WORDS = 1_000_000
 
@@ -54,8 +57,8 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 
 def bag(words: list[str], shingle: int = SHINGLE_WORDS) -> tuple[np.ndarray, np.ndarray]:
-    """(sorted distinct shingle hashes, multiplicities).  Fewer words than a
-    shingle are one shingle; no words are an empty bag."""
+    """(sorted distinct shingle hashes of 48 bits, multiplicities).  Fewer words
+    than a shingle are one shingle; no words are an empty bag."""
     if not words:
         return np.empty(0, np.uint64), np.empty(0, np.int64)
     h = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
@@ -64,7 +67,7 @@ def bag(words: list[str], shingle: int = SHINGLE_WORDS) -> tuple[np.ndarray, np.
     out = np.full(n, width, np.uint64)
     for i in range(width):
         out = _mix(out * _MULT + h[i:i + n])
-    return np.unique(out, return_counts=True)
+    return np.unique(out >> np.uint64(64 - 8 * _HASH_BYTES), return_counts=True)
 
 
 def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
@@ -167,7 +170,7 @@ def _bags(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [batch.column("row"), pa.array([int(c.sum()) for _, c in bags], pa.int64()),
                  pa.array([np.bincount((h % np.uint64(_CELLS)).astype(np.int64), c, _CELLS).astype("<u4").tobytes() for h, c in bags], pa.binary()),
-                 pa.array([h.tobytes() for h, _ in bags], pa.binary()),
+                 pa.array([_write_hashes(h) for h, _ in bags], pa.binary()),
                  pa.array([c.astype("<u4").tobytes() if len(c) and c.max() > 1 else b"" for _, c in bags], pa.binary())],
                 names=["row", "size", "cells", "hashes", "counts"])
 
@@ -191,8 +194,14 @@ def _own_shingles(bags: DataFrame) -> DataFrame:
             .filter("rows = 1").groupBy("row").agg(F.sum("weight").alias("own")))
 
 
+def _write_hashes(h: np.ndarray) -> bytes:
+    return h.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :_HASH_BYTES].tobytes()
+
+
 def _read_bag(hashes: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray]:
-    h = np.frombuffer(hashes, "<u8")
+    raw = np.zeros((len(hashes) // _HASH_BYTES, 8), np.uint8)
+    raw[:, :_HASH_BYTES] = np.frombuffer(hashes, np.uint8).reshape(-1, _HASH_BYTES)
+    h = raw.view("<u8").ravel()
     return h, np.frombuffer(counts, "<u4").astype(np.int64) if counts else np.ones(len(h), np.int64)
 
 

@@ -109,3 +109,10 @@ def test_empty_and_wordless(spark):
     assert bm.near_classes(docs(spark, [])).count() == 0
     got = bm.near_classes(docs(spark, [(1, None), (2, ""), (3, " \n"), (4, "a")])).collect()
     assert sorted((r.doc_id, r.class_id, r.class_size) for r in got) == [(1, 1, 3), (2, 1, 3), (3, 1, 3), (4, 4, 1)]
+
+
+def test_hashes_are_written_and_read_back():
+    h, c = bm.bag("one two three four five six seven seven seven seven seven seven seven".split())
+    back, counts = bm._read_bag(bm._write_hashes(h), c.astype("<u4").tobytes())
+    assert (back == h).all() and (counts == c).all() and h.max() < 1 << 48
+    assert len(bm._write_hashes(h)) == 6 * len(h) and len(bm._read_bag(b"", b"")[0]) == 0
