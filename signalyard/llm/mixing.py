@@ -95,6 +95,14 @@ def schedule(sources: DataFrame, block_words: int) -> DataFrame:
                                         F.coalesce(F.max(F.when(short, F.col("short"))), F.lit(0)).alias("part")))
 
 
+def copies(mixed: DataFrame) -> DataFrame:
+    """row and copies of the rows of ``mix`` that are in a mix of whole documents:
+    as often as the words taken of them are nearest to, if that is once or more;
+    documents without words are not in a mix."""
+    return mixed.filter("taken > 0").select(
+        "row", F.floor(F.col("taken") / F.col("size") + 0.5).cast("int").alias("copies")).filter("copies > 0")
+
+
 def mix(docs: DataFrame, block_words: int = BLOCK_WORDS, seed: int = 6, row: Column | None = None) -> DataFrame:
     """doc_id, size, source_size, target and taken of every row of ``docs`` (and
     row, a number of each row: ``row`` if given, as of a table that
