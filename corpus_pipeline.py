@@ -42,8 +42,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes its words, to the nearest whole
     document: 0 to 3 times.  Documents without words are not in a mix."""
     table = common.numbered(docs)
-    taken = mixing.mix(table, row=F.col("row")).filter("taken > 0").select(
-        "row", F.floor(F.col("taken") / F.col("size") + 0.5).cast("int").alias("copies")).filter("copies > 0")
+    taken = mixing.copies(mixing.mix(table, row=F.col("row")))
     return (table.join(taken, "row")
             .select(*common.COLUMNS, F.explode(F.sequence(F.lit(1), "copies"))).select(*common.COLUMNS))
 

@@ -72,7 +72,7 @@ from . import frames  # noqa: E402
 
 
 def _documents(spark, sf_dir, *cols):
-    return spread_scan(fx.table(spark, sf_dir, "documents").select(*cols, "text"), ["text"])
+    return spread_scan(fx.table(spark, sf_dir, "documents").select(*cols, "text"), [*cols, "text"])
 
 
 # --- fixed values: keyword filter of the broker news feed ------------------
@@ -117,7 +117,7 @@ def keyword_all_literal(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def page_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """STR6: paragraph text of every page."""
-    p = spread_scan(fx.table(spark, sf_dir, "pages").select("page_id", "html"), ["html"])
+    p = spread_scan(fx.table(spark, sf_dir, "pages").select("page_id", "html"), ["page_id", "html"])
     t = H.paragraph_text("html")
     return p.select("page_id", F.size(H.paragraphs("html")).cast("long").alias("n_paragraphs"),
                     F.md5(t).alias("text_md5"), F.length(t).cast("long").alias("text_len"))
@@ -158,7 +158,7 @@ def label_encode_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- training frames -------------------------------------------------------
 def _feeds(spark, sf_dir):
     # the three news feeds together (SET1), from one scan
-    news = spread_scan(fx.news_items(spark, sf_dir).select(*Z.LAKE_NEWS.fieldNames()), ["data"])
+    news = spread_scan(fx.news_items(spark, sf_dir).select(*Z.LAKE_NEWS.fieldNames()), Z.LAKE_NEWS.fieldNames())
     return news, fx.weather_lake(spark, sf_dir), fx.stock_lake(spark, sf_dir)
 
 
@@ -443,7 +443,7 @@ def interval_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
     """AGG10: mean squared error of each interval's ML7 line."""
     rows = _intervals(spark, sf_dir)
     coef = IV.interval_regression(rows).select("interval", "slope", "intercept")
-    scored = rows.join(F.broadcast(coef), "interval") \
+    scored = rows.join(coef, "interval") \
         .withColumn("pred", F.col("intercept") + F.col("slope") * F.col("open"))
     r = IV.interval_loss(scored, "pred", "close")
     return r.select("interval", "interval_start", "interval_end", "n_rows", round4("loss").alias("loss"))
@@ -455,6 +455,8 @@ from ..streaming import speed_layer as SL  # noqa: E402
 
 # --- fixed values: stream twin settings (10 s / 3 s scaled to hours) --------
 TWIN_WINDOW, TWIN_SLIDE, TWIN_PANE = "10 hours", "3 hours", "1 hour"
+#: Files of a micro-batch.
+FILES_A_TRIGGER = 2
 _LIST_SCHEMA = "struct<news_list: array<struct<data: string, date: string>>, " \
                "stock_list: array<struct<ctm: bigint, ctmString: string, open: double, close: double, " \
                "high: double, low: double, vol: double>>>"
@@ -479,13 +481,15 @@ def window_join_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def window_join_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """PIP12 on a stream: the messages read from files (SRC2 text twin), STM1 watermarks, STM3 chained stateful operators in
+    """PIP12 on a stream: the messages read from files (SRC2 text twin) in several
+    micro-batches, STM1 watermarks, STM3 chained stateful operators in
     append mode, STM4 unclosed windows held back, STM5 own checkpoint,
     SNK6 JSON sink.  Returns the sink's windows."""
     src_dir = scratch_path(spark, "stream-in")
-    fx.write_stream_input(fx.event_messages(spark, sf_dir), src_dir)
+    stamp = F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    fx.write_in_order(fx.event_messages(spark, sf_dir).select(stamp.alias("date_start"), stamp.alias("date_end"), "value"), src_dir)
     out_dir = scratch_path(spark, "stream-out")
-    stream = SL.read_stream(spark, src_dir, fmt="text")
+    stream = SL.read_stream(spark, src_dir, fmt="text", max_files=FILES_A_TRIGGER)
     q = SL.start_window_join(spark, stream, out_dir, window=TWIN_WINDOW, slide=TWIN_SLIDE, pane=TWIN_PANE)
     q.awaitTermination()
     out = spark.read.schema("window_start timestamp, value string").json(out_dir)
@@ -519,10 +523,6 @@ def stream_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.min("date_start").alias("first_start"), F.max("date_start").alias("last_start"))
 
 
-#: Files of a micro-batch.
-FILES_A_TRIGGER = 2
-
-
 def _halves_arrive(messages, path):
     """Writes the messages before the cut-off day, then the others, as files in
     the order of their steps, and yields after each."""
@@ -815,9 +815,11 @@ def load_windows_5min(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def last_cursor_12h(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SRT1 by parsed date: 12-hour strings, where midnight is written 12."""
+    """SRT1 by parsed date: 12-hour strings, where midnight is written 12.  The
+    strings have no half of the day, so an afternoon's hour is taken for the
+    morning's that is written alike."""
     fmt = "yyyy-MM-dd hh:mm:ss"
-    e = fx.table(spark, sf_dir, "events").filter(F.hour("ts") < 12)
+    e = fx.table(spark, sf_dir, "events")
     log = e.select(F.col("event_type").alias("feed"), F.date_format(F.date_trunc("hour", "ts"), fmt).alias("end_date"))
     return CUR.last_cursor(log, fmt=fmt)
 
@@ -829,10 +831,10 @@ EVENT_WORDS = {"view": "growth", "purchase": "profit", "error": "loss", "signup"
 @query
 def sentiment_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """TXT1 + AGG9 on texts of all three labels: a user's events of a day as
-    words."""
+    words, a text for each thousand of ids, so that no text is unbounded."""
     e = fx.table(spark, sf_dir, "events")
     word = F.create_map(*[F.lit(x) for kv in EVENT_WORDS.items() for x in kv])[F.col("event_type")]
-    d = e.groupBy(F.date_format("ts", "yyyy-MM-dd").alias("day"), "user_id") \
+    d = e.groupBy(F.date_format("ts", "yyyy-MM-dd").alias("day"), "user_id", F.expr("event_id div 1000").alias("part")) \
         .agg(F.concat_ws(" ", F.sort_array(F.collect_list(word))).alias("text"))
     s = sentiment_scores(d, "text")
-    return s.select("day", "user_id", *[F.col(c).cast("long").alias(c) for c in ("n_tokens", "pos_hits", "neg_hits")], "sentiment")
+    return s.select("day", "user_id", "part", *[F.col(c).cast("long").alias(c) for c in ("n_tokens", "pos_hits", "neg_hits")], "sentiment")

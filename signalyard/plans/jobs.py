@@ -175,7 +175,7 @@ def load_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def page_paragraphs_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """STR6: paragraph text of every page by the tag-stream machine."""
-    p = spread_scan(fx.table(spark, sf_dir, "pages").select("page_id", "html"), ["html"])
+    p = spread_scan(fx.table(spark, sf_dir, "pages").select("page_id", "html"), ["page_id", "html"])
     p = p.select("page_id", TS.paragraphs("html").alias("texts"))
     joined = F.when(F.size("texts") > 0, F.array_join("texts", "\n")).otherwise(F.lit(TS.NO_CONTENT))
     return p.select("page_id", F.size("texts").cast("long").alias("n_paragraphs"), F.md5(joined).alias("text_md5"), F.length(joined).cast("long").alias("text_len"))
@@ -258,3 +258,17 @@ def lake_triage(spark: SparkSession, sf_dir: str) -> DataFrame:
         bad = report.filter("reason is not null").groupBy(F.lit(src).alias("source"), F.col("reason").alias("what")).agg(F.count(F.lit(1)).alias("n"))
         found = good.unionByName(bad) if found is None else found.unionByName(good).unionByName(bad)
     return found
+
+
+# --- dates of a window's items ---------------------------------------------------------
+@query
+def window_item_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """PRJ6 + PRJ7: the first and last date that the news and the candles of each
+    window carry themselves."""
+    parsed = valid(parse_envelopes(fx.event_messages(spark, sf_dir), "value"))
+    sides = []
+    for side in SL._SIDES:
+        items = WN.in_windows(SL.side_items(parsed, side).withColumn("item_date", F.col("item_date").cast("timestamp_ntz")), TWIN)
+        sides.append(items.groupBy(F.lit(side).alias("side"), F.col("window_start").cast("timestamp_ntz").alias("window_start")).agg(
+            F.min("item_date").alias("first_item"), F.max("item_date").alias("last_item"), F.count("item_date").alias("n_dated")))
+    return sides[0].unionByName(sides[1])

@@ -4,7 +4,7 @@ weighted temperature, AGG5 two-level weighted mean.
 
 The reference calls the weather API once per (region, day pair) and
 averages in Python; here the per-region daily readings are a table and
-the two averaging levels are two grouped aggregates after a broadcast
+the two averaging levels are two grouped aggregates after a
 join with the location dimension (a configuration table of a few rows)."""
 
 from __future__ import annotations
@@ -50,8 +50,7 @@ def regional_weather(daily: DataFrame, locs: DataFrame, day_col: str = "day") ->
     ``daily`` has one row per (day, region) with the API's daily arrays;
     the first element of each array is the day's value (SRT6, null when
     empty)."""
-    j = daily.join(F.broadcast(locs.select("region", "country", "country_weight", "region_weight")),
-                   "region")
+    j = daily.join(locs.select("region", "country", "country_weight", "region_weight"), "region")
     rw = F.col("region_weight")
     temp = (F.get("temperature_2m_min", 0) + F.get("temperature_2m_max", 0)) / 2 * rw  # MTH1
     per_country = j.groupBy(day_col, "country").agg(

@@ -255,3 +255,11 @@ SELECT 'scraper_news_' || feed AS source, 'rows' AS what, count(*) AS n FROM new
 UNION ALL
 SELECT 'scraper_news_' || feed, what, CAST(1 AS BIGINT)
 FROM (SELECT DISTINCT feed FROM news_items), (VALUES ('truncated'), ('empty'), ('not parquet'), ('another format'), ('other columns')) t(what)"""
+
+
+# --- dates of a window's items -------------------------------------------------------------------
+ORACLE["window_item_dates"] = _ctes(["""
+ev AS (SELECT ts AS tm, event_type, value FROM events)""", _pairs("ev")]) + """
+SELECT side, window_start, min(d) AS first_item, max(d) AS last_item, count(d) AS n_dated
+FROM (SELECT side, window_start, CASE WHEN side = 'news_list' THEN CAST(date_trunc('day', tm) AS TIMESTAMP) ELSE date_trunc('second', tm) END AS d FROM pairs)
+GROUP BY 1, 2"""

@@ -676,12 +676,12 @@ FROM w WHERE s < TIMESTAMP '2024-02-02' AND NOT EXISTS (SELECT 1 FROM log l WHER
 
 ORACLE["last_cursor_12h"] = """
 SELECT feed, strftime(t, '%Y-%m-%d %I:%M:%S') AS end_date
-FROM (SELECT event_type AS feed, max(date_trunc('hour', ts)) AS t FROM events WHERE hour(ts) < 12 GROUP BY 1)"""
+FROM (SELECT event_type AS feed, max(date_trunc('day', ts) + to_hours(hour(ts) % 12)) AS t FROM events GROUP BY 1)"""
 
 ORACLE["sentiment_mixed"] = f"""
-SELECT day, user_id, CAST(n AS BIGINT) AS n_tokens, CAST(p AS BIGINT) AS pos_hits, CAST(g AS BIGINT) AS neg_hits,
+SELECT day, user_id, part, CAST(n AS BIGINT) AS n_tokens, CAST(p AS BIGINT) AS pos_hits, CAST(g AS BIGINT) AS neg_hits,
        {sql_sentiment('n', 'p', 'g')} AS sentiment
-FROM (SELECT strftime(ts, '%Y-%m-%d') AS day, user_id, count(*) AS n,
+FROM (SELECT strftime(ts, '%Y-%m-%d') AS day, user_id, event_id // 1000 AS part, count(*) AS n,
              count(*) FILTER (WHERE event_type IN ('view', 'purchase')) AS p,
              count(*) FILTER (WHERE event_type IN ('error', 'signup')) AS g
-      FROM events GROUP BY 1, 2)"""
+      FROM events GROUP BY 1, 2, 3)"""
