@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from signalyard.llm.common import cut, parts_for, text_or_empty
-from signalyard.llm.tokens import encoder, slices
+from signalyard.llm.tokens import WordEncoder, slices
 
 SEQUENCE_TOKENS = 2048
 #: Documents packed together by one task.
@@ -37,7 +37,7 @@ def token_lengths(docs: DataFrame, vocabulary: str, end_id: int, capacity: int =
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, step = encoder(vocabulary), 4 * capacity
+        enc, step = WordEncoder(vocabulary), 4 * capacity
         for batch in batches:
             texts = batch.column("text").to_pylist()
             for lo, hi in slices(texts):

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from signalyard.llm.common import cut, parts_for, text_or_empty
 from signalyard.llm.files import WholeFile, open_store, uri
-from signalyard.llm.tokens import encoder, slices
+from signalyard.llm.tokens import WordEncoder, slices
 
 #: Text bytes a shard is made from, and keys in an index part.
 SHARD_BYTES = 32 << 20
@@ -191,12 +191,12 @@ def write_store(docs: DataFrame, path: str, vocabulary: str, end_id: int, shard_
     n_bytes = docs.agg(F.coalesce(F.sum(F.octet_length("text") + 16), F.lit(0))).first()[0]
     shards = parts_for(n_bytes, shard_bytes)
     # Two bytes hold an id below 65,536; the vocabulary says which.
-    width = 2 if max(encoder(vocabulary).vocabulary_size, end_id + 1) <= 1 << 16 else 4
+    width = 2 if max(WordEncoder(vocabulary).vocabulary_size, end_id + 1) <= 1 << 16 else 4
     store = Store(path, width, 0, 0)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = TaskContext.get().partitionId()
-        out, enc = WholeFile(store.shard(shard)), encoder(vocabulary)
+        out, enc = WholeFile(store.shard(shard)), WordEncoder(vocabulary)
         end = np.array([end_id], "<u4").tobytes()
         at, last, nth = 0, (), 0
         for batch in batches:

@@ -2,7 +2,7 @@
 
 ``word_bpe`` vocabularies drop white space and never join characters across
 it, so a text's ids are the ids of its white-space separated words, one after
-the other.  Natural text repeats its words, so each worker encodes a word
+the other.  Natural text repeats its words, so a task encodes a word
 once with the tokenizers library and remembers the ids (bounded memory).  A text
 that may hold the string of an added token goes the tokenizer's whole way."""
 
@@ -31,7 +31,7 @@ def byte_symbols() -> dict[int, str]:
 
 _SYMBOLS = byte_symbols()
 _ID = attrgetter("id")
-_ENCODERS: dict[str, "WordEncoder"] = {}
+_TOKENIZERS: dict[str, Tokenizer] = {}
 
 
 class _Remembered(dict):
@@ -62,54 +62,49 @@ class WordEncoder:
     without special tokens added.
 
     ``max_chars`` bounds what is remembered: at most twice as many characters of
-    words, and of their pieces."""
+    words, and of their pieces.  Make one for each task, so that a worker that goes
+    on to other work does not hold them."""
 
     def __init__(self, path: str, max_chars: int = 3_500_000):
-        self._tok = Tokenizer.from_file(path)
+        if path not in _TOKENIZERS:  # read once a worker
+            _TOKENIZERS[path] = Tokenizer.from_file(path)
+        self._tok = _TOKENIZERS[path]
         self.vocabulary_size = max(self._tok.get_vocab(with_added_tokens=True).values()) + 1
         added = [t.content for t in self._tok.get_added_tokens_decoder().values()]
         # case and the rest of an added token's string are the tokenizer's to judge
         self._special = re.compile("|".join(re.escape(c[:2]) for c in added), re.IGNORECASE).search if added else lambda t: None
-        self._tokenize = self._tok.model.tokenize
-        self._pieces = _Remembered(self._piece, max_chars)
-        self._known = _Remembered(self._word, max_chars)
+        tokenize, whole = self._tok.model.tokenize, self._tok.encode_batch_fast
+
+        # what is remembered refers to these alone, and goes when the encoder goes
+        def ids(text: str) -> bytes:
+            return np.array(whole([text], add_special_tokens=False)[0].ids, dtype="<u4").tobytes()
+
+        def piece(letters: str) -> bytes:
+            symbols = letters if letters.isascii() else "".join(map(_SYMBOLS.__getitem__, letters.encode()))
+            return array("I", map(_ID, tokenize(symbols))).tobytes()
+
+        def word(w: str) -> bytes:
+            """Letters with punctuation after them are two pieces, and their case is
+            dropped: such words go straight to the vocabulary's model, one piece at
+            a time.  All others take the tokenizer's whole way."""
+            m = simple(w)
+            if m is None:
+                return ids(w)
+            letters, marks = m.groups()
+            return pieces[letters.lower()] + pieces[marks] if marks else pieces[letters.lower()]
+
         # The short way must agree with the tokenizer, or it is not taken.
-        self._simple = _SIMPLE.fullmatch
         probes = ["Word", "ÜBER,", "étéß!?", "it's", "don't", "El-Niño", "a...", "x'"]
-        agree = all(self._piece(m[1].lower()) + (self._piece(m[2]) if m[2] else b"") == self._ids(w)
-                    for w in probes if (m := self._simple(w)))
-        if not agree:
-            self._simple = lambda w: None
-
-    def _ids(self, text: str) -> bytes:
-        return np.array(self._tok.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4").tobytes()
-
-    def _piece(self, piece: str) -> bytes:
-        symbols = piece if piece.isascii() else "".join(map(_SYMBOLS.__getitem__, piece.encode()))
-        return array("I", map(_ID, self._tokenize(symbols))).tobytes()
-
-    def _word(self, word: str) -> bytes:
-        """Letters with punctuation after them are two pieces, and their case is
-        dropped: such words go straight to the vocabulary's model, one piece at a
-        time.  All others take the tokenizer's whole way."""
-        m = self._simple(word)
-        if m is None:
-            return self._ids(word)
-        letters, marks = m.groups()
-        return self._pieces[letters.lower()] + self._pieces[marks] if marks else self._pieces[letters.lower()]
+        agree = all(piece(m[1].lower()) + (piece(m[2]) if m[2] else b"") == ids(w) for w in probes if (m := _SIMPLE.fullmatch(w)))
+        simple = _SIMPLE.fullmatch if agree else lambda w: None
+        pieces = _Remembered(piece, max_chars)
+        self._ids, self._pieces, self._known = ids, pieces, _Remembered(word, max_chars)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         of = self._known.__getitem__
         return [self._ids(t) if _NOT_SPACE.search(t) or self._special(t) else b"".join(map(of, t.split())) for t in texts]
 
 
-def encoder(path: str) -> WordEncoder:
-    """This worker's encoder for the vocabulary file ``path``."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = WordEncoder(path)
-    return _ENCODERS[path]
-
-
 def slices(texts: list[str], max_chars: int = 4_000_000):
     """Index ranges of ``texts`` of at most ``max_chars`` characters (or one text)."""
     start, chars = 0, 0

@@ -77,7 +77,7 @@ class Grammar:
     lexicon: dict[str, float]
     coef: list[float] = field(default_factory=lambda: [0.0] * N_FEATURES)
     bias: float = -3.0
-    max_known: int = 400_000
+    max_known: int = 200_000
 
     def __post_init__(self):
         self._known: dict[str, tuple] = {}
