@@ -36,9 +36,9 @@ def start_refresh(spark: SparkSession, lake_stream: DataFrame, lake_static: Call
     """Start the refresh query.  ``aggregate`` maps lake rows to serving rows
     (daily.count_news, daily.daily_weather, daily.daily_open); ``day_source_col``
     is the lake column the record_date comes from.  A day's rows are taken to
-    lie in the months that the batch's rows of that day came from and in the
-    months that the table already shows for it: the lake puts a record under
-    the month of its own range."""
+    lie in the months that the batch's rows of that day came from, as the lake
+    puts a record under the month of its own range; where a day's rows can come
+    late or lie under several months, ``deltas`` keeps the aggregates right."""
     if on_conflict not in ("ignore", "replace"):
         raise ValueError("on_conflict is 'ignore' or 'replace'")
 
