@@ -6,16 +6,22 @@ probability of each of a bounded number of trigrams (those most frequent over al
 languages); a text's language is the one under which the trigrams it shares with
 the profile are likeliest.
 
-Learning counts the trigrams of all labelled rows (partial counts are made before
-the shuffle, which then carries distinct trigrams per task).  Scoring explodes a
-text in place and joins the profile, a table of at most ``MAX_TRIGRAMS`` rows that
-Spark broadcasts by its size; sums per text are made before the shuffle too, so a
+Spark makes the words; tasks then cut a slice of texts at a time into trigrams with
+numpy, three code points as one number.  Learning counts the trigrams of all
+labelled rows (slices and partial counts make them few before the shuffle, which
+carries distinct trigrams per task).  Scoring looks them up in the profile, at most
+``MAX_TRIGRAMS`` rows that go with the task, and gives a row of sums per text, so a
 very long text or a language that holds a third of all rows is no large group."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import materialise
 
@@ -23,28 +29,72 @@ from ..session import materialise
 MAX_TRIGRAMS = 5000
 #: Languages a profile may have.
 MAX_LANGUAGES = 200
+#: Characters whose trigrams are cut at a time (a longer text is cut alone).
+_SLICE_CHARS = 1_000_000
+#: Bits of a code point.
+_BITS = np.uint64(21)
+
+
+def spaced(text: str | Column) -> Column:
+    """A text's runs of letters, in lower case, with one blank between two."""
+    c = F.col(text) if isinstance(text, str) else text
+    return F.trim(F.regexp_replace(F.lower(F.coalesce(c, F.lit(""))), r"[^\p{L}]+", " "))
 
 
 def words(text: str | Column) -> Column:
     """Words of a text: runs of letters, in lower case."""
-    c = F.col(text) if isinstance(text, str) else text
-    spaced = F.trim(F.regexp_replace(F.lower(F.coalesce(c, F.lit(""))), r"[^\p{L}]+", " "))
-    return F.filter(F.split(spaced, " "), lambda w: w != "")
+    return F.filter(F.split(spaced(text), " "), lambda w: w != "")
+
+
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """The batches in slices of a bounded number of characters, and their texts."""
+    for batch in batches:
+        texts, start, n = batch.column("spaced").to_pylist(), 0, 0
+        for i, text in enumerate(texts):
+            n += len(text)
+            if n >= _SLICE_CHARS or i == len(texts) - 1:
+                yield batch.slice(start, i + 1 - start), texts[start:i + 1]
+                start, n = i + 1, 0
 
 
-def trigrams(text: str | Column) -> Column:
-    """Array of the trigrams of a text's padded words, with repeats."""
-    each = F.transform(words(text), lambda w: F.transform(
-        F.sequence(F.lit(1), F.length(w)), lambda i: F.substring(F.concat(F.lit(" "), w, F.lit(" ")), i, F.lit(3))))
-    return F.flatten(each)
+def _trigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(trigram, number of its text) of the spaced ``texts``, with repeats: one
+    around each letter."""
+    c = np.frombuffer(f" {' '.join(texts)} ".encode("utf-32-le"), "<u4").astype(np.uint64)
+    of = np.repeat(np.arange(len(texts)), [len(t) + 1 for t in texts])[:-1]
+    letter = c[1:-1] != ord(" ")
+    return ((c[:-2] << (_BITS + _BITS)) | (c[1:-1] << _BITS) | c[2:])[letter], of[letter]
+
+
+def _write(grams: np.ndarray) -> list[str]:
+    low = (np.uint64(1) << _BITS) - np.uint64(1)
+    text = np.stack([grams >> (_BITS + _BITS), (grams >> _BITS) & low, grams & low], 1).astype("<u4").tobytes().decode("utf-32-le")
+    return [text[i:i + 3] for i in range(0, len(text), 3)]
+
+
+def _read(grams: list[str]) -> np.ndarray:
+    c = np.frombuffer("".join(grams).encode("utf-32-le"), "<u4").astype(np.uint64).reshape(-1, 3)
+    return (c[:, 0] << (_BITS + _BITS)) | (c[:, 1] << _BITS) | c[:, 2]
+
+
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """lang, trigram, n of each slice of rows (lang, spaced)."""
+    for batch, texts in _slices(batches):
+        langs = np.array(batch.column("lang").to_pylist(), object)
+        grams, of = _trigrams(texts)
+        for lang in set(langs):
+            found, n = np.unique(grams[(langs == lang)[of]], return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(found), pa.string()), pa.array(_write(found), pa.string()), pa.array(n, pa.int64())],
+                                             names=["lang", "trigram", "n"])
 
 
 def learn(rows: DataFrame, text: str = "text", lang: str = "lang", most: int = MAX_TRIGRAMS) -> DataFrame:
     """The profile of labelled ``rows``: (trigram, lang, log_p), a row for every
     language and trigram, with add-one smoothing.  Rows without a language are
     left out; of equally frequent trigrams the first in order are taken."""
-    grams = rows.filter(F.col(lang).isNotNull()).select(F.col(lang).alias("lang"), F.explode(trigrams(text)).alias("trigram"))
-    counts = materialise(grams.groupBy("lang", "trigram").count(), "trigram-counts")
+    labelled = rows.filter(F.col(lang).isNotNull()).select(F.col(lang).alias("lang"), spaced(text).alias("spaced"))
+    counts = materialise(labelled.mapInArrow(_count, "lang string, trigram string, n long")
+                         .groupBy("lang", "trigram").agg(F.sum("n").alias("count")), "trigram-counts")
     totals = counts.groupBy("lang").agg(F.sum("count").alias("total"))  # a row a language
     top = counts.groupBy("trigram").agg(F.sum("count").alias("n")).orderBy(F.col("n").desc(), "trigram").limit(most).select("trigram")
     top = materialise(top, "trigram-top")
@@ -77,15 +127,27 @@ def score(rows: DataFrame, profile: DataFrame, key: str, text: str = "text", out
     ``key`` tells the rows apart: rows of one key are one text."""
     languages = sorted(r["lang"] for r in _few(profile.select("lang").distinct()))
     sums = [f"p_{i}" for i in range(len(languages))]
-    keys = rows.select(key).distinct()
     if not languages:
-        return keys.select(key, F.lit(0).cast("long").alias("n_trigrams"), F.lit(None).cast("string").alias(out))
-    grams = rows.select(key, F.explode(trigrams(text)).alias("trigram"))
-    scored = grams.join(as_columns(profile, languages), "trigram").groupBy(key).agg(F.count(F.lit(1)).alias("n_trigrams"), *[F.sum(p).alias(p) for p in sums])
+        return rows.select(key).distinct().select(key, F.lit(0).cast("long").alias("n_trigrams"), F.lit(None).cast("string").alias(out))
+    table = sorted(as_columns(profile, languages).collect(), key=lambda r: r["trigram"])  # at most MAX_TRIGRAMS rows
+    known = _read([r["trigram"] for r in table])  # in order of code points, as the strings are
+    log_p = np.array([[r[p] for p in sums] for r in table], float)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, texts in _slices(batches):
+            grams, of = _trigrams(texts)
+            at = np.minimum(np.searchsorted(known, grams), len(known) - 1)
+            held = known[at] == grams
+            at, of = at[held], of[held]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("key"), pa.array(np.bincount(of, minlength=len(texts)), pa.int64()),
+                 *[pa.array(np.bincount(of, log_p[at, i], len(texts)), pa.float64()) for i in range(len(sums))]], names=["key", "n", *sums])
+
+    schema = T.StructType([T.StructField("key", rows.schema[key].dataType), T.StructField("n", T.LongType()), *[T.StructField(p, T.DoubleType()) for p in sums]])
+    scored = rows.select(F.col(key).alias("key"), spaced(text).alias("spaced")).mapInArrow(run, schema)
+    scored = scored.groupBy("key").agg(F.sum("n").alias("n_trigrams"), *[F.sum(p).alias(p) for p in sums])
     best = F.greatest(*sums) if len(sums) > 1 else F.col(sums[0])
     label = F.lit(None).cast("string")
     for code, p in reversed(list(zip(languages, sums))):
         label = F.when(F.col(p) == best, F.lit(code)).otherwise(label)
-    named = scored.select(F.col(key).alias("_key"), "n_trigrams", label.alias(out))
-    return keys.join(named, F.col(key).eqNullSafe(F.col("_key")), "left").select(key, F.coalesce("n_trigrams", F.lit(0)).alias("n_trigrams"), out)
-
+    return scored.select(F.col("key").alias(key), "n_trigrams", F.when(F.col("n_trigrams") > 0, label).alias(out))
