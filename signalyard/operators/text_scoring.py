@@ -2,7 +2,8 @@
 
 Both score one document per row, in one pass over its whole text, with
 built-in expressions: tokens = ``split`` of the cleaned text, hits =
-``size(filter(tokens, t -> t IN words))``.  Catalyst rewrites the literal
+``size(filter(listed, t -> t IN words))`` among the tokens that any list has
+(one pass over all tokens).  Catalyst rewrites the literal
 ``IN`` list into a hash-set lookup, so the cost is linear in text length;
 there is no explode, no join and no shuffle, so a 20,000-word document
 or a source holding a third of all documents splits across tasks like
@@ -32,6 +33,12 @@ def hits(toks: Column, words: list[str]) -> Column:
     return F.size(F.filter(toks, lambda t: t.isin(words)))
 
 
+def listed(toks: Column, lists: list[list[str]]) -> Column:
+    """The tokens that are in one of the word lists: one pass over the text's
+    tokens, so that the hits of each list are counted among these few."""
+    return F.filter(toks, lambda t: t.isin(sorted({w for words in lists for w in words})))
+
+
 def sentiment_scores(df: DataFrame, text_col: str = "data", cleaned: bool = False,
                      tokens_col: str | None = None) -> DataFrame:
     """TXT1: adds ``n_tokens, pos_hits, neg_hits, neg, neu, pos`` (shares)
@@ -43,9 +50,9 @@ def sentiment_scores(df: DataFrame, text_col: str = "data", cleaned: bool = Fals
     else:
         txt = _c(text_col) if cleaned else clean_text(text_col, "intended")
         d, tok = df.withColumn("_tok", tokens(txt)), F.col("_tok")
-    d = d.withColumn("n_tokens", F.size(tok)) \
-        .withColumn("pos_hits", hits(tok, POSITIVE_WORDS)) \
-        .withColumn("neg_hits", hits(tok, NEGATIVE_WORDS))
+    d = d.withColumn("n_tokens", F.size(tok)).withColumn("_listed", listed(tok, [POSITIVE_WORDS, NEGATIVE_WORDS])) \
+        .withColumn("pos_hits", hits(F.col("_listed"), POSITIVE_WORDS)) \
+        .withColumn("neg_hits", hits(F.col("_listed"), NEGATIVE_WORDS)).drop("_listed")
     if not tokens_col:
         d = d.drop("_tok")
     n = F.col("n_tokens").cast("double")
@@ -68,7 +75,8 @@ def with_language(df: DataFrame, text_col: str = "data", out: str = "language",
     else:
         txt = _c(text_col) if cleaned else clean_text(text_col, "intended")
         d, tok = df.withColumn("_tok", tokens(txt)), F.col("_tok")
-    d = d.withColumn("_ls", F.array(*[hits(tok, LANGUAGE_PROFILES[c]) for c in LANGUAGE_ORDER]))
+    d = d.withColumn("_listed", listed(tok, [LANGUAGE_PROFILES[c] for c in LANGUAGE_ORDER]))
+    d = d.withColumn("_ls", F.array(*[hits(F.col("_listed"), LANGUAGE_PROFILES[c]) for c in LANGUAGE_ORDER])).drop("_listed")
     best = F.array_max("_ls")
     label = F.when(best <= 0, F.lit(None).cast("string"))
     for i, code in enumerate(LANGUAGE_ORDER):
