@@ -160,6 +160,19 @@ def signed(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     return _with_rows(docs).mapInArrow(run, _SIGNED)
 
 
+def _only(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose numbers ``wanted`` has, by a bitmap: rows are
+    numbered without gaps within a partition, so it takes little more than a bit
+    a document, and Spark broadcasts it where the numbers themselves would have
+    the whole texts shuffled."""
+    bits = materialise(wanted.groupBy(F.bitmap_bucket_number("row").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("row")).alias("bits")), "near-wanted")
+    at = F.bitmap_bit_position("row").cast("int")
+    byte = F.conv(F.hex(F.substring("bits", F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return (docs.withColumn("bucket", F.bitmap_bucket_number("row")).join(bits, "bucket")
+            .filter(F.getbit(byte, at % 8) == 1).select(*docs.columns))
+
+
 def _bags(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """row, size (shingles, repeats counted), cells (shingles by hash cell), hashes,
     counts (as bytes; no counts if all are 1) of the rows ``wanted``."""
@@ -174,7 +187,7 @@ def _bags(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                  pa.array([c.astype("<u4").tobytes() if len(c) and c.max() > 1 else b"" for _, c in bags], pa.binary())],
                 names=["row", "size", "cells", "hashes", "counts"])
 
-    return (_with_rows(docs).select("row", "text").join(wanted, "row", "left_semi")
+    return (_only(_with_rows(docs).select("row", "text"), wanted)
             .mapInArrow(run, "row long, size long, cells binary, hashes binary, counts binary"))
 
 
@@ -346,7 +359,7 @@ def _settle(docs: DataFrame, members: DataFrame, threshold: float) -> DataFrame:
     all their links are known and they leave the bucket, or, if they are many,
     they are compared with some members of the largest class, which then leave."""
     spark = docs.sparkSession
-    bags = materialise(_bags(docs, members.select("row").distinct()), "near-bags")
+    bags = materialise(_bags(docs, members), "near-bags")
     star = members.groupBy("row").agg(F.min("pivot").alias("pivot")).filter("row <> pivot")
     first = materialise(_compared(star.select("pivot", F.col("row").alias("member")), bags), "near-star")
     links = first.filter(F.col("similarity") >= threshold).select("pivot", "member")
