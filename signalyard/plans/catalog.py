@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.aggregates import round4
+from ..session import materialise
 from ..sources import fixtures as fx
 from .. import schemas as Z
 from . import daily
@@ -151,7 +152,8 @@ def label_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
 def label_encode_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ENC2 on the TXT2 guess: a missing guess is the category 'nan'."""
     d = with_language(_documents(spark, sf_dir, "doc_id"), "text", "language")
-    d = _label_encode(d.select("doc_id", "language"), "language", "language_code", missing_as="nan")
+    # written: the codes and the output both read the guesses
+    d = _label_encode(materialise(d.select("doc_id", "language"), "guesses"), "language", "language_code", missing_as="nan")
     return d.select("doc_id", "language", F.col("language_code").cast("long").alias("language_code"))
 
 
@@ -638,8 +640,11 @@ def walk_forward_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 def predict_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ML4: ranged, imputed outer frame scored with the latest model."""
     news, weather, stock = _feeds(spark, sf_dir)
-    model = WF.latest_model(WF.fit_walk_forward(*_model_frame(spark, sf_dir), **ONE_PREDICTOR))
-    ranged = frames.frame_in_range(frames.training_frame_outer(news, weather, stock),
+    # the model's frame and the ranged one are built on the same scored articles
+    news, weather, stock = frames.scored_news(news), materialise(weather, "weather"), materialise(stock, "candles")
+    fitted = WF.lead_target(frames.training_frame_inner(news, weather, stock, scored=True), stock)
+    model = WF.latest_model(WF.fit_walk_forward(fitted, **ONE_PREDICTOR))
+    ranged = frames.frame_in_range(frames.training_frame_outer(news, weather, stock, scored=True),
                                    RANGE_START, RANGE_END)
     s = WF.score_with(ranged, model, ONE_PREDICTOR["features"])
     return s.select(F.date_format("date_start", "yyyy-MM-dd").alias("record_date"),

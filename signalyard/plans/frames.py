@@ -84,18 +84,19 @@ def truncate_keys(df: DataFrame) -> DataFrame:
 
 
 def training_frame_inner(news: DataFrame, weather: DataFrame, stock: DataFrame,
-                         text_mode: str = "literal", normalise_keys: bool = False) -> DataFrame:
+                         text_mode: str = "literal", normalise_keys: bool = False, scored: bool = False) -> DataFrame:
     """PIP4: inner joins on the raw date-range strings (JN1, JN2; Q6 KEEP, or
     on days with ``normalise_keys``),
     coerced keys (PRJ20), numeric casts (PRJ21), sentiment codes (PRJ22),
-    language label codes (ENC1), fixed 16-column projection (PRJ23)."""
+    language label codes (ENC1), fixed 16-column projection (PRJ23).
+    ``scored``: ``news`` comes from ``scored_news``."""
     weather, stock = materialise(weather, "weather"), materialise(stock, "candles")
     # Only articles whose range has both weather and candles can reach the
     # inner frame: semi-join them to both first, so text is scored once per
     # surviving article, before the candle fan-out.
     news = lake_keys(news, normalise_keys)
     news = news.join(weather.select(*KEYS), KEYS, "left_semi").join(stock.select(*KEYS), KEYS, "left_semi")
-    n = scored_news(news, text_mode)
+    n = news if scored else scored_news(news, text_mode)
     j = join_on_dates(n, weather, KEYS, "inner")
     j = join_on_dates(j, stock, KEYS, "inner")
     j = j.withColumn("date_start", coerce_timestamp("date_start").cast("timestamp_ntz")) \
@@ -121,7 +122,7 @@ def in_key_range(df: DataFrame, start: str, end: str) -> DataFrame:
 
 def training_frame_outer(news: DataFrame, weather: DataFrame, stock: DataFrame,
                          text_mode: str = "literal", day_keys: bool = True, key: str = "range",
-                         impute: bool = True, key_range: tuple[str, str] | None = None) -> DataFrame:
+                         impute: bool = True, key_range: tuple[str, str] | None = None, scored: bool = False) -> DataFrame:
     """PIP5: full outer joins (JN3) on day-truncated keys (PRJ13; Q7 KEEP),
     numeric casts, sentiment codes, language codes with missing as the
     category 'nan' (ENC2), then mean imputation of the nine numeric
@@ -136,8 +137,9 @@ def training_frame_outer(news: DataFrame, weather: DataFrame, stock: DataFrame,
 
     ``key="date_start"`` (Q7 option) joins on the start day alone; all rows
     then end a day after they start, so that the API feeds' 5-minute ranges
-    meet the day ranges of candles and weather."""
-    n = scored_news(news, text_mode)
+    meet the day ranges of candles and weather.  ``scored``: ``news`` comes from
+    ``scored_news``."""
+    n = news if scored else scored_news(news, text_mode)
     w, s = materialise(weather, "weather"), materialise(stock, "candles")
     if day_keys:
         n, w, s = truncate_keys(n), truncate_keys(w), truncate_keys(s)
