@@ -47,7 +47,7 @@ _BATCH_WORDS = 1_000_000
 
 _MULT = np.uint64(0x9E3779B97F4A7C15)
 _SIGNED = T.StructType([T.StructField("row", T.LongType()), T.StructField("doc_id", T.LongType()),
-                        T.StructField("words_sha", T.StringType()), T.StructField("bands", T.ArrayType(T.LongType()))])
+                        T.StructField("words_sha", T.BinaryType()), T.StructField("bands", T.ArrayType(T.LongType()))])
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -145,14 +145,14 @@ def signed(docs: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
                 for text in texts[start:]:
                     words = text.split()
                     bags.append(bag(words))
-                    shas.append(hashlib.sha256(" ".join(words).encode("utf-8", "surrogatepass")).hexdigest())
+                    shas.append(hashlib.sha256(" ".join(words).encode("utf-8", "surrogatepass")).digest())
                     n += len(words)
                     if n >= _BATCH_WORDS:
                         break
                 keys = band_keys(signatures(bags, bands * rows), bands, rows).tolist()
                 end = start + len(bags)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("row").slice(start, len(bags)), batch.column("doc_id").slice(start, len(bags)), pa.array(shas),
+                    [batch.column("row").slice(start, len(bags)), batch.column("doc_id").slice(start, len(bags)), pa.array(shas, pa.binary()),
                      pa.array([k if len(b[0]) else None for k, b in zip(keys, bags)], pa.list_(pa.int64()))],
                     names=_SIGNED.names)
                 start = end
@@ -164,9 +164,11 @@ def _only(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose numbers ``wanted`` has, by a bitmap: rows are
     numbered without gaps within a partition, so it takes little more than a bit
     a document, and Spark broadcasts it where the numbers themselves would have
-    the whole texts shuffled."""
-    bits = materialise(wanted.groupBy(F.bitmap_bucket_number("row").alias("bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("row")).alias("bits")), "near-wanted")
+    the rows of ``docs`` (whole texts, bands or bags) shuffled.  The numbers of a
+    bucket meet before its bitmap is made: a bitmap of every bucket from every
+    task would grow with the square of the tasks."""
+    placed = wanted.select(F.bitmap_bucket_number("row").alias("bucket"), F.bitmap_bit_position("row").alias("bit")).repartition("bucket")
+    bits = materialise(placed.groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits")), "near-wanted")
     at = F.bitmap_bit_position("row").cast("int")
     byte = F.conv(F.hex(F.substring("bits", F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
     return (docs.withColumn("bucket", F.bitmap_bucket_number("row")).join(bits, "bucket")
@@ -182,7 +184,7 @@ def _bags(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             bags = [bag(t.split()) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("row"), pa.array([int(c.sum()) for _, c in bags], pa.int64()),
-                 pa.array([np.bincount((h % np.uint64(_CELLS)).astype(np.int64), c, _CELLS).astype("<u4").tobytes() for h, c in bags], pa.binary()),
+                 pa.array([_write_cells(np.bincount((h % np.uint64(_CELLS)).astype(np.int64), c, _CELLS)) for h, c in bags], pa.binary()),
                  pa.array([_write_hashes(h) for h, _ in bags], pa.binary()),
                  pa.array([c.astype("<u4").tobytes() if len(c) and c.max() > 1 else b"" for _, c in bags], pa.binary())],
                 names=["row", "size", "cells", "hashes", "counts"])
@@ -218,6 +220,22 @@ def _read_bag(hashes: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray]:
     return h, np.frombuffer(counts, "<u4").astype(np.int64) if counts else np.ones(len(h), np.int64)
 
 
+def _write_cells(cells: np.ndarray) -> bytes:
+    """Counts in the narrowest of 4, 8, 16 and 32 bits that holds them all; the length tells which."""
+    most = cells.max(initial=0)
+    if most < 16:
+        c = cells.astype(np.uint8)
+        return (c[::2] | c[1::2] << 4).tobytes()
+    return cells.astype("<u1" if most < 1 << 8 else "<u2" if most < 1 << 16 else "<u4").tobytes()
+
+
+def _read_cells(raw: bytes) -> np.ndarray:
+    if 2 * len(raw) == _CELLS:
+        c = np.frombuffer(raw, np.uint8)
+        return np.stack([c & 15, c >> 4], axis=1).ravel().astype(np.uint32)
+    return np.frombuffer(raw, f"<u{len(raw) // _CELLS}").astype(np.uint32)
+
+
 def _compared(pairs: DataFrame, bags: DataFrame) -> DataFrame:
     """The pairs (pivot, member) with the similarity of their bags.
 
@@ -250,14 +268,16 @@ def _compared(pairs: DataFrame, bags: DataFrame) -> DataFrame:
             .mapInArrow(run, "pivot long, member long, similarity double"))
 
 
-_ABOUT = ["row", "label", "from", "far", "size", "shared", "cells"]
+_ABOUT = ["from", "far", "size", "shared", "cells"]
 
 
-def _possible_pairs(told: DataFrame, chosen: DataFrame, threshold: float) -> DataFrame:
+def _possible_pairs(told: DataFrame, chosen: DataFrame, about: DataFrame, threshold: float) -> DataFrame:
     """(pivot, member), each pair once: of each bucket the ``chosen`` rows with the
     rows of other classes that they can be linked to.  A pair that meets in several
     buckets is told in the smallest of them alone: a chosen row carries the buckets
-    that it is chosen in, any other the buckets that it is in.
+    that it is chosen in, any other the buckets that it is in.  ``told`` and
+    ``chosen`` have key, row and label alone, and ``about`` what the bounds need, once
+    a row: it joins last, as a row is in many buckets.
 
     A bucket's rows are dealt in groups of a bounded size, and each group gets the
     bucket's chosen rows, which are few, first.  A pair is left out if an exact
@@ -265,23 +285,24 @@ def _possible_pairs(told: DataFrame, chosen: DataFrame, threshold: float) -> Dat
     common pivot, by the shingles that other rows have too, or by the shingles per
     cell, of which two bags share at most the smaller number."""
     groups = told.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / _GROUP_PAIRS).cast("long").alias("groups"))
-    keys = lambda of: of.groupBy("row").agg(F.sort_array(F.collect_set("key")).alias("keys"))  # noqa: E731  at most a key a band
-    members = (told.select("key", *_ABOUT).join(groups, "key").join(keys(told), "row")
+    keyed = lambda of: about.select("row", *_ABOUT).join(of.groupBy("row").agg(
+        F.sort_array(F.collect_set("key")).alias("keys")), "row")  # at most a key a band
+    members = (told.select("key", "row", "label").join(groups, "key").join(keyed(told), "row")
                .withColumn("deal", F.pmod(F.xxhash64("row"), F.col("groups"))).withColumn("member", F.lit(True)))
-    pivots = (chosen.select("key", *_ABOUT).join(groups, "key").join(keys(chosen), "row")
+    pivots = (chosen.select("key", "row", "label").join(groups, "key").join(keyed(chosen), "row")
               .withColumn("deal", F.explode(F.expr("sequence(0, groups - 1)"))).withColumn("member", F.lit(False)))
     least, reach = threshold - 1e-9, 1 - threshold + 1e-9
-    columns = ["key", "deal", "member", *_ABOUT, "keys"]
+    columns = ["key", "deal", "member", "row", "label", *_ABOUT, "keys"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         group, held, arrays = None, [], None
         for batch in batches:
             out: list[tuple[int, int]] = []
-            for key, deal, member, *about in zip(*(batch.column(c).to_pylist() for c in columns)):
+            for key, deal, member, *row_about in zip(*(batch.column(c).to_pylist() for c in columns)):
                 if (key, deal) != group:
                     group, held, arrays = (key, deal), [], None
                 if not member:
-                    held.append(about)
+                    held.append(row_about)
                     continue
                 if arrays is None:
                     rows, labels, origins, fars, sizes, shared, cells, chosen_in = zip(*held)
@@ -289,10 +310,10 @@ def _possible_pairs(told: DataFrame, chosen: DataFrame, threshold: float) -> Dat
                     for i, some in enumerate(chosen_in):
                         buckets[i, :len(some)] = some
                     arrays = (np.array(rows), np.array(labels), np.array(origins), np.array(fars), np.array(sizes), np.array(shared),
-                              np.frombuffer(b"".join(cells), "<u4").reshape(len(rows), _CELLS), buckets)
+                              np.stack([_read_cells(c) for c in cells]), buckets)
                 rows, labels, origins, fars, sizes, shared, cells, buckets = arrays
-                row, label, origin, far, size, common, own, lies_in = about
-                both = np.minimum(np.minimum(shared, common), np.minimum(cells, np.frombuffer(own, "<u4")).sum(axis=1))
+                row, label, origin, far, size, common, own, lies_in = row_about
+                both = np.minimum(np.minimum(shared, common), np.minimum(cells, _read_cells(own)).sum(axis=1))
                 can = ((labels != label) & ((origins != origin) | (np.abs(fars - far) <= reach))
                        & (both >= least * (sizes + size - both)))
                 can = np.flatnonzero(can)
@@ -363,19 +384,21 @@ def _settle(docs: DataFrame, members: DataFrame, threshold: float) -> DataFrame:
     star = members.groupBy("row").agg(F.min("pivot").alias("pivot")).filter("row <> pivot")
     first = materialise(_compared(star.select("pivot", F.col("row").alias("member")), bags), "near-star")
     links = first.filter(F.col("similarity") >= threshold).select("pivot", "member")
-    # a row that is its own smallest pivot lies at distance 0 from it
-    far = first.select(F.col("member").alias("row"), F.col("pivot").alias("from"), (1 - F.col("similarity")).alias("far"))
-    open_ = materialise(members.select("key", "row").join(far, "row", "left").select(
-        "key", "row", F.coalesce("from", "row").alias("from"), F.coalesce("far", F.lit(0.0)).alias("far")), "near-open")
     labels = components(links) if not links.isEmpty() else spark.createDataFrame([], "row long, label long")
-    split = (open_.select("key", "row").join(labels, "row", "left").groupBy("key")
+    split = (members.select("key", "row").join(labels, "row", "left").groupBy("key")
              .agg(F.min(F.coalesce("label", "row")).alias("lo"), F.max(F.coalesce("label", "row")).alias("hi"))
              .filter("lo <> hi").select("key"))
-    left = materialise(open_.join(split, "key"), "near-left")
-    left_bags = materialise(bags.join(left.select("row").distinct(), "row", "left_semi"), "near-left-bags")
-    sizes = left_bags.select("row", "size", "cells").join(_own_shingles(left_bags), "row", "left").select(
-        "row", "size", "cells", (F.col("size") - F.coalesce("own", F.lit(0))).alias("shared"))
-    open_ = materialise(left.join(sizes, "row").filter(F.col("shared") >= (threshold - 1e-9) * F.col("size")), "near-open")
+    left = materialise(members.select("key", "row").join(split, "key"), "near-left")
+    left_bags = materialise(_only(bags, left), "near-left-bags")
+    far = first.select(F.col("member").alias("row"), F.col("pivot").alias("from"), (1 - F.col("similarity")).alias("far"))
+    # What the bounds need of a row, once: buckets have its number alone.  A row
+    # that is its own smallest pivot lies at distance 0 from it.
+    about = materialise(
+        left_bags.select("row", "size", "cells").join(far, "row", "left").join(_own_shingles(left_bags), "row", "left").select(
+            "row", F.coalesce("from", "row").alias("from"), F.coalesce("far", F.lit(0.0)).alias("far"), "size",
+            (F.col("size") - F.coalesce("own", F.lit(0))).alias("shared"), "cells")
+        .filter(F.col("shared") >= (threshold - 1e-9) * F.col("size")), "near-about")
+    open_ = materialise(left.join(about.select("row"), "row", "left_semi"), "near-open")
     few = _FEW
     while True:
         labelled = open_.join(labels, "row", "left").withColumn("label", F.coalesce("label", "row"))
@@ -386,14 +409,15 @@ def _settle(docs: DataFrame, members: DataFrame, threshold: float) -> DataFrame:
             .filter("lo <> hi").select("key", F.col("top.label").alias("main"), (F.col("all") - F.col("top.count") <= few).alias("few")), "near-main")
         if main.isEmpty():
             return labels
-        told = materialise(labelled.join(main, "key").withColumn("out", F.col("label") != F.col("main")).drop("main"), "near-told")
+        told = materialise(labelled.join(main, "key").withColumn("out", F.col("label") != F.col("main"))
+                           .select("key", "row", "label", "few", "out"), "near-told")
         score = F.xxhash64("row", F.lit(few))
-        chosen = materialise(told.filter("few and out").select("key", *_ABOUT).unionByName(
+        chosen = materialise(told.filter("few and out").select("key", "row", "label").unionByName(
             told.filter("not few and not out").groupBy("key", F.pmod(F.hash("row"), F.lit(few // 4)).alias("slot"))
-            .agg(F.min(F.struct(score.alias("score"), *_ABOUT)).alias("best")).select("key", *[f"best.{c}" for c in _ABOUT])), "near-chosen")
-        found = _compared(materialise(_possible_pairs(told, chosen, threshold), "near-possible"), left_bags).filter(F.col("similarity") >= threshold).select("pivot", "member")
+            .agg(F.min(F.struct(score.alias("score"), "row", "label")).alias("best")).select("key", "best.row", "best.label")), "near-chosen")
+        found = _compared(materialise(_possible_pairs(told, chosen, about, threshold), "near-possible"), left_bags).filter(F.col("similarity") >= threshold).select("pivot", "member")
         labels = _relabelled(labels, found)
-        open_ = materialise(told.select(*open_.columns).join(chosen.select("key", "row"), ["key", "row"], "left_anti"), "near-open")
+        open_ = materialise(told.select("key", "row").join(chosen.select("key", "row"), ["key", "row"], "left_anti"), "near-open")
         few *= 4
 
 
@@ -414,12 +438,14 @@ def numbered_classes(docs: DataFrame, threshold: float = SIMILARITY, bands: int
     """near_classes of a table that common.numbered wrote, with its rows."""
     table = materialise(signed(docs, bands, rows), "near-signed")
     copies = materialise(table.groupBy("words_sha").agg(F.min("row").alias("first")), "near-copies")
-    firsts = materialise(table.join(copies.select(F.col("first").alias("row")), "row", "left_semi")
-                         .filter("bands is not null").select("row", "bands"), "near-firsts")
-    keyed = firsts.select("row", F.explode("bands").alias("key"))
-    buckets = materialise(keyed.groupBy("key").agg(F.min("row").alias("pivot"), F.max("row").alias("last"))
-                          .filter("pivot < last").select("key", "pivot"), "near-buckets")
-    labels = _settle(docs, materialise(keyed.join(buckets, "key"), "near-members"), threshold)
+    firsts = materialise(_only(table.select("row", "bands").filter("bands is not null"),
+                               copies.select(F.col("first").alias("row"))), "near-firsts")
+    keyed = firsts.select(F.explode("bands").alias("key"), "row")
+    # Most keys are of one row: only the others' rows are looked at for a pivot.
+    shared = materialise(keyed.groupBy("key").count().filter("count > 1").select("key"), "near-buckets")
+    members = materialise(keyed.join(shared, "key"), "near-shared")
+    pivots = materialise(members.groupBy("key").agg(F.min("row").alias("pivot")), "near-pivots")
+    labels = _settle(docs, materialise(members.join(pivots, "key"), "near-members"), threshold)
     named = copies.join(labels.withColumnRenamed("row", "first"), "first", "left").select(
         "words_sha", F.coalesce("label", "first").alias("label"))
     told = materialise(table.select("row", "doc_id", "words_sha").join(materialise(named, "near-named"), "words_sha")
