@@ -42,6 +42,9 @@ _CELLS = 128
 #: Bytes of a shingle's hash: two unlike shingles of two bags of a thousand words
 #: share one with probability 4e-9.
 _HASH_BYTES = 6
+#: Partitions of a shuffle whose few rows one task writes, one after the other: a
+#: task that writes files takes ten times as long to start as one that doesn't.
+_WRITTEN_TOGETHER = 8
 #: Words whose signatures are made at a time.
 _BATCH_WORDS = 1_000_000
 
@@ -128,6 +131,16 @@ def band_keys(times: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return key.view(np.int64)
 
 
+def _written(df: DataFrame, name: str) -> DataFrame:
+    """``df``, of numbers mostly, materialised by fewer tasks than a shuffle has
+    partitions, though by two a core at least.  There are dozens of such tables, so
+    that a task and a file for each partition would be most of the time; and with
+    fewer footers more of them are small enough to be broadcast."""
+    spark = df.sparkSession
+    tasks = max(2 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")) // _WRITTEN_TOGETHER)
+    return materialise(df.coalesce(tasks), name)
+
+
 def _with_rows(docs: DataFrame) -> DataFrame:
     return docs.select("row", F.col("doc_id").cast("long").alias("doc_id"),
                        text_or_empty().alias("text"))
@@ -168,7 +181,7 @@ def _only(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     bucket meet before its bitmap is made: a bitmap of every bucket from every
     task would grow with the square of the tasks."""
     placed = wanted.select(F.bitmap_bucket_number("row").alias("bucket"), F.bitmap_bit_position("row").alias("bit")).repartition("bucket")
-    bits = materialise(placed.groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits")), "near-wanted")
+    bits = _written(placed.groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits")), "near-wanted")
     at = F.bitmap_bit_position("row").cast("int")
     byte = F.conv(F.hex(F.substring("bits", F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
     return (docs.withColumn("bucket", F.bitmap_bucket_number("row")).join(bits, "bucket")
@@ -243,7 +256,7 @@ def _compared(pairs: DataFrame, bags: DataFrame) -> DataFrame:
     bag first and then its members' bags, which are read one after the other."""
     per_pivot = pairs.groupBy("pivot").agg(F.ceil(F.count(F.lit(1)) / _GROUP_PAIRS).cast("long").alias("groups"))
     dealt = pairs.join(per_pivot, "pivot").withColumn("deal", F.pmod(F.xxhash64("member"), F.col("groups"))).drop("groups")
-    dealt = materialise(dealt, "near-pairs")
+    dealt = _written(dealt, "near-pairs")
     members = dealt.join(bags, F.col("member") == F.col("row")).select("pivot", "deal", F.col("member"), "hashes", "counts")
     pivots = (dealt.select("pivot", "deal").distinct().join(bags, F.col("pivot") == F.col("row"))
               .select("pivot", "deal", F.lit(None).cast("long").alias("member"), "hashes", "counts"))
@@ -332,15 +345,15 @@ def components(links: DataFrame) -> DataFrame:
     """row, label of every row in ``links`` (pivot, member): the smallest row
     that it is connected to.  Labels spread to neighbours and then jump to their
     label's label, until none changes."""
-    both = materialise(links.select(F.col("pivot").alias("row"), F.col("member").alias("to"))
+    both = _written(links.select(F.col("pivot").alias("row"), F.col("member").alias("to"))
                        .unionByName(links.select(F.col("member").alias("row"), F.col("pivot").alias("to"))).distinct(), "near-edges")
-    labels = materialise(both.groupBy("row").agg(F.least(F.col("row"), F.min("to")).alias("label")), "near-labels")
+    labels = _written(both.groupBy("row").agg(F.least(F.col("row"), F.min("to")).alias("label")), "near-labels")
     while True:
         around = both.join(labels.withColumnsRenamed({"row": "to", "label": "near"}), "to").groupBy("row").agg(F.min("near").alias("near"))
-        spread = materialise(labels.join(around, "row").select(
+        spread = _written(labels.join(around, "row").select(
             "row", F.least("label", "near").alias("label"), F.col("label").alias("old")), "near-spread")
         roots = spread.select(F.col("row").alias("label"), F.col("label").alias("root"))
-        jumped = materialise(spread.join(roots, "label").select("row", F.least("label", "root").alias("label"), "old"), "near-labels")
+        jumped = _written(spread.join(roots, "label").select("row", F.least("label", "root").alias("label"), "old"), "near-labels")
         labels = jumped.select("row", "label")
         if jumped.filter("label <> old").isEmpty():
             return labels
@@ -353,15 +366,15 @@ def _relabelled(labels: DataFrame, found: DataFrame) -> DataFrame:
     for end in ("pivot", "member"):
         ends = ends.join(labels.select(F.col("row").alias(end), F.col("label").alias(f"{end}_label")), end, "left").withColumn(
             f"{end}_label", F.coalesce(f"{end}_label", end))
-    ends = materialise(ends, "near-ends")
-    between = materialise(ends.filter("pivot_label <> member_label").select(
+    ends = _written(ends, "near-ends")
+    between = _written(ends.filter("pivot_label <> member_label").select(
         F.least("pivot_label", "member_label").alias("pivot"), F.greatest("pivot_label", "member_label").alias("member")).distinct(), "near-between")
     if between.isEmpty():
         return labels
     joined = components(between).select(F.col("row").alias("label"), F.col("label").alias("new"))
     linked = ends.select(F.col("pivot").alias("row")).unionByName(ends.select(F.col("member").alias("row"))).distinct()
     rows = labels.unionByName(linked.join(labels, "row", "left_anti").select("row", F.col("row").alias("label")))
-    return materialise(rows.join(joined, "label", "left").select("row", F.coalesce("new", "label").alias("label")), "near-labels")
+    return _written(rows.join(joined, "label", "left").select("row", F.coalesce("new", "label").alias("label")), "near-labels")
 
 
 def _settle(docs: DataFrame, members: DataFrame, threshold: float) -> DataFrame:
@@ -388,36 +401,36 @@ def _settle(docs: DataFrame, members: DataFrame, threshold: float) -> DataFrame:
     split = (members.select("key", "row").join(labels, "row", "left").groupBy("key")
              .agg(F.min(F.coalesce("label", "row")).alias("lo"), F.max(F.coalesce("label", "row")).alias("hi"))
              .filter("lo <> hi").select("key"))
-    left = materialise(members.select("key", "row").join(split, "key"), "near-left")
+    left = _written(members.select("key", "row").join(split, "key"), "near-left")
     left_bags = materialise(_only(bags, left), "near-left-bags")
     far = first.select(F.col("member").alias("row"), F.col("pivot").alias("from"), (1 - F.col("similarity")).alias("far"))
     # What the bounds need of a row, once: buckets have its number alone.  A row
     # that is its own smallest pivot lies at distance 0 from it.
-    about = materialise(
+    about = _written(
         left_bags.select("row", "size", "cells").join(far, "row", "left").join(_own_shingles(left_bags), "row", "left").select(
             "row", F.coalesce("from", "row").alias("from"), F.coalesce("far", F.lit(0.0)).alias("far"), "size",
             (F.col("size") - F.coalesce("own", F.lit(0))).alias("shared"), "cells")
         .filter(F.col("shared") >= (threshold - 1e-9) * F.col("size")), "near-about")
-    open_ = materialise(left.join(about.select("row"), "row", "left_semi"), "near-open")
+    open_ = _written(left.join(about.select("row"), "row", "left_semi"), "near-open")
     few = _FEW
     while True:
         labelled = open_.join(labels, "row", "left").withColumn("label", F.coalesce("label", "row"))
         # Of each bucket with several classes: its largest class, and how many are outside it.
-        main = materialise(
+        main = _written(
             labelled.groupBy("key", "label").count().groupBy("key")
             .agg(F.max(F.struct("count", "label")).alias("top"), F.sum("count").alias("all"), F.min("label").alias("lo"), F.max("label").alias("hi"))
             .filter("lo <> hi").select("key", F.col("top.label").alias("main"), (F.col("all") - F.col("top.count") <= few).alias("few")), "near-main")
         if main.isEmpty():
             return labels
-        told = materialise(labelled.join(main, "key").withColumn("out", F.col("label") != F.col("main"))
+        told = _written(labelled.join(main, "key").withColumn("out", F.col("label") != F.col("main"))
                            .select("key", "row", "label", "few", "out"), "near-told")
         score = F.xxhash64("row", F.lit(few))
-        chosen = materialise(told.filter("few and out").select("key", "row", "label").unionByName(
+        chosen = _written(told.filter("few and out").select("key", "row", "label").unionByName(
             told.filter("not few and not out").groupBy("key", F.pmod(F.hash("row"), F.lit(few // 4)).alias("slot"))
             .agg(F.min(F.struct(score.alias("score"), "row", "label")).alias("best")).select("key", "best.row", "best.label")), "near-chosen")
-        found = _compared(materialise(_possible_pairs(told, chosen, about, threshold), "near-possible"), left_bags).filter(F.col("similarity") >= threshold).select("pivot", "member")
+        found = _compared(_written(_possible_pairs(told, chosen, about, threshold), "near-possible"), left_bags).filter(F.col("similarity") >= threshold).select("pivot", "member")
         labels = _relabelled(labels, found)
-        open_ = materialise(told.select("key", "row").join(chosen.select("key", "row"), ["key", "row"], "left_anti"), "near-open")
+        open_ = _written(told.select("key", "row").join(chosen.select("key", "row"), ["key", "row"], "left_anti"), "near-open")
         few *= 4
 
 
@@ -437,19 +450,19 @@ def near_classes(docs: DataFrame, threshold: float = SIMILARITY, bands: int = BA
 def numbered_classes(docs: DataFrame, threshold: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """near_classes of a table that common.numbered wrote, with its rows."""
     table = materialise(signed(docs, bands, rows), "near-signed")
-    copies = materialise(table.groupBy("words_sha").agg(F.min("row").alias("first")), "near-copies")
+    copies = _written(table.groupBy("words_sha").agg(F.min("row").alias("first")), "near-copies")
     firsts = materialise(_only(table.select("row", "bands").filter("bands is not null"),
                                copies.select(F.col("first").alias("row"))), "near-firsts")
     keyed = firsts.select(F.explode("bands").alias("key"), "row")
     # Most keys are of one row: only the others' rows are looked at for a pivot.
-    shared = materialise(keyed.groupBy("key").count().filter("count > 1").select("key"), "near-buckets")
-    members = materialise(keyed.join(shared, "key"), "near-shared")
-    pivots = materialise(members.groupBy("key").agg(F.min("row").alias("pivot")), "near-pivots")
-    labels = _settle(docs, materialise(members.join(pivots, "key"), "near-members"), threshold)
+    shared = _written(keyed.groupBy("key").count().filter("count > 1").select("key"), "near-buckets")
+    members = _written(keyed.join(shared, "key"), "near-shared")
+    pivots = _written(members.groupBy("key").agg(F.min("row").alias("pivot")), "near-pivots")
+    labels = _settle(docs, _written(members.join(pivots, "key"), "near-members"), threshold)
     named = copies.join(labels.withColumnRenamed("row", "first"), "first", "left").select(
         "words_sha", F.coalesce("label", "first").alias("label"))
-    told = materialise(table.select("row", "doc_id", "words_sha").join(materialise(named, "near-named"), "words_sha")
+    told = _written(table.select("row", "doc_id", "words_sha").join(_written(named, "near-named"), "words_sha")
                        .drop("words_sha"), "near-told")
-    classes = materialise(told.groupBy("label").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size")), "near-classes")
+    classes = _written(told.groupBy("label").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size")), "near-classes")
     return told.join(classes, "label").select(
         "doc_id", "class_id", "class_size", (F.col("row") == F.col("label")).alias("kept"), "row")

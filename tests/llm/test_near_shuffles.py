@@ -54,3 +54,29 @@ def test_bitmaps_are_made_where_their_rows_meet(spark, monkeypatch):
     assert got == list(range(0, 70_000, 7))
     below = plans[0].split("Exchange hashpartitioning", 1)[1]
     assert "bitmap_construct_agg" not in below and "bitmap_construct_agg" in plans[0]
+
+
+def test_small_tables_are_not_written_by_a_task_for_each_shuffle_partition(spark, monkeypatch):
+    rng = random.Random(12)
+    bases = [words(rng, 12 + i % 30) for i in range(150)]
+    rows = [(i, bases[i % 150] if i < 150 else edit(rng, bases[i % 150], rng.randrange(0, 3))) for i in range(300)]
+    files, real = {}, bm.materialise
+
+    def call(df, name, **options):
+        out = real(df, name, **options)
+        files[name] = max(files.get(name, 0), len(out.inputFiles()))
+        return out
+    monkeypatch.setattr(bm, "materialise", call)
+    held = {"spark.sql.shuffle.partitions": "96", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    for k, v in held.items():
+        spark.conf.set(k, v)
+    try:
+        got = classes(bm.near_classes(docs(spark, rows), bands=40, rows=2))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == brute(rows)
+    most = max(2 * spark.sparkContext.defaultParallelism, 96 // bm._WRITTEN_TOGETHER)
+    for name in ("near-copies", "near-buckets", "near-members", "near-pairs", "near-labels", "near-told", "near-classes"):
+        assert 0 < files[name] <= most, (name, files[name])
